@@ -44,19 +44,19 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> CategoryMap:
         long = (df.select(*[F.struct(F.col(c).cast("double").alias("num"),
                                      F.col(c).cast("string").alias("value")).alias(c)
                             for c in num])
-                .unpivot([], num, "column", "v")
-                .select("column", "v.num", "v.value")
+                .unpivot([], num, "column_name", "v")
+                .select("column_name", "v.num", "v.value")
                 .where(F.col("value").isNotNull()).distinct())
-        parts.append(running_total(long, ["column"], ["num"], out="_rn").drop("num"))
+        parts.append(running_total(long, ["column_name"], ["num"], out="_rn").drop("num"))
     if txt:
         long = (df.select(*[F.col(c).cast("string").alias(c) for c in txt])
-                .unpivot([], txt, "column", "value")
+                .unpivot([], txt, "column_name", "value")
                 .where(F.col("value").isNotNull()).distinct())
-        parts.append(running_total(long, ["column"], ["value"], out="_rn"))
+        parts.append(running_total(long, ["column_name"], ["value"], out="_rn"))
     table = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    table = cut_lineage(table.select("column", "value", (F.col("_rn") - 1).cast("int").alias("idx")))
-    sizes = {r["column"]: r["n"] for r in
-             table.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    table = cut_lineage(table.select("column_name", "value", (F.col("_rn") - 1).cast("int").alias("idx")))
+    sizes = {r["column_name"]: r["n"] for r in
+             table.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     return CategoryMap(table=table, sizes={c: sizes.get(c, 0) for c in columns})
 
 
@@ -68,7 +68,7 @@ def apply_categories(df: DataFrame, cmap: CategoryMap, columns: Sequence[str] |
     out = df
     for i, c in enumerate(cols):
         v, ix = f"_cat_v{i}", f"_cat_i{i}"
-        side = cmap.table.where(F.col("column") == c).select(F.col("value").alias(v),
+        side = cmap.table.where(F.col("column_name") == c).select(F.col("value").alias(v),
                                                               F.col("idx").alias(ix))
         out = join_small(out, side, on=F.col(c).cast("string") == F.col(v), how="left",
                          max_rows=max_broadcast_rows, small_rows=cmap.sizes.get(c))

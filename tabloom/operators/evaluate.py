@@ -157,14 +157,18 @@ def class_report(df: DataFrame | None = None, actual: str = "actual", predicted:
                        F.col("support").cast("bigint").alias("support"),
                        F.lit(0).alias("row_kind"))
     a = _averages(stats)
+    def rec(label, p, r, f1, kind):
+        return F.struct(F.lit(label).alias("label"), p.cast("double").alias("precision"),
+                        r.cast("double").alias("recall"), f1.cast("double").alias("f1"),
+                        F.col("support").cast("bigint").alias("support"),
+                        F.lit(kind).alias("row_kind"))
+
+    none = F.lit(None)
     summary = a.select(F.inline(F.array(
-        F.struct(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
-                 F.lit(None).cast("double").alias("recall"), F.col("accuracy").alias("f1"),
-                 F.col("support").cast("bigint").alias("support"), F.lit(1).alias("row_kind")),
-        F.struct(F.lit("macro avg"), F.col("precision_macro"), F.col("recall_macro"),
-                 F.col("f1_macro"), F.col("support").cast("bigint"), F.lit(2)),
-        F.struct(F.lit("weighted avg"), F.col("precision_weighted"), F.col("recall_weighted"),
-                 F.col("f1_weighted"), F.col("support").cast("bigint"), F.lit(3)))))
+        rec("accuracy", none, none, F.col("accuracy"), 1),
+        rec("macro avg", F.col("precision_macro"), F.col("recall_macro"), F.col("f1_macro"), 2),
+        rec("weighted avg", F.col("precision_weighted"), F.col("recall_weighted"),
+            F.col("f1_weighted"), 3))))
     return per.unionByName(summary).orderBy("row_kind", "label").drop("row_kind")
 
 

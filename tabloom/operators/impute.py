@@ -59,13 +59,13 @@ def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Any]:
     order = F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("v"))
     out: dict[str, Any] = {}
     if num:
-        counts = long_numeric(df, num).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        for r in counts.groupBy("column").agg(F.min_by("value", order).alias("m")).collect():
-            out[r["column"]] = r["m"]
+        counts = long_numeric(df, num).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+        for r in counts.groupBy("column_name").agg(F.min_by("value", order).alias("m")).collect():
+            out[r["column_name"]] = r["m"]
     if txt:
         counts = value_counts(df, txt).where(F.col("value").isNotNull())
-        for r in counts.groupBy("column").agg(F.min_by("value", order).alias("m")).collect():
-            out[r["column"]] = r["m"]
+        for r in counts.groupBy("column_name").agg(F.min_by("value", order).alias("m")).collect():
+            out[r["column_name"]] = r["m"]
     return out
 
 
@@ -88,7 +88,7 @@ def fit_fill(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[s
         values.update({c: row[c] for c in numeric})
     elif numeric and strategy == "median":
         if exact:
-            med = {r["column"]: r["median"] for r in exact_medians(src, numeric).collect()}
+            med = {r["column_name"]: r["median"] for r in exact_medians(src, numeric).collect()}
         else:
             row = src.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, APPROX_ACCURACY)
                             .alias(c) for c in numeric]).first()

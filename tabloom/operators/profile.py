@@ -59,16 +59,16 @@ def profile_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
         recs.append([F.lit(i + 1).cast("bigint"), F.lit(c), F.lit(types[c].simpleString()),
                      F.col(f"_c{i}").cast("bigint"),
                      (F.col("_rows") - F.col(f"_c{i}")).cast("bigint"), nan.cast("bigint")])
-    return _rows_to_long(one, recs, ["position", "column", "dtype", "count", "null_count",
+    return _rows_to_long(one, recs, ["position", "column_name", "dtype", "non_null", "null_count",
                                      "nan_count"])
 
 
 def long_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value DOUBLE) for the given numeric columns, nulls dropped."""
     if not columns:
-        return df.sparkSession.createDataFrame([], "column string, value double")
+        return df.sparkSession.createDataFrame([], "column_name string, value double")
     casted = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return (casted.unpivot([], list(columns), "column", "value")
+    return (casted.unpivot([], list(columns), "column_name", "value")
             .where(F.col("value").isNotNull()))
 
 
@@ -80,21 +80,21 @@ def exact_medians(df: DataFrame, columns: Sequence[str], **kw) -> DataFrame:
     of one column are split over many tasks.  Even counts average the two
     middle values.
     """
-    counts = cut_lineage(long_numeric(df, columns).groupBy("column", "value")
+    counts = cut_lineage(long_numeric(df, columns).groupBy("column_name", "value")
                          .agg(F.count(F.lit(1)).alias("n")))
-    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    ranked = running_total(counts, ["column"], ["value"], measure="n", out="cum",
+    totals = counts.groupBy("column_name").agg(F.sum("n").alias("total"))
+    ranked = running_total(counts, ["column_name"], ["value"], measure="n", out="cum",
                            materialize=False, **kw)
     r1 = F.floor((F.col("total") + 1) / 2)
     r2 = F.floor(F.col("total") / 2) + 1
     lo = F.col("cum") - F.col("n")
     # One row per profiled column: a proven small broadcast.
-    hits = (ranked.join(F.broadcast(totals), "column")
+    hits = (ranked.join(F.broadcast(totals), "column_name")
             .where((lo < r2) & (r1 <= F.col("cum")))
-            .groupBy("column")
+            .groupBy("column_name")
             .agg(F.max(F.when((lo < r1) & (r1 <= F.col("cum")), F.col("value"))).alias("v1"),
                  F.max(F.when((lo < r2) & (r2 <= F.col("cum")), F.col("value"))).alias("v2")))
-    return hits.select("column", ((F.col("v1") + F.col("v2")) / 2).alias("median"))
+    return hits.select("column_name", ((F.col("v1") + F.col("v2")) / 2).alias("median"))
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
@@ -104,7 +104,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     cols = [c for c in _columns(df, columns) if is_numeric_type(types[c])]
     if not cols:
         return df.sparkSession.createDataFrame(
-            [], "column string, min double, max double, mean double, median double, std double")
+            [], "column_name string, min_value double, max_value double, mean double, median double, std_dev double")
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
@@ -118,12 +118,12 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
         med = F.col(f"_med{i}").cast("double") if not exact_median else F.lit(None).cast("double")
         recs.append([F.lit(c), F.col(f"_min{i}"), F.col(f"_max{i}"), F.col(f"_avg{i}"), med,
                      F.col(f"_std{i}")])
-    stats = _rows_to_long(one, recs, ["column", "min", "max", "mean", "median", "std"])
+    stats = _rows_to_long(one, recs, ["column_name", "min_value", "max_value", "mean", "median", "std_dev"])
     if not exact_median:
         return stats
     med = exact_medians(df, cols)
-    return (stats.drop("median").join(F.broadcast(med), "column", "left")
-            .select("column", "min", "max", "mean", "median", "std"))
+    return (stats.drop("median").join(F.broadcast(med), "column_name", "left")
+            .select("column_name", "min_value", "max_value", "mean", "median", "std_dev"))
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -132,15 +132,15 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = [c for c in _columns(df, columns) if is_simple_type(types[c])]
     as_text = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-    return (as_text.unpivot([], cols, "column", "value")
-            .groupBy("column", "value").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+    return (as_text.unpivot([], cols, "column_name", "value")
+            .groupBy("column_name", "value").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
 def profile_distinct(df: DataFrame, columns: Sequence[str] | None = None,
                      counts: DataFrame | None = None) -> DataFrame:
     """Distinct values per column, NULL counted as one value when present."""
     vc = counts if counts is not None else value_counts(df, columns)
-    return vc.groupBy("column").agg(F.count(F.lit(1)).cast("bigint").alias("unique_count"))
+    return vc.groupBy("column_name").agg(F.count(F.lit(1)).cast("bigint").alias("unique_count"))
 
 
 def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5,
@@ -152,12 +152,12 @@ def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5,
     before the shuffle (WindowGroupLimit)."""
     vc = (counts if counts is not None else value_counts(df, columns)).where(
         F.col("value").isNotNull())
-    totals = vc.groupBy("column").agg(F.sum("n").alias("_nonnull"))
-    w = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value").asc())
-    top = vc.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    totals = vc.groupBy("column_name").agg(F.sum("n").alias("_nonnull"))
+    w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc())
+    top = vc.withColumn("value_rank", F.row_number().over(w)).where(F.col("value_rank") <= k)
     # One row per column: proven small.
-    return (top.join(F.broadcast(totals), "column")
-            .select("column", F.col("rank").cast("bigint").alias("rank"), "value", "n",
+    return (top.join(F.broadcast(totals), "column_name")
+            .select("column_name", F.col("value_rank").cast("bigint").alias("value_rank"), "value", "n",
                     (F.col("n") / F.col("_nonnull") * 100.0).alias("percent")))
 
 
@@ -168,7 +168,7 @@ def column_mode(df: DataFrame, columns: Sequence[str] | None = None,
     vc = (counts if counts is not None else value_counts(df, columns)).where(
         F.col("value").isNotNull())
     order = F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("v"))
-    return vc.groupBy("column").agg(F.min_by("value", order).alias("mode"),
+    return vc.groupBy("column_name").agg(F.min_by("value", order).alias("mode"),
                                     F.max("n").alias("mode_count"))
 
 
@@ -183,9 +183,9 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None,
     distinct = profile_distinct(df, counts=vc)
     mode = column_mode(df, counts=vc)
     # Every side has one row per column.
-    out = (nulls.join(F.broadcast(numeric), "column", "left")
-           .join(F.broadcast(distinct), "column", "left")
-           .join(F.broadcast(mode), "column", "left"))
-    return out.select("position", "column", "dtype", "count", "null_count", "nan_count",
-                      "unique_count", "min", "max", "mean", "median", "std", "mode",
-                      "mode_count").orderBy("position")
+    out = (nulls.join(F.broadcast(numeric), "column_name", "left")
+           .join(F.broadcast(distinct), "column_name", "left")
+           .join(F.broadcast(mode), "column_name", "left"))
+    return out.select("position", "column_name", "dtype", "non_null", "null_count", "nan_count",
+                      "unique_count", "min_value", "max_value", "mean", "median", "std_dev",
+                      "mode", "mode_count").orderBy("position")

@@ -1,0 +1,82 @@
+"""End-to-end classification run: split, prepare, train, evaluate, log.
+
+    drop rows without target -> hash split on the key -> fit preparation on
+    train (impute, categories) -> fit features on train (select, z-score)
+    -> train -> predict the test part -> metrics from one confusion
+    aggregate -> run log rows (+ model folder)
+
+Every ``fit_*`` reads only the training part; ``apply_*`` runs map-side on
+both parts.  Nothing but fitted literals, class labels and metric rows
+reaches the driver.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from typing import Any
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tabloom.functions.columns import numeric_columns
+from tabloom.operators import encode, evaluate, scale, split, train
+from tabloom.sources import models, runlog
+
+
+@dataclass
+class PipelineResult:
+    classifier: train.Classifier
+    preprocess: encode.Preprocess
+    features: scale.FeatureParams
+    evaluation: evaluate.Evaluation
+    predictions: DataFrame
+    dropped_rows: int | None
+    feature_columns: list[str]
+
+
+def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
+                 categorical: Sequence[str] = (), numeric: Sequence[str] = (),
+                 features: Sequence[str] | None = None, model_type: str = "random_forest",
+                 hyperparameters: Mapping[str, Any] | None = None, test_ratio: float = 0.2,
+                 seed: int = 42, split_mode: str = "hash", fill_strategy: str = "median",
+                 normalize: bool = True,
+                 metrics: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
+                 average: str = "macro", experiment: str | None = None, run: str | None = None,
+                 run_log_path: str | None = None, model_path: str | None = None
+                 ) -> PipelineResult:
+    evaluate.validate_metrics(metrics, average)
+    data, dropped = train.drop_null_target(df, target, count=True)
+    parts = split.holdout_split(data, key, test_ratio, seed, mode=split_mode)
+    train_df = parts.where(F.col(split.PART) == "train").drop(split.PART)
+    test_df = parts.where(F.col(split.PART) == "test").drop(split.PART)
+
+    prep = encode.fit_preprocess(train_df, categorical, numeric, fill_strategy)
+    train_p = encode.apply_preprocess(train_df, prep)
+    test_p = encode.apply_preprocess(test_df, prep)
+
+    wanted = list(features) if features is not None else (
+        list(numeric) + [f"{c}_encoded" for c in categorical])
+    fparams = scale.fit_features(train_p, wanted, normalize)
+    keys = [key] if isinstance(key, str) else list(key)
+    keep = keys + [target]
+    train_f = scale.apply_features(train_p, fparams, keep=keep)
+    test_f = scale.apply_features(test_p, fparams, keep=keep)
+    feat_cols = [c for c in numeric_columns(train_f) if c not in keep]
+
+    clf = train.train_classifier(train_f, target, feat_cols, model_type, hyperparameters,
+                                 key=key)
+    scored = train.predict(clf, test_f)
+    scores = train.class_scores(clf, scored) if "roc_auc" in metrics else None
+    ev = evaluate.evaluate(scored, target, "prediction", metrics, average, scores=scores)
+
+    if run_log_path and experiment and run:
+        params = {"model_type": model_type, **dict(hyperparameters or {}),
+                  "test_ratio": test_ratio, "seed": seed, "fill_strategy": fill_strategy}
+        runlog.log_run(df.sparkSession, run_log_path, experiment, run, params=params,
+                       metrics=ev.metrics, confusion=ev.confusion, report=ev.report)
+    if model_path:
+        models.save_classifier(clf, model_path)
+    return PipelineResult(classifier=clf, preprocess=prep, features=fparams, evaluation=ev,
+                          predictions=scored.select(*keys, target, "prediction"),
+                          dropped_rows=dropped, feature_columns=feat_cols)

@@ -31,26 +31,26 @@ def f4(spark):
 
 
 def test_profile_table_f3(f3):
-    rows = {r["column"]: r for r in profile.profile_table(f3).collect()}
-    assert rows["species"]["count"] == 4 and rows["species"]["null_count"] == 1
+    rows = {r["column_name"]: r for r in profile.profile_table(f3).collect()}
+    assert rows["species"]["non_null"] == 4 and rows["species"]["null_count"] == 1
     assert rows["species"]["unique_count"] == 4
     assert rows["culmen_length_mm"]["unique_count"] == 5
     c = rows["culmen_length_mm"]
-    assert (c["min"], c["max"]) == (39.1, 46.5)
+    assert (c["min_value"], c["max_value"]) == (39.1, 46.5)
     assert c["mean"] == pytest.approx(42.8) and c["median"] == pytest.approx(42.8)
-    assert c["std"] == pytest.approx(4.048045, abs=1e-6)
+    assert c["std_dev"] == pytest.approx(4.048045, abs=1e-6)
     d = rows["culmen_depth_mm"]
     assert d["mean"] == pytest.approx(16.8) and d["median"] == pytest.approx(17.65)
-    assert d["std"] == pytest.approx(2.458997, abs=1e-6)
+    assert d["std_dev"] == pytest.approx(2.458997, abs=1e-6)
     assert rows["species"]["mode"] == "Adelie" and rows["island"]["mode"] == "Torgersen"
     assert float(c["mode"]) == 39.1 and float(d["mode"]) == 13.2
-    assert rows["species"]["min"] is None
+    assert rows["species"]["min_value"] is None
 
 
 def test_profile_summary_and_top(f3):
     s = profile.profile_summary(f3, "sample", "x.csv").first()
     assert (s["row_count"], s["column_count"]) == (5, 4)
-    top = profile.top_values(f3, ["species"], k=5).orderBy("rank").collect()
+    top = profile.top_values(f3, ["species"], k=5).orderBy("value_rank").collect()
     assert [r["value"] for r in top] == ["Adelie", "Chinstrap", "Gentoo"]
     assert top[0]["percent"] == pytest.approx(50.0)
 
