@@ -182,7 +182,7 @@ def _svm(params: Mapping[str, Any], n_rows: int, n_classes: int, weight_col: str
     c = float(params.get("C", 1.0))
     svc = LinearSVC(featuresCol=features_col, labelCol="label_idx",
                     regParam=1.0 / (c * max(1, n_rows)), standardization=False,
-                    maxIter=int(params.get("max_iter", 100)), tol=float(params.get("tol", 1e-6)))
+                    maxIter=int(params.get("max_iter", 100)), tol=float(params.get("tol", 1e-3)))
     if weight_col:
         svc.setWeightCol(weight_col)
     if n_classes <= 2:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.columns import numeric_columns
 from tabloom.operators import encode, evaluate, scale, split, train
+from tabloom.session import cut_lineage
 from tabloom.sources import models, runlog
 
 
@@ -43,11 +44,19 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
                  normalize: bool = True,
                  metrics: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
                  average: str = "macro", experiment: str | None = None, run: str | None = None,
-                 run_log_path: str | None = None, model_path: str | None = None
-                 ) -> PipelineResult:
+                 run_log_path: str | None = None, model_path: str | None = None,
+                 count_dropped: bool = False) -> PipelineResult:
     evaluate.validate_metrics(metrics, average)
-    data, dropped = train.drop_null_target(df, target, count=True)
-    parts = split.holdout_split(data, key, test_ratio, seed, mode=split_mode)
+    keys = [key] if isinstance(key, str) else list(key)
+    wanted = list(features) if features is not None else (
+        list(numeric) + [f"{c}_encoded" for c in categorical])
+    needed = list(dict.fromkeys(keys + [target] + list(categorical) + list(numeric)
+                                + [c for c in wanted if c in df.columns]))
+    # Only the needed columns, read once: every fit below re-reads this
+    # frame, so it is checkpointed instead of recomputed from the source.
+    data, dropped = train.drop_null_target(df.select(*needed), target, count=False)
+    parts = cut_lineage(split.holdout_split(data, key, test_ratio, seed, mode=split_mode))
+    dropped = df.where(F.col(target).isNull()).count() if count_dropped else None
     train_df = parts.where(F.col(split.PART) == "train").drop(split.PART)
     test_df = parts.where(F.col(split.PART) == "test").drop(split.PART)
 
@@ -55,10 +64,7 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
     train_p = encode.apply_preprocess(train_df, prep)
     test_p = encode.apply_preprocess(test_df, prep)
 
-    wanted = list(features) if features is not None else (
-        list(numeric) + [f"{c}_encoded" for c in categorical])
     fparams = scale.fit_features(train_p, wanted, normalize)
-    keys = [key] if isinstance(key, str) else list(key)
     keep = keys + [target]
     train_f = scale.apply_features(train_p, fparams, keep=keep)
     test_f = scale.apply_features(test_p, fparams, keep=keep)
