@@ -178,6 +178,12 @@ def prediction_summary(df: DataFrame, predicted: str = "predicted") -> DataFrame
                   F.count_distinct(F.col(predicted)).cast("bigint").alias("n_distinct"))
 
 
+def prediction_counts(df: DataFrame, predicted: str = "predicted") -> DataFrame:
+    """Rows per predicted label."""
+    return df.groupBy(F.col(predicted).alias("label")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
 # --------------------------------------------------------------------------- AUC
 
 def _auc_from_groups(g: DataFrame, group_cols: list[str]) -> DataFrame:

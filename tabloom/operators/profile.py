@@ -189,3 +189,10 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None,
     return out.select("position", "column_name", "dtype", "non_null", "null_count", "nan_count",
                       "unique_count", "min_value", "max_value", "mean", "median", "std_dev",
                       "mode", "mode_count").orderBy("position")
+
+
+def write_profile(profile: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Store a profile (or any of its parts) as Parquet or JSON."""
+    if fmt not in ("parquet", "json"):
+        raise ValueError("fmt must be 'parquet' or 'json'")
+    profile.write.mode("overwrite").format(fmt).save(path)

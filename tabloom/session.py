@@ -66,10 +66,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df):
-    """Materialize ``df`` into the shared checkpoint folder and return a frame
-    reading it back.  Used for small fitted tables (category maps, offsets)
-    so that applying them never re-runs the fit, and a lost executor only
-    re-reads the checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "stage"):
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    return a frame reading it back.
+
+    Used for fitted tables (category maps, value counts) and for inputs that
+    several jobs re-read: the lineage is cut, the data is computed once (a
+    plain ``checkpoint(eager=True)`` computes it twice), a lost executor
+    only re-reads files, and later reads get column pruning and filter
+    pushdown, which a checkpointed RDD does not offer.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
