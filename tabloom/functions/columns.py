@@ -52,7 +52,8 @@ def valid_columns(df: DataFrame, wanted: Sequence[str]) -> tuple[list[str], list
     return keep, missing
 
 
-def split_hash(key: str | Sequence[str] | None, seed: int) -> Column:
+def split_hash(key: str | Sequence[str] | None, seed: int,
+               columns: Sequence[str] | None = None) -> Column:
     """Hex md5 of ``seed|key``: a repeatable pseudo-random order that does not
     depend on file order or partitioning.  The same string comes out of
     DuckDB's ``md5(concat(seed, '|', key))``.
@@ -61,7 +62,10 @@ def split_hash(key: str | Sequence[str] | None, seed: int) -> Column:
     row (duplicates then land on the same side of every split).
     """
     if key is None:
-        return F.md5(F.concat(F.lit(f"{seed}|"), F.xxhash64(F.lit(seed), F.col("*")).cast("string")))
+        if not columns:
+            raise ValueError("a keyless split hash needs the frame's columns")
+        row = F.xxhash64(F.lit(seed), *[F.col(c) for c in columns]).cast("string")
+        return F.md5(F.concat(F.lit(f"{seed}|"), row))
     keys = [key] if isinstance(key, str) else list(key)
     parts = [F.lit(str(seed))]
     for k in keys:

@@ -30,7 +30,7 @@ PART = "split"
 
 def with_split_hash(df: DataFrame, key: str | Sequence[str] | None, seed: int = 42,
                     out: str = HASH) -> DataFrame:
-    return df.withColumn(out, split_hash(key, seed))
+    return df.withColumn(out, split_hash(key, seed, df.columns))
 
 
 def _key_cols(key: str | Sequence[str]) -> list[str]:
@@ -128,7 +128,7 @@ def three_way_split(df: DataFrame, key, test_ratio: float = 0.2, validation_rati
     'train' above: two thresholds on the same hash, map-only."""
     if test_ratio + validation_ratio > 1.0:
         raise ValueError("test_ratio + validation_ratio must not exceed 1")
-    b = hash_bucket32(split_hash(key, seed))
+    b = hash_bucket32(split_hash(key, seed, df.columns))
     t1 = ratio_threshold(test_ratio)
     t2 = ratio_threshold(test_ratio + validation_ratio)
     return df.withColumn(out, F.when(b < t1, "test").when(b < t2, "validation")
@@ -139,7 +139,7 @@ def kfold(df: DataFrame, key, k: int = 5, seed: int = 42, out: str = "fold") ->
     """Fold id 0..k-1 from the hash bucket (map-only)."""
     if k < 2:
         raise ValueError("k must be at least 2")
-    return df.withColumn(out, (hash_bucket32(split_hash(key, seed)) % k).cast("int"))
+    return df.withColumn(out, (hash_bucket32(split_hash(key, seed, df.columns)) % k).cast("int"))
 
 
 def stratified_kfold(df: DataFrame, key, label: str, k: int = 5, seed: int = 42,

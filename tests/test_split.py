@@ -58,3 +58,11 @@ def test_stratified_folds_balanced(spark):
 def test_kfold_hash(spark):
     f = split.kfold(_orders(spark), "o_orderkey", k=4)
     assert {r["fold"] for r in f.select("fold").distinct().collect()} == {0, 1, 2, 3}
+
+
+def test_keyless_split_keeps_duplicates_together(spark):
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").select("l_returnflag", "l_linestatus")
+    s = split.holdout_split(li, None, 0.2, 42)
+    sides = s.groupBy("l_returnflag", "l_linestatus").agg(F.countDistinct("split").alias("k"))
+    assert sides.where("k > 1").count() == 0
+    assert s.count() == li.count()
