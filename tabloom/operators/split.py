@@ -150,5 +150,8 @@ def stratified_kfold(df: DataFrame, key, label: str, k: int = 5, seed: int = 42,
         raise ValueError("k must be at least 2")
     keys = _key_cols(key)
     hashed = with_split_hash(df, keys, seed)
+    # The count, sample and bucket-sum passes read only (label, key); the
+    # input is re-read rather than copied to the checkpoint folder.
+    kw.setdefault("materialize", False)
     ranked = running_total(hashed, [label], [HASH] + keys, out="_rank", **kw)
     return ranked.withColumn(out, ((F.col("_rank") - 1) % k).cast("int")).drop("_rank", HASH)

@@ -39,6 +39,7 @@ from tabloom.operators.encode import CategoryMap, fit_categories
 MODEL_TYPES = ("random_forest", "svm")
 KERNELS = ("linear", "rbf")
 MAX_DEPTH = 30          # deepest tree Spark ML accepts
+ROWS_PER_TRAIN_PARTITION = 250_000
 
 
 def drop_null_target(df: DataFrame, target: str, count: bool = True
@@ -77,6 +78,16 @@ def canonical_layout(df: DataFrame, key: str | Sequence[str] | None, partitions:
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
+def train_partitions(spark, n_rows: int) -> int:
+    """Partitions for the training layout: about ROWS_PER_TRAIN_PARTITION
+    rows each, at most ``spark.sql.shuffle.partitions``.  Iterative
+    optimizers pay per-task costs on every step, so small training sets use
+    few partitions; the count depends only on the data, keeping fits
+    repeatable."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cap, math.ceil(n_rows / ROWS_PER_TRAIN_PARTITION)))
+
+
 # ------------------------------------------------------------------ RBF map
 
 class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol,
@@ -214,7 +225,8 @@ def train_classifier(df: DataFrame, label: str, features: Sequence[str],
     if params.get("class_weight") == "balanced":
         data = with_class_weights(data, label, "_w")
         weight_col = "_w"
-    parts = layout_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_rows = data.count()
+    parts = layout_partitions or train_partitions(df.sparkSession, n_rows)
     data = canonical_layout(data, key, parts)
 
     stages: list = [VectorAssembler(inputCols=list(features), outputCol="features",
@@ -233,7 +245,6 @@ def train_classifier(df: DataFrame, label: str, features: Sequence[str],
                 nComponents=int(params.get("n_components", 256)), gamma=g,
                 inputDim=len(features), seed=int(params.get("random_state", 42))))
             fcol = "rff"
-        n_rows = data.count()
         stages.append(_svm(params, n_rows, n_classes, weight_col, fcol))
     model = Pipeline(stages=stages).fit(data)
     return Classifier(model=model, labels=labels, label_col=label,
