@@ -94,8 +94,9 @@ def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     joined = join_small(bucketed, offsets, on=group_cols + ["_bucket"], how="inner")
     w = Window.partitionBy(*group_cols, "_bucket").orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
+    # Same column order as the single-bucket path: input columns, then out.
     return (joined.withColumn(out, F.col("_off") + F.sum("_m").over(w))
-            .drop("_m", "_bucket", "_off"))
+            .select(*df.columns, out))
 
 
 def dense_index(values: DataFrame, group_cols: Sequence[str], value_col: str,

@@ -57,13 +57,23 @@ def label_set(df: DataFrame | None = None, actual: str = "actual", predicted: st
             .distinct().orderBy("label"))
 
 
+MAX_LABELS = 10_000
+
+
 def confusion_matrix(df: DataFrame | None = None, actual: str = "actual",
-                     predicted: str = "predicted", counts: DataFrame | None = None) -> DataFrame:
+                     predicted: str = "predicted", counts: DataFrame | None = None,
+                     max_labels: int = MAX_LABELS) -> DataFrame:
     """Zero-filled (actual, predicted, n) over label set x label set.
 
-    The k x k grid is made by exploding the (bounded) label list twice; the
-    counts table has at most k^2 rows, so the join is broadcast."""
+    The k x k grid is made by exploding the label list twice; the label
+    count is checked first (at most ``max_labels``), and the counts table has
+    at most k^2 rows, so the join is broadcast.  Above the limit use
+    ``confusion_counts`` (non-zero pairs only)."""
     c = counts if counts is not None else confusion_counts(df, actual, predicted)
+    k = label_set(counts=c).limit(max_labels + 1).count()
+    if k > max_labels:
+        raise ValueError(f"{k}+ labels: a zero-filled grid is too large; "
+                         "use confusion_counts instead")
     labels = label_set(counts=c).agg(F.sort_array(F.collect_list("label")).alias("ls"))
     grid = (labels.select(F.explode("ls").alias("actual"), "ls")
             .select("actual", F.explode("ls").alias("predicted")))
@@ -186,10 +196,10 @@ def prediction_counts(df: DataFrame, predicted: str = "predicted") -> DataFrame:
 
 # --------------------------------------------------------------------------- AUC
 
-def _auc_from_groups(g: DataFrame, group_cols: list[str]) -> DataFrame:
+def _auc_from_groups(g: DataFrame, group_cols: list[str], **kw) -> DataFrame:
     """g: (group..., score, pos, neg) with one row per distinct score.
     AUC = sum(pos * (neg_below + neg/2)) / (P * N), exact for ties."""
-    ranked = running_total(g, group_cols, ["score"], measure="neg", out="cum_neg")
+    ranked = running_total(g, group_cols, ["score"], measure="neg", out="cum_neg", **kw)
     part = F.col("pos").cast("double") * (
         (F.col("cum_neg") - F.col("neg")).cast("double") + F.col("neg").cast("double") / 2.0)
     out = ranked.groupBy(*group_cols).agg(F.sum(part).alias("_num"),
@@ -200,18 +210,19 @@ def _auc_from_groups(g: DataFrame, group_cols: list[str]) -> DataFrame:
         F.col("n_pos").cast("bigint").alias("n_pos"), F.col("n_neg").cast("bigint").alias("n_neg"))
 
 
-def roc_auc_binary(df: DataFrame, label: str, score: str | Column, positive=1) -> DataFrame:
+def roc_auc_binary(df: DataFrame, label: str, score: str | Column, positive=1,
+                   **kw) -> DataFrame:
     """One row (auc, n_pos, n_neg); ``auc`` is NULL when a class is absent."""
     s = F.col(score) if isinstance(score, str) else score
     pos = (F.col(label) == F.lit(positive)).cast("bigint")
     g = (df.where(F.col(label).isNotNull() & s.isNotNull())
          .groupBy(s.cast("double").alias("score"))
          .agg(F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg")))
-    return _auc_from_groups(g, [])
+    return _auc_from_groups(g, [], **kw)
 
 
 def roc_auc_ovr(df: DataFrame, label: str, scores: Mapping[object, str | Column],
-                average: str = "macro") -> DataFrame:
+                average: str = "macro", **kw) -> DataFrame:
     """One-vs-rest AUC per class and the average.
 
     ``scores`` maps each class value to its score column.  Returns rows
@@ -228,7 +239,7 @@ def roc_auc_ovr(df: DataFrame, label: str, scores: Mapping[object, str | Column]
     long = df.where(F.col(label).isNotNull()).select(F.inline(F.array(*recs)))
     g = long.groupBy("class", "score").agg(F.sum("p").alias("pos"),
                                            F.sum(1 - F.col("p")).alias("neg"))
-    per = _auc_from_groups(g, ["class"])
+    per = _auc_from_groups(g, ["class"], **kw)
     if average == "macro":
         total = per.agg(F.avg("auc").alias("auc"))
     else:

@@ -143,6 +143,22 @@ def profile_distinct(df: DataFrame, columns: Sequence[str] | None = None,
     return vc.groupBy("column_name").agg(F.count(F.lit(1)).cast("bigint").alias("unique_count"))
 
 
+def approx_distinct(df: DataFrame, columns: Sequence[str] | None = None,
+                    rsd: float = 0.01) -> DataFrame:
+    """Like ``profile_distinct`` but from one HyperLogLog++ aggregate: fixed
+    memory per column, no shuffle of values (relative error ``rsd``)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = [c for c in _columns(df, columns) if is_simple_type(types[c])]
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.approx_count_distinct(F.col(c), rsd).alias(f"_d{i}"),
+                 F.max(F.col(c).isNull().cast("int")).alias(f"_z{i}")]
+    one = df.agg(*aggs)
+    recs = [[F.lit(c), (F.col(f"_d{i}") + F.col(f"_z{i}")).cast("bigint")]
+            for i, c in enumerate(cols)]
+    return _rows_to_long(one, recs, ["column_name", "unique_count"])
+
+
 def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5,
                counts: DataFrame | None = None) -> DataFrame:
     """The k most frequent non-null values per column (ties: smaller value
@@ -173,14 +189,17 @@ def column_mode(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def profile_table(df: DataFrame, columns: Sequence[str] | None = None,
-                  exact_median: bool = True) -> DataFrame:
+                  exact_median: bool = True, exact_distinct: bool = True) -> DataFrame:
     """One row per column: type, counts, distinct count, numeric statistics,
-    mode.  Value counts are computed once and reused (checkpointed)."""
+    mode.  Value counts are computed once and reused (written to the
+    checkpoint folder).  ``exact_distinct=False`` takes distinct counts from
+    HyperLogLog++ instead of counting the value table."""
     cols = _columns(df, columns)
     nulls = profile_nulls(df, cols)
     numeric = profile_numeric(df, cols, exact_median=exact_median)
     vc = cut_lineage(value_counts(df, cols))
-    distinct = profile_distinct(df, counts=vc)
+    distinct = (profile_distinct(df, counts=vc) if exact_distinct
+                else approx_distinct(df, cols))
     mode = column_mode(df, counts=vc)
     # Every side has one row per column.
     out = (nulls.join(F.broadcast(numeric), "column_name", "left")

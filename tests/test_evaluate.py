@@ -84,3 +84,23 @@ def test_evaluate_bundle(f7):
                     metrics=("accuracy", "f1"))
     assert {r["metric"] for r in e.metrics.collect()} == {"accuracy", "f1"}
     assert e.confusion.count() == 9
+
+
+def test_auc_multi_bucket_with_hot_class(spark):
+    # One class holds well over a third of the rows; force the bucketed path.
+    pairs = [(1 if i % 5 else 0, float((i * 13) % 97)) for i in range(600)]
+    df = spark.createDataFrame(pairs, "y int, s double")
+    got = ev.roc_auc_binary(df, "y", "s", rows_per_bucket=10).first()["auc"]
+    assert got == pytest.approx(_brute_auc(pairs), abs=1e-12)
+    rows = [(i % 3 if i % 4 else 0, float(i % 17), float(i % 11), float(i % 7)) for i in range(300)]
+    d3 = spark.createDataFrame(rows, "y int, s0 double, s1 double, s2 double")
+    per = {r["class"]: r["auc"] for r in
+           ev.roc_auc_ovr(d3, "y", {0: "s0", 1: "s1", 2: "s2"}, rows_per_bucket=5).collect()}
+    for c in range(3):
+        assert per[str(c)] == pytest.approx(
+            _brute_auc([(1 if r[0] == c else 0, r[1 + c]) for r in rows]), abs=1e-12)
+
+
+def test_confusion_label_guard(f7):
+    with pytest.raises(ValueError):
+        ev.confusion_matrix(f7, max_labels=2)

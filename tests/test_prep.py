@@ -128,3 +128,19 @@ def test_extract_features_selects_and_normalizes(f4):
     assert out.columns == ["culmen_length_mm", "island", "body_mass_g", "culmen_length_mm_norm",
                            "body_mass_g_norm"]
     assert not math.isnan(out.agg(F.sum("body_mass_g_norm")).first()[0])
+
+
+def test_approx_distinct_close(spark):
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    ex = {r["column_name"]: r["unique_count"] for r in profile.profile_distinct(o).collect()}
+    ap = {r["column_name"]: r["unique_count"] for r in profile.approx_distinct(o).collect()}
+    for c, v in ex.items():
+        assert abs(ap[c] - v) <= max(2, 0.05 * v)
+
+
+def test_observe_load(spark):
+    from tabloom.sources.delimited import observe_load
+
+    df, obs = observe_load(spark.read.parquet("/root/testdata/sf0.01/orders.parquet"))
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 15000

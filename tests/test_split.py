@@ -66,3 +66,11 @@ def test_keyless_split_keeps_duplicates_together(spark):
     sides = s.groupBy("l_returnflag", "l_linestatus").agg(F.countDistinct("split").alias("k"))
     assert sides.where("k > 1").count() == 0
     assert s.count() == li.count()
+
+
+def test_stratified_folds_multi_bucket_hot_class(spark):
+    o = _orders(spark).select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, "x")
+                              .otherwise(F.col("o_orderpriority")).alias("cls"))
+    a = split.stratified_kfold(o, "o_orderkey", "cls", k=4, rows_per_bucket=700)
+    b = split.stratified_kfold(o, "o_orderkey", "cls", k=4)
+    assert a.exceptAll(b).count() == 0
