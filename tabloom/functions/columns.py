@@ -105,3 +105,14 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     fits = (small_rows <= max_rows) if small_rows is not None else row_bounded(small, max_rows)
     side = F.broadcast(small) if fits else small
     return big.join(side, on=on, how=how)
+
+
+def spread(df: DataFrame, key: str | None = None, target: int | None = None) -> DataFrame:
+    """Repartition a frame only when it has fewer partitions than the
+    cluster's default parallelism (e.g. one large unsplittable file) and the
+    work per row is heavy.  Inputs already split into enough partitions are
+    returned unchanged, so at scale this adds no shuffle."""
+    want = target or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key) if key else df.repartition(want)

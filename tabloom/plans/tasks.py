@@ -14,25 +14,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom.functions.columns import spread
+
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def document_features(docs: DataFrame) -> DataFrame:
-    """Per-document numeric features over the whole text (JVM functions only)."""
-    words = F.split(F.lower(F.col("text")), r"\s+")
-    n_words = F.size(F.filter(words, lambda w: F.length(w) > 0))
-    n_chars = F.length("text")
-    digits = F.length(F.regexp_replace("text", r"[^0-9]", ""))
-    distinct = F.size(F.array_distinct(F.filter(words, lambda w: F.length(w) > 0)))
-    return docs.select(
+    """Per-document numeric features over the whole text (JVM functions only).
+
+    The token array is built once in its own projection; Spark keeps that
+    projection rather than inlining the costly expression into each use."""
+    tokens = spread(docs.select("doc_id", "lang", "source", "n_chars", "text"), "doc_id").select(
+        "doc_id", "lang", "source", "n_chars", F.length("text").alias("_len"),
+        F.length(F.regexp_replace("text", r"[^0-9]", "")).alias("_digits"),
+        F.filter(F.split(F.lower(F.col("text")), r"\s+"), lambda w: F.length(w) > 0)
+        .alias("_words"))
+    n_words = F.size("_words")
+    return tokens.select(
         "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
         n_words.cast("double").alias("n_words"),
-        F.coalesce(F.try_divide(digits.cast("double"), n_chars.cast("double")), F.lit(0.0))
-        .alias("digit_share"),
-        F.coalesce(F.try_divide(distinct.cast("double"), n_words.cast("double")), F.lit(0.0))
-        .alias("distinct_share"))
+        F.coalesce(F.try_divide(F.col("_digits").cast("double"), F.col("_len").cast("double")),
+                   F.lit(0.0)).alias("digit_share"),
+        F.coalesce(F.try_divide(F.size(F.array_distinct("_words")).cast("double"),
+                                n_words.cast("double")), F.lit(0.0)).alias("distinct_share"))
 
 
 def document_quality(spark: SparkSession, sf: str) -> DataFrame:
