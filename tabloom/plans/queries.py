@@ -726,12 +726,15 @@ def build_run_log(spark, sf) -> DataFrame:
     """Score a threshold rule on orders per run, log every run, read back."""
     o = _t(spark, sf, "orders").select("o_orderstatus", "o_totalprice")
     path = scratch_path(spark, "runlog")
+    rows = None
     for i, (run, t) in enumerate(RUN_THRESHOLDS.items()):
         scored = o.withColumn("prediction", _status_rule(F.lit(t)))
         ev = evaluate.evaluate(scored, "o_orderstatus", "prediction")
-        runlog.log_run(spark, path, EXPERIMENT, run, params={"threshold": t},
-                       metrics=ev.metrics, confusion=ev.confusion, report=ev.report,
-                       run_ts=RUN_TS + _dt.timedelta(minutes=i))
+        r = runlog.run_rows(spark, EXPERIMENT, run, params={"threshold": t},
+                            metrics=ev.metrics, confusion=ev.confusion, report=ev.report,
+                            run_ts=RUN_TS + _dt.timedelta(minutes=i))
+        rows = r if rows is None else rows.unionByName(r)
+    runlog.append_run(rows, path)          # one append for the whole sweep
     return runlog.read_runs(spark, path, EXPERIMENT)
 
 
