@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tabloom.operators import encode, evaluate, scale, split, train
 from tabloom.plans import tasks
 from tabloom.plans.pipeline import run_pipeline
-from tabloom.plans.tuning import cross_validate, grid_results, grid_search, sweep
+from tabloom.plans.tuning import (cross_validate, grid_results, grid_search, grid_search_cv,
+                                  sweep)
 from tabloom.session import scratch_path
 from tabloom.sources import models
 
@@ -109,6 +110,24 @@ def q_grid_search_best(spark, sf):
                                   for r in rows], "num_trees bigint, max_depth bigint, score double")
 
 
+def q_grid_search_cv(spark, sf):
+    """Reference-style grid (sklearn names) scored by stratified 3-fold CV,
+    preparation refitted inside every fold; one row per parameter set."""
+    df = tasks.document_quality(spark, sf)
+    folds = split.stratified_kfold(df, "doc_id", "quality", 3, 42)
+    feats = tasks.DOC_NUMERIC + [f"{c}_encoded" for c in tasks.DOC_CATEGORICAL]
+
+    def prepare(tr):
+        prep = encode.fit_preprocess(tr, tasks.DOC_CATEGORICAL, tasks.DOC_NUMERIC)
+        return lambda x: encode.apply_preprocess(x, prep)
+
+    res = grid_search_cv(folds, "quality", feats, "random_forest",
+                         {"n_estimators": [10, 30], "max_depth": [3, None]}, "fold",
+                         base_params={"random_state": 42}, scoring="accuracy", key="doc_id",
+                         prepare=prepare, refit=False)
+    return res.scores
+
+
 def q_cross_validate_forest(spark, sf):
     """Stratified 3-fold CV with preparation refitted inside every fold."""
     df = tasks.document_quality(spark, sf)
@@ -156,6 +175,7 @@ QUERIES = {
     "feature_importance": q_feature_importance,
     "model_roundtrip": q_model_roundtrip,
     "grid_search_best": q_grid_search_best,
+    "grid_search_cv": q_grid_search_cv,
     "cross_validate_forest": q_cross_validate_forest,
     "sweep_runs": q_sweep_runs,
 }

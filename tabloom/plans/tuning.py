@@ -9,6 +9,7 @@ leaks into its model.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark import StorageLevel
@@ -23,14 +24,14 @@ def cross_validate(df: DataFrame, fold_col: str, fit: Callable[[DataFrame], Any]
                    predict: Callable[[Any, DataFrame], DataFrame], actual: str,
                    predicted: str = "prediction",
                    metrics: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
-                   average: str = "macro") -> tuple[DataFrame, DataFrame]:
+                   average: str = "macro", persist: bool = True) -> tuple[DataFrame, DataFrame]:
     """Metrics per fold and their mean / sample std over folds.
 
     ``fit(train)`` returns any fitted object (preparation + model);
     ``predict(fitted, test)`` returns ``test`` with a ``predicted`` column.
     Returns ``(per_fold(fold, metric, value), summary(metric, mean, std))``.
     """
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     try:
         folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
         per = None
@@ -42,7 +43,8 @@ def cross_validate(df: DataFrame, fold_col: str, fit: Callable[[DataFrame], Any]
             m = cut_lineage(m)          # a few rows; frees the fold's lineage
             per = m if per is None else per.unionByName(m)
     finally:
-        data.unpersist()
+        if persist:
+            data.unpersist()
     summary = per.groupBy("metric").agg(F.avg("value").alias("mean"),
                                         F.stddev_samp("value").alias("std"))
     return per.select("fold", "metric", "value"), summary
@@ -95,3 +97,116 @@ def grid_results(cv_model, param_grid: Mapping[str, Sequence[Any]]) -> list[dict
         row["score"] = float(score)
         out.append(row)
     return out
+
+
+# --------------------------------------------------------------- sklearn-style grid
+
+SCORINGS = {  # scoring name -> (metric, average); fixed values of the reference's configs
+    "accuracy": ("accuracy", "macro"),
+    "precision_macro": ("precision", "macro"), "recall_macro": ("recall", "macro"),
+    "f1_macro": ("f1", "macro"), "precision_weighted": ("precision", "weighted"),
+    "recall_weighted": ("recall", "weighted"), "f1_weighted": ("f1", "weighted"),
+    "precision_micro": ("precision", "micro"), "recall_micro": ("recall", "micro"),
+    "f1_micro": ("f1", "micro"),
+}
+
+
+def expand_grid(param_grid: Mapping[str, Sequence[Any]]) -> list[dict[str, Any]]:
+    """Cartesian product of a parameter grid, in key order."""
+    import itertools
+
+    keys = list(param_grid)
+    return [dict(zip(keys, combo)) for combo in itertools.product(*[param_grid[k] for k in keys])]
+
+
+@dataclass
+class GridResult:
+    scores: DataFrame            # (set_id, params, mean_score, std_score)
+    best_params: dict[str, Any]
+    best_score: float
+    best_model: Any
+
+
+def grid_search_cv(df: DataFrame, label: str, features: Sequence[str], model_type: str,
+                   param_grid: Mapping[str, Sequence[Any]], fold_col: str,
+                   base_params: Mapping[str, Any] | None = None, scoring: str = "accuracy",
+                   key: str | Sequence[str] | None = None,
+                   prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]] | None = None,
+                   refit: bool = True) -> GridResult:
+    """Grid search with the reference's parameter names (``n_estimators``,
+    ``max_depth``, ``C``, ``kernel``, ``gamma``, ...).
+
+    Every parameter set is scored by k-fold cross-validation over
+    ``fold_col`` (see ``kfold`` / ``stratified_kfold``); ``prepare(train)``
+    may return a function applying preparation fitted on that fold's
+    training part.  The best set (highest mean; ties to the earlier set) is
+    refitted on all rows.  The loops run over parameter sets and folds only.
+    """
+    import json
+
+    from tabloom.operators import train as _train
+
+    if scoring not in SCORINGS:
+        raise ValueError(f"scoring must be one of: {', '.join(SCORINGS)}")
+    metric, average = SCORINGS[scoring]
+    sets = expand_grid(param_grid)
+    spark = df.sparkSession
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = []
+        for i, ps in enumerate(sets):
+            params = {**dict(base_params or {}), **ps}
+
+            def fit(tr, params=params):
+                apply = prepare(tr) if prepare else (lambda x: x)
+                return apply, _train.train_classifier(apply(tr), label, features, model_type,
+                                                       params, key=key)
+
+            def predict(fitted, te):
+                apply, clf = fitted
+                return _train.predict(clf, apply(te))
+
+            per, _ = cross_validate(data, fold_col, fit, predict, label, "prediction",
+                                    metrics=(metric,), average=average, persist=False)
+            vals = [r["value"] for r in per.collect()]          # one value per fold
+            mean = sum(vals) / len(vals)
+            std = (sum((v - mean) ** 2 for v in vals) / (len(vals) - 1)) ** 0.5 \
+                if len(vals) > 1 else 0.0
+            rows.append((i, json.dumps(ps, sort_keys=True, default=str), mean, std))
+        best = max(rows, key=lambda r: (r[2], -r[0]))
+        best_params = sets[best[0]]
+        model = None
+        if refit:
+            apply = prepare(data) if prepare else (lambda x: x)
+            model = (apply, _train.train_classifier(apply(data), label, features, model_type,
+                                                    {**dict(base_params or {}), **best_params},
+                                                    key=key))
+    finally:
+        data.unpersist()
+    scores = spark.createDataFrame(rows, "set_id bigint, params string, mean_score double, "
+                                         "std_score double")
+    return GridResult(scores=scores, best_params=best_params, best_score=best[2],
+                      best_model=model)
+
+
+class MetricEvaluator:
+    """Factory for a Spark ML ``Evaluator`` scoring macro/micro/weighted
+    precision, recall, F1 or accuracy from one confusion aggregate (Spark's
+    own multiclass evaluator has no macro average).  Usable in
+    ``CrossValidator``."""
+
+    def __new__(cls, labelCol: str = "label_idx", predictionCol: str = "prediction",
+                metric: str = "f1", average: str = "macro"):
+        from pyspark.ml.evaluation import Evaluator
+
+        from tabloom.operators.evaluate import metric_table
+
+        class _Eval(Evaluator):
+            def _evaluate(self, dataset):
+                t = metric_table(dataset, labelCol, predictionCol, (metric,), average)
+                return float(t.first()["value"])
+
+            def isLargerBetter(self):
+                return True
+
+        return _Eval()
