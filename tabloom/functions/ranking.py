@@ -47,21 +47,23 @@ def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
 def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                   measure: Column | str | None = None, out: str = "cum",
                   rows_per_bucket: int = ROWS_PER_BUCKET,
-                  materialize: bool = True) -> DataFrame:
+                  materialize: bool = True, n_rows: int | None = None) -> DataFrame:
     """Add ``out`` = inclusive running sum of ``measure`` (default 1, i.e. a
     row number) within ``group_cols``, ordered by ``order_cols``.
 
     The order key must be unique within a group (callers pass distinct
     values or a unique key); group and order columns must be non-null.
-    ``materialize`` checkpoints the input first, since it is read up to
-    four times (count, sample, bucket sums, final pass).
+    ``materialize`` writes the input to the checkpoint folder first, since
+    it is read up to four times (count, sample, bucket sums, final pass);
+    ``n_rows`` (the input's row count, when the caller knows it) saves the
+    count job.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     m = F.lit(1) if measure is None else (F.col(measure) if isinstance(measure, str) else measure)
     base = df.withColumn("_m", m.cast("bigint") if measure is None else m)
     if materialize:
         base = cut_lineage(base)
-    n = base.count()
+    n = n_rows if n_rows is not None else base.count()
     n_buckets = max(1, min(MAX_BUCKETS, math.ceil(n / max(1, rows_per_bucket))))
 
     if n_buckets == 1:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.functions.columns import MAX_BROADCAST_ROWS, is_numeric_type, join_small
@@ -22,6 +22,12 @@ from tabloom.operators.impute import FillParams, apply_fill, fit_fill
 from tabloom.session import cut_lineage
 
 UNSEEN = -1
+# Maps whose largest column has at most SMALL_MAP_ROWS values are ranked with
+# one window per column; up to LAZY_MAP_ROWS values in total the ranked map
+# stays a lazy view of the written distinct values (re-sorting it is cheaper
+# than another write).  Larger maps use the bucketed running total.
+SMALL_MAP_ROWS = 1_000_000
+LAZY_MAP_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -37,26 +43,47 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> CategoryMap:
     missing = [c for c in columns if c not in types]
     if missing:
         raise KeyError(f"columns not found: {missing}")
-    parts = []
     num = [c for c in columns if is_numeric_type(types[c])]
     txt = [c for c in columns if not is_numeric_type(types[c])]
+    parts = []
     if num:
-        long = (df.select(*[F.struct(F.col(c).cast("double").alias("num"),
-                                     F.col(c).cast("string").alias("value")).alias(c)
-                            for c in num])
-                .unpivot([], num, "column_name", "v")
-                .select("column_name", "v.num", "v.value")
-                .where(F.col("value").isNotNull()).distinct())
-        parts.append(running_total(long, ["column_name"], ["num"], out="_rn").drop("num"))
+        parts.append(df.select(*[F.struct(F.col(c).cast("double").alias("num"),
+                                          F.col(c).cast("string").alias("value")).alias(c)
+                                 for c in num])
+                     .unpivot([], num, "column_name", "v")
+                     .select("column_name", "v.num", "v.value"))
     if txt:
-        long = (df.select(*[F.col(c).cast("string").alias(c) for c in txt])
-                .unpivot([], txt, "column_name", "value")
-                .where(F.col("value").isNotNull()).distinct())
-        parts.append(running_total(long, ["column_name"], ["value"], out="_rn"))
-    table = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    table = cut_lineage(table.select("column_name", "value", (F.col("_rn") - 1).cast("int").alias("idx")))
+        parts.append(df.select(*[F.col(c).cast("string").alias(c) for c in txt])
+                     .unpivot([], txt, "column_name", "value")
+                     .select("column_name", F.lit(None).cast("double").alias("num"), "value"))
+    union = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    # Distinct values written once; every later step reads this small table.
+    distinct = cut_lineage(union.where(F.col("value").isNotNull()).distinct())
     sizes = {r["column_name"]: r["n"] for r in
-             table.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+             distinct.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(sizes.values())
+    if max(sizes.values(), default=0) <= SMALL_MAP_ROWS:
+        # Numbers order by value (num), text by bytes (num is NULL there).
+        w = Window.partitionBy("column_name").orderBy("num", "value")
+        table = distinct.select("column_name", "value",
+                                (F.row_number().over(w) - 1).cast("int").alias("idx"))
+        if total > LAZY_MAP_ROWS:
+            table = cut_lineage(table)
+    else:
+        ranked = []
+        if num:
+            part = distinct.where(F.col("num").isNotNull())
+            ranked.append(running_total(part, ["column_name"], ["num"], out="_rn",
+                                        materialize=False,
+                                        n_rows=sum(sizes.get(c, 0) for c in num)))
+        if txt:
+            part = distinct.where(F.col("num").isNull())
+            ranked.append(running_total(part, ["column_name"], ["value"], out="_rn",
+                                        materialize=False,
+                                        n_rows=sum(sizes.get(c, 0) for c in txt)))
+        both = ranked[0] if len(ranked) == 1 else ranked[0].unionByName(ranked[1])
+        table = cut_lineage(both.select("column_name", "value",
+                                        (F.col("_rn") - 1).cast("int").alias("idx")))
     return CategoryMap(table=table, sizes={c: sizes.get(c, 0) for c in columns})
 
 

@@ -72,19 +72,34 @@ def long_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .where(F.col("value").isNotNull()))
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], **kw) -> DataFrame:
-    """Exact median per numeric column as (column, median DOUBLE).
+# Columns with at most this many distinct values (HyperLogLog estimate) use
+# Spark's exact ``median`` aggregate, whose buffer keeps one entry per
+# distinct value; larger ones take the bucketed rank path.
+MEDIAN_DIRECT_MAX = 500_000
+
+
+def distinct_estimates(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """HyperLogLog++ distinct-count estimate per column (one aggregate)."""
+    if not columns:
+        return {}
+    row = df.agg(*[F.approx_count_distinct(F.col(c), 0.02).alias(f"_e{i}")
+                   for i, c in enumerate(columns)]).first()
+    return {c: row[f"_e{i}"] for i, c in enumerate(columns)}
+
 
-    Middle ranks are located from per-value counts with a bucketed running
+def bucketed_medians(df: DataFrame, columns: Sequence[str], **kw) -> DataFrame:
+    """Exact median per column from per-value counts with a bucketed running
     total: a hot value collapses into one count row, and the ordered values
     of one column are split over many tasks.  Even counts average the two
-    middle values.
-    """
+    middle values."""
     counts = cut_lineage(long_numeric(df, columns).groupBy("column_name", "value")
                          .agg(F.count(F.lit(1)).alias("n")))
-    totals = counts.groupBy("column_name").agg(F.sum("n").alias("total"))
+    sizes = counts.groupBy("column_name").agg(F.sum("n").alias("total"),
+                                              F.count(F.lit(1)).alias("rows"))
+    size_rows = sizes.collect()                       # one row per column
+    totals = sizes.select("column_name", "total")
     ranked = running_total(counts, ["column_name"], ["value"], measure="n", out="cum",
-                           materialize=False, **kw)
+                           materialize=False, n_rows=sum(r["rows"] for r in size_rows), **kw)
     r1 = F.floor((F.col("total") + 1) / 2)
     r2 = F.floor(F.col("total") / 2) + 1
     lo = F.col("cum") - F.col("n")
@@ -97,6 +112,38 @@ def exact_medians(df: DataFrame, columns: Sequence[str], **kw) -> DataFrame:
     return hits.select("column_name", ((F.col("v1") + F.col("v2")) / 2).alias("median"))
 
 
+def split_by_distinct(df: DataFrame, columns: Sequence[str],
+                      estimates: dict[str, int] | None = None) -> tuple[list[str], list[str]]:
+    """(columns for the direct median aggregate, columns for the bucketed path)."""
+    est = estimates if estimates is not None else distinct_estimates(df, columns)
+    direct = [c for c in columns if est.get(c, 0) <= MEDIAN_DIRECT_MAX]
+    return direct, [c for c in columns if c not in direct]
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str], **kw) -> DataFrame:
+    """Exact median per numeric column as (column_name, median DOUBLE).
+
+    One HyperLogLog pass sorts the columns: bounded-cardinality columns get
+    Spark's exact ``median`` (partial maps merged per column), the others the
+    bucketed rank path, so no task ever holds an unbounded value set."""
+    columns = list(columns)
+    direct, big = split_by_distinct(df, columns)
+    parts = []
+    if direct:
+        one = df.agg(*[F.median(F.col(c).cast("double")).alias(f"_m{i}")
+                       for i, c in enumerate(direct)])
+        parts.append(_rows_to_long(one, [[F.lit(c), F.col(f"_m{i}")] for i, c in enumerate(direct)],
+                                   ["column_name", "median"]))
+    if big:
+        parts.append(bucketed_medians(df, big, **kw))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column_name string, median double")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                     exact_median: bool = True) -> DataFrame:
     """min, max, mean, median and sample std (DOUBLE) per numeric column."""
@@ -105,6 +152,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     if not cols:
         return df.sparkSession.createDataFrame(
             [], "column_name string, min_value double, max_value double, mean double, median double, std_dev double")
+    direct, big = split_by_distinct(df, cols) if exact_median else ([], [])
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
@@ -112,18 +160,23 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                  F.avg(x).alias(f"_avg{i}"), F.stddev_samp(x).alias(f"_std{i}")]
         if not exact_median:
             aggs.append(F.percentile_approx(x, 0.5, APPROX_ACCURACY).alias(f"_med{i}"))
+        elif c in direct:
+            aggs.append(F.median(x).alias(f"_med{i}"))
     one = df.agg(*aggs)
     recs = []
     for i, c in enumerate(cols):
-        med = F.col(f"_med{i}").cast("double") if not exact_median else F.lit(None).cast("double")
+        has = not exact_median or c in direct
+        med = F.col(f"_med{i}").cast("double") if has else F.lit(None).cast("double")
         recs.append([F.lit(c), F.col(f"_min{i}"), F.col(f"_max{i}"), F.col(f"_avg{i}"), med,
                      F.col(f"_std{i}")])
-    stats = _rows_to_long(one, recs, ["column_name", "min_value", "max_value", "mean", "median", "std_dev"])
-    if not exact_median:
+    stats = _rows_to_long(one, recs, ["column_name", "min_value", "max_value", "mean", "median",
+                                      "std_dev"])
+    if not big:
         return stats
-    med = exact_medians(df, cols)
-    return (stats.drop("median").join(F.broadcast(med), "column_name", "left")
-            .select("column_name", "min_value", "max_value", "mean", "median", "std_dev"))
+    med = bucketed_medians(df, big).withColumnRenamed("median", "_bmed")
+    return (stats.join(F.broadcast(med), "column_name", "left")
+            .select("column_name", "min_value", "max_value", "mean",
+                    F.coalesce("median", "_bmed").alias("median"), "std_dev"))
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
