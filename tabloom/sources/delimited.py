@@ -87,17 +87,10 @@ def read_delimited(spark: SparkSession, path: str, null_tokens: Sequence[str] =
 
 
 def load_summary(df: DataFrame) -> dict[str, int]:
-    """Rows and columns of a loaded table (one count job)."""
-    return {"rows": df.count(), "columns": len(df.columns)}
-
+    """Rows and columns of a loaded table (one count job).
 
-def observe_load(df: DataFrame, name: str = "load"):
-    """Attach a row counter that is filled by the first action that runs on
-    the returned frame, so the load summary costs no extra job.
-
-    Returns ``(frame, observation)``; after an action,
-    ``observation.get`` gives ``{"rows": n}``."""
-    from pyspark.sql import Observation
+    A ``df.observe`` counter would save the job, but with this Spark build a
+    used ``Observation`` makes later jobs of the session fail to serialize,
+    so a plain count is used."""
+    return {"rows": df.count(), "columns": len(df.columns)}
 
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

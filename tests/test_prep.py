@@ -137,10 +137,3 @@ def test_approx_distinct_close(spark):
     for c, v in ex.items():
         assert abs(ap[c] - v) <= max(2, 0.05 * v)
 
-
-def test_observe_load(spark):
-    from tabloom.sources.delimited import observe_load
-
-    df, obs = observe_load(spark.read.parquet("/root/testdata/sf0.01/orders.parquet"))
-    df.write.format("noop").mode("overwrite").save()
-    assert obs.get["rows"] == 15000
