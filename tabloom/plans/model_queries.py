@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import encode, evaluate, scale, split, train
 from tabloom.plans import tasks
-from tabloom.plans.pipeline import run_pipeline
+from tabloom.plans.holdout import run_pipeline
 from tabloom.plans.tuning import (cross_validate, grid_results, grid_search, grid_search_cv,
                                   sweep)
 from tabloom.session import scratch_path
@@ -38,7 +38,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return _doc_pipeline(spark, sf).evaluation.report
 
 
-def q_pipeline_metrics(spark, sf):
+def q_holdout_metrics(spark, sf):
     return _doc_pipeline(spark, sf).evaluation.metrics
 
 
@@ -111,7 +111,7 @@ def q_grid_search_best(spark, sf):
 
 
 def q_grid_search_cv(spark, sf):
-    """Reference-style grid (sklearn names) scored by stratified 3-fold CV,
+    """Reference-style grid (estimator parameter names) scored by stratified 3-fold CV,
     preparation refitted inside every fold; one row per parameter set."""
     df = tasks.document_quality(spark, sf)
     folds = split.stratified_kfold(df, "doc_id", "quality", 3, 42)
@@ -167,7 +167,7 @@ def q_sweep_runs(spark, sf):
 
 
 QUERIES = {
-    "pipeline_metrics": q_pipeline_metrics,
+    "holdout_metrics": q_holdout_metrics,
     "forest_predict": q_forest_predict,
     "svm_linear_predict": q_svm_linear_predict,
     "svm_rbf_predict": q_svm_rbf_predict,

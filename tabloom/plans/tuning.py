@@ -99,7 +99,7 @@ def grid_results(cv_model, param_grid: Mapping[str, Sequence[Any]]) -> list[dict
     return out
 
 
-# --------------------------------------------------------------- sklearn-style grid
+# --------------------------------------------------------------- grid with estimator parameter names
 
 SCORINGS = {  # scoring name -> (metric, average); fixed values of the reference's configs
     "accuracy": ("accuracy", "macro"),

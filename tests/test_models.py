@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import train
 from tabloom.plans import tasks
-from tabloom.plans.pipeline import run_pipeline
+from tabloom.plans.holdout import run_pipeline
 from tabloom.session import scratch_path
 from tabloom.sources import models
 from tabloom.streaming import scoring
