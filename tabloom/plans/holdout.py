@@ -36,6 +36,41 @@ class PipelineResult:
     feature_columns: list[str]
 
 
+@dataclass
+class Fitted:
+    """Preparation, feature parameters and model fitted on one training part."""
+
+    prep: encode.Preprocess
+    features: scale.FeatureParams
+    classifier: train.Classifier
+    columns: list[str]
+    keep: list[str]
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        return scale.apply_features(encode.apply_preprocess(df, self.prep), self.features,
+                                    keep=self.keep)
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        return train.predict(self.classifier, self.prepare(df))
+
+
+def fit_all(train_df: DataFrame, target: str, key, categorical: Sequence[str],
+            numeric: Sequence[str], wanted: Sequence[str], model_type: str,
+            hyperparameters: Mapping[str, Any] | None, fill_strategy: str = "median",
+            normalize: bool = True) -> Fitted:
+    """Fit imputation, categories, feature scaling and the model on
+    ``train_df`` only."""
+    keys = [key] if isinstance(key, str) else list(key)
+    keep = keys + [target]
+    prep = encode.fit_preprocess(train_df, categorical, numeric, fill_strategy)
+    train_p = encode.apply_preprocess(train_df, prep)
+    fparams = scale.fit_features(train_p, wanted, normalize)
+    train_f = scale.apply_features(train_p, fparams, keep=keep)
+    cols = [c for c in numeric_columns(train_f) if c not in keep]
+    clf = train.train_classifier(train_f, target, cols, model_type, hyperparameters, key=key)
+    return Fitted(prep=prep, features=fparams, classifier=clf, columns=cols, keep=keep)
+
+
 def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
                  categorical: Sequence[str] = (), numeric: Sequence[str] = (),
                  features: Sequence[str] | None = None, model_type: str = "random_forest",
@@ -60,18 +95,10 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
     train_df = parts.where(F.col(split.PART) == "train").drop(split.PART)
     test_df = parts.where(F.col(split.PART) == "test").drop(split.PART)
 
-    prep = encode.fit_preprocess(train_df, categorical, numeric, fill_strategy)
-    train_p = encode.apply_preprocess(train_df, prep)
-    test_p = encode.apply_preprocess(test_df, prep)
-
-    fparams = scale.fit_features(train_p, wanted, normalize)
-    keep = keys + [target]
-    train_f = scale.apply_features(train_p, fparams, keep=keep)
-    test_f = scale.apply_features(test_p, fparams, keep=keep)
-    feat_cols = [c for c in numeric_columns(train_f) if c not in keep]
-
-    clf = train.train_classifier(train_f, target, feat_cols, model_type, hyperparameters,
-                                 key=key)
+    fitted = fit_all(train_df, target, key, categorical, numeric, wanted, model_type,
+                     hyperparameters, fill_strategy, normalize)
+    prep, fparams, clf, feat_cols = fitted.prep, fitted.features, fitted.classifier, fitted.columns
+    test_f = fitted.prepare(test_df)
     scored = train.predict(clf, test_f)
     scores = train.class_scores(clf, scored) if "roc_auc" in metrics else None
     ev = evaluate.evaluate(scored, target, "prediction", metrics, average, scores=scores)
@@ -86,3 +113,55 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
     return PipelineResult(classifier=clf, preprocess=prep, features=fparams, evaluation=ev,
                           predictions=scored.select(*keys, target, "prediction"),
                           dropped_rows=dropped, feature_columns=feat_cols)
+
+
+@dataclass
+class CrossValidationResult:
+    per_fold: DataFrame          # (fold, metric, value)
+    summary: DataFrame           # (metric, mean, std)
+
+
+def run_cross_validation(df: DataFrame, target: str, key: str | Sequence[str],
+                         categorical: Sequence[str] = (), numeric: Sequence[str] = (),
+                         features: Sequence[str] | None = None,
+                         model_type: str = "random_forest",
+                         hyperparameters: Mapping[str, Any] | None = None, folds: int = 5,
+                         stratified: bool = True, seed: int = 42,
+                         fill_strategy: str = "median", normalize: bool = True,
+                         metrics: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
+                         average: str = "macro", experiment: str | None = None,
+                         run: str | None = None, run_log_path: str | None = None
+                         ) -> CrossValidationResult:
+    """k-fold evaluation instead of a hold-out split: every fold refits
+    preparation, features and model on the other folds.  Folds are
+    stratified by the target (balanced to within one row per class) or
+    plain hash folds."""
+    from tabloom.plans.tuning import cross_validate
+
+    evaluate.validate_metrics(metrics, average)
+    keys = [key] if isinstance(key, str) else list(key)
+    wanted = list(features) if features is not None else (
+        list(numeric) + [f"{c}_encoded" for c in categorical])
+    needed = list(dict.fromkeys(keys + [target] + list(categorical) + list(numeric)
+                                + [c for c in wanted if c in df.columns]))
+    data, _ = train.drop_null_target(df.select(*needed), target, count=False)
+    with_folds = (split.stratified_kfold(data, key, target, folds, seed) if stratified
+                  else split.kfold(data, key, folds, seed))
+    with_folds = cut_lineage(with_folds)
+
+    def fit(tr):
+        return fit_all(tr.drop("fold"), target, key, categorical, numeric, wanted, model_type,
+                       hyperparameters, fill_strategy, normalize)
+
+    def predict(fitted, te):
+        return fitted.predict(te.drop("fold"))
+
+    count_metrics = [m for m in metrics if m in ("accuracy", "precision", "recall", "f1")]
+    per, summary = cross_validate(with_folds, "fold", fit, predict, target, "prediction",
+                                  count_metrics, average, persist=False)
+    if run_log_path and experiment and run:
+        params = {"model_type": model_type, **dict(hyperparameters or {}), "cv_folds": folds,
+                  "stratified": stratified, "seed": seed, "fill_strategy": fill_strategy}
+        runlog.log_run(df.sparkSession, run_log_path, experiment, run, params=params,
+                       metrics=summary.select("metric", F.col("mean").alias("value")))
+    return CrossValidationResult(per_fold=per, summary=summary)

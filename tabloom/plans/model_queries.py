@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import encode, evaluate, scale, split, train
 from tabloom.plans import tasks
-from tabloom.plans.holdout import run_pipeline
+from tabloom.plans.holdout import run_cross_validation, run_pipeline
 from tabloom.plans.tuning import (cross_validate, grid_results, grid_search, grid_search_cv,
                                   sweep)
 from tabloom.session import scratch_path
@@ -130,22 +130,10 @@ def q_grid_search_cv(spark, sf):
 
 def q_cross_validate_forest(spark, sf):
     """Stratified 3-fold CV with preparation refitted inside every fold."""
-    df = tasks.document_quality(spark, sf)
-    folds = split.stratified_kfold(df, "doc_id", "quality", 3, 42)
-    feats = tasks.DOC_NUMERIC + [f"{c}_encoded" for c in tasks.DOC_CATEGORICAL]
-
-    def fit(tr):
-        prep = encode.fit_preprocess(tr, tasks.DOC_CATEGORICAL, tasks.DOC_NUMERIC)
-        clf = train.train_classifier(encode.apply_preprocess(tr, prep), "quality", feats,
-                                     "random_forest", FOREST, key="doc_id")
-        return prep, clf
-
-    def predict(fitted, te):
-        prep, clf = fitted
-        return train.predict(clf, encode.apply_preprocess(te, prep))
-
-    per, _summary = cross_validate(folds, "fold", fit, predict, "quality", "prediction")
-    return per
+    res = run_cross_validation(tasks.document_quality(spark, sf), "quality", "doc_id",
+                               categorical=tasks.DOC_CATEGORICAL, numeric=tasks.DOC_NUMERIC,
+                               hyperparameters=FOREST, folds=3)
+    return res.per_fold
 
 
 def q_sweep_runs(spark, sf):

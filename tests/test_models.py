@@ -103,3 +103,20 @@ def test_stream_scoring(spark):
     got = spark.read.parquet(out)
     assert got.count() == df.count()
     assert got.where("prediction = band").count() / got.count() > 0.8
+
+
+def test_cross_validation_mode(spark):
+    from tabloom.plans.holdout import run_cross_validation
+    from tabloom.session import scratch_path as sp
+    from tabloom.sources import runlog
+
+    log = sp(spark, "cvlog")
+    res = run_cross_validation(tasks.document_quality(spark, SF01), "quality", "doc_id",
+                               categorical=tasks.DOC_CATEGORICAL, numeric=tasks.DOC_NUMERIC,
+                               hyperparameters={"n_estimators": 10, "max_depth": 4}, folds=3,
+                               experiment="cv", run="r1", run_log_path=log)
+    per = res.per_fold.collect()
+    assert len(per) == 12 and {r["fold"] for r in per} == {0, 1, 2}
+    summ = {r["metric"]: r for r in res.summary.collect()}
+    assert 0.5 < summ["accuracy"]["mean"] <= 1.0
+    assert runlog.read_runs(spark, log, "cv").where("kind = 'metric'").count() == 4
