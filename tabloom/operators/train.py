@@ -199,7 +199,10 @@ def _svm(params: Mapping[str, Any], n_rows: int, n_classes: int, weight_col: str
     if n_classes <= 2:
         return svc
     ovr = OneVsRest(classifier=svc, featuresCol=features_col, labelCol="label_idx",
-                    parallelism=int(params.get("parallelism", 4)))
+                    # One concurrent binary fit per class (capped): each is a
+                    # chain of small jobs, so running them side by side keeps
+                    # executors busy.
+                    parallelism=int(params.get("parallelism", min(n_classes, 16))))
     if weight_col:
         ovr.setWeightCol(weight_col)
     return ovr
