@@ -242,7 +242,8 @@ def column_mode(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def profile_table(df: DataFrame, columns: Sequence[str] | None = None,
-                  exact_median: bool = True, exact_distinct: bool = True) -> DataFrame:
+                  exact_median: bool = True, exact_distinct: bool = True,
+                  counts: DataFrame | None = None) -> DataFrame:
     """One row per column: type, counts, distinct count, numeric statistics,
     mode.  Value counts are computed once and reused (written to the
     checkpoint folder).  ``exact_distinct=False`` takes distinct counts from
@@ -250,7 +251,7 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None,
     cols = _columns(df, columns)
     nulls = profile_nulls(df, cols)
     numeric = profile_numeric(df, cols, exact_median=exact_median)
-    vc = cut_lineage(value_counts(df, cols))
+    vc = counts if counts is not None else cut_lineage(value_counts(df, cols))
     distinct = (profile_distinct(df, counts=vc) if exact_distinct
                 else approx_distinct(df, cols))
     mode = column_mode(df, counts=vc)

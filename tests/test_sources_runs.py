@@ -60,3 +60,16 @@ def test_run_log_roundtrip_and_compare(spark):
     assert set(back.columns) == set(runlog.COLUMNS)
     other = runlog.read_runs(spark, path, "nope")
     assert other.count() == 0
+
+
+def test_describe_file(spark):
+    from tabloom.plans.describe import describe_file
+
+    d = describe_file(spark, _write_text(spark, F2))
+    s = d.summary.first()
+    assert (s["row_count"], s["column_count"]) == (5, 7)
+    cols = {r["column_name"]: r for r in d.columns.collect()}
+    assert cols["sex"]["null_count"] == 2 and cols["sex"]["unique_count"] == 3
+    assert cols["culmen_length_mm"]["median"] == pytest.approx(39.5)
+    top = [r for r in d.top_values.collect() if r["column_name"] == "species"]
+    assert top[0]["value"] == "Adelie" and top[0]["percent"] == pytest.approx(100.0)
