@@ -130,12 +130,12 @@ def run_cross_validation(df: DataFrame, target: str, key: str | Sequence[str],
                          fill_strategy: str = "median", normalize: bool = True,
                          metrics: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
                          average: str = "macro", experiment: str | None = None,
-                         run: str | None = None, run_log_path: str | None = None
-                         ) -> CrossValidationResult:
+                         run: str | None = None, run_log_path: str | None = None,
+                         parallelism: int = 4) -> CrossValidationResult:
     """k-fold evaluation instead of a hold-out split: every fold refits
     preparation, features and model on the other folds.  Folds are
     stratified by the target (balanced to within one row per class) or
-    plain hash folds."""
+    plain hash folds; ``parallelism`` folds are fitted at the same time."""
     from tabloom.plans.tuning import cross_validate
 
     evaluate.validate_metrics(metrics, average)
@@ -158,7 +158,8 @@ def run_cross_validation(df: DataFrame, target: str, key: str | Sequence[str],
 
     count_metrics = [m for m in metrics if m in ("accuracy", "precision", "recall", "f1")]
     per, summary = cross_validate(with_folds, "fold", fit, predict, target, "prediction",
-                                  count_metrics, average, persist=False)
+                                  count_metrics, average, persist=False,
+                                  parallelism=parallelism)
     if run_log_path and experiment and run:
         params = {"model_type": model_type, **dict(hyperparameters or {}), "cv_folds": folds,
                   "stratified": stratified, "seed": seed, "fill_strategy": fill_strategy}

@@ -24,24 +24,31 @@ def cross_validate(df: DataFrame, fold_col: str, fit: Callable[[DataFrame], Any]
                    predict: Callable[[Any, DataFrame], DataFrame], actual: str,
                    predicted: str = "prediction",
                    metrics: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
-                   average: str = "macro", persist: bool = True) -> tuple[DataFrame, DataFrame]:
+                   average: str = "macro", persist: bool = True,
+                   parallelism: int = 1) -> tuple[DataFrame, DataFrame]:
     """Metrics per fold and their mean / sample std over folds.
 
     ``fit(train)`` returns any fitted object (preparation + model);
     ``predict(fitted, test)`` returns ``test`` with a ``predicted`` column.
+    ``parallelism`` folds are fitted at the same time (driver threads
+    submitting concurrent Spark jobs).
     Returns ``(per_fold(fold, metric, value), summary(metric, mean, std))``.
     """
     data = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     try:
         folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
-        per = None
-        for f in folds:
+
+        def one(f):
             fitted = fit(data.where(F.col(fold_col) != f))
             scored = predict(fitted, data.where(F.col(fold_col) == f))
             m = metric_table(scored, actual, predicted, metrics, average).withColumn(
                 "fold", F.lit(f).cast("bigint"))
-            m = cut_lineage(m)          # a few rows; frees the fold's lineage
-            per = m if per is None else per.unionByName(m)
+            return cut_lineage(m)          # a few rows; frees the fold's lineage
+
+        parts = run_concurrently(one, folds, parallelism)
+        per = parts[0]
+        for m in parts[1:]:
+            per = per.unionByName(m)
     finally:
         if persist:
             data.unpersist()
@@ -50,6 +57,19 @@ def cross_validate(df: DataFrame, fold_col: str, fit: Callable[[DataFrame], Any]
     return per.select("fold", "metric", "value"), summary
 
 
+def run_concurrently(fn: Callable[[Any], Any], items: Sequence[Any], parallelism: int = 1
+                     ) -> list[Any]:
+    """``[fn(x) for x in items]`` with up to ``parallelism`` calls at once.
+    Each call submits its own Spark jobs; results keep the input order."""
+    items = list(items)
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        return list(pool.map(fn, items))
+
+
 def sweep(param_sets: Mapping[str, Mapping[str, Any]] | Iterable[tuple[str, Mapping[str, Any]]],
           run: Callable[[str, Mapping[str, Any]], DataFrame]) -> DataFrame:
     """Run each named parameter set; ``run(name, params)`` returns metric
@@ -132,7 +152,7 @@ def grid_search_cv(df: DataFrame, label: str, features: Sequence[str], model_typ
                    base_params: Mapping[str, Any] | None = None, scoring: str = "accuracy",
                    key: str | Sequence[str] | None = None,
                    prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]] | None = None,
-                   refit: bool = True) -> GridResult:
+                   refit: bool = True, parallelism: int = 4) -> GridResult:
     """Grid search with the reference's parameter names (``n_estimators``,
     ``max_depth``, ``C``, ``kernel``, ``gamma``, ...).
 
@@ -153,11 +173,11 @@ def grid_search_cv(df: DataFrame, label: str, features: Sequence[str], model_typ
     spark = df.sparkSession
     data = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = []
-        for i, ps in enumerate(sets):
+        def score(item):
+            i, ps = item
             params = {**dict(base_params or {}), **ps}
 
-            def fit(tr, params=params):
+            def fit(tr):
                 apply = prepare(tr) if prepare else (lambda x: x)
                 return apply, _train.train_classifier(apply(tr), label, features, model_type,
                                                        params, key=key)
@@ -172,7 +192,10 @@ def grid_search_cv(df: DataFrame, label: str, features: Sequence[str], model_typ
             mean = sum(vals) / len(vals)
             std = (sum((v - mean) ** 2 for v in vals) / (len(vals) - 1)) ** 0.5 \
                 if len(vals) > 1 else 0.0
-            rows.append((i, json.dumps(ps, sort_keys=True, default=str), mean, std))
+            return (i, json.dumps(ps, sort_keys=True, default=str), mean, std)
+
+        # Parameter sets run side by side (n_jobs in the reference's configs).
+        rows = run_concurrently(score, list(enumerate(sets)), parallelism)
         best = max(rows, key=lambda r: (r[2], -r[0]))
         best_params = sets[best[0]]
         model = None
