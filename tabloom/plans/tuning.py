@@ -25,7 +25,7 @@ def cross_validate(df: DataFrame, fold_col: str, fit: Callable[[DataFrame], Any]
                    predicted: str = "prediction",
                    metrics: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
                    average: str = "macro", persist: bool = True,
-                   parallelism: int = 1) -> tuple[DataFrame, DataFrame]:
+                   parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
     """Metrics per fold and their mean / sample std over folds.
 
     ``fit(train)`` returns any fitted object (preparation + model);
@@ -187,7 +187,8 @@ def grid_search_cv(df: DataFrame, label: str, features: Sequence[str], model_typ
                 return _train.predict(clf, apply(te))
 
             per, _ = cross_validate(data, fold_col, fit, predict, label, "prediction",
-                                    metrics=(metric,), average=average, persist=False)
+                                    metrics=(metric,), average=average, persist=False,
+                                    parallelism=1)
             vals = [r["value"] for r in per.collect()]          # one value per fold
             mean = sum(vals) / len(vals)
             std = (sum((v - mean) ** 2 for v in vals) / (len(vals) - 1)) ** 0.5 \
