@@ -154,6 +154,25 @@ def q_sweep_runs(spark, sf):
     return sweep(sets, run)
 
 
+def q_stream_scoring(spark, sf):
+    """Fit the price-band forest on the batch table, then score lineitem read
+    as a file stream (availableNow trigger, checkpointed Parquet sink)."""
+    from tabloom.streaming import scoring
+
+    batch = tasks.price_band(spark, sf)
+    res = run_pipeline(batch, "band", "row_key", numeric=tasks.PRICE_FEATURES,
+                       hyperparameters={"n_estimators": 10, "max_depth": 6, "random_state": 42})
+    li_schema = spark.read.parquet(f"{sf}/lineitem.parquet").schema
+    stream = (spark.readStream.schema(li_schema).option("pathGlobFilter", "lineitem.parquet")
+              .parquet(sf))
+    scored = scoring.score_stream(tasks.price_band_rows(stream), res.classifier, res.preprocess, res.features,
+                                  keep=["row_key", "band"])
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    q = scoring.write_stream(scored, out, ck)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
 QUERIES = {
     "holdout_metrics": q_holdout_metrics,
     "forest_predict": q_forest_predict,
@@ -166,4 +185,5 @@ QUERIES = {
     "grid_search_cv": q_grid_search_cv,
     "cross_validate_forest": q_cross_validate_forest,
     "sweep_runs": q_sweep_runs,
+    "stream_scoring": q_stream_scoring,
 }

@@ -57,7 +57,11 @@ PRICE_EDGES = (25_000.0, 60_000.0)
 
 
 def price_band(spark: SparkSession, sf: str) -> DataFrame:
-    li = _t(spark, sf, "lineitem")
+    return price_band_rows(_t(spark, sf, "lineitem"))
+
+
+def price_band_rows(li: DataFrame) -> DataFrame:
+    """Row key, features and band of lineitem rows (batch or streaming)."""
     p = F.col("l_extendedprice")
     band = (F.when(p < PRICE_EDGES[0], "low").when(p < PRICE_EDGES[1], "mid").otherwise("high"))
     return li.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("row_key"),
