@@ -276,9 +276,8 @@ def class_scores(clf: Classifier, scored: DataFrame) -> dict[Any, F.Column]:
         "value", "idx").collect()              # one row per class
     py = {T.LongType: int, T.IntegerType: int, T.ShortType: int, T.ByteType: int,
           T.DoubleType: float, T.FloatType: float}.get(type(clf.label_type), str)
-    if clf.model_type == "svm" and clf.label_count == 2:
-        # LinearSVC raw margins: index 1 is the positive side.
-        return {py(r["value"]): arr[r["idx"]] for r in rows}
+    # Entry i of the vector scores label index i (for a binary LinearSVC the
+    # raw margins are (-m, m), so index 1 is the positive side).
     return {py(r["value"]): arr[r["idx"]] for r in sorted(rows, key=lambda r: r["idx"])}
 
 

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from tabloom.operators import encode, evaluate, scale, split, train
 from tabloom.plans import tasks
 from tabloom.plans.holdout import run_cross_validation, run_pipeline
-from tabloom.plans.tuning import (cross_validate, grid_results, grid_search, grid_search_cv,
-                                  sweep)
+from tabloom.plans.tuning import grid_results, grid_search, grid_search_cv, sweep
 from tabloom.session import scratch_path
 from tabloom.sources import models
 

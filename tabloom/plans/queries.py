@@ -280,13 +280,13 @@ def q_impute_mode(spark, sf):
     return _fill_query(spark, sf, "mode")
 
 
-def _sql_mode_value(c, typ):
+def _sql_mode_value(c):
     return (f"(SELECT {c} FROM o WHERE {c} IS NOT NULL GROUP BY {c} "
             f"ORDER BY count(*) DESC, {c} ASC LIMIT 1)")
 
 
 def _sql_fill(strategy):
-    prio = _sql_mode_value("o_orderpriority", "varchar")
+    prio = _sql_mode_value("o_orderpriority")
     if strategy == "mean":
         cust = "round(coalesce(o_custkey::DOUBLE, (SELECT avg(o_custkey) FROM o)), 6)"
         tot = "round(coalesce(o_totalprice, (SELECT avg(o_totalprice) FROM o)), 6)"
@@ -295,8 +295,8 @@ def _sql_fill(strategy):
                 "(SELECT quantile_cont(o_custkey::DOUBLE, 0.5) FROM o)), 6)")
         tot = "round(coalesce(o_totalprice, (SELECT quantile_cont(o_totalprice, 0.5) FROM o)), 6)"
     else:
-        cust = f"coalesce(o_custkey, {_sql_mode_value('o_custkey', 'bigint')})::BIGINT"
-        tot = f"round(coalesce(o_totalprice, {_sql_mode_value('o_totalprice', 'double')}), 6)"
+        cust = f"coalesce(o_custkey, {_sql_mode_value('o_custkey')})::BIGINT"
+        tot = f"round(coalesce(o_totalprice, {_sql_mode_value('o_totalprice')}), 6)"
     return (f"WITH {ORDERS_NULLS} SELECT o_orderkey, {cust} AS o_custkey, {tot} AS o_totalprice, "
             f"coalesce(o_orderpriority, {prio}) AS o_orderpriority FROM o")
 
