@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.operators import encode, evaluate, impute, profile, runs, scale, split
-from tabloom.plans.tuning import cross_validate
+from tabloom.plans.tuning import cross_validate, run_concurrently
 from tabloom.session import scratch_path
 from tabloom.sources import delimited, runlog
 
@@ -726,14 +726,18 @@ def build_run_log(spark, sf) -> DataFrame:
     """Score a threshold rule on orders per run, log every run, read back."""
     o = _t(spark, sf, "orders").select("o_orderstatus", "o_totalprice")
     path = scratch_path(spark, "runlog")
-    rows = None
-    for i, (run, t) in enumerate(RUN_THRESHOLDS.items()):
+    def one(item):
+        i, (run, t) = item
         scored = o.withColumn("prediction", _status_rule(F.lit(t)))
         ev = evaluate.evaluate(scored, "o_orderstatus", "prediction")
-        r = runlog.run_rows(spark, EXPERIMENT, run, params={"threshold": t},
-                            metrics=ev.metrics, confusion=ev.confusion, report=ev.report,
-                            run_ts=RUN_TS + _dt.timedelta(minutes=i))
-        rows = r if rows is None else rows.unionByName(r)
+        return runlog.run_rows(spark, EXPERIMENT, run, params={"threshold": t},
+                               metrics=ev.metrics, confusion=ev.confusion, report=ev.report,
+                               run_ts=RUN_TS + _dt.timedelta(minutes=i))
+
+    parts = run_concurrently(one, list(enumerate(RUN_THRESHOLDS.items())), 4)
+    rows = parts[0]
+    for r in parts[1:]:
+        rows = rows.unionByName(r)
     runlog.append_run(rows, path)          # one append for the whole sweep
     return runlog.read_runs(spark, path, EXPERIMENT)
 
