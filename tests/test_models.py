@@ -120,3 +120,37 @@ def test_cross_validation_mode(spark):
     summ = {r["metric"]: r for r in res.summary.collect()}
     assert 0.5 < summ["accuracy"]["mean"] <= 1.0
     assert runlog.read_runs(spark, log, "cv").where("kind = 'metric'").count() == 4
+
+
+def test_forest_parameter_mapping(spark):
+    rf = train._forest({"n_estimators": 500, "max_depth": None, "min_samples_split": 5,
+                        "min_samples_leaf": 2, "max_features": "sqrt", "bootstrap": True,
+                        "random_state": 42}, "w")
+    assert rf.getOrDefault("numTrees") == 500 and rf.getOrDefault("maxDepth") == 30
+    assert rf.getOrDefault("minInstancesPerNode") == 3
+    assert rf.getOrDefault("featureSubsetStrategy") == "sqrt"
+    assert rf.getOrDefault("seed") == 42 and rf.getOrDefault("weightCol") == "w"
+    assert train._forest({"max_depth": 40, "max_features": None}, None).getOrDefault("maxDepth") == 30
+
+
+def test_svm_parameter_mapping(spark):
+    svc = train._svm({"C": 2.0, "max_iter": 7}, 100, 2, None, "features")
+    assert svc.getOrDefault("regParam") == pytest.approx(1 / 200)
+    assert svc.getOrDefault("maxIter") == 7 and not svc.getOrDefault("standardization")
+    ovr = train._svm({"C": 1.0}, 10, 3, None, "features")
+    assert type(ovr).__name__ == "OneVsRest" and ovr.getOrDefault("parallelism") == 3
+
+
+def test_rbf_gamma_modes(spark):
+    df = spark.createDataFrame([(0.0, 2.0), (2.0, 0.0)], "a double, b double")
+    assert train.rbf_gamma(df, ["a", "b"], "auto") == pytest.approx(0.5)
+    # all entries: 0, 2, 2, 0 -> variance 1 -> 1 / (2 * 1)
+    assert train.rbf_gamma(df, ["a", "b"], "scale") == pytest.approx(0.5)
+    assert train.rbf_gamma(df, ["a", "b"], 0.1) == 0.1
+    with pytest.raises(ValueError):
+        train.rbf_gamma(df, ["a"], "bad")
+
+
+def test_bad_kernel(f6):
+    with pytest.raises(ValueError):
+        train.train_classifier(f6, "species", FEATS, "svm", {"kernel": "poly"}, key="k")

@@ -74,3 +74,19 @@ def test_stratified_folds_multi_bucket_hot_class(spark):
     a = split.stratified_kfold(o, "o_orderkey", "cls", k=4, rows_per_bucket=700)
     b = split.stratified_kfold(o, "o_orderkey", "cls", k=4)
     assert a.exceptAll(b).count() == 0
+
+
+def test_split_argument_checks(spark):
+    import pytest
+
+    o = _orders(spark)
+    with pytest.raises(ValueError):
+        split.holdout_split(o, "o_orderkey", 1.5)
+    with pytest.raises(ValueError):
+        split.holdout_split(o, "o_orderkey", mode="random")
+    with pytest.raises(ValueError):
+        split.holdout_split(o, None, mode="exact")
+    with pytest.raises(ValueError):
+        split.three_way_split(o, "o_orderkey", 0.7, 0.5)
+    with pytest.raises(ValueError):
+        split.kfold(o, "o_orderkey", 1)
