@@ -94,9 +94,18 @@ def bucketed_medians(df: DataFrame, columns: Sequence[str], **kw) -> DataFrame:
     middle values."""
     counts = cut_lineage(long_numeric(df, columns).groupBy("column_name", "value")
                          .agg(F.count(F.lit(1)).alias("n")))
+    return medians_from_counts(counts, **kw)
+
+
+def medians_from_counts(counts: DataFrame, **kw) -> DataFrame:
+    """(column_name, median) from (column_name, value DOUBLE, n) with one row
+    per distinct non-null value; ``counts`` should be cheap to re-read (a
+    written table or a regroup of one)."""
     sizes = counts.groupBy("column_name").agg(F.sum("n").alias("total"),
                                               F.count(F.lit(1)).alias("rows"))
     size_rows = sizes.collect()                       # one row per column
+    if not size_rows:
+        return counts.sparkSession.createDataFrame([], "column_name string, median double")
     totals = sizes.select("column_name", "total")
     ranked = running_total(counts, ["column_name"], ["value"], measure="n", out="cum",
                            materialize=False, n_rows=sum(r["rows"] for r in size_rows), **kw)
@@ -179,14 +188,41 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                     F.coalesce("median", "_bmed").alias("median"), "std_dev"))
 
 
-def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, value STRING, n BIGINT) for every simple-typed column; a NULL
-    value row counts the nulls.  One shuffle with map-side combine."""
+def typed_value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, value STRING, num DOUBLE, n BIGINT) for every
+    simple-typed column; a NULL value row counts the nulls.
+
+    Columns of one type are unpivoted together and grouped on their typed
+    values (numbers shuffle as 8-byte keys, not text); the text form and the
+    numeric form (``num``, NULL for non-numeric columns) are made after the
+    aggregation, on the reduced rows.  One shuffle per type, map-side
+    combine."""
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = [c for c in _columns(df, columns) if is_simple_type(types[c])]
-    as_text = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-    return (as_text.unpivot([], cols, "column_name", "value")
-            .groupBy("column_name", "value").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+    families: dict[str, list[str]] = {}
+    for c in cols:
+        families.setdefault(types[c].simpleString(), []).append(c)
+    parts = []
+    for fam in families.values():
+        agg = (df.select(*fam).unpivot([], fam, "column_name", "v")
+               .groupBy("column_name", "v").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+        num = (F.col("v").cast("double") if is_numeric_type(types[fam[0]])
+               else F.lit(None).cast("double"))
+        parts.append(agg.select("column_name", F.col("v").cast("string").alias("value"),
+                                num.alias("num"), "n"))
+    if not parts:
+        return df.sparkSession.createDataFrame(
+            [], "column_name string, value string, num double, n bigint")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, value STRING, n BIGINT) for every simple-typed column;
+    a NULL value row counts the nulls (see ``typed_value_counts``)."""
+    return typed_value_counts(df, columns).select("column_name", "value", "n")
 
 
 def profile_distinct(df: DataFrame, columns: Sequence[str] | None = None,
@@ -245,19 +281,59 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None,
                   exact_median: bool = True, exact_distinct: bool = True,
                   counts: DataFrame | None = None) -> DataFrame:
     """One row per column: type, counts, distinct count, numeric statistics,
-    mode.  Value counts are computed once and reused (written to the
-    checkpoint folder).  ``exact_distinct=False`` takes distinct counts from
-    HyperLogLog++ instead of counting the value table."""
+    mode.
+
+    Two scans of ``df`` whatever the number of columns: one aggregate with
+    every count and moment, and one typed value-count table (written once)
+    from which distinct counts, modes and the exact medians all derive.
+    ``exact_median=False`` uses ``percentile_approx`` in the aggregate;
+    ``exact_distinct=False`` takes distinct counts from HyperLogLog++;
+    ``counts`` may pass a ``typed_value_counts`` table already computed."""
     cols = _columns(df, columns)
-    nulls = profile_nulls(df, cols)
-    numeric = profile_numeric(df, cols, exact_median=exact_median)
-    vc = counts if counts is not None else cut_lineage(value_counts(df, cols))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    numeric = [c for c in cols if is_numeric_type(types[c])]
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, c in enumerate(cols):
+        aggs.append(F.count(F.col(c)).alias(f"_c{i}"))
+        if isinstance(types[c], FLOAT_TYPES):
+            aggs.append(F.count_if(F.isnan(F.col(c))).alias(f"_n{i}"))
+        if c in numeric:
+            x = F.col(c).cast("double")
+            aggs += [F.min(x).alias(f"_min{i}"), F.max(x).alias(f"_max{i}"),
+                     F.avg(x).alias(f"_avg{i}"), F.stddev_samp(x).alias(f"_std{i}")]
+            if not exact_median:
+                aggs.append(F.percentile_approx(x, 0.5, APPROX_ACCURACY).alias(f"_med{i}"))
+    one = df.agg(*aggs)
+    none = F.lit(None).cast("double")
+    recs = []
+    for i, c in enumerate(cols):
+        num = c in numeric
+        nan = F.col(f"_n{i}") if isinstance(types[c], FLOAT_TYPES) else F.lit(0)
+        med = F.col(f"_med{i}").cast("double") if num and not exact_median else none
+        recs.append([F.lit(i + 1).cast("bigint"), F.lit(c), F.lit(types[c].simpleString()),
+                     F.col(f"_c{i}").cast("bigint"),
+                     (F.col("_rows") - F.col(f"_c{i}")).cast("bigint"), nan.cast("bigint"),
+                     F.col(f"_min{i}") if num else none, F.col(f"_max{i}") if num else none,
+                     F.col(f"_avg{i}") if num else none, med,
+                     F.col(f"_std{i}") if num else none])
+    stats = _rows_to_long(one, recs, ["position", "column_name", "dtype", "non_null",
+                                      "null_count", "nan_count", "min_value", "max_value",
+                                      "mean", "median", "std_dev"])
+    tvc = counts if counts is not None else cut_lineage(typed_value_counts(df, cols))
+    vc = tvc.select("column_name", "value", "n")
     distinct = (profile_distinct(df, counts=vc) if exact_distinct
                 else approx_distinct(df, cols))
     mode = column_mode(df, counts=vc)
+    out = stats
+    if exact_median and numeric:
+        num_counts = (tvc.where(F.col("num").isNotNull() & F.col("column_name").isin(numeric))
+                      .groupBy("column_name", F.col("num").alias("value"))
+                      .agg(F.sum("n").alias("n")))
+        med = medians_from_counts(num_counts).withColumnRenamed("median", "_exact_median")
+        out = (out.join(F.broadcast(med), "column_name", "left")
+               .withColumn("median", F.col("_exact_median")).drop("_exact_median"))
     # Every side has one row per column.
-    out = (nulls.join(F.broadcast(numeric), "column_name", "left")
-           .join(F.broadcast(distinct), "column_name", "left")
+    out = (out.join(F.broadcast(distinct), "column_name", "left")
            .join(F.broadcast(mode), "column_name", "left"))
     return out.select("position", "column_name", "dtype", "non_null", "null_count", "nan_count",
                       "unique_count", "min_value", "max_value", "mean", "median", "std_dev",

@@ -28,11 +28,11 @@ class Description:
 
 def describe(df: DataFrame, name: str = "", path: str = "", k: int = 5,
              exact_median: bool = True) -> Description:
-    counts = cut_lineage(profile.value_counts(df))
+    counts = cut_lineage(profile.typed_value_counts(df))
     return Description(
         summary=profile.profile_summary(df, name, path),
         columns=profile.profile_table(df, exact_median=exact_median, counts=counts),
-        top_values=profile.top_values(df, k=k, counts=counts))
+        top_values=profile.top_values(df, k=k, counts=counts.select("column_name", "value", "n")))
 
 
 def describe_file(spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS,

@@ -57,3 +57,18 @@ def test_exact_split_has_no_global_sort(spark):
                             mode="exact")
     p = _plan(s)
     assert "Sort " not in p and "Exchange" not in p
+
+
+def test_profile_table_scans_source_once(spark):
+    o = spark.read.parquet(f"{SF01}/orders.parquet")
+    p = _plan(profile.profile_table(o))
+    src = [line for line in p.split("\n") if "FileScan" in line and "orders.parquet" in line]
+    assert len(src) == 1
+
+
+def test_value_counts_shuffle_typed_keys(spark):
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    p = _plan(profile.value_counts(li, ["l_linenumber", "l_quantity", "l_returnflag"]))
+    # numbers are grouped before any cast to text
+    agg_lines = [line for line in p.split("\n") if "HashAggregate(keys=[column_name" in line]
+    assert agg_lines and not any("cast(" in line for line in agg_lines)
