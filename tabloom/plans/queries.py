@@ -685,6 +685,45 @@ SQL_AUC_OVR_MACRO = ("WITH s AS (" + " UNION ALL ".join(
     " UNION ALL SELECT 'macro', round(avg(auc), 6), NULL::BIGINT, NULL::BIGINT FROM auc")
 
 
+def q_confusion_wide(spark, sf):
+    w = evaluate.confusion_wide(lineitem_pred(spark, sf))
+    return w.select("actual", *[F.col(c).cast("bigint").alias(f"pred_{c}")
+                                for c in w.columns if c != "actual"])
+
+
+SQL_CONFUSION_WIDE = f"""WITH {LINEITEM_PRED},
+lab AS (SELECT DISTINCT actual AS label FROM pred WHERE actual IS NOT NULL
+        UNION SELECT DISTINCT predicted FROM pred WHERE actual IS NOT NULL)
+SELECT lab.label AS actual,
+  count(*) FILTER (WHERE p.predicted = 'A')::BIGINT AS pred_A,
+  count(*) FILTER (WHERE p.predicted = 'N')::BIGINT AS pred_N,
+  count(*) FILTER (WHERE p.predicted = 'R')::BIGINT AS pred_R,
+  count(*) FILTER (WHERE p.predicted = 'Z')::BIGINT AS pred_Z
+FROM lab LEFT JOIN pred p ON p.actual = lab.label GROUP BY lab.label"""
+
+
+def q_prediction_counts(spark, sf):
+    return evaluate.prediction_counts(lineitem_pred(spark, sf))
+
+
+SQL_PREDICTION_COUNTS = f"""WITH {LINEITEM_PRED}
+SELECT predicted AS label, count(*)::BIGINT AS n FROM pred GROUP BY predicted"""
+
+
+def q_auc_ovr_weighted(spark, sf):
+    a = evaluate.roc_auc_ovr(_t(spark, sf, "lineitem"), "l_returnflag", OVR_SCORES, "weighted")
+    return a.select("class", _r("auc").alias("auc"), "n_pos", "n_neg")
+
+
+SQL_AUC_OVR_WEIGHTED = ("WITH s AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS cls, {col}::DOUBLE AS score, CASE WHEN l_returnflag = '{c}' THEN 1 ELSE 0 END"
+    f" AS p FROM lineitem" for c, col in OVR_SCORES.items()) + "), "
+    + _sql_auc_groups("s", "cls")
+    + " SELECT cls AS class, round(auc, 6) AS auc, n_pos, n_neg FROM auc"
+    " UNION ALL SELECT 'weighted', round(sum(auc * n_pos) / sum(n_pos), 6), NULL::BIGINT,"
+    " NULL::BIGINT FROM auc")
+
+
 # ================================================================ CV and runs
 
 def _status_rule(threshold_col):
@@ -871,6 +910,9 @@ QUERIES = {
     "label_set": q_label_set,
     "auc_binary": q_auc_binary,
     "auc_ovr_macro": q_auc_ovr_macro,
+    "auc_ovr_weighted": q_auc_ovr_weighted,
+    "confusion_wide": q_confusion_wide,
+    "prediction_counts": q_prediction_counts,
     "cv_summary": q_cv_summary,
     "run_log_roundtrip": q_run_log_roundtrip,
     "best_run": q_best_run,
@@ -921,6 +963,9 @@ ORACLE = {
     "label_set": SQL_LABEL_SET,
     "auc_binary": SQL_AUC_BINARY,
     "auc_ovr_macro": SQL_AUC_OVR_MACRO,
+    "auc_ovr_weighted": SQL_AUC_OVR_WEIGHTED,
+    "confusion_wide": SQL_CONFUSION_WIDE,
+    "prediction_counts": SQL_PREDICTION_COUNTS,
     "cv_summary": SQL_CV_SUMMARY,
     "run_log_roundtrip": SQL_RUN_LOG_ROUNDTRIP,
     "best_run": SQL_BEST_RUN,
