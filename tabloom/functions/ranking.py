@@ -9,9 +9,11 @@ window only inside a bucket:
 
     total(g, v) = offset(g, bucket) + running sum inside (g, bucket)
 
-The result is exact; only the work split depends on the sample.  The bucket
-of a row is a deterministic function of its key (a binary search over
-literal boundaries), so recomputing a lost partition gives the same answer.
+The result is exact; only the work split depends on the sample.  Up to
+1,024 buckets, the bucket of a row is a deterministic function of its key (a
+binary search over literal boundaries), so recomputing a lost partition gives
+the same answer.  Beyond that, Spark's range partitioner assigns buckets and
+the bucket id is written together with the rows before any further pass.
 """
 
 from __future__ import annotations
@@ -28,7 +30,12 @@ from tabloom.session import cut_lineage
 # Target rows per window partition.  A sort of a few million narrow rows
 # fits comfortably in one task and spills if it must.
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
+# Up to LITERAL_BUCKETS buckets the bucket is a binary search over literal
+# boundaries taken from a sample; above it Spark's range partitioner assigns
+# them (sampling and binary search in the JVM) and the partition id is
+# written with the rows, so later passes see the same buckets.
+LITERAL_BUCKETS = 1024
+MAX_BUCKETS = 100_000
 OVERSAMPLE = 20
 
 
@@ -44,6 +51,24 @@ def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
     return tree(0, len(bounds))
 
 
+def _sample_bounds(base: DataFrame, key_names: list[str], n: int, n_buckets: int
+                   ) -> list[Column]:
+    """Sorted, distinct bucket boundaries from a sample of about
+    OVERSAMPLE * n_buckets (<= ~20k) keys."""
+    types = {f.name: f.dataType for f in base.schema.fields}
+    key = F.struct(*[F.col(c) for c in key_names])
+    fraction = min(1.0, OVERSAMPLE * n_buckets / n)
+    sample = (base.select(key.alias("k")).sample(False, fraction, seed=17)
+              .orderBy("k").collect())
+    picks = []
+    for i in range(1, n_buckets):
+        row = sample[min(len(sample) - 1, (i * len(sample)) // n_buckets)]["k"]
+        if not picks or tuple(row) != tuple(picks[-1]):
+            picks.append(row)
+    return [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(key_names, row)])
+            for row in picks]
+
+
 def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                   measure: Column | str | None = None, out: str = "cum",
                   rows_per_bucket: int = ROWS_PER_BUCKET,
@@ -72,20 +97,13 @@ def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
         return base.withColumn(out, F.sum("_m").over(w)).drop("_m")
 
     key_names = group_cols + order_cols
-    types = {f.name: f.dataType for f in base.schema.fields}
-    key = F.struct(*[F.col(c) for c in key_names])
-    fraction = min(1.0, OVERSAMPLE * n_buckets / n)
-    # Bounded: about OVERSAMPLE * n_buckets (<= ~20k) key rows.
-    sample = (base.select(key.alias("k")).sample(False, fraction, seed=17)
-              .orderBy("k").collect())
-    picks = []
-    for i in range(1, n_buckets):
-        row = sample[min(len(sample) - 1, (i * len(sample)) // n_buckets)]["k"]
-        if not picks or tuple(row) != tuple(picks[-1]):
-            picks.append(row)
-    bounds = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(key_names, row)])
-              for row in picks]
-    bucketed = base.withColumn("_bucket", _bucket_expr(key, bounds))
+    if n_buckets <= LITERAL_BUCKETS:
+        bucketed = base.withColumn("_bucket", _bucket_expr(
+            F.struct(*[F.col(c) for c in key_names]), _sample_bounds(base, key_names, n, n_buckets)))
+    else:
+        bucketed = cut_lineage(
+            base.repartitionByRange(n_buckets, *[F.col(c).asc() for c in key_names])
+            .withColumn("_bucket", F.spark_partition_id()), "buckets")
 
     sums = bucketed.groupBy(*group_cols, "_bucket").agg(F.sum("_m").alias("_bsum"))
     before = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(

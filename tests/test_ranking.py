@@ -32,3 +32,16 @@ def test_dense_index_strings(spark):
         F.lit("p").alias("column"), F.col("o_orderpriority").alias("value"))
     m = {r["value"]: r["idx"] for r in dense_index(o, ["column"], "value", rows_per_bucket=2).collect()}
     assert m == {v: i for i, v in enumerate(sorted(m))}
+
+
+def test_running_total_range_partitioner_path(spark, monkeypatch):
+    import tabloom.functions.ranking as rk
+
+    monkeypatch.setattr(rk, "LITERAL_BUCKETS", 2)
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    vals = li.groupBy("l_returnflag", "l_extendedprice").agg(F.count("*").alias("n"))
+    got = rk.running_total(vals, ["l_returnflag"], ["l_extendedprice"], measure="n",
+                           rows_per_bucket=5000)
+    want = _plain(vals, ["l_returnflag"], ["l_extendedprice"], "n")
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
