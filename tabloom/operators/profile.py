@@ -76,6 +76,9 @@ def long_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 # Spark's exact ``median`` aggregate, whose buffer keeps one entry per
 # distinct value; larger ones take the bucketed rank path.
 MEDIAN_DIRECT_MAX = 500_000
+# The final task of a global aggregate merges the value maps of every direct
+# column, so their estimates are also capped together.
+MEDIAN_DIRECT_TOTAL = 2_000_000
 
 
 def distinct_estimates(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
@@ -125,8 +128,14 @@ def split_by_distinct(df: DataFrame, columns: Sequence[str],
                       estimates: dict[str, int] | None = None) -> tuple[list[str], list[str]]:
     """(columns for the direct median aggregate, columns for the bucketed path)."""
     est = estimates if estimates is not None else distinct_estimates(df, columns)
-    direct = [c for c in columns if est.get(c, 0) <= MEDIAN_DIRECT_MAX]
-    return direct, [c for c in columns if c not in direct]
+    chosen, budget = set(), MEDIAN_DIRECT_TOTAL
+    for c in sorted(columns, key=lambda c: est.get(c, 0)):
+        e = est.get(c, 0)
+        if e <= MEDIAN_DIRECT_MAX and e <= budget:
+            chosen.add(c)
+            budget -= e
+    direct = [c for c in columns if c in chosen]
+    return direct, [c for c in columns if c not in chosen]
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], **kw) -> DataFrame:

@@ -32,3 +32,10 @@ def test_bucketed_category_map_equal_direct(spark, monkeypatch):
     monkeypatch.setattr(encode, "SMALL_MAP_ROWS", 3)
     big = {tuple(r) for r in encode.fit_categories(o, cols).table.collect()}
     assert small == big and len(small) > 1000
+
+
+def test_direct_median_budget(monkeypatch):
+    monkeypatch.setattr(profile, "MEDIAN_DIRECT_TOTAL", 150)
+    direct, big = profile.split_by_distinct(None, ["a", "b", "c"],
+                                            estimates={"a": 100, "b": 40, "c": 90})
+    assert direct == ["b", "c"] and big == ["a"]
