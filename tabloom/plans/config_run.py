@@ -113,5 +113,6 @@ def run_from_config(spark: SparkSession, config: Mapping[str, Any], df: DataFram
         return ConfigRun(kind="cross_validation", cross_validation=cv)
 
     res = run_pipeline(df, target, key, hyperparameters=params, test_ratio=test_ratio,
-                       seed=seed, **common, **log)
+                       seed=seed, validation_ratio=float(sp.get("validation_ratio", 0.0)),
+                       **common, **log)
     return ConfigRun(kind="holdout", holdout=res)

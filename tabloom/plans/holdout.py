@@ -34,6 +34,7 @@ class PipelineResult:
     predictions: DataFrame
     dropped_rows: int | None
     feature_columns: list[str]
+    validation: evaluate.Evaluation | None = None
 
 
 @dataclass
@@ -80,7 +81,7 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
                  metrics: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
                  average: str = "macro", experiment: str | None = None, run: str | None = None,
                  run_log_path: str | None = None, model_path: str | None = None,
-                 count_dropped: bool = False) -> PipelineResult:
+                 count_dropped: bool = False, validation_ratio: float = 0.0) -> PipelineResult:
     evaluate.validate_metrics(metrics, average)
     keys = [key] if isinstance(key, str) else list(key)
     wanted = list(features) if features is not None else (
@@ -90,7 +91,12 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
     # Only the needed columns, read once: every fit below re-reads this
     # frame, so it is checkpointed instead of recomputed from the source.
     data, dropped = train.drop_null_target(df.select(*needed), target, count=False)
-    parts = cut_lineage(split.holdout_split(data, key, test_ratio, seed, mode=split_mode))
+    if validation_ratio > 0:
+        if split_mode != "hash":
+            raise ValueError("a validation part needs split_mode='hash'")
+        parts = cut_lineage(split.three_way_split(data, key, test_ratio, validation_ratio, seed))
+    else:
+        parts = cut_lineage(split.holdout_split(data, key, test_ratio, seed, mode=split_mode))
     dropped = df.where(F.col(target).isNull()).count() if count_dropped else None
     train_df = parts.where(F.col(split.PART) == "train").drop(split.PART)
     test_df = parts.where(F.col(split.PART) == "test").drop(split.PART)
@@ -102,17 +108,26 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
     scored = train.predict(clf, test_f)
     scores = train.class_scores(clf, scored) if "roc_auc" in metrics else None
     ev = evaluate.evaluate(scored, target, "prediction", metrics, average, scores=scores)
+    validation = None
+    if validation_ratio > 0:
+        val = train.predict(clf, fitted.prepare(
+            parts.where(F.col(split.PART) == "validation").drop(split.PART)))
+        validation = evaluate.evaluate(val, target, "prediction", metrics, average,
+                                       scores=train.class_scores(clf, val)
+                                       if "roc_auc" in metrics else None)
 
     if run_log_path and experiment and run:
         params = {"model_type": model_type, **dict(hyperparameters or {}),
-                  "test_ratio": test_ratio, "seed": seed, "fill_strategy": fill_strategy}
+                  "test_ratio": test_ratio, "validation_ratio": validation_ratio, "seed": seed,
+                  "fill_strategy": fill_strategy}
         runlog.log_run(df.sparkSession, run_log_path, experiment, run, params=params,
                        metrics=ev.metrics, confusion=ev.confusion, report=ev.report)
     if model_path:
         models.save_classifier(clf, model_path)
     return PipelineResult(classifier=clf, preprocess=prep, features=fparams, evaluation=ev,
                           predictions=scored.select(*keys, target, "prediction"),
-                          dropped_rows=dropped, feature_columns=feat_cols)
+                          dropped_rows=dropped, feature_columns=feat_cols,
+                          validation=validation)
 
 
 @dataclass

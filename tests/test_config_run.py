@@ -48,6 +48,8 @@ def test_holdout_from_config(spark, csv_path):
     assert set(m) == {"accuracy", "precision", "recall", "f1", "roc_auc"}
     assert m["accuracy"] > 0.8
     assert runlog.read_runs(spark, log, "quality").where("kind = 'metric'").count() == 5
+    val = {x["metric"]: x["value"] for x in r.holdout.validation.metrics.collect()}
+    assert 0.5 < val["accuracy"] <= 1.0
 
 
 def test_cross_validation_from_config(spark, csv_path):
