@@ -1,7 +1,7 @@
 """The large-data code paths give the same answers as the direct ones."""
 from pyspark.sql import functions as F
 
-from tabloom.operators import encode, profile
+from tabloom.operators import encode, profile, split
 from tests.conftest import SF01
 
 
@@ -39,3 +39,18 @@ def test_direct_median_budget(monkeypatch):
     direct, big = profile.split_by_distinct(None, ["a", "b", "c"],
                                             estimates={"a": 100, "b": 40, "c": 90})
     assert direct == ["b", "c"] and big == ["a"]
+
+
+def test_category_apply_shuffle_join_equals_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        o = spark.read.parquet(f"{SF01}/orders.parquet")
+        train, _ = split.train_test(o, "o_orderkey", 0.5, 42)
+        cm = encode.fit_categories(train, ["o_custkey"])
+        a = encode.apply_categories(o, cm, ["o_custkey"])
+        b = encode.apply_categories(o, cm, ["o_custkey"], max_broadcast_rows=0)
+        plan = b._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
