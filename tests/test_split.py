@@ -90,3 +90,14 @@ def test_split_argument_checks(spark):
         split.three_way_split(o, "o_orderkey", 0.7, 0.5)
     with pytest.raises(ValueError):
         split.kfold(o, "o_orderkey", 1)
+
+
+import pytest as _pytest
+
+
+@_pytest.mark.parametrize("ratio", [0.0, 0.1, 0.37, 1.0])
+def test_exact_split_counts(spark, ratio):
+    o = _orders(spark)
+    n = o.count()
+    s = split.holdout_split(o, "o_orderkey", ratio, 7, mode="exact")
+    assert s.where("split = 'test'").count() == int(n * ratio)
