@@ -73,3 +73,13 @@ def test_describe_file(spark):
     assert cols["culmen_length_mm"]["median"] == pytest.approx(39.5)
     top = [r for r in d.top_values.collect() if r["column_name"] == "species"]
     assert top[0]["value"] == "Adelie" and top[0]["percent"] == pytest.approx(100.0)
+
+
+def test_read_delimited_with_schema(spark):
+    ddl = ("species string, island string, culmen_length_mm double, culmen_depth_mm double, "
+           "flipper_length_mm int, body_mass_g bigint, sex string")
+    df = delimited.read_delimited(spark, _write_text(spark, F2), schema=ddl)
+    assert dict(df.dtypes)["flipper_length_mm"] == "int"
+    rows = df.collect()
+    assert rows[2]["culmen_depth_mm"] == 18.0 and rows[3]["flipper_length_mm"] is None
+    assert delimited.load_summary(df) == {"rows": 5, "columns": 7}
