@@ -37,6 +37,17 @@ def _key_cols(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _locate(counts: list[tuple[str, int]], need: int) -> tuple[str, int]:
+    """The slice in which the running count reaches ``need`` and the rank
+    still needed inside it."""
+    below = 0
+    for p, n in counts:
+        if below + n >= need:
+            return p, need - below
+        below += n
+    raise ValueError("rank beyond the counted rows")
+
+
 def _exact_cut(hashed: DataFrame, key_cols: list[str], ratio: float) -> Column:
     """Predicate selecting the int(n * ratio) rows with the smallest (hash, key)."""
     h = F.col(HASH)
@@ -51,25 +62,11 @@ def _exact_cut(hashed: DataFrame, key_cols: list[str], ratio: float) -> Column:
         return F.lit(False)
     if k >= total:
         return F.lit(True)
-    need = k
-    below1, cut1 = 0, None
-    for p, n in rows:
-        if below1 + n >= need:
-            cut1 = p
-            break
-        below1 += n
-    need -= below1
-    inside = hashed.where(p1 == cut1)
+    cut1, need = _locate(rows, k)
     p2 = F.substring(h, 5, 4)
-    rows = sorted((r["p"], r["n"]) for r in inside.groupBy(p2.alias("p")).agg(
-        F.count(F.lit(1)).alias("n")).collect())
-    below2, cut2 = 0, None
-    for p, n in rows:
-        if below2 + n >= need:
-            cut2 = p
-            break
-        below2 += n
-    need -= below2
+    rows = sorted((r["p"], r["n"]) for r in hashed.where(p1 == cut1).groupBy(p2.alias("p"))
+                  .agg(F.count(F.lit(1)).alias("n")).collect())
+    cut2, need = _locate(rows, need)
     # Level 3: one 32-bit slice; distinct (hash, key) groups there are few
     # (duplicates of one key collapse into one group).
     prefix = cut1 + cut2
