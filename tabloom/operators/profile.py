@@ -63,13 +63,24 @@ def profile_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
                                      "nan_count"])
 
 
-def long_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value DOUBLE) for the given numeric columns, nulls dropped."""
+def long_numeric(df: DataFrame, columns: Sequence[str], drop_nan: bool = False) -> DataFrame:
+    """(column, value DOUBLE) for the given numeric columns, nulls dropped
+    (and NaN, with ``drop_nan``)."""
     if not columns:
         return df.sparkSession.createDataFrame([], "column_name string, value double")
     casted = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return (casted.unpivot([], list(columns), "column_name", "value")
-            .where(F.col("value").isNotNull()))
+    out = (casted.unpivot([], list(columns), "column_name", "value")
+           .where(F.col("value").isNotNull()))
+    return out.where(~F.isnan("value")) if drop_nan else out
+
+
+def stat_value(c: str, dtype) -> Column:
+    """A numeric column as DOUBLE for statistics: NaN (counted separately in
+    ``nan_count``) is left out like NULL, so one NaN does not turn max, mean
+    and std into NaN."""
+    x = F.col(c).cast("double")
+    return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x) \
+        if isinstance(dtype, FLOAT_TYPES) else x
 
 
 # Columns with at most this many distinct values (HyperLogLog estimate) use
@@ -90,12 +101,13 @@ def distinct_estimates(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     return {c: row[f"_e{i}"] for i, c in enumerate(columns)}
 
 
-def bucketed_medians(df: DataFrame, columns: Sequence[str], **kw) -> DataFrame:
+def bucketed_medians(df: DataFrame, columns: Sequence[str], drop_nan: bool = False,
+                     **kw) -> DataFrame:
     """Exact median per column from per-value counts with a bucketed running
     total: a hot value collapses into one count row, and the ordered values
     of one column are split over many tasks.  Even counts average the two
     middle values."""
-    counts = cut_lineage(long_numeric(df, columns).groupBy("column_name", "value")
+    counts = cut_lineage(long_numeric(df, columns, drop_nan).groupBy("column_name", "value")
                          .agg(F.count(F.lit(1)).alias("n")))
     return medians_from_counts(counts, **kw)
 
@@ -173,7 +185,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     direct, big = split_by_distinct(df, cols) if exact_median else ([], [])
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = stat_value(c, types[c])
         aggs += [F.min(x).alias(f"_min{i}"), F.max(x).alias(f"_max{i}"),
                  F.avg(x).alias(f"_avg{i}"), F.stddev_samp(x).alias(f"_std{i}")]
         if not exact_median:
@@ -191,7 +203,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                                       "std_dev"])
     if not big:
         return stats
-    med = bucketed_medians(df, big).withColumnRenamed("median", "_bmed")
+    med = bucketed_medians(df, big, drop_nan=True).withColumnRenamed("median", "_bmed")
     return (stats.join(F.broadcast(med), "column_name", "left")
             .select("column_name", "min_value", "max_value", "mean",
                     F.coalesce("median", "_bmed").alias("median"), "std_dev"))
@@ -307,7 +319,7 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None,
         if isinstance(types[c], FLOAT_TYPES):
             aggs.append(F.count_if(F.isnan(F.col(c))).alias(f"_n{i}"))
         if c in numeric:
-            x = F.col(c).cast("double")
+            x = stat_value(c, types[c])
             aggs += [F.min(x).alias(f"_min{i}"), F.max(x).alias(f"_max{i}"),
                      F.avg(x).alias(f"_avg{i}"), F.stddev_samp(x).alias(f"_std{i}")]
             if not exact_median:
@@ -335,7 +347,8 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None,
     mode = column_mode(df, counts=vc)
     out = stats
     if exact_median and numeric:
-        num_counts = (tvc.where(F.col("num").isNotNull() & F.col("column_name").isin(numeric))
+        num_counts = (tvc.where(F.col("num").isNotNull() & ~F.isnan("num")
+                                & F.col("column_name").isin(numeric))
                       .groupBy("column_name", F.col("num").alias("value"))
                       .agg(F.sum("n").alias("n")))
         med = medians_from_counts(num_counts).withColumnRenamed("median", "_exact_median")

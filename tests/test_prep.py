@@ -137,3 +137,13 @@ def test_approx_distinct_close(spark):
     for c, v in ex.items():
         assert abs(ap[c] - v) <= max(2, 0.05 * v)
 
+
+
+def test_nan_counted_apart_from_statistics(spark):
+    rows = [(1.0,), (float("nan"),), (3.0,), (None,), (5.0,)]
+    df = spark.createDataFrame(rows, "x double")
+    t = profile.profile_table(df).first()
+    assert (t["non_null"], t["null_count"], t["nan_count"]) == (4, 1, 1)
+    assert (t["min_value"], t["max_value"], t["mean"], t["median"]) == (1.0, 5.0, 3.0, 3.0)
+    n = profile.profile_numeric(df).first()
+    assert (n["max_value"], n["median"]) == (5.0, 3.0)
