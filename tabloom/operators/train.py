@@ -135,18 +135,41 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol,
         return df.withColumn(self.getOutputCol(), array_to_vector(rff(arr)))
 
 
-def rbf_gamma(df: DataFrame, columns: Sequence[str], gamma: str | float) -> float:
+def vector_sizes(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Length of each ML-vector column among ``columns`` (read from one row)."""
+    from pyspark.ml.linalg import VectorUDT
+
+    vec = [c for c in columns if isinstance(df.schema[c].dataType, VectorUDT)]
+    if not vec:
+        return {}
+    row = df.select(*[F.size(vector_to_array(F.col(c))).alias(c) for c in vec]).where(
+        " and ".join(f"`{c}` is not null" for c in vec)).first()
+    return {c: int(row[c]) for c in vec}
+
+
+def rbf_gamma(df: DataFrame, columns: Sequence[str], gamma: str | float,
+              sizes: Mapping[str, int] | None = None) -> float:
     """``scale`` = 1 / (d * var of all matrix entries), ``auto`` = 1 / d, or a
-    number.  ``scale`` is one aggregate of sums and squares."""
-    d = len(columns)
+    number.  ``scale`` is one aggregate of sums and squares; ``sizes`` gives
+    the length of vector columns (d counts every vector entry)."""
+    sizes = dict(sizes or {})
+    d = sum(sizes.get(c, 1) for c in columns)
     if isinstance(gamma, (int, float)):
         return float(gamma)
     if gamma == "auto":
         return 1.0 / d
     if gamma != "scale":
         raise ValueError("gamma must be 'scale', 'auto' or a number")
-    s = sum(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns)
-    s2 = sum(F.pow(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), 2) for c in columns)
+
+    def total(c, power):
+        if c in sizes:
+            arr = vector_to_array(F.col(c))
+            return F.coalesce(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + F.pow(x, power)),
+                              F.lit(0.0))
+        return F.pow(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), power)
+
+    s = sum(total(c, 1) for c in columns)
+    s2 = sum(total(c, 2) for c in columns)
     row = df.agg(F.sum(s).alias("s"), F.sum(s2).alias("s2"), F.count(F.lit(1)).alias("n")).first()
     m = row["n"] * d
     var = row["s2"] / m - (row["s"] / m) ** 2
@@ -232,8 +255,14 @@ def train_classifier(df: DataFrame, label: str, features: Sequence[str],
     parts = layout_partitions or train_partitions(df.sparkSession, n_rows)
     data = canonical_layout(data, key, parts)
 
-    stages: list = [VectorAssembler(inputCols=list(features), outputCol="features",
-                                    handleInvalid="keep")]
+    from pyspark.ml.feature import VectorSizeHint
+
+    sizes = vector_sizes(data, features)
+    # "keep" needs vector lengths in the metadata; the hints add them.
+    stages: list = [VectorSizeHint(inputCol=c, size=n, handleInvalid="optimistic")
+                    for c, n in sizes.items()]
+    stages.append(VectorAssembler(inputCols=list(features), outputCol="features",
+                                  handleInvalid="keep"))
     if model_type == "random_forest":
         stages.append(_forest(params, weight_col))
     else:
@@ -242,11 +271,12 @@ def train_classifier(df: DataFrame, label: str, features: Sequence[str],
             raise ValueError(f"kernel must be one of: {', '.join(KERNELS)}")
         fcol = "features"
         if kernel == "rbf":
-            g = rbf_gamma(data, features, params.get("gamma", "scale"))
+            g = rbf_gamma(data, features, params.get("gamma", "scale"), sizes)
             stages.append(RandomFourierFeatures(
                 inputCol="features", outputCol="rff",
                 nComponents=int(params.get("n_components", 256)), gamma=g,
-                inputDim=len(features), seed=int(params.get("random_state", 42))))
+                inputDim=sum(sizes.get(c, 1) for c in features),
+                seed=int(params.get("random_state", 42))))
             fcol = "rff"
         stages.append(_svm(params, n_rows, n_classes, weight_col, fcol))
     model = Pipeline(stages=stages).fit(data)

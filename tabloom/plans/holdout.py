@@ -37,6 +37,14 @@ class PipelineResult:
     validation: evaluate.Evaluation | None = None
 
 
+def model_inputs(df: DataFrame) -> list[str]:
+    """Columns a model can take: numeric scalars and ML vectors."""
+    from pyspark.ml.linalg import VectorUDT
+
+    vec = [f.name for f in df.schema.fields if isinstance(f.dataType, VectorUDT)]
+    return [c for c in df.columns if c in set(numeric_columns(df)) | set(vec)]
+
+
 @dataclass
 class Fitted:
     """Preparation, feature parameters and model fitted on one training part."""
@@ -67,7 +75,7 @@ def fit_all(train_df: DataFrame, target: str, key, categorical: Sequence[str],
     train_p = encode.apply_preprocess(train_df, prep)
     fparams = scale.fit_features(train_p, wanted, normalize)
     train_f = scale.apply_features(train_p, fparams, keep=keep)
-    cols = [c for c in numeric_columns(train_f) if c not in keep]
+    cols = [c for c in model_inputs(train_f) if c not in keep]
     clf = train.train_classifier(train_f, target, cols, model_type, hyperparameters, key=key)
     return Fitted(prep=prep, features=fparams, classifier=clf, columns=cols, keep=keep)
 

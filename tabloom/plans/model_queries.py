@@ -59,7 +59,7 @@ def q_svm_rbf_predict(spark, sf):
 def q_embedding_ovr_predict(spark, sf):
     """10-class one-vs-rest linear SVM on 64-float embeddings (mechanics)."""
     df = tasks.embedding_class(spark, sf)
-    res = run_pipeline(df, "label", "vec_id", numeric=tasks.EMBED_FEATURES, model_type="svm",
+    res = run_pipeline(df, "label", "vec_id", features=tasks.EMBED_FEATURES, model_type="svm",
                        hyperparameters=SVM_LINEAR, normalize=False)
     return res.predictions
 

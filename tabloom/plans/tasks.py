@@ -72,9 +72,12 @@ PRICE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
 
 
 def embedding_class(spark: SparkSession, sf: str) -> DataFrame:
+    """vec_id, label and the 64-float embedding as an ML vector (JVM-side
+    ``array_to_vector``; no exploded scalar columns)."""
+    from pyspark.ml.functions import array_to_vector
+
     e = _t(spark, sf, "embeddings")
-    return e.select("vec_id", "label",
-                    *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
+    return e.select("vec_id", "label", array_to_vector("embedding").alias("embedding_vec"))
 
 
-EMBED_FEATURES = [f"e{i}" for i in range(64)]
+EMBED_FEATURES = ["embedding_vec"]

@@ -154,3 +154,14 @@ def test_rbf_gamma_modes(spark):
 def test_bad_kernel(f6):
     with pytest.raises(ValueError):
         train.train_classifier(f6, "species", FEATS, "svm", {"kernel": "poly"}, key="k")
+
+
+def test_vector_features_linear_and_rbf(spark):
+    df = tasks.embedding_class(spark, SF01)
+    for kernel in ("linear", "rbf"):
+        clf = train.train_classifier(df, "label", ["embedding_vec"], "svm",
+                                     {"kernel": kernel, "max_iter": 5, "n_components": 16},
+                                     key="vec_id")
+        out = train.predict(clf, df)
+        assert out.count() == df.count()
+    assert train.vector_sizes(df, ["embedding_vec"]) == {"embedding_vec": 64}
