@@ -66,12 +66,13 @@ class Fitted:
 def fit_all(train_df: DataFrame, target: str, key, categorical: Sequence[str],
             numeric: Sequence[str], wanted: Sequence[str], model_type: str,
             hyperparameters: Mapping[str, Any] | None, fill_strategy: str = "median",
-            normalize: bool = True) -> Fitted:
+            normalize: bool = True, exact_median: bool = True) -> Fitted:
     """Fit imputation, categories, feature scaling and the model on
     ``train_df`` only."""
     keys = [key] if isinstance(key, str) else list(key)
     keep = keys + [target]
-    prep = encode.fit_preprocess(train_df, categorical, numeric, fill_strategy)
+    prep = encode.fit_preprocess(train_df, categorical, numeric, fill_strategy,
+                                 exact=exact_median)
     train_p = encode.apply_preprocess(train_df, prep)
     fparams = scale.fit_features(train_p, wanted, normalize)
     train_f = scale.apply_features(train_p, fparams, keep=keep)
@@ -89,7 +90,8 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
                  metrics: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
                  average: str = "macro", experiment: str | None = None, run: str | None = None,
                  run_log_path: str | None = None, model_path: str | None = None,
-                 count_dropped: bool = False, validation_ratio: float = 0.0) -> PipelineResult:
+                 count_dropped: bool = False, validation_ratio: float = 0.0,
+                 exact_median: bool = True) -> PipelineResult:
     evaluate.validate_metrics(metrics, average)
     keys = [key] if isinstance(key, str) else list(key)
     wanted = list(features) if features is not None else (
@@ -110,7 +112,7 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
     test_df = parts.where(F.col(split.PART) == "test").drop(split.PART)
 
     fitted = fit_all(train_df, target, key, categorical, numeric, wanted, model_type,
-                     hyperparameters, fill_strategy, normalize)
+                     hyperparameters, fill_strategy, normalize, exact_median)
     prep, fparams, clf, feat_cols = fitted.prep, fitted.features, fitted.classifier, fitted.columns
     test_f = fitted.prepare(test_df)
     scored = train.predict(clf, test_f)
