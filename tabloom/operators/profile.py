@@ -311,6 +311,53 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None,
     ``exact_distinct=False`` takes distinct counts from HyperLogLog++;
     ``counts`` may pass a ``typed_value_counts`` table already computed."""
     cols = _columns(df, columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    numeric = [c for c in cols if is_numeric_type(types[c])]
+    if len(cols) > WIDE_COLUMNS:
+        stats = _long_stats(df, cols, exact_median)
+    else:
+        stats = _wide_stats(df, cols, exact_median)
+    return _finish_profile(df, cols, numeric, stats, exact_median, exact_distinct, counts)
+
+
+# Above this many columns the per-column statistics are computed in long
+# form (one unpivot + groupBy) instead of one aggregate with several
+# expressions per column, which would grow the plan with the width.
+WIDE_COLUMNS = 200
+_STAT_NAMES = ["position", "column_name", "dtype", "non_null", "null_count", "nan_count",
+               "min_value", "max_value", "mean", "median", "std_dev"]
+
+
+def _long_stats(df: DataFrame, cols: list[str], exact_median: bool) -> DataFrame:
+    """Per-column counts and moments from one unpivot of a uniform struct
+    (null flag, NaN flag, value as DOUBLE); one scan, any number of columns."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    packed = df.select(*[F.struct(
+        F.col(c).isNotNull().cast("int").alias("present"),
+        (F.isnan(F.col(c)).cast("int") if isinstance(types[c], FLOAT_TYPES)
+         else F.lit(0)).alias("nan"),
+        (stat_value(c, types[c]) if is_numeric_type(types[c])
+         else F.lit(None).cast("double")).alias("num")).alias(c) for c in cols])
+    long = packed.unpivot([], cols, "column_name", "s")
+    aggs = [F.coalesce(F.sum("s.present"), F.lit(0)).cast("bigint").alias("non_null"),
+            F.count(F.lit(1)).alias("_rows"),
+            F.coalesce(F.sum("s.nan"), F.lit(0)).cast("bigint").alias("nan_count"),
+            F.min("s.num").alias("min_value"), F.max("s.num").alias("max_value"),
+            F.avg("s.num").alias("mean"), F.stddev_samp("s.num").alias("std_dev")]
+    if not exact_median:
+        aggs.append(F.percentile_approx("s.num", 0.5, APPROX_ACCURACY).alias("median"))
+    stats = long.groupBy("column_name").agg(*aggs)
+    if exact_median:
+        stats = stats.withColumn("median", F.lit(None).cast("double"))
+    meta = df.sparkSession.createDataFrame(   # schema metadata: one row per column
+        [(i + 1, c, types[c].simpleString()) for i, c in enumerate(cols)],
+        "position bigint, column_name string, dtype string")
+    return (stats.join(F.broadcast(meta), "column_name")
+            .withColumn("null_count", (F.col("_rows") - F.col("non_null")).cast("bigint"))
+            .select(*_STAT_NAMES))
+
+
+def _wide_stats(df: DataFrame, cols: list[str], exact_median: bool) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     numeric = [c for c in cols if is_numeric_type(types[c])]
     aggs = [F.count(F.lit(1)).alias("_rows")]
@@ -337,9 +384,12 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None,
                      F.col(f"_min{i}") if num else none, F.col(f"_max{i}") if num else none,
                      F.col(f"_avg{i}") if num else none, med,
                      F.col(f"_std{i}") if num else none])
-    stats = _rows_to_long(one, recs, ["position", "column_name", "dtype", "non_null",
-                                      "null_count", "nan_count", "min_value", "max_value",
-                                      "mean", "median", "std_dev"])
+    return _rows_to_long(one, recs, _STAT_NAMES)
+
+
+def _finish_profile(df: DataFrame, cols: list[str], numeric: list[str], stats: DataFrame,
+                    exact_median: bool, exact_distinct: bool,
+                    counts: DataFrame | None) -> DataFrame:
     tvc = counts if counts is not None else cut_lineage(typed_value_counts(df, cols))
     vc = tvc.select("column_name", "value", "n")
     distinct = (profile_distinct(df, counts=vc) if exact_distinct

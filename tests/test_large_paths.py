@@ -54,3 +54,22 @@ def test_category_apply_shuffle_join_equals_broadcast(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_wide_table_long_statistics_equal(spark, monkeypatch):
+    from tabloom.plans import queries as q
+
+    o = q.orders_nulls(spark, SF01).withColumn(
+        "ratio", F.when(F.col("o_orderkey") % 13 == 0, F.lit(float("nan")))
+        .otherwise(F.col("o_totalprice") / 1000))
+    cols = ["position", "column_name", "dtype", "non_null", "null_count", "nan_count",
+            "unique_count", "mode", "mode_count"]
+    nums = ["min_value", "max_value", "mean", "median", "std_dev"]
+
+    def rows(df):
+        return sorted(tuple(r[c] for c in cols) + tuple(None if r[c] is None else round(r[c], 6)
+                                                         for c in nums) for r in df.collect())
+
+    want = rows(profile.profile_table(o))
+    monkeypatch.setattr(profile, "WIDE_COLUMNS", 0)
+    assert rows(profile.profile_table(o)) == want
