@@ -213,27 +213,56 @@ def _sql_mode_parts(cols, src):
     return parts
 
 
-def _sql_profile_table():
-    cols = _profile_sql_cols()
+def _sql_profile_table(cte: str | None = None, src: str = "o",
+                       cols: list[tuple[str, str]] | None = None) -> str:
+    """Profile oracle over ``src`` (a CTE or a table) for (column, spark type)."""
+    cols = cols if cols is not None else _profile_sql_cols()
     nulls = []
     for i, (c, t) in enumerate(cols):
         nan = f"count_if(isnan({c}))" if t == "double" else "0"
-        num = t in ("bigint", "double")
-        stat = (lambda e: f"round(({e})::DOUBLE, 6)") if num else (lambda e: "NULL::DOUBLE")
+        num = t in ("bigint", "double", "int")
+        x = f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END" if t == "double" else c
+
+        def stat(e, num=num):
+            return f"round(({e})::DOUBLE, 6)" if num else "NULL::DOUBLE"
         nulls.append(
             f"SELECT {i + 1}::BIGINT AS position, '{c}' AS column_name, '{t}' AS dtype, "
             f"count({c})::BIGINT AS non_null, (count(*) - count({c}))::BIGINT AS null_count, "
             f"({nan})::BIGINT AS nan_count, {_sql_distinct_expr(c)} AS unique_count, "
-            f"{stat(f'min({c})')} AS min_value, {stat(f'max({c})')} AS max_value, "
-            f"{stat(f'avg({c})')} AS mean, "
-            f"{stat(f'quantile_cont({c}::DOUBLE, 0.5)') if num else 'NULL::DOUBLE'} AS median, "
-            f"{stat(f'stddev_samp({c}::DOUBLE)') if num else 'NULL::DOUBLE'} AS std_dev FROM o")
-    modes = _sql_mode_parts([c for c, _ in cols], "o")
-    return (f"WITH {ORDERS_NULLS}, s AS ({' UNION ALL '.join(nulls)}), "
+            f"{stat(f'min({x})')} AS min_value, {stat(f'max({x})')} AS max_value, "
+            f"{stat(f'avg({x})')} AS mean, "
+            f"{stat(f'quantile_cont(({x})::DOUBLE, 0.5)')} AS median, "
+            f"{stat(f'stddev_samp(({x})::DOUBLE)')} AS std_dev FROM {src}")
+    modes = _sql_mode_parts([c for c, _ in cols], src)
+    head = f"WITH {cte if cte is not None else ORDERS_NULLS}, " if (cte or src == "o") else "WITH "
+    return (f"{head}s AS ({' UNION ALL '.join(nulls)}), "
             f"m AS ({' UNION ALL '.join(modes)}) "
             "SELECT s.*, m.mode, m.mode_count FROM s LEFT JOIN m USING (column_name)")
 
 
+EVENTS_COLS = [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"),
+               ("event_type", "string"), ("value", "double"), ("props", "string")]
+
+
+def q_profile_events(spark, sf):
+    p = profile.profile_table(_t(spark, sf, "events"))
+    return p.select("position", "column_name", "dtype", "non_null", "null_count", "nan_count",
+                    "unique_count", *[_r(c).alias(c) for c in
+                                      ("min_value", "max_value", "mean", "median", "std_dev")],
+                    "mode", "mode_count")
+
+
+def q_category_map_part(spark, sf):
+    cm = encode.fit_categories(_t(spark, sf, "part"), ["p_brand", "p_type", "p_size"])
+    return cm.table.select("column_name", "value", F.col("idx").cast("bigint").alias("idx"))
+
+
+SQL_CATEGORY_MAP_PART = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, v AS value, (row_number() OVER (ORDER BY k) - 1)::BIGINT AS idx
+  FROM (SELECT DISTINCT {c} AS k, CAST({c} AS VARCHAR) AS v FROM part WHERE {c} IS NOT NULL)"""
+    for c in ("p_brand", "p_type", "p_size"))
+
+
 def _sql_value_counts():
     parts = [f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*)::BIGINT AS n "
              f"FROM li GROUP BY 2" for c in ("l_returnflag", "l_linestatus", "l_linenumber")]
@@ -876,6 +905,8 @@ QUERIES = {
     "profile_numeric": q_profile_numeric,
     "profile_distinct": q_profile_distinct,
     "profile_table": q_profile_table,
+    "profile_events": q_profile_events,
+    "category_map_part": q_category_map_part,
     "value_counts": q_value_counts,
     "top_values": q_top_values,
     "column_mode": q_column_mode,
@@ -929,6 +960,8 @@ ORACLE = {
                                                            "l_linenumber"] + LI_NUM),
     "profile_distinct": _sql_profile_distinct(),
     "profile_table": _sql_profile_table(),
+    "profile_events": _sql_profile_table(None, "events", EVENTS_COLS),
+    "category_map_part": SQL_CATEGORY_MAP_PART,
     "value_counts": _sql_value_counts(),
     "top_values": _sql_top_values(),
     "column_mode": _sql_column_mode(),
