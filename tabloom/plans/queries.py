@@ -753,6 +753,21 @@ SQL_AUC_OVR_WEIGHTED = ("WITH s AS (" + " UNION ALL ".join(
     " NULL::BIGINT FROM auc")
 
 
+def q_auc_document_length(spark, sf):
+    """How well the raw document length ranks quality documents."""
+    docs = _t(spark, sf, "documents").select("doc_id", "n_chars")
+    lab = _t(spark, sf, "labels").select("doc_id", "quality")
+    a = evaluate.roc_auc_binary(docs.join(lab, "doc_id"), "quality", "n_chars", positive=1)
+    return a.select(_r("auc").alias("auc"), "n_pos", "n_neg")
+
+
+SQL_AUC_DOCUMENT_LENGTH = ("WITH s AS (SELECT d.n_chars::DOUBLE AS score, "
+                           "CASE WHEN l.quality = 1 THEN 1 ELSE 0 END AS p "
+                           "FROM documents d JOIN labels l USING (doc_id)), "
+                           + _sql_auc_groups("s", "1")
+                           + " SELECT round(auc, 6) AS auc, n_pos, n_neg FROM auc")
+
+
 # ================================================================ CV and runs
 
 def _status_rule(threshold_col):
@@ -942,6 +957,7 @@ QUERIES = {
     "auc_binary": q_auc_binary,
     "auc_ovr_macro": q_auc_ovr_macro,
     "auc_ovr_weighted": q_auc_ovr_weighted,
+    "auc_document_length": q_auc_document_length,
     "confusion_wide": q_confusion_wide,
     "prediction_counts": q_prediction_counts,
     "cv_summary": q_cv_summary,
@@ -997,6 +1013,7 @@ ORACLE = {
     "auc_binary": SQL_AUC_BINARY,
     "auc_ovr_macro": SQL_AUC_OVR_MACRO,
     "auc_ovr_weighted": SQL_AUC_OVR_WEIGHTED,
+    "auc_document_length": SQL_AUC_DOCUMENT_LENGTH,
     "confusion_wide": SQL_CONFUSION_WIDE,
     "prediction_counts": SQL_PREDICTION_COUNTS,
     "cv_summary": SQL_CV_SUMMARY,
