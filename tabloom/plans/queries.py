@@ -667,6 +667,27 @@ UNION ALL SELECT 'weighted avg', round(precision_weighted, 6), round(recall_weig
   round(f1_weighted, 6), support::BIGINT FROM avgs2""")
 
 
+def q_class_report_roles(spark, sf):
+    """Speaker role predicted from the turn position (even: user, odd:
+    assistant); 'system' is never predicted."""
+    c = _t(spark, sf, "conversations")
+    pred = F.when(F.col("turn") % 2 == 0, "user").otherwise("assistant")
+    r = evaluate.class_report(c.select(F.col("role").alias("actual"), pred.alias("predicted")))
+    return r.select("label", *[_r(x).alias(x) for x in ("precision", "recall", "f1")], "support")
+
+
+SQL_CLASS_REPORT_ROLES = ("WITH " + _metrics_sql(
+    "pred AS (SELECT 1 AS g, role AS actual, CASE WHEN turn % 2 = 0 THEN 'user' "
+    "ELSE 'assistant' END AS predicted FROM conversations)") + """
+SELECT CAST(label AS VARCHAR) AS label, round(p, 6) AS precision, round(r, 6) AS recall,
+  round(f1, 6) AS f1, sup::BIGINT AS support FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round(accuracy, 6), support::BIGINT FROM avgs2
+UNION ALL SELECT 'macro avg', round(precision_macro, 6), round(recall_macro, 6),
+  round(f1_macro, 6), support::BIGINT FROM avgs2
+UNION ALL SELECT 'weighted avg', round(precision_weighted, 6), round(recall_weighted, 6),
+  round(f1_weighted, 6), support::BIGINT FROM avgs2""")
+
+
 def q_label_set(spark, sf):
     return evaluate.label_set(lineitem_pred(spark, sf))
 
@@ -953,6 +974,7 @@ QUERIES = {
     "metric_weighted": _avg_query("weighted"),
     "confusion_long": q_confusion_long,
     "class_report": q_class_report,
+    "class_report_roles": q_class_report_roles,
     "label_set": q_label_set,
     "auc_binary": q_auc_binary,
     "auc_ovr_macro": q_auc_ovr_macro,
@@ -1009,6 +1031,7 @@ ORACLE = {
     "metric_weighted": _avg_sql("weighted"),
     "confusion_long": SQL_CONFUSION_LONG,
     "class_report": SQL_CLASS_REPORT,
+    "class_report_roles": SQL_CLASS_REPORT_ROLES,
     "label_set": SQL_LABEL_SET,
     "auc_binary": SQL_AUC_BINARY,
     "auc_ovr_macro": SQL_AUC_OVR_MACRO,
