@@ -84,8 +84,9 @@ def fit_fill(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[s
     values: dict[str, Any] = {}
     to_double: list[str] = []
     if numeric and strategy == "mean":
-        row = src.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in numeric]).first()
-        values.update({c: row[c] for c in numeric})
+        from tabloom.operators.scale import column_moments
+
+        values.update({c: m for c, (m, _s) in column_moments(src, numeric).items()})
     elif numeric and strategy == "median":
         if exact:
             med = {r["column_name"]: r["median"] for r in exact_medians(src, numeric).collect()}

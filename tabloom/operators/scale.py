@@ -25,17 +25,38 @@ class ZParams:
     stats: dict[str, tuple[float | None, float | None]] = field(default_factory=dict)
 
 
+# Above this many columns moments are computed in long form (one unpivot +
+# groupBy) so the aggregate does not grow with the width.
+WIDE_COLUMNS = 200
+
+
+def column_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
+    """(mean, sample std) per column: one aggregate, or for wide inputs one
+    unpivot + ``groupBy(column)``; the result has one entry per column."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    if len(cols) <= WIDE_COLUMNS:
+        aggs = []
+        for i, c in enumerate(cols):
+            x = F.col(c).cast("double")
+            aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}")]
+        row = df.agg(*aggs).first()
+        return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
+    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot([], cols, "column_name", "x"))
+    rows = long.groupBy("column_name").agg(F.avg("x").alias("m"),
+                                           F.stddev_samp("x").alias("s")).collect()
+    got = {r["column_name"]: (r["m"], r["s"]) for r in rows}
+    return {c: got.get(c, (None, None)) for c in cols}
+
+
 def fit_zscore(df: DataFrame, columns: Sequence[str]) -> ZParams:
     """Mean and sample standard deviation per column (unknown names skipped)."""
     cols, _ = valid_columns(df, list(columns))
     if not cols:
         return ZParams()
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}")]
-    row = df.agg(*aggs).first()
-    return ZParams({c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)})
+    return ZParams(column_moments(df, cols))
 
 
 def zscore_expr(column: str, mean: float | None, std: float | None):

@@ -73,3 +73,19 @@ def test_wide_table_long_statistics_equal(spark, monkeypatch):
     want = rows(profile.profile_table(o))
     monkeypatch.setattr(profile, "WIDE_COLUMNS", 0)
     assert rows(profile.profile_table(o)) == want
+
+
+def test_wide_moments_equal(spark, monkeypatch):
+    from tabloom.operators import impute, scale
+
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").withColumn(
+        "q", F.when(F.col("l_linenumber") == 1, None).otherwise(F.col("l_quantity")))
+    cols = ["l_quantity", "l_discount", "l_tax", "q"]
+    a = scale.fit_zscore(li, cols).stats
+    fa = impute.fit_fill(li, ["q"], [], "mean").values
+    monkeypatch.setattr(scale, "WIDE_COLUMNS", 0)
+    b = scale.fit_zscore(li, cols).stats
+    fb = impute.fit_fill(li, ["q"], [], "mean").values
+    for c in cols:
+        assert abs(a[c][0] - b[c][0]) < 1e-9 and abs(a[c][1] - b[c][1]) < 1e-9
+    assert abs(fa["q"] - fb["q"]) < 1e-9
