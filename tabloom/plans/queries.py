@@ -252,6 +252,21 @@ def q_profile_events(spark, sf):
                     "mode", "mode_count")
 
 
+def _profile_of(table):
+    def q(spark, sf):
+        p = profile.profile_table(_t(spark, sf, table))
+        return p.select("position", "column_name", "dtype", "non_null", "null_count",
+                        "nan_count", "unique_count",
+                        *[_r(c).alias(c) for c in
+                          ("min_value", "max_value", "mean", "median", "std_dev")],
+                        "mode", "mode_count")
+    return q
+
+
+PAGES_COLS = [("page_id", "bigint"), ("url", "string"), ("html", "string")]
+BENCHMARK_COLS = [("item_id", "bigint"), ("text", "string")]
+
+
 def q_category_map_part(spark, sf):
     cm = encode.fit_categories(_t(spark, sf, "part"), ["p_brand", "p_type", "p_size"])
     return cm.table.select("column_name", "value", F.col("idx").cast("bigint").alias("idx"))
@@ -942,6 +957,8 @@ QUERIES = {
     "profile_distinct": q_profile_distinct,
     "profile_table": q_profile_table,
     "profile_events": q_profile_events,
+    "profile_pages": _profile_of("pages"),
+    "profile_benchmark": _profile_of("benchmark"),
     "category_map_part": q_category_map_part,
     "value_counts": q_value_counts,
     "top_values": q_top_values,
@@ -999,6 +1016,8 @@ ORACLE = {
     "profile_distinct": _sql_profile_distinct(),
     "profile_table": _sql_profile_table(),
     "profile_events": _sql_profile_table(None, "events", EVENTS_COLS),
+    "profile_pages": _sql_profile_table(None, "pages", PAGES_COLS),
+    "profile_benchmark": _sql_profile_table(None, "benchmark", BENCHMARK_COLS),
     "category_map_part": SQL_CATEGORY_MAP_PART,
     "value_counts": _sql_value_counts(),
     "top_values": _sql_top_values(),
