@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark import StorageLevel
+from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -213,24 +214,24 @@ def grid_search_cv(df: DataFrame, label: str, features: Sequence[str], model_typ
                       best_model=model)
 
 
-class MetricEvaluator:
-    """Factory for a Spark ML ``Evaluator`` scoring macro/micro/weighted
-    precision, recall, F1 or accuracy from one confusion aggregate (Spark's
-    own multiclass evaluator has no macro average).  Usable in
-    ``CrossValidator``."""
+class MetricEvaluator(Evaluator):
+    """Spark ML ``Evaluator`` scoring macro/micro/weighted precision, recall,
+    F1 or accuracy from one confusion aggregate (Spark's own multiclass
+    evaluator has no macro average).  Usable in ``CrossValidator``."""
 
-    def __new__(cls, labelCol: str = "label_idx", predictionCol: str = "prediction",
-                metric: str = "f1", average: str = "macro"):
-        from pyspark.ml.evaluation import Evaluator
+    def __init__(self, labelCol: str = "label_idx", predictionCol: str = "prediction",
+                 metric: str = "f1", average: str = "macro"):
+        super().__init__()
+        from tabloom.operators.evaluate import validate_metrics
 
-        from tabloom.operators.evaluate import metric_table
+        validate_metrics((metric,), average)
+        self.labelCol, self.predictionCol = labelCol, predictionCol
+        self.metric, self.average = metric, average
 
-        class _Eval(Evaluator):
-            def _evaluate(self, dataset):
-                t = metric_table(dataset, labelCol, predictionCol, (metric,), average)
-                return float(t.first()["value"])
+    def _evaluate(self, dataset: DataFrame) -> float:
+        t = metric_table(dataset, self.labelCol, self.predictionCol, (self.metric,),
+                         self.average)
+        return float(t.first()["value"])
 
-            def isLargerBetter(self):
-                return True
-
-        return _Eval()
+    def isLargerBetter(self) -> bool:
+        return True
