@@ -81,8 +81,11 @@ def run_rows(spark: SparkSession, experiment: str, run: str, params: Mapping[str
 
 
 def append_run(rows: DataFrame, path: str) -> None:
-    """Append run rows; one folder per experiment (partition pruning on read)."""
-    rows.select(*COLUMNS).write.mode("append").partitionBy("experiment").parquet(path)
+    """Append run rows; one folder per experiment (partition pruning on read)
+    and one file per append (run rows are few: parameters, metrics, a k x k
+    confusion table and the class report)."""
+    (rows.select(*COLUMNS).coalesce(1).write.mode("append").partitionBy("experiment")
+     .parquet(path))
 
 
 def read_runs(spark: SparkSession, path: str, experiment: str | None = None) -> DataFrame:
