@@ -83,7 +83,9 @@ def run_rows(spark: SparkSession, experiment: str, run: str, params: Mapping[str
 def append_run(rows: DataFrame, path: str) -> None:
     """Append run rows; one folder per experiment (partition pruning on read)
     and one file per append (run rows are few: parameters, metrics, a k x k
-    confusion table and the class report)."""
+    confusion table and the class report).  Appends to one path should not
+    run at the same time (the file committer's temporary folder is shared);
+    runs scored concurrently are unioned and appended once."""
     (rows.select(*COLUMNS).coalesce(1).write.mode("append").partitionBy("experiment")
      .parquet(path))
 
