@@ -37,6 +37,7 @@ ROWS_PER_BUCKET = 2_000_000
 LITERAL_BUCKETS = 1024
 MAX_BUCKETS = 100_000
 OVERSAMPLE = 20
+BOUND_CHARS = 256
 
 
 def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
@@ -56,7 +57,10 @@ def _sample_bounds(base: DataFrame, key_names: list[str], n: int, n_buckets: int
     """Sorted, distinct bucket boundaries from a sample of about
     OVERSAMPLE * n_buckets (<= ~20k) keys."""
     types = {f.name: f.dataType for f in base.schema.fields}
-    key = F.struct(*[F.col(c) for c in key_names])
+    # Text keys are cut to BOUND_CHARS: a prefix is still a valid, ordered
+    # boundary, and the sample stays small however long the values are.
+    key = F.struct(*[(F.substring(F.col(c), 1, BOUND_CHARS) if types[c].typeName() == "string"
+                      else F.col(c)).alias(c) for c in key_names])
     fraction = min(1.0, OVERSAMPLE * n_buckets / n)
     sample = (base.select(key.alias("k")).sample(False, fraction, seed=17)
               .orderBy("k").collect())

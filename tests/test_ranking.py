@@ -45,3 +45,14 @@ def test_running_total_range_partitioner_path(spark, monkeypatch):
     want = _plain(vals, ["l_returnflag"], ["l_extendedprice"], "n")
     assert got.columns == want.columns
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_running_total_long_text_keys(spark, monkeypatch):
+    import tabloom.functions.ranking as rk
+
+    monkeypatch.setattr(rk, "BOUND_CHARS", 3)        # boundaries are 3-char prefixes
+    d = spark.read.parquet(f"{SF01}/documents.parquet").select(
+        F.lit("t").alias("g"), F.concat("text", "doc_id").alias("v"))
+    got = rk.running_total(d, ["g"], ["v"], rows_per_bucket=100)
+    want = d.withColumn("cum", F.row_number().over(Window.partitionBy("g").orderBy("v")).cast("bigint"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
