@@ -59,11 +59,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_STAGE_PATHS: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (never machine-local
     on a cluster, because the checkpoint folder is the cluster's)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _STAGE_PATHS.append(path)
+    return path
+
+
+def stage_paths() -> list[str]:
+    """Paths handed out by ``scratch_path`` in this process (stage tables,
+    written CSVs, run logs and models of the registered queries).  Lazy
+    frames may still read them, so remove them only after results are
+    saved."""
+    return list(_STAGE_PATHS)
 
 
 def cut_lineage(df, name: str = "stage"):

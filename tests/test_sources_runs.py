@@ -83,3 +83,12 @@ def test_read_delimited_with_schema(spark):
     rows = df.collect()
     assert rows[2]["culmen_depth_mm"] == 18.0 and rows[3]["flipper_length_mm"] is None
     assert delimited.load_summary(df) == {"rows": 5, "columns": 7}
+
+
+def test_stage_paths_recorded(spark):
+    from tabloom.session import cut_lineage, stage_paths
+
+    before = len(stage_paths())
+    cut_lineage(spark.range(3))
+    after = stage_paths()
+    assert len(after) == before + 1 and after[-1].split("/")[-1].startswith("stage-")
