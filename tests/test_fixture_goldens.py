@@ -88,3 +88,29 @@ def test_metrics_against_brute_force(spark, pairs):
     assert m["precision"] == pytest.approx(sum(ps) / len(labels))
     assert m["recall"] == pytest.approx(sum(rs) / len(labels))
     assert m["f1"] == pytest.approx(sum(fs) / len(labels))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.sampled_from("aab"), min_size=3, max_size=90), st.integers(2, 5))
+def test_stratified_folds_balanced_property(spark, labels, k):
+    from tabloom.operators import split
+
+    df = spark.createDataFrame(list(enumerate(labels)), "id long, y string")
+    f = split.stratified_kfold(df, "id", "y", k, rows_per_bucket=7)
+    counts = {}
+    for r in f.groupBy("y", "fold").count().collect():
+        counts.setdefault(r["y"], {})[r["fold"]] = r["count"]
+    for y, per in counts.items():
+        full = [per.get(i, 0) for i in range(k)]
+        assert max(full) - min(full) <= 1 and sum(full) == labels.count(y)
+
+
+def test_exact_split_keeps_duplicate_keys_together(spark):
+    from tabloom.operators import split
+
+    rows = [(i // 3, i) for i in range(300)]          # every key three times
+    df = spark.createDataFrame(rows, "k long, v long")
+    s = split.holdout_split(df, "k", 0.2, 42, mode="exact")
+    sides = s.groupBy("k").agg(F.countDistinct("split").alias("n"))
+    assert sides.where("n > 1").count() == 0
+    assert s.where("split = 'test'").count() >= 60
