@@ -104,3 +104,18 @@ def test_auc_multi_bucket_with_hot_class(spark):
 def test_confusion_label_guard(f7):
     with pytest.raises(ValueError):
         ev.confusion_matrix(f7, max_labels=2)
+
+
+def test_auc_absent_class_is_null(spark):
+    df = spark.createDataFrame([(1, 0.2), (1, 0.7)], "y int, s double")
+    r = ev.roc_auc_binary(df, "y", "s").first()
+    assert r["auc"] is None and r["n_pos"] == 2 and r["n_neg"] == 0
+
+
+def test_evaluate_binary_roc_auc(spark):
+    pairs = [(1 if i % 3 == 0 else 0, float((i * 7) % 11)) for i in range(120)]
+    df = spark.createDataFrame([(y, 1 if s > 5 else 0, s) for y, s in pairs],
+                               "actual int, predicted int, s double")
+    e = ev.evaluate(df, metrics=("accuracy", "roc_auc"), scores={0: F.lit(0.0), 1: "s"})
+    m = {r["metric"]: r["value"] for r in e.metrics.collect()}
+    assert m["roc_auc"] == pytest.approx(_brute_auc(pairs), abs=1e-12)
