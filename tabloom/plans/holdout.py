@@ -90,7 +90,7 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
                  metrics: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
                  average: str = "macro", experiment: str | None = None, run: str | None = None,
                  run_log_path: str | None = None, model_path: str | None = None,
-                 count_dropped: bool = False, validation_ratio: float = 0.0,
+                 count_dropped: bool = True, validation_ratio: float = 0.0,
                  exact_median: bool = True) -> PipelineResult:
     evaluate.validate_metrics(metrics, average)
     keys = [key] if isinstance(key, str) else list(key)

@@ -165,3 +165,11 @@ def test_vector_features_linear_and_rbf(spark):
         out = train.predict(clf, df)
         assert out.count() == df.count()
     assert train.vector_sizes(df, ["embedding_vec"]) == {"embedding_vec": 64}
+
+
+def test_pipeline_reports_dropped_targets(spark):
+    df = tasks.price_band(spark, SF01).withColumn(
+        "band", F.when(F.col("l_quantity") > 45, None).otherwise(F.col("band")))
+    res = run_pipeline(df, "band", "row_key", numeric=tasks.PRICE_FEATURES,
+                       hyperparameters={"n_estimators": 3, "max_depth": 3})
+    assert res.dropped_rows == df.where("band is null").count() > 0
