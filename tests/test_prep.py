@@ -147,3 +147,16 @@ def test_nan_counted_apart_from_statistics(spark):
     assert (t["min_value"], t["max_value"], t["mean"], t["median"]) == (1.0, 5.0, 3.0, 3.0)
     n = profile.profile_numeric(df).first()
     assert (n["max_value"], n["median"]) == (5.0, 3.0)
+
+
+def test_write_profile_roundtrip(spark, f3):
+    from tabloom.session import scratch_path
+
+    prof = profile.profile_table(f3)
+    for fmt in ("parquet", "json"):
+        path = scratch_path(spark, f"profile-{fmt}")
+        profile.write_profile(prof, path, fmt)
+        back = spark.read.format(fmt).load(path)
+        assert back.count() == 4 and "unique_count" in back.columns
+    with pytest.raises(ValueError):
+        profile.write_profile(prof, scratch_path(spark, "p"), "csv")
