@@ -114,3 +114,22 @@ def test_exact_split_keeps_duplicate_keys_together(spark):
     sides = s.groupBy("k").agg(F.countDistinct("split").alias("n"))
     assert sides.where("n > 1").count() == 0
     assert s.where("split = 'test'").count() >= 60
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-20, 20)), min_size=1, max_size=60))
+def test_exact_median_property(spark, values):
+    import numpy as np
+
+    from tabloom.operators import profile
+
+    df = spark.createDataFrame([(v,) for v in values], "x long")
+    present = [v for v in values if v is not None]
+    want = float(np.median(present)) if present else None
+    direct = profile.exact_medians(df, ["x"]).first()
+    bucketed = profile.bucketed_medians(df, ["x"], rows_per_bucket=3).collect()
+    if want is None:
+        assert direct["median"] is None and not bucketed
+    else:
+        assert direct["median"] == pytest.approx(want)
+        assert bucketed[0]["median"] == pytest.approx(want)
