@@ -133,3 +133,18 @@ def test_exact_median_property(spark, values):
     else:
         assert direct["median"] == pytest.approx(want)
         assert bucketed[0]["median"] == pytest.approx(want)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.text(min_size=0, max_size=6), min_size=1, max_size=40))
+def test_category_index_is_codepoint_rank(spark, words):
+    df = spark.createDataFrame([(w,) for w in words], "c string")
+    want = {w: i for i, w in enumerate(sorted(set(words)))}
+    old = encode.SMALL_MAP_ROWS
+    try:
+        for limit in (old, 0):                      # window path, then bucketed path
+            encode.SMALL_MAP_ROWS = limit
+            got = {r["value"]: r["idx"] for r in encode.fit_categories(df, ["c"]).table.collect()}
+            assert got == want
+    finally:
+        encode.SMALL_MAP_ROWS = old
