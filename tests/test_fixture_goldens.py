@@ -148,3 +148,17 @@ def test_category_index_is_codepoint_rank(spark, words):
             assert got == want
     finally:
         encode.SMALL_MAP_ROWS = old
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 6)), min_size=2, max_size=80))
+def test_auc_property(spark, pairs):
+    pos = [s for y, s in pairs if y == 1]
+    neg = [s for y, s in pairs if y == 0]
+    df = spark.createDataFrame([(y, float(s)) for y, s in pairs], "y int, s double")
+    got = evaluate.roc_auc_binary(df, "y", "s", rows_per_bucket=2).first()["auc"]
+    if not pos or not neg:
+        assert got is None
+    else:
+        want = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg)
+        assert got == pytest.approx(want / (len(pos) * len(neg)), abs=1e-12)
