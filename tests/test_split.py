@@ -101,3 +101,16 @@ def test_exact_split_counts(spark, ratio):
     n = o.count()
     s = split.holdout_split(o, "o_orderkey", ratio, 7, mode="exact")
     assert s.where("split = 'test'").count() == int(n * ratio)
+
+
+@_pytest.mark.parametrize("seed,ratio", [(1, 0.05), (7, 0.5), (123, 0.33)])
+def test_exact_split_matches_duckdb_many(spark, seed, ratio):
+    o = _orders(spark)
+    got = split.holdout_split(o, "o_orderkey", ratio, seed, mode="exact") \
+        .where("split = 'test'").select("o_orderkey")
+    con = duckdb.connect()
+    want = {r[0] for r in con.execute(f"""
+        select o_orderkey from '{SF01}/orders.parquet'
+        order by md5(concat('{seed}', '|', cast(o_orderkey as varchar))), o_orderkey
+        limit (select cast(count(*) * {ratio} as bigint) from '{SF01}/orders.parquet')""").fetchall()}
+    assert {r[0] for r in got.collect()} == want
