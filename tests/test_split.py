@@ -114,3 +114,16 @@ def test_exact_split_matches_duckdb_many(spark, seed, ratio):
         order by md5(concat('{seed}', '|', cast(o_orderkey as varchar))), o_orderkey
         limit (select cast(count(*) * {ratio} as bigint) from '{SF01}/orders.parquet')""").fetchall()}
     assert {r[0] for r in got.collect()} == want
+
+
+@_pytest.mark.parametrize("seed,k", [(3, 3), (11, 7)])
+def test_stratified_folds_match_duckdb(spark, seed, k):
+    o = _orders(spark)
+    got = {(r[0], r[1]) for r in split.stratified_kfold(o, "o_orderkey", "o_orderpriority", k, seed)
+           .select("o_orderkey", "fold").collect()}
+    con = duckdb.connect()
+    want = {(r[0], r[1]) for r in con.execute(f"""
+        select o_orderkey, ((row_number() over (partition by o_orderpriority
+          order by md5(concat('{seed}', '|', cast(o_orderkey as varchar))), o_orderkey) - 1) % {k})::int
+        from '{SF01}/orders.parquet'""").fetchall()}
+    assert got == want
