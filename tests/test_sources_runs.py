@@ -92,3 +92,10 @@ def test_stage_paths_recorded(spark):
     cut_lineage(spark.range(3))
     after = stage_paths()
     assert len(after) == before + 1 and after[-1].split("/")[-1].startswith("stage-")
+
+
+def test_infer_types_edge_cases(spark):
+    rows = [("1", "1", " 7 ", "a", None), ("2", "2.5", "8", "1", None), (None, "NaN", "-3", "2", None)]
+    text = spark.createDataFrame(rows, "i string, d string, s string, t string, e string")
+    assert delimited.infer_types(text) == {"i": "bigint", "d": "double", "s": "bigint",
+                                           "t": "string", "e": "string"}
