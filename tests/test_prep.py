@@ -160,3 +160,13 @@ def test_write_profile_roundtrip(spark, f3):
         assert back.count() == 4 and "unique_count" in back.columns
     with pytest.raises(ValueError):
         profile.write_profile(prof, scratch_path(spark, "p"), "csv")
+
+
+def test_fill_nan_as_null(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (3.0,)], "x double")
+    p = impute.fit_fill(df, ["x"], [], "mean", nan_as_null=True)
+    assert p.values["x"] == pytest.approx(2.0)
+    out = [r["x"] for r in impute.apply_fill(df, p).collect()]
+    assert out == [1.0, 2.0, 2.0, 3.0]
+    kept = [r["x"] for r in impute.apply_fill(df, impute.fit_fill(df, ["x"], [], "median")).collect()]
+    assert math.isnan(kept[1]) and kept[2] is not None
