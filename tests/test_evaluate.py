@@ -119,3 +119,10 @@ def test_evaluate_binary_roc_auc(spark):
     e = ev.evaluate(df, metrics=("accuracy", "roc_auc"), scores={0: F.lit(0.0), 1: "s"})
     m = {r["metric"]: r["value"] for r in e.metrics.collect()}
     assert m["roc_auc"] == pytest.approx(_brute_auc(pairs), abs=1e-12)
+
+
+def test_confusion_wide_f7(f7):
+    rows = ev.confusion_wide(f7).collect()
+    assert [[r[str(p)] for p in range(3)] for r in rows] == [[3, 1, 0], [0, 3, 0], [1, 0, 2]]
+    counts = {r["label"]: r["n"] for r in ev.prediction_counts(f7).collect()}
+    assert counts == {0: 4, 1: 4, 2: 2}
