@@ -42,3 +42,18 @@ def test_metric_evaluator_in_cross_validator(f6x):
     cvm = tuning.grid_search(RandomForestClassifier(labelCol="label_idx", seed=1),
                              {"numTrees": [3, 5]}, data, ev, fold_col="fold")
     assert len(cvm.avgMetrics) == 2 and all(0 <= m <= 1 for m in cvm.avgMetrics)
+
+
+def test_run_concurrently_order_and_errors():
+    import time as _t
+
+    out = tuning.run_concurrently(lambda x: (_t.sleep(0.01 * (5 - x)), x * x)[1], range(5), 4)
+    assert out == [0, 1, 4, 9, 16]
+
+    def boom(x):
+        if x == 2:
+            raise RuntimeError("fold failed")
+        return x
+
+    with pytest.raises(RuntimeError):
+        tuning.run_concurrently(boom, range(4), 3)
