@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -93,3 +93,41 @@ def cut_lineage(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+class Stages:
+    """Stage tables of one operator run, and their removal.
+
+    ``write`` puts a frame into the shared checkpoint folder and reads it
+    back (see ``cut_lineage``); ``drop`` deletes the table behind a frame as
+    soon as no later job reads it, so that the shared folder holds only what
+    is still needed.  Tables that a returned lazy frame reads are simply not
+    dropped.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[int, str] = {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.mode("overwrite").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(out)] = path
+        out._stage_table = self  # keeps id(out) unique while the table is known
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        for df in frames:
+            path = self._paths.pop(id(df), None)
+            if path:
+                drop_path(self.spark, path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's file system layer."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)
+    if path in _STAGE_PATHS:
+        _STAGE_PATHS.remove(path)
