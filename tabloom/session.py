@@ -107,19 +107,18 @@ class Stages:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self._paths: dict[int, str] = {}
+        self._held: dict[int, tuple[DataFrame, str]] = {}
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
         df.write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
-        out._stage_table = self  # keeps id(out) unique while the table is known
+        self._held[id(out)] = (out, path)
         return out
 
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:
-            path = self._paths.pop(id(df), None)
+            _, path = self._held.pop(id(df), (None, None))
             if path:
                 drop_path(self.spark, path)
 
