@@ -12,4 +12,3 @@ def test_registry_shape():
     qs, sql = e.queries(), e.oracle_sql()
     assert set(sql) <= set(qs)
     assert all(callable(f) for f in qs.values())
-    assert not any(k.startswith("op") or k == "pipeline" for k in qs)
