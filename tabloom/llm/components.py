@@ -39,10 +39,8 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
         # small star: a node and its smaller neighbours move to the smallest
         low = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
         small = large.join(low, F.col("a") == F.col("n")).select(
-            F.explode(F.array(F.struct(F.col("a"), F.col("m")),
-                              F.struct(F.col("b"), F.col("m")))).alias("e"))
-        nxt = stages.write(small.select(F.col("e.a").alias("a"), F.col("e.m").alias("b"))
-                           .where("a <> b").distinct(), "small-star")
+            F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+        nxt = stages.write(small.where("a <> b").distinct(), "small-star")
         stages.drop(cur, large)
         cur, last, state = nxt, state, _state(nxt)
         if state == last:
