@@ -3,10 +3,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tabloom.llm.chunk_dedup import drop_repeats
 from tabloom.llm.common import read_table
+from tabloom.llm.packing import pack_documents
 from tabloom.llm.simhash import near_duplicates
+from tabloom.llm.toxicity import score_toxicity
 
 
 def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +19,32 @@ def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category probabilities of all documents, from the labelled ones."""
+    return score_toxicity(read_table(spark, sf_dir, "documents"),
+                          read_table(spark, sf_dir, "labels"))
+
+
+def chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without passages that an earlier one holds."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = drop_repeats(docs, spans_col="removed")
+    gone = F.coalesce(F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["chars"]),
+                      F.lit(0).cast("long"))
+    return out.withColumn("removed_chars", gone)
+
+
+def pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' token pieces in sequences of at most 4096 tokens."""
+    return pack_documents(read_table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op5_simhash_near_dedup": simhash_classes,
+    "op7_toxicity_chain": toxicity_chain,
+    "op8_chunk_dedup": chunk_dedup,
+    "op9_pattern_packing": pattern_packing,
 }
 
 ORACLE: dict[str, str] = {}
