@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.chunk_dedup import drop_repeats
 from tabloom.llm.common import read_table
+from tabloom.llm.lbl import score_texts
 from tabloom.llm.packing import pack_documents
 from tabloom.llm.simhash import near_duplicates
 from tabloom.llm.toxicity import score_toxicity
@@ -40,11 +41,17 @@ def pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("word_bpe_49k.json"))
 
 
+def lbl_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of all documents; one in seven is kept from training."""
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op5_simhash_near_dedup": simhash_classes,
     "op7_toxicity_chain": toxicity_chain,
     "op8_chunk_dedup": chunk_dedup,
     "op9_pattern_packing": pattern_packing,
+    "op10_lbl_scores": lbl_scores,
 }
 
 ORACLE: dict[str, str] = {}
