@@ -7,19 +7,55 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom.llm.archive import archive_round_trip
 from tabloom.llm.chunk_dedup import drop_repeats
 from tabloom.llm.common import read_table
 from tabloom.llm.lbl import score_texts
+from tabloom.llm.multiset_hash import fingerprints
 from tabloom.llm.packing import pack_documents
+from tabloom.llm.reply_trees import format_conversations, linear_messages, read_loss, read_turns
 from tabloom.llm.simhash import near_duplicates
 from tabloom.llm.toxicity import score_toxicity
 
 
+#: The extra conversation of the contract: its texts are control strings.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, formatted and read back."""
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"))
+    chats = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    out = format_conversations(linear_messages(chats.union(extra)))
+    read = out.select("tree", "formatted", read_turns(F.col("formatted")).alias("turns"),
+                      read_loss(F.col("formatted"), F.col("loss")).alias("masked"))
+    all_turns = F.array_join(F.transform("turns", lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(all_turns, 256).alias("turns_sha256"),
+        F.length("masked").cast("long").alias("loss_chars"), F.sha2("masked", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edits and their likeness."""
+    return fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, two bits."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def archive_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through an archive and back."""
+    return archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category probabilities of all documents, from the labelled ones."""
     return score_toxicity(read_table(spark, sf_dir, "documents"),
@@ -47,11 +83,42 @@ def lbl_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_reply_trees": chat_formatting,
+    "op4_multiset_fingerprints": multiset_fingerprints,
     "op5_simhash_near_dedup": simhash_classes,
+    "op6_warc_archive": archive_pages,
     "op7_toxicity_chain": toxicity_chain,
     "op8_chunk_dedup": chunk_dedup,
     "op9_pattern_packing": pattern_packing,
     "op10_lbl_scores": lbl_scores,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_chat_reply_trees": r"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+                   FROM conversations
+                   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+                                    (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+             e AS (SELECT *, 20 + length(regexp_replace(role,
+                       '([<\[])(\\*)(s>|/s>|ROLE\]|/ROLE\]|INST\]|/INST\])', '\1\\\2\3', 'g'))
+                     + length(regexp_replace(text,
+                       '([<\[])(\\*)(s>|/s>|ROLE\]|/ROLE\]|INST\]|/INST\])', '\1\\\2\3', 'g'))
+                       AS chars FROM t),
+             c AS (SELECT conv_id, count(*) AS n_turns,
+                          string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+                          coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                                   FILTER (role = 'assistant'), '') AS loss,
+                          CAST(sum(chars) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+               sha256(loss) AS loss_sha256, formatted_chars
+        FROM c""",
+    "op6_warc_archive": """
+        WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
+                          CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+             k AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+        SELECT page_id, url, payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END
+                   AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to
+        FROM k""",
+}
