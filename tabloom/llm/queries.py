@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tabloom.llm.archive import archive_round_trip
 from tabloom.llm.chunk_dedup import drop_repeats
 from tabloom.llm.common import read_table
+from tabloom.llm.hamming_search import search, sign_codes
 from tabloom.llm.lbl import score_texts
 from tabloom.llm.multiset_hash import fingerprints
 from tabloom.llm.packing import pack_documents
+from tabloom.llm.piece_dropout import encode_documents
 from tabloom.llm.reply_trees import format_conversations, linear_messages, read_loss, read_turns
 from tabloom.llm.simhash import near_duplicates
 from tabloom.llm.toxicity import score_toxicity
@@ -41,6 +43,18 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def binary_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest sign codes of every fiftieth vector among all vectors."""
+    codes = sign_codes(read_table(spark, sf_dir, "embeddings"))
+    return search(codes, codes.where(F.col("id") % 50 == 0))
+
+
+def piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' pieces under seeded merge-dropout, decoded again."""
+    return encode_documents(read_table(spark, sf_dir, "documents"),
+                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, of their edits and their likeness."""
     return fingerprints(read_table(spark, sf_dir, "documents"))
@@ -84,6 +98,8 @@ def lbl_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_reply_trees": chat_formatting,
+    "op2_binary_top_k": binary_top_k,
+    "op3_piece_dropout": piece_dropout,
     "op4_multiset_fingerprints": multiset_fingerprints,
     "op5_simhash_near_dedup": simhash_classes,
     "op6_warc_archive": archive_pages,
@@ -112,6 +128,16 @@ ORACLE: dict[str, str] = {
         SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
                sha256(loss) AS loss_sha256, formatted_chars
         FROM c""",
+    "op2_binary_top_k": """
+        WITH v AS (SELECT vec_id, [CAST(x > 0 AS INT) FOR x IN embedding[1:64]] AS bits
+                   FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+             d AS (SELECT q.vec_id AS query_id, v.vec_id AS neighbor_id,
+                          CAST(list_sum([CAST(coalesce(q.bits[i], 0) <> coalesce(v.bits[i], 0) AS INT)
+                                         FOR i IN range(1, 65)]) AS BIGINT) AS distance
+                   FROM v AS q CROSS JOIN v WHERE q.vec_id % 50 = 0),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank
+                   FROM d)
+        SELECT query_id, rank, neighbor_id, distance FROM r WHERE rank <= 10""",
     "op6_warc_archive": """
         WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
                           CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
