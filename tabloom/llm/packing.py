@@ -48,9 +48,9 @@ PARTS = 4
 MAX_SLACK = 0.0005
 END_ID = 1
 #: Characters tokenised at once.
-BLOCK = 1 << 21
-#: Pieces of one length that are ranked in one window.
-RANKED_ROWS = 200_000
+BLOCK = 1 << 22
+#: Pieces of one length that are ranked in one window, about.
+RANKED_ROWS = 2_000
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
@@ -263,10 +263,12 @@ def places(uses: list[Use]) -> pd.DataFrame:
         ["length", "rank"], ignore_index=True)
 
 
-def ranked(pieces: DataFrame, rows: int, stages: Stages) -> DataFrame:
-    """``pieces`` with ``rank``: 0, 1, ... among the pieces of a length."""
-    salts = max(1, -(-rows // RANKED_ROWS))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+def ranked(pieces: DataFrame, per_length: DataFrame) -> DataFrame:
+    """``pieces`` with ``rank``: 0, 1, ... among the pieces of a length.
+    ``per_length`` (n_length, n) counts them; a length gets as many salts as its
+    count asks for."""
+    salted = pieces.join(F.broadcast(per_length), F.col("length") == F.col("n_length")).withColumn(
+        "salt", F.pmod(F.xxhash64("doc_id", "piece"), F.ceil(F.col("n") / RANKED_ROWS))).drop("n", "n_length")
     per = W.Window.partitionBy("length").orderBy("salt").rowsBetween(
         W.Window.unboundedPreceding, -1)
     before = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).select(
@@ -283,8 +285,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bins: int = BINS, parts: i
     """``pieces`` (doc_id, piece, length, ids_crc32, ...) with sequence_id and
     offset.  ``pieces`` is read several times: pass a written table."""
     stages = Stages(pieces.sparkSession)
-    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(
-        F.count(F.lit(1)).alias("n")).collect()}  # at most ``capacity`` rows
+    per_length = stages.write(pieces.groupBy(F.col("length").alias("n_length")).agg(
+        F.count(F.lit(1)).alias("n")), "lengths")  # at most ``capacity`` rows
+    counts = {r["n_length"]: r["n"] for r in per_length.collect()}
     at = places(plan_packing(counts, capacity, bins, parts))
     lengths, ranks = at["length"].to_numpy(np.int64), at["rank"].to_numpy(np.int64)
     first, offsets = at["sequence"].to_numpy(np.int64), at["offset"].to_numpy(np.int64)
@@ -297,7 +300,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bins: int = BINS, parts: i
         return pd.DataFrame({"sequence_id": first[i] + rank.to_numpy() - ranks[i],
                              "offset": offsets[i]})
 
-    placed = ranked(pieces, sum(counts.values()), stages).withColumn("seat", seat("length", "rank"))
+    placed = ranked(pieces, per_length).withColumn("seat", seat("length", "rank"))
     return placed.select(*pieces.columns, "seat.sequence_id", "seat.offset")
 
 

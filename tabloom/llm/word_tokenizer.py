@@ -17,7 +17,8 @@ import numpy as np
 
 from tabloom.llm.bpe import MergeTable, merge_word_by_agenda, merge_words
 
-REMEMBERED = 250_000
+#: Words a task remembers (about 200 bytes each); the memory is emptied when full.
+REMEMBERED = 600_000
 LONG_PART = 64
 #: Texts that the library's normaliser changes by lower case only: printable
 #: Latin-1 and ASCII white space.

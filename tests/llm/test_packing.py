@@ -78,7 +78,7 @@ def check_whole(rows, capacity=4096):
     return len(by)
 
 
-@pytest.mark.parametrize("ranked_rows", [200_000, 20])
+@pytest.mark.parametrize("ranked_rows", [2_000, 3])
 def test_query_over_all_documents(spark, monkeypatch, ranked_rows):
     from tokenizers import Tokenizer
 
