@@ -58,8 +58,9 @@ def split_hash(key: str | Sequence[str] | None, seed: int,
     depend on file order or partitioning.  The same string comes out of
     DuckDB's ``md5(concat(seed, '|', key))``.
 
-    Several key columns are joined with ``|``.  ``key=None`` hashes the whole
-    row (duplicates then land on the same side of every split).
+    Several key columns are joined with ``|``.  A null key is hashed as the empty
+    text (as ``concat`` does there), so no row is without a hash.  ``key=None``
+    hashes the whole row (duplicates then land on the same side of every split).
     """
     if key is None:
         if not columns:
@@ -69,7 +70,7 @@ def split_hash(key: str | Sequence[str] | None, seed: int,
     keys = [key] if isinstance(key, str) else list(key)
     parts = [F.lit(str(seed))]
     for k in keys:
-        parts += [F.lit("|"), F.col(k).cast("string")]
+        parts += [F.lit("|"), F.coalesce(F.col(k).cast("string"), F.lit(""))]
     return F.md5(F.concat(*parts))
 
 

@@ -3,17 +3,15 @@
 ``Window.partitionBy(g).orderBy(v)`` sends a whole group to one task.  That
 is fine for a handful of rows per group, but a single class, column or
 category may hold a third of all rows.  ``running_total`` therefore splits
-the ordered key space into range buckets (boundaries taken from a bounded
-sample), sums each bucket, turns those few sums into offsets, and runs the
-window only inside a bucket:
+the ordered key space into range buckets, sums each bucket, turns those few
+sums into offsets, and runs the window only inside a bucket:
 
     total(g, v) = offset(g, bucket) + running sum inside (g, bucket)
 
-The result is exact; only the work split depends on the sample.  Up to
-1,024 buckets, the bucket of a row is a deterministic function of its key (a
-binary search over literal boundaries), so recomputing a lost partition gives
-the same answer.  Beyond that, Spark's range partitioner assigns buckets and
-the bucket id is written together with the rows before any further pass.
+The result is exact and the same for any number of buckets; a null group is a
+group like any other.  Spark's range partitioner assigns the buckets from whole
+keys, and the bucket id is written with the rows before any further pass, so
+every later pass sees the same buckets.
 """
 
 from __future__ import annotations
@@ -30,47 +28,7 @@ from tabloom.session import cut_lineage
 # Target rows per window partition.  A sort of a few million narrow rows
 # fits comfortably in one task and spills if it must.
 ROWS_PER_BUCKET = 2_000_000
-# Up to LITERAL_BUCKETS buckets the bucket is a binary search over literal
-# boundaries taken from a sample; above it Spark's range partitioner assigns
-# them (sampling and binary search in the JVM) and the partition id is
-# written with the rows, so later passes see the same buckets.
-LITERAL_BUCKETS = 1024
 MAX_BUCKETS = 100_000
-OVERSAMPLE = 20
-BOUND_CHARS = 256
-
-
-def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
-    """Number of boundaries <= key, by binary search over sorted literals."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < bounds[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(bounds))
-
-
-def _sample_bounds(base: DataFrame, key_names: list[str], n: int, n_buckets: int
-                   ) -> list[Column]:
-    """Sorted, distinct bucket boundaries from a sample of about
-    OVERSAMPLE * n_buckets (<= ~20k) keys."""
-    types = {f.name: f.dataType for f in base.schema.fields}
-    # Text keys are cut to BOUND_CHARS: a prefix is still a valid, ordered
-    # boundary, and the sample stays small however long the values are.
-    key = F.struct(*[(F.substring(F.col(c), 1, BOUND_CHARS) if types[c].typeName() == "string"
-                      else F.col(c)).alias(c) for c in key_names])
-    fraction = min(1.0, OVERSAMPLE * n_buckets / n)
-    sample = (base.select(key.alias("k")).sample(False, fraction, seed=17)
-              .orderBy("k").collect())
-    picks = []
-    for i in range(1, n_buckets):
-        row = sample[min(len(sample) - 1, (i * len(sample)) // n_buckets)]["k"]
-        if not picks or tuple(row) != tuple(picks[-1]):
-            picks.append(row)
-    return [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(key_names, row)])
-            for row in picks]
 
 
 def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
@@ -81,9 +39,9 @@ def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     row number) within ``group_cols``, ordered by ``order_cols``.
 
     The order key must be unique within a group (callers pass distinct
-    values or a unique key); group and order columns must be non-null.
-    ``materialize`` writes the input to the checkpoint folder first, since
-    it is read up to four times (count, sample, bucket sums, final pass);
+    values or a unique key).  Null groups form one group; null order values
+    come first.  ``materialize`` writes the input to the checkpoint folder
+    first, since it is read several times (count, range bounds, buckets);
     ``n_rows`` (the input's row count, when the caller knows it) saves the
     count job.
     """
@@ -100,22 +58,20 @@ def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
             Window.unboundedPreceding, Window.currentRow)
         return base.withColumn(out, F.sum("_m").over(w)).drop("_m")
 
-    key_names = group_cols + order_cols
-    if n_buckets <= LITERAL_BUCKETS:
-        bucketed = base.withColumn("_bucket", _bucket_expr(
-            F.struct(*[F.col(c) for c in key_names]), _sample_bounds(base, key_names, n, n_buckets)))
-    else:
-        bucketed = cut_lineage(
-            base.repartitionByRange(n_buckets, *[F.col(c).asc() for c in key_names])
-            .withColumn("_bucket", F.spark_partition_id()), "buckets")
-
+    bucketed = cut_lineage(
+        base.repartitionByRange(n_buckets, *[F.col(c).asc() for c in group_cols + order_cols])
+        .withColumn("_bucket", F.spark_partition_id()), "buckets")
     sums = bucketed.groupBy(*group_cols, "_bucket").agg(F.sum("_m").alias("_bsum"))
     before = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = sums.select(*group_cols, "_bucket",
+    offsets = sums.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)],
+                          F.col("_bucket").alias("_b"),
                           F.coalesce(F.sum("_bsum").over(before), F.lit(0)).alias("_off"))
     # Offsets hold at most n_buckets + (number of groups) rows.
-    joined = join_small(bucketed, offsets, on=group_cols + ["_bucket"], how="inner")
+    same = F.col("_bucket") == F.col("_b")
+    for i, c in enumerate(group_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    joined = join_small(bucketed, offsets, on=same, how="inner")
     w = Window.partitionBy(*group_cols, "_bucket").orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     # Same column order as the single-bucket path: input columns, then out.

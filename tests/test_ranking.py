@@ -34,10 +34,9 @@ def test_dense_index_strings(spark):
     assert m == {v: i for i, v in enumerate(sorted(m))}
 
 
-def test_running_total_range_partitioner_path(spark, monkeypatch):
+def test_running_total_range_partitioner_path(spark):
     import tabloom.functions.ranking as rk
 
-    monkeypatch.setattr(rk, "LITERAL_BUCKETS", 2)
     li = spark.read.parquet(f"{SF01}/lineitem.parquet")
     vals = li.groupBy("l_returnflag", "l_extendedprice").agg(F.count("*").alias("n"))
     got = rk.running_total(vals, ["l_returnflag"], ["l_extendedprice"], measure="n",
@@ -47,12 +46,20 @@ def test_running_total_range_partitioner_path(spark, monkeypatch):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_running_total_long_text_keys(spark, monkeypatch):
+def test_running_total_long_text_keys(spark):
     import tabloom.functions.ranking as rk
 
-    monkeypatch.setattr(rk, "BOUND_CHARS", 3)        # boundaries are 3-char prefixes
     d = spark.read.parquet(f"{SF01}/documents.parquet").select(
         F.lit("t").alias("g"), F.concat("text", "doc_id").alias("v"))
     got = rk.running_total(d, ["g"], ["v"], rows_per_bucket=100)
     want = d.withColumn("cum", F.row_number().over(Window.partitionBy("g").orderBy("v")).cast("bigint"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_running_total_keeps_null_groups(spark):
+    rows = [(None if i % 4 == 0 else i % 3, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "g int, v int")
+    small = running_total(df, ["g"], ["v"])
+    large = running_total(df, ["g"], ["v"], rows_per_bucket=37)
+    assert large.count() == 1000
+    assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
