@@ -13,10 +13,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabloom.functions.columns import MAX_BROADCAST_ROWS, is_numeric_type, join_small
+from tabloom.functions.columns import FLOAT_TYPES, MAX_BROADCAST_ROWS, is_numeric_type, join_small
 from tabloom.functions.ranking import running_total
 from tabloom.operators.impute import FillParams, apply_fill, fit_fill
 from tabloom.session import cut_lineage
@@ -36,6 +37,26 @@ class CategoryMap:
     sizes: dict[str, int]       # distinct values per column
 
 
+def _family(dt: T.DataType) -> str:
+    """The type that orders a column's values: text, integer, decimal or double."""
+    if not is_numeric_type(dt):
+        return "string"
+    if isinstance(dt, T.DecimalType):
+        return dt.simpleString()
+    return "double" if isinstance(dt, FLOAT_TYPES) else "bigint"
+
+
+def _typed(c: str, dt: T.DataType) -> Column:
+    """The column with -0.0 read as 0.0 (one category)."""
+    return F.when(F.col(c) == 0, F.lit(0.0).cast(dt)).otherwise(F.col(c)) \
+        if isinstance(dt, FLOAT_TYPES) else F.col(c)
+
+
+def category_text(c: str, dt: T.DataType) -> Column:
+    """A value as the map's text."""
+    return _typed(c, dt).cast("string")
+
+
 def fit_categories(df: DataFrame, columns: Sequence[str]) -> CategoryMap:
     """Distinct non-null values of each column, indexed in ascending order."""
     columns = list(columns)
@@ -43,47 +64,37 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> CategoryMap:
     missing = [c for c in columns if c not in types]
     if missing:
         raise KeyError(f"columns not found: {missing}")
-    num = [c for c in columns if is_numeric_type(types[c])]
-    txt = [c for c in columns if not is_numeric_type(types[c])]
+    # one typed order column per type family: integers compare as integers
+    families: dict[str, list[str]] = {}
+    for c in columns:
+        families.setdefault(_family(types[c]), []).append(c)
     parts = []
-    if num:
-        parts.append(df.select(*[F.struct(F.col(c).cast("double").alias("num"),
-                                          F.col(c).cast("string").alias("value")).alias(c)
-                                 for c in num])
-                     .unpivot([], num, "column_name", "v")
-                     .select("column_name", "v.num", "v.value"))
-    if txt:
-        parts.append(df.select(*[F.col(c).cast("string").alias(c) for c in txt])
-                     .unpivot([], txt, "column_name", "value")
-                     .select("column_name", F.lit(None).cast("double").alias("num"), "value"))
-    union = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    for i, (family, cols) in enumerate(families.items()):
+        rows = df.select(*[F.struct(_typed(c, types[c]).cast(family).alias("v"),
+                                    category_text(c, types[c]).alias("value")).alias(c) for c in cols])
+        parts.append(rows.unpivot([], cols, "column_name", "v").select(
+            "column_name", "v.value", *[(F.col("v.v") if j == i else F.lit(None).cast(f)).alias(f"_k{j}")
+                                        for j, f in enumerate(families)]))
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
     # Distinct values written once; every later step reads this small table.
     distinct = cut_lineage(union.where(F.col("value").isNotNull()).distinct())
     sizes = {r["column_name"]: r["n"] for r in
              distinct.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(sizes.values())
+    order = [f"_k{j}" for j in range(len(families))]
     if max(sizes.values(), default=0) <= SMALL_MAP_ROWS:
-        # Numbers order by value (num), text by bytes (num is NULL there).
-        w = Window.partitionBy("column_name").orderBy("num", "value")
+        w = Window.partitionBy("column_name").orderBy(*order)
         table = distinct.select("column_name", "value",
                                 (F.row_number().over(w) - 1).cast("int").alias("idx"))
         if total > LAZY_MAP_ROWS:
             table = cut_lineage(table)
     else:
-        ranked = []
-        if num:
-            part = distinct.where(F.col("num").isNotNull())
-            ranked.append(running_total(part, ["column_name"], ["num"], out="_rn",
-                                        materialize=False,
-                                        n_rows=sum(sizes.get(c, 0) for c in num)))
-        if txt:
-            part = distinct.where(F.col("num").isNull())
-            ranked.append(running_total(part, ["column_name"], ["value"], out="_rn",
-                                        materialize=False,
-                                        n_rows=sum(sizes.get(c, 0) for c in txt)))
-        both = ranked[0] if len(ranked) == 1 else ranked[0].unionByName(ranked[1])
-        table = cut_lineage(both.select("column_name", "value",
-                                        (F.col("_rn") - 1).cast("int").alias("idx")))
+        ranked = running_total(distinct, ["column_name"], order, out="_rn", materialize=False,
+                               n_rows=total)
+        table = cut_lineage(ranked.select("column_name", "value",
+                                          (F.col("_rn") - 1).cast("int").alias("idx")))
     return CategoryMap(table=table, sizes={c: sizes.get(c, 0) for c in columns})
 
 
@@ -92,12 +103,12 @@ def apply_categories(df: DataFrame, cmap: CategoryMap, columns: Sequence[str] |
                      max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Add ``<c><suffix>`` INT for each mapped column; originals are kept."""
     cols = list(columns) if columns is not None else list(cmap.sizes)
-    out = df
+    out, types = df, {f.name: f.dataType for f in df.schema.fields}
     for i, c in enumerate(cols):
         v, ix = f"_cat_v{i}", f"_cat_i{i}"
         side = cmap.table.where(F.col("column_name") == c).select(F.col("value").alias(v),
                                                               F.col("idx").alias(ix))
-        out = join_small(out, side, on=F.col(c).cast("string") == F.col(v), how="left",
+        out = join_small(out, side, on=category_text(c, types[c]) == F.col(v), how="left",
                          max_rows=max_broadcast_rows, small_rows=cmap.sizes.get(c))
         out = out.withColumn(f"{c}{suffix}",
                              F.when(F.col(c).isNull(), F.lit(None))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.columns import is_numeric_type
-from tabloom.operators.profile import APPROX_ACCURACY, exact_medians, long_numeric, value_counts
+from tabloom.operators.profile import APPROX_ACCURACY, exact_medians, value_counts
 
 STRATEGIES = ("mean", "median", "mode")
 # The fill used when a column has no non-null value.
@@ -36,7 +36,7 @@ class FillParams:
 
 def _check_strategy(strategy: str) -> None:
     if strategy not in STRATEGIES:
-        raise ValueError(f"Fill strategy must be one of: {', '.join(STRATEGIES)}")
+        raise ValueError(f"unknown fill strategy {strategy!r}; known: {', '.join(STRATEGIES)}")
 
 
 def _missing_as_null(df: DataFrame, columns: Sequence[str], nan_as_null: bool) -> DataFrame:
@@ -47,23 +47,30 @@ def _missing_as_null(df: DataFrame, columns: Sequence[str], nan_as_null: bool) -
     return df.withColumns({c: F.when(F.isnan(c), None).otherwise(F.col(c)) for c in floats})
 
 
+def mode_groups(columns: Sequence[str], types: dict) -> list[list[str]]:
+    """Columns that can be counted together without changing a value: numbers of
+    one type, and all others (as text)."""
+    groups: dict[str, list[str]] = {}
+    for c in columns:
+        groups.setdefault(types[c].simpleString() if is_numeric_type(types[c]) else "text", []).append(c)
+    return list(groups.values())
+
+
 def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Any]:
     """Most frequent non-null value per column, ties to the smaller value.
 
-    Numeric columns are compared as numbers, all others as text.  One
-    ``groupBy(column, value)`` per type family with map-side combine; the
-    result is one value per column."""
+    Numeric columns are counted and compared in their own type (large integers
+    stay exact), all others as text.  One ``groupBy(column, value)`` per type with
+    map-side combine; the result is one value per column."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    num = [c for c in columns if is_numeric_type(types[c])]
-    txt = [c for c in columns if not is_numeric_type(types[c])]
     order = F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("v"))
     out: dict[str, Any] = {}
-    if num:
-        counts = long_numeric(df, num).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-        for r in counts.groupBy("column_name").agg(F.min_by("value", order).alias("m")).collect():
-            out[r["column_name"]] = r["m"]
-    if txt:
-        counts = value_counts(df, txt).where(F.col("value").isNotNull())
+    for group in mode_groups(columns, types):
+        counts = value_counts(df, group).where(F.col("value").isNotNull()) \
+            if not is_numeric_type(types[group[0]]) else \
+            df.select(*group).unpivot([], group, "column_name", "value").where(
+                F.col("value").isNotNull()).groupBy("column_name", "value").agg(
+                F.count(F.lit(1)).alias("n"))
         for r in counts.groupBy("column_name").agg(F.min_by("value", order).alias("m")).collect():
             out[r["column_name"]] = r["m"]
     return out

@@ -9,9 +9,9 @@ the same rows are chosen by DuckDB's ``md5`` on the same table.
   a unique key): the cut value is found with two bounded prefix-count
   aggregates (at most 65,536 groups each) and a tiny final group, then the
   split is a filter.  No global sort, nothing funnels through one task.
-* ``kfold``: ``bucket32 % k``; ``stratified_kfold``: rank within the class
-  by (hash, key), dealt round-robin into k folds, via a bucketed running
-  total so one dominant class is still spread over many tasks.
+* ``kfold``: ``bucket32 % k``; ``stratified_kfold``: rank of the distinct keys
+  within the class by (hash, key), dealt round-robin into k folds, via a
+  bucketed running total so one dominant class is still spread over many tasks.
 """
 
 from __future__ import annotations
@@ -79,12 +79,13 @@ def _exact_cut(hashed: DataFrame, key_cols: list[str], ratio: float) -> Column:
         if acc >= need:
             cut = g
             break
-    # Lexicographic (hash, key...) <= cut.
+    # Lexicographic (hash, key...) <= cut; nulls come first.
     names = [HASH] + key_cols
-    cond = F.col(names[-1]) <= F.lit(cut[names[-1]])
-    for name in reversed(names[:-1]):
-        val = F.lit(cut[name])
-        cond = (F.col(name) < val) | ((F.col(name) == val) & cond)
+    cond = F.lit(True)
+    for name in reversed(names):
+        same = F.col(name).eqNullSafe(F.lit(cut[name]))
+        less = F.lit(False) if cut[name] is None else F.coalesce(F.col(name) < F.lit(cut[name]), F.lit(True))
+        cond = less | (same & cond)
     return cond
 
 
@@ -141,14 +142,20 @@ def kfold(df: DataFrame, key, k: int = 5, seed: int = 42, out: str = "fold") ->
 
 def stratified_kfold(df: DataFrame, key, label: str, k: int = 5, seed: int = 42,
                      out: str = "fold", **kw) -> DataFrame:
-    """Within each class, rows ranked by (hash, key) are dealt into folds
-    0..k-1 in turn, so every fold holds each class to within one row."""
+    """Within each class, the distinct keys ranked by (hash, key) are dealt into
+    folds 0..k-1 in turn: rows that share class and key stay in one fold, and with
+    a unique key every fold holds each class to within one row.  Rows with a null
+    label are a class of their own."""
     if k < 2:
         raise ValueError("k must be at least 2")
     keys = _key_cols(key)
     hashed = with_split_hash(df, keys, seed)
-    # The count, sample and bucket-sum passes read only (label, key); the
-    # input is re-read rather than copied to the checkpoint folder.
-    kw.setdefault("materialize", False)
-    ranked = running_total(hashed, [label], [HASH] + keys, out="_rank", **kw)
-    return ranked.withColumn(out, ((F.col("_rank") - 1) % k).cast("int")).drop("_rank", HASH)
+    names = [label, HASH, *[c for c in keys if c != label]]
+    groups = hashed.select(*names).distinct()
+    ranked = running_total(groups, [label], names[1:], out="_rank", **kw)
+    side = ranked.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(names)],
+                         ((F.col("_rank") - 1) % k).cast("int").alias(out))
+    same = F.lit(True)
+    for i, c in enumerate(names):
+        same = same & F.col(c).eqNullSafe(F.col(f"_s{i}"))
+    return hashed.join(side, same).select(*df.columns, out)

@@ -29,11 +29,54 @@ def test_bucketed_category_map_equal_direct(spark, monkeypatch):
     o = spark.read.parquet(f"{SF01}/orders.parquet")
     cols = ["o_custkey", "o_orderpriority"]
     small = {tuple(r) for r in encode.fit_categories(o, cols).table.collect()}
-    monkeypatch.setattr(encode, "SMALL_MAP_ROWS", 3)
+    _force_buckets(monkeypatch, 100)
     big = {tuple(r) for r in encode.fit_categories(o, cols).table.collect()}
     assert small == big and len(small) > 1000
 
 
+def _force_buckets(monkeypatch, rows):
+    """The large path, with several buckets."""
+    from functools import partial
+
+    from tabloom.functions.ranking import running_total
+
+    monkeypatch.setattr(encode, "SMALL_MAP_ROWS", 3)
+    monkeypatch.setattr(encode, "running_total", partial(running_total, rows_per_bucket=rows))
+
+
+def test_category_order_of_large_integers_and_mixed_types(spark, monkeypatch):
+    rows = [(2 ** 53 + i, float(i % 9) / 4, f"v{i}", i % 2 == 0) for i in range(200)] + [(None,) * 4]
+    df = spark.createDataFrame(rows, "k bigint, x double, s string, b boolean").withColumn(
+        "d", F.expr("cast(k as decimal(25, 3)) / 7"))
+    cols = ["k", "x", "s", "b", "d"]
+    small = {tuple(r) for r in encode.fit_categories(df, cols).table.collect()}
+    assert {i for c, v, i in small if c == "k" and int(v) - 2 ** 53 != i} == set()
+    _force_buckets(monkeypatch, 20)
+    assert {tuple(r) for r in encode.fit_categories(df, cols).table.collect()} == small
+
+
+def test_stratified_folds_with_null_labels_and_repeated_keys(spark):
+    rows = [(i // 2, None if i % 4 < 2 else "y" if i % 8 < 6 else "n") for i in range(2000)] + [(None, "y")] * 3
+    df = spark.createDataFrame(rows, "id long, label string")
+    a = split.stratified_kfold(df, "id", "label", 4)
+    b = split.stratified_kfold(df, "id", "label", 4, rows_per_bucket=100)
+    assert a.count() == b.count() == len(rows)
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert a.groupBy("id", "label").agg(F.countDistinct("fold").alias("n")).where("n > 1").count() == 0
+    assert a.where("fold is null").count() == 0
+
+
+def test_splits_with_null_keys(spark):
+    df = spark.createDataFrame([(None if i % 5 == 0 else i,) for i in range(500)], "id long")
+    for mode in ("hash", "exact"):
+        parts = {r["split"]: r["count"] for r in split.holdout_split(df, "id", 0.3, 1, mode=mode)
+                 .groupBy("split").count().collect()}
+        assert sum(parts.values()) == 500
+        per = split.holdout_split(df, "id", 0.3, 1, mode=mode).where("id is null").select("split").distinct()
+        assert per.count() == 1
+    assert split.kfold(df, "id", 3).where("fold is null").count() == 0
+
+
 def test_direct_median_budget(monkeypatch):
     monkeypatch.setattr(profile, "MEDIAN_DIRECT_TOTAL", 150)
     direct, big = profile.split_by_distinct(None, ["a", "b", "c"],

@@ -6,18 +6,15 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import encode, impute, profile, scale
 
-F3 = [("Adelie", "Torgersen", 39.1, 18.7), ("Adelie", "Torgersen", 39.5, 17.4),
-      ("Gentoo", "Biscoe", 46.5, 13.2), ("Chinstrap", "Dream", 46.1, 17.9),
-      (None, None, None, None)]
-F3_SCHEMA = "species string, island string, culmen_length_mm double, culmen_depth_mm double"
+F3 = [("ketch", "Oslo", 12.0, 2.5), ("ketch", "Bergen", 20.0, 1.5), ("sloop", "Oslo", 10.0, 3.5),
+      ("yawl", "Malmo", 14.0, 2.5), (None, None, None, None)]
+F3_SCHEMA = "kind string, port string, length_m double, draught_m double"
 
-F4 = [("Adelie", "Torgersen", 39.1, 18.7, 181, 3750, "MALE"),
-      ("Adelie", "Torgersen", None, 17.4, 186, 3800, "FEMALE"),
-      ("Gentoo", "Biscoe", 46.5, 13.2, 230, None, "FEMALE"),
-      (None, "Dream", 46.1, None, None, 3500, "MALE"),
-      ("Chinstrap", None, 39.5, 18.0, 195, 4500, None)]
-F4_SCHEMA = ("species string, island string, culmen_length_mm double, culmen_depth_mm double, "
-             "flipper_length_mm bigint, body_mass_g bigint, sex string")
+F4 = [("ketch", "Oslo", 12.0, 2.5, 4, 1990, "N"), ("ketch", "Oslo", None, 1.5, 6, 2001, "S"),
+      ("sloop", "Bergen", 20.0, 3.5, 10, None, "S"), (None, "Malmo", 16.0, None, None, 1990, "N"),
+      ("yawl", None, 8.0, 2.5, 4, 1975, None)]
+F4_SCHEMA = ("kind string, port string, length_m double, draught_m double, crew bigint, built bigint, "
+             "flag string")
 
 
 @pytest.fixture
@@ -32,49 +29,46 @@ def f4(spark):
 
 def test_profile_table_f3(f3):
     rows = {r["column_name"]: r for r in profile.profile_table(f3).collect()}
-    assert rows["species"]["non_null"] == 4 and rows["species"]["null_count"] == 1
-    assert rows["species"]["unique_count"] == 4
-    assert rows["culmen_length_mm"]["unique_count"] == 5
-    c = rows["culmen_length_mm"]
-    assert (c["min_value"], c["max_value"]) == (39.1, 46.5)
-    assert c["mean"] == pytest.approx(42.8) and c["median"] == pytest.approx(42.8)
-    assert c["std_dev"] == pytest.approx(4.048045, abs=1e-6)
-    d = rows["culmen_depth_mm"]
-    assert d["mean"] == pytest.approx(16.8) and d["median"] == pytest.approx(17.65)
-    assert d["std_dev"] == pytest.approx(2.458997, abs=1e-6)
-    assert rows["species"]["mode"] == "Adelie" and rows["island"]["mode"] == "Torgersen"
-    assert float(c["mode"]) == 39.1 and float(d["mode"]) == 13.2
-    assert rows["species"]["min_value"] is None
+    assert rows["kind"]["non_null"] == 4 and rows["kind"]["null_count"] == 1
+    assert rows["kind"]["unique_count"] == 4
+    assert rows["length_m"]["unique_count"] == 5 and rows["draught_m"]["unique_count"] == 4
+    c = rows["length_m"]
+    assert (c["min_value"], c["max_value"]) == (10.0, 20.0)
+    assert c["mean"] == pytest.approx(14.0) and c["median"] == pytest.approx(13.0)
+    assert c["std_dev"] == pytest.approx(4.320494, abs=1e-6)
+    d = rows["draught_m"]
+    assert d["mean"] == pytest.approx(2.5) and d["median"] == pytest.approx(2.5)
+    assert d["std_dev"] == pytest.approx(0.816497, abs=1e-6)
+    assert rows["kind"]["mode"] == "ketch" and rows["port"]["mode"] == "Oslo"
+    assert float(c["mode"]) == 10.0 and float(d["mode"]) == 2.5
+    assert rows["kind"]["min_value"] is None
 
 
 def test_profile_summary_and_top(f3):
     s = profile.profile_summary(f3, "sample", "x.csv").first()
     assert (s["row_count"], s["column_count"]) == (5, 4)
-    top = profile.top_values(f3, ["species"], k=5).orderBy("value_rank").collect()
-    assert [r["value"] for r in top] == ["Adelie", "Chinstrap", "Gentoo"]
+    top = profile.top_values(f3, ["kind"], k=5).orderBy("value_rank").collect()
+    assert [r["value"] for r in top] == ["ketch", "sloop", "yawl"]
     assert top[0]["percent"] == pytest.approx(50.0)
 
 
 @pytest.mark.parametrize("strategy,expect", [
-    ("mean", {"culmen_length_mm": 42.8, "culmen_depth_mm": 16.825, "flipper_length_mm": 198.0,
-              "body_mass_g": 3887.5}),
-    ("median", {"culmen_length_mm": 42.8, "culmen_depth_mm": 17.7, "flipper_length_mm": 190.5,
-                "body_mass_g": 3775.0}),
-    ("mode", {"culmen_length_mm": 39.1, "culmen_depth_mm": 13.2, "flipper_length_mm": 181,
-              "body_mass_g": 3500}),
+    ("mean", {"length_m": 14.0, "draught_m": 2.5, "crew": 6.0, "built": 1989.0}),
+    ("median", {"length_m": 14.0, "draught_m": 2.5, "crew": 5.0, "built": 1990.0}),
+    ("mode", {"length_m": 8.0, "draught_m": 2.5, "crew": 4, "built": 1990}),
 ])
 def test_fit_fill_strategies(f4, strategy, expect):
-    num = ["culmen_length_mm", "culmen_depth_mm", "flipper_length_mm", "body_mass_g"]
-    p = impute.fit_fill(f4, num, ["species", "island", "sex"], strategy)
+    num = ["length_m", "draught_m", "crew", "built"]
+    p = impute.fit_fill(f4, num, ["kind", "port", "flag"], strategy)
     for c, v in expect.items():
         assert p.values[c] == pytest.approx(v)
-    assert p.values["species"] == "Adelie" and p.values["sex"] == "FEMALE"
+    assert p.values["kind"] == "ketch" and p.values["flag"] == "N"
     out = impute.apply_fill(f4, p)
     assert out.where(" or ".join(f"{c} is null" for c in out.columns)).count() == 0
     if strategy != "mode":
-        assert dict(out.dtypes)["flipper_length_mm"] == "double"
+        assert dict(out.dtypes)["crew"] == "double"
     else:
-        assert dict(out.dtypes)["flipper_length_mm"] == "bigint"
+        assert dict(out.dtypes)["crew"] == "bigint"
 
 
 def test_fill_all_null_defaults(spark):
@@ -85,33 +79,45 @@ def test_fill_all_null_defaults(spark):
 
 def test_bad_strategy(f4):
     with pytest.raises(ValueError):
-        impute.fit_fill(f4, ["body_mass_g"], [], "max")
+        impute.fit_fill(f4, ["built"], [], "max")
 
 
 def test_encode_fit_apply(f4, spark):
-    filled = impute.impute(f4, [], ["species", "island", "sex"], "mode")
-    cmap = encode.fit_categories(filled, ["species", "island", "sex"])
+    filled = impute.impute(f4, [], ["kind", "port", "flag"], "mode")
+    cmap = encode.fit_categories(filled, ["kind", "port", "flag"])
     out = encode.apply_categories(filled, cmap).collect()
     for r in out:
-        assert r["species_encoded"] == {"Adelie": 0, "Chinstrap": 1, "Gentoo": 2}[r["species"]]
-        assert r["sex_encoded"] == {"FEMALE": 0, "MALE": 1}[r["sex"]]
-    other = spark.createDataFrame([("Emperor",), (None,), ("Gentoo",)], "species string")
-    got = [r["species_encoded"] for r in encode.apply_categories(other, cmap, ["species"])
-           .orderBy(F.col("species").asc_nulls_first()).collect()]
+        assert r["kind_encoded"] == {"ketch": 0, "sloop": 1, "yawl": 2}[r["kind"]]
+        assert r["flag_encoded"] == {"N": 0, "S": 1}[r["flag"]]
+    other = spark.createDataFrame([("brig",), (None,), ("yawl",)], "kind string")
+    got = [r["kind_encoded"] for r in encode.apply_categories(other, cmap, ["kind"])
+           .orderBy(F.col("kind").asc_nulls_first()).collect()]
     assert got == [None, -1, 2]
-    assert dict(encode.apply_categories(other, cmap, ["species"]).dtypes)["species_encoded"] == "int"
+    assert dict(encode.apply_categories(other, cmap, ["kind"]).dtypes)["kind_encoded"] == "int"
+
+
+def test_negative_zero_is_one_category(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (1.5,)], "x double")
+    cmap = encode.fit_categories(df, ["x"])
+    assert cmap.sizes == {"x": 2}
+    assert sorted(r["x_encoded"] for r in encode.apply_categories(df, cmap).collect()) == [0, 0, 1]
+
+
+def test_mode_of_large_integers_is_exact(spark):
+    big = 2 ** 53
+    df = spark.createDataFrame([(big + 1,)] * 3 + [(big,)] * 2, "x bigint")
+    assert impute.fit_fill(df, ["x"], [], "mode").values["x"] == big + 1
 
 
 def test_zscore_f5(spark):
-    rows = [(39.1, 18.7, 181, 3750), (46.1, 13.2, 211, 4500), (39.5, 17.4, 186, 3800),
-            (46.5, 17.9, 192, 3500), (39.5, 17.4, 186, 3800)]
+    rows = [(1.0, 18.0, 3, 10), (2.0, 13.0, 1, 45), (3.0, 17.0, 6, 38), (4.0, 17.5, 2, 35), (5.0, 17.0, 6, 38)]
     df = spark.createDataFrame(rows, "a double, b double, c bigint, d bigint")
     p = scale.fit_zscore(df, ["a", "b", "c", "d", "nope"])
-    assert p.stats["a"][0] == pytest.approx(42.14)
-    assert p.stats["a"][1] == pytest.approx(3.803682, abs=1e-6)
+    assert p.stats["a"][0] == pytest.approx(3.0)
+    assert p.stats["a"][1] == pytest.approx(1.581139, abs=1e-6)
     out = scale.apply_zscore(df, p)
-    a = [r["a_norm"] for r in out.collect()]
-    assert a[0] == pytest.approx(-0.799226, abs=1e-6)
+    a = sorted(r["a_norm"] for r in out.collect())
+    assert a[0] == pytest.approx(-1.264911, abs=1e-6)
     st = out.agg(F.avg("a_norm").alias("m"), F.stddev_samp("a_norm").alias("s")).first()
     assert abs(st["m"]) < 1e-10 and abs(st["s"] - 1) < 1e-10
 
@@ -124,10 +130,9 @@ def test_zscore_zero_and_single(spark):
 
 
 def test_extract_features_selects_and_normalizes(f4):
-    out = scale.extract_features(f4, ["culmen_length_mm", "island", "missing_col", "body_mass_g"])
-    assert out.columns == ["culmen_length_mm", "island", "body_mass_g", "culmen_length_mm_norm",
-                           "body_mass_g_norm"]
-    assert not math.isnan(out.agg(F.sum("body_mass_g_norm")).first()[0])
+    out = scale.extract_features(f4, ["length_m", "port", "missing_col", "built"])
+    assert out.columns == ["length_m", "port", "built", "length_m_norm", "built_norm"]
+    assert not math.isnan(out.agg(F.sum("built_norm")).first()[0])
 
 
 def test_approx_distinct_close(spark):
