@@ -30,7 +30,7 @@ AVERAGES = ("micro", "macro", "weighted")
 def validate_metrics(metrics: Sequence[str], average: str = "macro") -> None:
     for m in metrics:
         if m not in METRICS:
-            raise ValueError(f"Metric '{m}' not supported. Must be one of: {', '.join(METRICS)}")
+            raise ValueError(f"unknown metric {m!r}; known metrics: {', '.join(METRICS)}")
     if average not in AVERAGES:
         raise ValueError(f"average must be one of: {', '.join(AVERAGES)}")
 
@@ -57,27 +57,18 @@ def label_set(df: DataFrame | None = None, actual: str = "actual", predicted: st
             .distinct().orderBy("label"))
 
 
-MAX_LABELS = 10_000
-
-
 def confusion_matrix(df: DataFrame | None = None, actual: str = "actual",
-                     predicted: str = "predicted", counts: DataFrame | None = None,
-                     max_labels: int = MAX_LABELS) -> DataFrame:
+                     predicted: str = "predicted", counts: DataFrame | None = None) -> DataFrame:
     """Zero-filled (actual, predicted, n) over label set x label set.
 
-    The k x k grid is made by exploding the label list twice; the label
-    count is checked first (at most ``max_labels``), and the counts table has
-    at most k^2 rows, so the join is broadcast.  Above the limit use
-    ``confusion_counts`` (non-zero pairs only)."""
+    Lazy, and k^2 rows for k labels: with many labels use ``confusion_counts``
+    (the pairs that occur).  The grid's rows are made label by label in many
+    tasks."""
     c = counts if counts is not None else confusion_counts(df, actual, predicted)
-    k = label_set(counts=c).limit(max_labels + 1).count()
-    if k > max_labels:
-        raise ValueError(f"{k}+ labels: a zero-filled grid is too large; "
-                         "use confusion_counts instead")
     labels = label_set(counts=c).agg(F.sort_array(F.collect_list("label")).alias("ls"))
-    grid = (labels.select(F.explode("ls").alias("actual"), "ls")
+    grid = (labels.select(F.explode("ls").alias("actual"), "ls").repartition(F.col("actual"))
             .select("actual", F.explode("ls").alias("predicted")))
-    return (grid.join(F.broadcast(c), ["actual", "predicted"], "left")
+    return (grid.join(c, ["actual", "predicted"], "left")
             .select("actual", "predicted", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 
@@ -149,6 +140,8 @@ def metric_table(df: DataFrame | None = None, actual: str = "actual", predicted:
         elif m in ("precision", "recall", "f1"):
             recs.append(F.struct(F.lit(m).alias("metric"),
                                  F.col(f"{m}_{average}").alias("value")))
+    if not recs:  # only metrics that have no count-based value
+        return avg.select(F.lit("").alias("metric"), F.lit(0.0).alias("value")).where(F.lit(False))
     return avg.select(F.inline(F.array(*recs)))
 
 
@@ -225,23 +218,29 @@ def roc_auc_ovr(df: DataFrame, label: str, scores: Mapping[object, str | Column]
                 average: str = "macro", **kw) -> DataFrame:
     """One-vs-rest AUC per class and the average.
 
-    ``scores`` maps each class value to its score column.  Returns rows
-    (class STRING, auc, n_pos, n_neg) plus a final row class='<average>'
-    (macro: plain mean; weighted: by positives)."""
-    if average not in ("macro", "weighted"):
-        raise ValueError("average must be 'macro' or 'weighted'")
+    ``scores`` maps each class value to its score column; a row without a score
+    for a class is left out of that class, as in the binary form.  Returns rows
+    (class STRING, auc, n_pos, n_neg) plus a final row class='<average>' (macro:
+    plain mean; weighted: by positives; micro: all (row, class) pairs as one
+    binary problem)."""
+    if average not in AVERAGES:
+        raise ValueError(f"average must be one of: {', '.join(AVERAGES)}")
     recs = []
     for cls, sc in scores.items():
         s = F.col(sc) if isinstance(sc, str) else sc
         pos = (F.col(label) == F.lit(cls)).cast("bigint")
         recs.append(F.struct(F.lit(str(cls)).alias("class"), s.cast("double").alias("score"),
                              pos.alias("p")))
-    long = df.where(F.col(label).isNotNull()).select(F.inline(F.array(*recs)))
+    long = df.where(F.col(label).isNotNull()).select(F.inline(F.array(*recs))).where(
+        F.col("score").isNotNull())
     g = long.groupBy("class", "score").agg(F.sum("p").alias("pos"),
                                            F.sum(1 - F.col("p")).alias("neg"))
     per = _auc_from_groups(g, ["class"], **kw)
     if average == "macro":
         total = per.agg(F.avg("auc").alias("auc"))
+    elif average == "micro":
+        pooled = g.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        total = _auc_from_groups(pooled, [], **kw).select("auc")
     else:
         total = per.agg(F.try_divide(F.sum(F.col("auc") * F.col("n_pos")),
                                      F.sum("n_pos").cast("double")).alias("auc"))
@@ -254,9 +253,13 @@ def roc_auc_ovr(df: DataFrame, label: str, scores: Mapping[object, str | Column]
 @dataclass
 class Evaluation:
     metrics: DataFrame          # (metric, value)
-    confusion: DataFrame        # zero-filled (actual, predicted, n)
     report: DataFrame           # class report
-    counts: DataFrame           # raw confusion counts
+    counts: DataFrame           # (actual, predicted, n) of the pairs that occur
+
+    @property
+    def confusion(self) -> DataFrame:
+        """Zero-filled (actual, predicted, n); lazy, k^2 rows."""
+        return confusion_matrix(counts=self.counts)
 
 
 def evaluate(predictions: DataFrame, actual: str = "actual", predicted: str = "predicted",
@@ -264,20 +267,21 @@ def evaluate(predictions: DataFrame, actual: str = "actual", predicted: str = "p
              average: str = "macro", scores: Mapping[object, str | Column] | None = None
              ) -> Evaluation:
     """All requested metrics from one confusion aggregate (materialized once;
-    it has at most k^2 rows).  ``roc_auc`` needs ``scores`` (class -> score
-    column); with two classes it is the plain binary AUC of the second one."""
+    one row per pair of labels that occurs).  ``roc_auc`` needs ``scores`` (class
+    -> score column); with two classes it is the plain binary AUC of the second
+    one, otherwise one-vs-rest with the same ``average``."""
     validate_metrics(metrics, average)
+    if "roc_auc" in metrics and not scores:
+        raise ValueError("roc_auc needs a score column per class")
     counts = cut_lineage(confusion_counts(predictions, actual, predicted))
     table = metric_table(actual=actual, predicted=predicted, metrics=metrics, average=average,
                          counts=counts)
-    if "roc_auc" in metrics and scores:
-        avg = "weighted" if average == "weighted" else "macro"
+    if "roc_auc" in metrics:
         if len(scores) == 2:
             cls = list(scores)[1]
             auc = roc_auc_binary(predictions, actual, scores[cls], positive=cls)
         else:
-            auc = roc_auc_ovr(predictions, actual, scores, avg).where(F.col("class") == avg)
+            auc = roc_auc_ovr(predictions, actual, scores, average).where(F.col("class") == average)
         table = table.unionByName(auc.select(F.lit("roc_auc").alias("metric"),
                                              F.col("auc").alias("value")))
-    return Evaluation(metrics=table, confusion=confusion_matrix(counts=counts),
-                      report=class_report(counts=counts), counts=counts)
+    return Evaluation(metrics=table, report=class_report(counts=counts), counts=counts)

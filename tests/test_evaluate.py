@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import evaluate as ev
 
-ACTUAL = [0, 0, 1, 1, 2, 2, 0, 1, 2, 0]
-PRED = [0, 1, 1, 1, 2, 0, 0, 1, 2, 0]
+ACTUAL = [0] * 5 + [1] * 4 + [2] * 3
+PRED = [0, 0, 0, 1, 2] + [1] * 4 + [0, 2, 2]
 
 
 @pytest.fixture
@@ -19,25 +19,25 @@ def _m(df, average):
 
 def test_macro_weighted_micro(f7):
     m = _m(f7, "macro")
-    assert m["accuracy"] == pytest.approx(0.8)
-    assert m["precision"] == pytest.approx(0.833333, abs=1e-6)
-    assert m["recall"] == pytest.approx(0.805556, abs=1e-6)
-    assert m["f1"] == pytest.approx(0.802381, abs=1e-6)
+    assert m["accuracy"] == pytest.approx(0.75)
+    assert m["precision"] == pytest.approx(0.738889, abs=1e-6)
+    assert m["recall"] == pytest.approx(0.755556, abs=1e-6)
+    assert m["f1"] == pytest.approx(0.740741, abs=1e-6)
     w = _m(f7, "weighted")
-    assert (w["precision"], w["recall"], w["f1"]) == pytest.approx((0.825, 0.8, 0.797143), abs=1e-6)
+    assert (w["precision"], w["recall"], w["f1"]) == pytest.approx((0.745833, 0.75, 0.740741), abs=1e-6)
     mi = _m(f7, "micro")
-    assert mi["precision"] == mi["recall"] == pytest.approx(0.8)
-    assert mi["f1"] == pytest.approx(0.8)
+    assert mi["precision"] == mi["recall"] == pytest.approx(0.75)
+    assert mi["f1"] == pytest.approx(0.75)
 
 
 def test_confusion_and_report(f7):
     cm = {(r["actual"], r["predicted"]): r["n"] for r in ev.confusion_matrix(f7).collect()}
-    assert [[cm[(a, p)] for p in range(3)] for a in range(3)] == [[3, 1, 0], [0, 3, 0], [1, 0, 2]]
+    assert [[cm[(a, p)] for p in range(3)] for a in range(3)] == [[3, 1, 1], [0, 4, 0], [1, 0, 2]]
     rep = {r["label"]: r for r in ev.class_report(f7).collect()}
-    assert rep["1"]["f1"] == pytest.approx(0.857143, abs=1e-6)
+    assert rep["1"]["f1"] == pytest.approx(0.888889, abs=1e-6)
     assert rep["2"]["recall"] == pytest.approx(0.666667, abs=1e-6)
-    assert rep["macro avg"]["precision"] == pytest.approx(0.833333, abs=1e-6)
-    assert rep["accuracy"]["f1"] == pytest.approx(0.8)
+    assert rep["macro avg"]["precision"] == pytest.approx(0.738889, abs=1e-6)
+    assert rep["accuracy"]["f1"] == pytest.approx(0.75)
     assert [r["label"] for r in ev.label_set(f7).collect()] == [0, 1, 2]
 
 
@@ -101,9 +101,32 @@ def test_auc_multi_bucket_with_hot_class(spark):
             _brute_auc([(1 if r[0] == c else 0, r[1 + c]) for r in rows]), abs=1e-12)
 
 
-def test_confusion_label_guard(f7):
+def test_many_labels_need_no_grid(spark):
+    df = spark.range(12_000).select(F.col("id").alias("actual"), (F.col("id") % 7).alias("predicted"))
+    e = ev.evaluate(df, metrics=("accuracy",))
+    assert e.metrics.first()["value"] == pytest.approx(7 / 12_000)
+    assert e.counts.count() == 12_000
+
+
+def test_each_metric_alone(spark):
+    df = spark.createDataFrame([(0, 0, 0.1), (1, 1, 0.9)], "actual int, predicted int, s double")
+    scores = {0: F.lit(0.0), 1: "s"}
+    got = ev.evaluate(df, metrics=("roc_auc",), scores=scores).metrics.collect()
+    assert [(r["metric"], r["value"]) for r in got] == [("roc_auc", 1.0)]
+    only = ev.evaluate(df, metrics=("confusion_matrix",))
+    assert only.metrics.count() == 0 and only.confusion.count() == 4
     with pytest.raises(ValueError):
-        ev.confusion_matrix(f7, max_labels=2)
+        ev.evaluate(df, metrics=("roc_auc",))
+
+
+def test_null_scores_count_alike(spark):
+    rows = [(0, 0.1), (0, None), (1, 0.9), (1, None), (1, 0.05)]
+    df = spark.createDataFrame(rows, "y int, s double").withColumn("t", 1 - F.col("s"))
+    one = ev.roc_auc_binary(df, "y", "s").first()["auc"]
+    per = {r["class"]: r["auc"] for r in ev.roc_auc_ovr(df, "y", {0: "t", 1: "s"}, "micro").collect()}
+    assert per["1"] == pytest.approx(one) == pytest.approx(0.5)
+    pooled = [(1 if c == y else 0, s if c == 1 else 1 - s) for y, s in rows if s is not None for c in (0, 1)]
+    assert per["micro"] == pytest.approx(_brute_auc(pooled))
 
 
 def test_auc_absent_class_is_null(spark):
@@ -123,6 +146,6 @@ def test_evaluate_binary_roc_auc(spark):
 
 def test_confusion_wide_f7(f7):
     rows = ev.confusion_wide(f7).collect()
-    assert [[r[str(p)] for p in range(3)] for r in rows] == [[3, 1, 0], [0, 3, 0], [1, 0, 2]]
+    assert [[r[str(p)] for p in range(3)] for r in rows] == [[3, 1, 1], [0, 4, 0], [1, 0, 2]]
     counts = {r["label"]: r["n"] for r in ev.prediction_counts(f7).collect()}
-    assert counts == {0: 4, 1: 4, 2: 2}
+    assert counts == {0: 4, 1: 5, 2: 3}
