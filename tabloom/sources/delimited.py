@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,22 +20,42 @@ NULL_TOKENS = ("NA", ".")
 DELIMITER = ","
 
 _INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
-
-
-def _read_text(spark: SparkSession, path: str, sep: str, header: bool) -> DataFrame:
+_NUMBER_PATTERN = (r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+                   r"|^\s*(NaN|[+-]?Infinity)\s*$")
+# What to do with a row that has too many or too few fields, or with a value
+# that does not fit the declared type.
+ON_BAD = ("raise", "column")
+CORRUPT = "_corrupt"
+
+
+def _read_text(spark: SparkSession, path: str, sep: str, header: bool, multi_line: bool,
+               on_bad: str) -> DataFrame:
+    """All fields as text, quoted as in RFC 4180: a doubled quote inside quotes is
+    a quote, and with ``multi_line`` quotes may hold line breaks (such a file is
+    read by one task)."""
+    if on_bad not in ON_BAD:
+        raise ValueError(f"on_bad must be one of: {', '.join(ON_BAD)}")
+    options = {"header": header, "sep": sep, "inferSchema": False, "quote": '"', "escape": '"',
+               "multiLine": multi_line, "columnPruning": False}
     try:
-        return (spark.read.option("header", header).option("sep", sep)
-                .option("inferSchema", False).option("mode", "PERMISSIVE").csv(path))
+        schema = spark.read.options(**options).csv(path).schema
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            raise FileNotFoundError(f"Dataset file not found: {path}") from e
+            raise FileNotFoundError(f"no delimited file at {path}") from e
         raise
+    if on_bad == "raise":
+        return spark.read.options(**options).schema(schema).option("mode", "FAILFAST").csv(path)
+    return spark.read.options(**options).schema(
+        T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).option(
+        "mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
-def null_tokens_to_null(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
-    toks = list(tokens)
-    return df.select(*[F.when(F.col(c).isin(toks), F.lit(None)).otherwise(F.col(c)).alias(c)
-                       for c in df.columns])
+def null_tokens_to_null(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS,
+                        columns: Sequence[str] | None = None) -> DataFrame:
+    """Missing-value tokens become null in ``columns`` (default: all)."""
+    toks, cols = list(tokens), set(df.columns if columns is None else columns)
+    return df.select(*[F.when(F.col(f"`{c}`").isin(toks), F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c)
+                       if c in cols else F.col(f"`{c}`") for c in df.columns])
 
 
 def infer_types(text: DataFrame) -> dict[str, str]:
@@ -48,8 +68,9 @@ def infer_types(text: DataFrame) -> dict[str, str]:
         present = x.isNotNull()
         as_int = F.expr(f"try_cast(trim(`{c}`) as bigint)")
         not_int = present & ~(x.rlike(_INT_PATTERN) & as_int.isNotNull())
+        not_num = present & ~x.rlike(_NUMBER_PATTERN)
         aggs += [F.count_if(present).alias(f"p{i}"), F.count_if(not_int).alias(f"i{i}"),
-                 F.count_if(present & F.expr(f"try_cast(`{c}` as double)").isNull()).alias(f"d{i}")]
+                 F.count_if(not_num).alias(f"d{i}")]
     row = text.agg(*aggs).first()
     out = {}
     for i, c in enumerate(text.columns):
@@ -64,26 +85,49 @@ def infer_types(text: DataFrame) -> dict[str, str]:
     return out
 
 
+def _declared(c: str, dt: T.DataType, on_bad: str) -> Column:
+    """A text column in its declared type; what does not fit raises, or becomes
+    null (its text is then in the corrupt column)."""
+    value = F.expr(f"try_cast(trim(`{c}`) as {dt.simpleString()})") if not isinstance(
+        dt, T.StringType) else F.col(f"`{c}`")
+    if on_bad == "column" or isinstance(dt, T.StringType):
+        return value.alias(c)
+    bad = F.col(f"`{c}`").isNotNull() & value.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"column {c} ({dt.simpleString()}) cannot hold "),
+                                              F.col(f"`{c}`"))).cast(dt)).otherwise(value).alias(c)
+
+
 def read_delimited(spark: SparkSession, path: str, null_tokens: Sequence[str] = NULL_TOKENS,
                    sep: str = DELIMITER, header: bool = True, infer: bool = True,
-                   schema: T.StructType | str | None = None) -> DataFrame:
+                   schema: T.StructType | str | None = None, multi_line: bool = False,
+                   on_bad: str = "raise") -> DataFrame:
     """Read a delimited file/directory/glob into a typed frame.
 
     ``schema`` (DDL string or StructType) skips inference; otherwise ``infer``
     narrows every column from text.  A missing path raises
-    ``FileNotFoundError`` before any work starts.
+    ``FileNotFoundError`` before any work starts.  Rows with too many or too few
+    fields, and values that do not fit ``schema``, raise when they are read; with
+    ``on_bad='column'`` such rows stay, and column ``_corrupt`` holds the row's
+    text (ragged rows) or the values that did not fit.
     """
-    raw = _read_text(spark, path, sep, header)
-    text = null_tokens_to_null(raw, null_tokens)
+    raw = _read_text(spark, path, sep, header, multi_line, on_bad)
+    fields = [c for c in raw.columns if c != CORRUPT]
+    text = null_tokens_to_null(raw, null_tokens, fields)
+    extra = [F.col(CORRUPT)] if on_bad == "column" else []
     if schema is not None:
         st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-        return text.select(*[F.expr(f"try_cast(`{f.name}` as {f.dataType.simpleString()})")
-                             .alias(f.name) for f in st.fields])
+        typed = [_declared(f.name, f.dataType, on_bad) for f in st.fields]
+        if extra:
+            misfits = [F.when(F.col(f"`{f.name}`").isNotNull() & _declared(f.name, f.dataType, on_bad).isNull(),
+                              F.concat(F.lit(f"{f.name}="), F.col(f"`{f.name}`"))) for f in st.fields]
+            joined = F.nullif(F.concat_ws("; ", *misfits), F.lit(""))
+            extra = [F.coalesce(F.col(CORRUPT), joined).alias(CORRUPT)]
+        return text.select(*typed, *extra)
     if not infer:
         return text
-    types = infer_types(text)
-    return text.select(*[(F.trim(F.col(c)).cast(t) if t != "string" else F.col(c)).alias(c)
-                         for c, t in types.items()])
+    types = infer_types(text.select(*fields))
+    return text.select(*[(F.trim(F.col(f"`{c}`")).cast(t) if t != "string" else F.col(f"`{c}`")).alias(c)
+                         for c, t in types.items()], *extra)
 
 
 def load_summary(df: DataFrame) -> dict[str, int]:
