@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.columns import join_small
-from tabloom.operators.encode import CategoryMap, fit_categories
+from tabloom.operators.encode import CategoryMap, category_text, fit_categories
+from tabloom.session import cut_lineage
 
 MODEL_TYPES = ("random_forest", "svm")
 KERNELS = ("linear", "rbf")
@@ -78,14 +79,12 @@ def canonical_layout(df: DataFrame, key: str | Sequence[str] | None, partitions:
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
-def train_partitions(spark, n_rows: int) -> int:
-    """Partitions for the training layout: about ROWS_PER_TRAIN_PARTITION
-    rows each, at most ``spark.sql.shuffle.partitions``.  Iterative
-    optimizers pay per-task costs on every step, so small training sets use
-    few partitions; the count depends only on the data, keeping fits
-    repeatable."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(cap, math.ceil(n_rows / ROWS_PER_TRAIN_PARTITION)))
+def train_partitions(n_rows: int) -> int:
+    """Partitions for the training layout: about ROWS_PER_TRAIN_PARTITION rows
+    each.  Iterative optimizers pay per-task costs on every step, so small
+    training sets use few partitions; the count depends only on the data,
+    keeping fits repeatable."""
+    return max(1, math.ceil(n_rows / ROWS_PER_TRAIN_PARTITION))
 
 
 # ------------------------------------------------------------------ RBF map
@@ -238,21 +237,24 @@ def train_classifier(df: DataFrame, label: str, features: Sequence[str],
                      layout_partitions: int | None = None) -> Classifier:
     """Fit a classifier on numeric/vector ``features`` to predict ``label``."""
     if model_type not in MODEL_TYPES:
-        raise ValueError(f"Model type must be one of: {', '.join(MODEL_TYPES)}")
+        raise ValueError(f"unknown model type {model_type!r}; known: {', '.join(MODEL_TYPES)}")
     params = dict(hyperparameters or {})
     data, _ = drop_null_target(df, label, count=False)
+    keys = [] if key is None else [key] if isinstance(key, str) else list(key)
+    # written once: labels, counts, weights, sizes and every fit read this table
+    data = cut_lineage(data.select(*dict.fromkeys([*keys, label, *features])), "train-rows")
     labels = fit_categories(data, [label])
     n_classes = labels.sizes[label]
     side = labels.table.where(F.col("column_name") == label).select(
         F.col("value").alias("_lv"), F.col("idx").cast("double").alias("label_idx"))
-    data = join_small(data, side, on=F.col(label).cast("string") == F.col("_lv"), how="inner",
+    data = join_small(data, side, on=category_text(label, df.schema[label].dataType) == F.col("_lv"), how="inner",
                       small_rows=n_classes).drop("_lv")
     weight_col = None
     if params.get("class_weight") == "balanced":
         data = with_class_weights(data, label, "_w")
         weight_col = "_w"
     n_rows = data.count()
-    parts = layout_partitions or train_partitions(df.sparkSession, n_rows)
+    parts = layout_partitions or train_partitions(n_rows)
     data = canonical_layout(data, key, parts)
 
     from pyspark.ml.feature import VectorSizeHint
@@ -312,11 +314,15 @@ def class_scores(clf: Classifier, scored: DataFrame) -> dict[Any, F.Column]:
 
 
 def feature_importance(clf: Classifier) -> DataFrame:
-    """(feature, importance) for forests."""
+    """(feature, importance) for forests: one row per model input; the entries of
+    a vector feature are named ``feature[i]``."""
     rf = clf.model.stages[-1]
     if not hasattr(rf, "featureImportances"):
         raise TypeError("feature importances exist only for forest models")
+    sizes = {s.getInputCol(): s.getSize() for s in clf.model.stages if hasattr(s, "getSize")}
+    names = [n for c in clf.features
+             for n in ([f"{c}[{i}]" for i in range(sizes[c])] if c in sizes else [c])]
     imp = rf.featureImportances.toArray().tolist()
     spark = clf.labels.table.sparkSession
-    rows = list(zip(clf.features, [float(v) for v in imp]))
+    rows = [(n, float(v)) for n, v in zip(names, imp, strict=True)]
     return spark.createDataFrame(rows, "feature string, importance double")

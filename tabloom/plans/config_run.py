@@ -25,9 +25,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.operators import encode, split
-from tabloom.plans.holdout import (CrossValidationResult, PipelineResult, run_cross_validation,
-                                   run_pipeline)
+from tabloom.operators import encode, scale, split, train
+from tabloom.plans.holdout import (CrossValidationResult, PipelineResult, fit_preparation,
+                                   run_cross_validation, run_pipeline)
 from tabloom.plans.tuning import GridResult, grid_search_cv
 from tabloom.sources.delimited import DELIMITER, NULL_TOKENS, read_delimited
 
@@ -72,8 +72,12 @@ def run_from_config(spark: SparkSession, config: Mapping[str, Any], df: DataFram
     test_ratio = float(sp.get("test_ratio", 0.2))
     fill = pre.get("fill_strategy", "median")
     log_path = run_log_path or ex.get("tracking_uri")
-    log = dict(experiment=ex.get("experiment_name"), run=ex.get("run_name"),
-               run_log_path=log_path)
+    name, run = ex.get("experiment_name"), ex.get("run_name")
+    log = dict(experiment=name, run=run, run_log_path=log_path)
+    # a logged run keeps its model beside the log
+    model_path = ex.get("model_path") or (
+        f"{log_path.rstrip('/')}-models/{name}/{run}" if log_path and name and run else None)
+    validation_ratio = float(sp.get("validation_ratio", 0.0))
 
     common = dict(categorical=categorical, numeric=numeric, features=features,
                   model_type=model_type, fill_strategy=fill, normalize=normalize,
@@ -81,28 +85,32 @@ def run_from_config(spark: SparkSession, config: Mapping[str, Any], df: DataFram
 
     if "grid_search" in model:
         gs = dict(model["grid_search"])
-        parts = split.holdout_split(df, key, test_ratio, seed)
+        known, _ = train.drop_null_target(df, target, count=False)
+        parts = split.three_way_split(known, key, test_ratio, validation_ratio, seed) \
+            if validation_ratio > 0 else split.holdout_split(known, key, test_ratio, seed)
         train_part = parts.where(F.col(split.PART) == "train").drop(split.PART)
         folds = split.stratified_kfold(train_part, key, target, int(gs.get("cv", 3)), seed)
         wanted = list(features) if features is not None else (
             numeric + [f"{c}_encoded" for c in categorical])
+        keep = [key, target, "fold"] if isinstance(key, str) else [*key, target, "fold"]
 
         def prepare(tr):
-            prep = encode.fit_preprocess(tr, categorical, numeric, fill)
-            return lambda x: encode.apply_preprocess(x, prep)
+            """The same preparation as the final fit's, from one fold's rows."""
+            prep, fparams, keep_raw = fit_preparation(tr, categorical, numeric, wanted, model_type,
+                                                      fill, normalize)
+            return lambda x: scale.apply_features(encode.apply_preprocess(x, prep), fparams,
+                                                  keep=[c for c in keep if c in x.columns],
+                                                  keep_raw=keep_raw)
 
-        # Names that will not exist after preparation are skipped, as in
-        # feature selection.
-        available = set(df.columns) | {f"{c}_encoded" for c in categorical}
-        feats = [c for c in wanted if c in available]
         n_jobs = int(gs.get("n_jobs", 4))
-        grid = grid_search_cv(folds, target, feats, model_type, gs["param_grid"], "fold",
+        grid = grid_search_cv(folds, target, None, model_type, gs["param_grid"], "fold",
                               base_params=params, scoring=gs.get("scoring", "accuracy"),
                               key=key, prepare=prepare, refit=False,
                               parallelism=4 if n_jobs < 1 else n_jobs)
         best = {**params, **grid.best_params}
         res = run_pipeline(df, target, key, hyperparameters=best, test_ratio=test_ratio,
-                           seed=seed, **common, **log)
+                           seed=seed, validation_ratio=validation_ratio, model_path=model_path,
+                           **common, **log)
         return ConfigRun(kind="grid_search", holdout=res, grid=grid)
 
     if test_ratio == 0.0 and sp.get("cv_folds"):
@@ -113,6 +121,6 @@ def run_from_config(spark: SparkSession, config: Mapping[str, Any], df: DataFram
         return ConfigRun(kind="cross_validation", cross_validation=cv)
 
     res = run_pipeline(df, target, key, hyperparameters=params, test_ratio=test_ratio,
-                       seed=seed, validation_ratio=float(sp.get("validation_ratio", 0.0)),
+                       seed=seed, validation_ratio=validation_ratio, model_path=model_path,
                        **common, **log)
     return ConfigRun(kind="holdout", holdout=res)

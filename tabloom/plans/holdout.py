@@ -54,10 +54,12 @@ class Fitted:
     classifier: train.Classifier
     columns: list[str]
     keep: list[str]
+    keep_raw: bool = True
 
     def prepare(self, df: DataFrame) -> DataFrame:
+        keep = [c for c in self.keep if c in df.columns]  # rows to be scored have no target
         return scale.apply_features(encode.apply_preprocess(df, self.prep), self.features,
-                                    keep=self.keep)
+                                    keep=keep, keep_raw=self.keep_raw)
 
     def predict(self, df: DataFrame) -> DataFrame:
         return train.predict(self.classifier, self.prepare(df))
@@ -71,14 +73,27 @@ def fit_all(train_df: DataFrame, target: str, key, categorical: Sequence[str],
     ``train_df`` only."""
     keys = [key] if isinstance(key, str) else list(key)
     keep = keys + [target]
-    prep = encode.fit_preprocess(train_df, categorical, numeric, fill_strategy,
-                                 exact=exact_median)
-    train_p = encode.apply_preprocess(train_df, prep)
-    fparams = scale.fit_features(train_p, wanted, normalize)
-    train_f = scale.apply_features(train_p, fparams, keep=keep)
+    prep, fparams, keep_raw = fit_preparation(train_df, categorical, numeric, wanted, model_type,
+                                              fill_strategy, normalize, exact_median)
+    train_f = scale.apply_features(encode.apply_preprocess(train_df, prep), fparams, keep=keep,
+                                   keep_raw=keep_raw)
     cols = [c for c in model_inputs(train_f) if c not in keep]
     clf = train.train_classifier(train_f, target, cols, model_type, hyperparameters, key=key)
-    return Fitted(prep=prep, features=fparams, classifier=clf, columns=cols, keep=keep)
+    return Fitted(prep=prep, features=fparams, classifier=clf, columns=cols, keep=keep,
+                  keep_raw=keep_raw)
+
+
+def fit_preparation(train_df: DataFrame, categorical: Sequence[str], numeric: Sequence[str],
+                    wanted: Sequence[str], model_type: str, fill_strategy: str = "median",
+                    normalize: bool = True, exact_median: bool = True
+                    ) -> tuple[encode.Preprocess, scale.FeatureParams, bool]:
+    """Imputation, categories and feature scaling fitted on ``train_df``, and
+    whether raw columns stay beside their z-scores (margins need one scale, so
+    an SVM gets scaled columns only; a forest does not mind)."""
+    prep = encode.fit_preprocess(train_df, categorical, numeric, fill_strategy,
+                                 exact=exact_median)
+    fparams = scale.fit_features(encode.apply_preprocess(train_df, prep), wanted, normalize)
+    return prep, fparams, not (normalize and model_type == "svm")
 
 
 def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
@@ -131,9 +146,9 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
                   "test_ratio": test_ratio, "validation_ratio": validation_ratio, "seed": seed,
                   "fill_strategy": fill_strategy}
         runlog.log_run(df.sparkSession, run_log_path, experiment, run, params=params,
-                       metrics=ev.metrics, confusion=ev.confusion, report=ev.report)
+                       metrics=ev.metrics, confusion=ev.counts, report=ev.report)
     if model_path:
-        models.save_classifier(clf, model_path)
+        models.save_fitted(fitted, model_path)
     return PipelineResult(classifier=clf, preprocess=prep, features=fparams, evaluation=ev,
                           predictions=scored.select(*keys, target, "prediction"),
                           dropped_rows=dropped, feature_columns=feat_cols,
@@ -144,6 +159,7 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
 class CrossValidationResult:
     per_fold: DataFrame          # (fold, metric, value)
     summary: DataFrame           # (metric, mean, std)
+    confusion: DataFrame         # (fold, actual, predicted, n) of the pairs that occur
 
 
 def run_cross_validation(df: DataFrame, target: str, key: str | Sequence[str],
@@ -181,13 +197,17 @@ def run_cross_validation(df: DataFrame, target: str, key: str | Sequence[str],
     def predict(fitted, te):
         return fitted.predict(te.drop("fold"))
 
-    count_metrics = [m for m in metrics if m in ("accuracy", "precision", "recall", "f1")]
+    counts: list[DataFrame] = []
     per, summary = cross_validate(with_folds, "fold", fit, predict, target, "prediction",
-                                  count_metrics, average, persist=False,
-                                  parallelism=parallelism)
+                                  metrics, average, persist=False, parallelism=parallelism,
+                                  scores=lambda f, scored: train.class_scores(f.classifier, scored),
+                                  confusion_out=counts)
     if run_log_path and experiment and run:
         params = {"model_type": model_type, **dict(hyperparameters or {}), "cv_folds": folds,
                   "stratified": stratified, "seed": seed, "fill_strategy": fill_strategy}
         runlog.log_run(df.sparkSession, run_log_path, experiment, run, params=params,
                        metrics=summary.select("metric", F.col("mean").alias("value")))
-    return CrossValidationResult(per_fold=per, summary=summary)
+    confusion = counts[0]
+    for c in counts[1:]:
+        confusion = confusion.unionByName(c)
+    return CrossValidationResult(per_fold=per, summary=summary, confusion=confusion)

@@ -12,12 +12,11 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.evaluate import metric_table
+from tabloom.operators.evaluate import evaluate, metric_table
 from tabloom.session import cut_lineage
 
 
@@ -26,33 +25,38 @@ def cross_validate(df: DataFrame, fold_col: str, fit: Callable[[DataFrame], Any]
                    predicted: str = "prediction",
                    metrics: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
                    average: str = "macro", persist: bool = True,
-                   parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
+                   parallelism: int = 4,
+                   scores: Callable[[Any, DataFrame], Mapping[Any, Any]] | None = None,
+                   confusion_out: list[DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Metrics per fold and their mean / sample std over folds.
 
     ``fit(train)`` returns any fitted object (preparation + model);
     ``predict(fitted, test)`` returns ``test`` with a ``predicted`` column.
     ``parallelism`` folds are fitted at the same time (driver threads
-    submitting concurrent Spark jobs).
+    submitting concurrent Spark jobs).  ``roc_auc`` needs ``scores(fitted,
+    scored)``, a score column per class; ``confusion_out`` receives one frame
+    (fold, actual, predicted, n) per fold.  ``persist`` writes the input to the
+    shared folder once, so that lost executors do not cost a fold.
     Returns ``(per_fold(fold, metric, value), summary(metric, mean, std))``.
     """
-    data = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
-    try:
-        folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
-
-        def one(f):
-            fitted = fit(data.where(F.col(fold_col) != f))
-            scored = predict(fitted, data.where(F.col(fold_col) == f))
-            m = metric_table(scored, actual, predicted, metrics, average).withColumn(
-                "fold", F.lit(f).cast("bigint"))
-            return cut_lineage(m)          # a few rows; frees the fold's lineage
-
-        parts = run_concurrently(one, folds, parallelism)
-        per = parts[0]
-        for m in parts[1:]:
-            per = per.unionByName(m)
-    finally:
-        if persist:
-            data.unpersist()
+    data = cut_lineage(df, "folds") if persist else df
+    folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
+
+    def one(f):
+        fitted = fit(data.where(F.col(fold_col) != f))
+        scored = predict(fitted, data.where(F.col(fold_col) == f))
+        ev = evaluate(scored, actual, predicted, metrics, average,
+                      scores=scores(fitted, scored) if scores and "roc_auc" in metrics else None)
+        at = F.lit(f).cast("bigint").alias("fold")
+        # a few rows; frees the fold's lineage
+        return cut_lineage(ev.metrics.select("*", at)), ev.counts.select(at, "*")
+
+    parts = run_concurrently(one, folds, parallelism)
+    per = parts[0][0]
+    for m, _ in parts[1:]:
+        per = per.unionByName(m)
+    if confusion_out is not None:
+        confusion_out.extend(c for _, c in parts)
     summary = per.groupBy("metric").agg(F.avg("value").alias("mean"),
                                         F.stddev_samp("value").alias("std"))
     return per.select("fold", "metric", "value"), summary
@@ -72,13 +76,19 @@ def run_concurrently(fn: Callable[[Any], Any], items: Sequence[Any], parallelism
 
 
 def sweep(param_sets: Mapping[str, Mapping[str, Any]] | Iterable[tuple[str, Mapping[str, Any]]],
-          run: Callable[[str, Mapping[str, Any]], DataFrame]) -> DataFrame:
-    """Run each named parameter set; ``run(name, params)`` returns metric
-    rows (metric, value).  Result: (run, metric, value) for all sets."""
+          run: Callable[[str, Mapping[str, Any]], DataFrame], parallelism: int = 4) -> DataFrame:
+    """Run each named parameter set, ``parallelism`` of them at once;
+    ``run(name, params)`` returns metric rows (metric, value).  Result: (run,
+    metric, value) for all sets."""
     items = param_sets.items() if isinstance(param_sets, Mapping) else param_sets
+
+    def one(item):
+        name, params = item
+        return cut_lineage(run(name, params).select(F.lit(name).alias("run"), "metric", "value"))
+
+    parts = run_concurrently(one, list(items), parallelism)
     out = None
-    for name, params in items:
-        rows = cut_lineage(run(name, params).select(F.lit(name).alias("run"), "metric", "value"))
+    for rows in parts:
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -103,11 +113,7 @@ def grid_search(estimator, param_grid: Mapping[str, Sequence[Any]], train: DataF
                         seed=seed)
     if fold_col is not None:
         cv = cv.setFoldCol(fold_col)
-    data = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cv.fit(data)
-    finally:
-        data.unpersist()
+    return cv.fit(cut_lineage(train, "grid-rows"))
 
 
 def grid_results(cv_model, param_grid: Mapping[str, Sequence[Any]]) -> list[dict[str, Any]]:
@@ -129,6 +135,8 @@ SCORINGS = {  # scoring name -> (metric, average); fixed values of the reference
     "recall_weighted": ("recall", "weighted"), "f1_weighted": ("f1", "weighted"),
     "precision_micro": ("precision", "micro"), "recall_micro": ("recall", "micro"),
     "f1_micro": ("f1", "micro"),
+    "roc_auc": ("roc_auc", "macro"), "roc_auc_ovr": ("roc_auc", "macro"),
+    "roc_auc_ovr_weighted": ("roc_auc", "weighted"),
 }
 
 
@@ -148,7 +156,7 @@ class GridResult:
     best_model: Any
 
 
-def grid_search_cv(df: DataFrame, label: str, features: Sequence[str], model_type: str,
+def grid_search_cv(df: DataFrame, label: str, features: Sequence[str] | None, model_type: str,
                    param_grid: Mapping[str, Sequence[Any]], fold_col: str,
                    base_params: Mapping[str, Any] | None = None, scoring: str = "accuracy",
                    key: str | Sequence[str] | None = None,
@@ -160,54 +168,63 @@ def grid_search_cv(df: DataFrame, label: str, features: Sequence[str], model_typ
     Every parameter set is scored by k-fold cross-validation over
     ``fold_col`` (see ``kfold`` / ``stratified_kfold``); ``prepare(train)``
     may return a function applying preparation fitted on that fold's
-    training part.  The best set (highest mean; ties to the earlier set) is
+    training part.  ``features=None`` takes every model input of the prepared
+    rows but key, label and fold.  The best set (highest mean; ties to the earlier set) is
     refitted on all rows.  The loops run over parameter sets and folds only.
     """
     import json
 
     from tabloom.operators import train as _train
+    from tabloom.plans.holdout import model_inputs
 
     if scoring not in SCORINGS:
         raise ValueError(f"scoring must be one of: {', '.join(SCORINGS)}")
     metric, average = SCORINGS[scoring]
     sets = expand_grid(param_grid)
     spark = df.sparkSession
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        def score(item):
-            i, ps = item
-            params = {**dict(base_params or {}), **ps}
-
-            def fit(tr):
-                apply = prepare(tr) if prepare else (lambda x: x)
-                return apply, _train.train_classifier(apply(tr), label, features, model_type,
-                                                       params, key=key)
-
-            def predict(fitted, te):
-                apply, clf = fitted
-                return _train.predict(clf, apply(te))
-
-            per, _ = cross_validate(data, fold_col, fit, predict, label, "prediction",
-                                    metrics=(metric,), average=average, persist=False,
-                                    parallelism=1)
-            vals = [r["value"] for r in per.collect()]          # one value per fold
-            mean = sum(vals) / len(vals)
-            std = (sum((v - mean) ** 2 for v in vals) / (len(vals) - 1)) ** 0.5 \
-                if len(vals) > 1 else 0.0
-            return (i, json.dumps(ps, sort_keys=True, default=str), mean, std)
-
-        # Parameter sets run side by side (n_jobs in the reference's configs).
-        rows = run_concurrently(score, list(enumerate(sets)), parallelism)
-        best = max(rows, key=lambda r: (r[2], -r[0]))
-        best_params = sets[best[0]]
-        model = None
-        if refit:
-            apply = prepare(data) if prepare else (lambda x: x)
-            model = (apply, _train.train_classifier(apply(data), label, features, model_type,
-                                                    {**dict(base_params or {}), **best_params},
-                                                    key=key))
-    finally:
-        data.unpersist()
+    others = {label, fold_col, *([key] if isinstance(key, str) else key or ())}
+
+    def inputs(rows: DataFrame) -> list[str]:
+        return list(features) if features is not None else [
+            c for c in model_inputs(rows) if c not in others]
+
+    data = cut_lineage(df, "grid-rows")
+
+    def score(item):
+        i, ps = item
+        params = {**dict(base_params or {}), **ps}
+
+        def fit(tr):
+            apply = prepare(tr) if prepare else (lambda x: x)
+            rows = apply(tr)
+            return apply, _train.train_classifier(rows, label, inputs(rows), model_type, params,
+                                                  key=key)
+
+        def predict(fitted, te):
+            apply, clf = fitted
+            return _train.predict(clf, apply(te))
+
+        per, _ = cross_validate(data, fold_col, fit, predict, label, "prediction",
+                                metrics=(metric,), average=average, persist=False,
+                                parallelism=1,
+                                scores=lambda fitted, scored: _train.class_scores(fitted[1], scored))
+        vals = [r["value"] for r in per.collect()]          # one value per fold
+        mean = sum(vals) / len(vals)
+        std = (sum((v - mean) ** 2 for v in vals) / (len(vals) - 1)) ** 0.5 \
+            if len(vals) > 1 else 0.0
+        return (i, json.dumps(ps, sort_keys=True, default=str), mean, std)
+
+    # Parameter sets run side by side (n_jobs in the reference's configs).
+    rows = run_concurrently(score, list(enumerate(sets)), parallelism)
+    best = max(rows, key=lambda r: (r[2], -r[0]))
+    best_params = sets[best[0]]
+    model = None
+    if refit:
+        apply = prepare(data) if prepare else (lambda x: x)
+        whole = apply(data)
+        model = (apply, _train.train_classifier(whole, label, inputs(whole), model_type,
+                                                {**dict(base_params or {}), **best_params},
+                                                key=key))
     scores = spark.createDataFrame(rows, "set_id bigint, params string, mean_score double, "
                                          "std_score double")
     return GridResult(scores=scores, best_params=best_params, best_score=best[2],

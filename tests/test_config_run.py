@@ -26,10 +26,9 @@ def _config(path, **over):
                                          "digit_share", "distinct_share", "n_words_norm"],
                      "normalize": True},
         "model": {"model_type": "random_forest",
-                  "hyperparameters": {"n_estimators": 20, "max_depth": None,
-                                      "min_samples_split": 5, "min_samples_leaf": 2,
-                                      "bootstrap": True, "class_weight": "balanced",
-                                      "random_state": 42}},
+                  "hyperparameters": {"n_estimators": 17, "max_depth": 9, "min_samples_split": 6,
+                                      "min_samples_leaf": 3, "bootstrap": True,
+                                      "class_weight": "balanced", "random_state": 7}},
         "evaluation": {"metrics": ["accuracy", "precision", "recall", "f1", "roc_auc"],
                        "average": "macro"},
         "split": {"test_ratio": 0.2, "validation_ratio": 0.1, "random_seed": 42},
@@ -58,7 +57,22 @@ def test_cross_validation_from_config(spark, csv_path):
     r = run_from_config(spark, cfg)
     assert r.kind == "cross_validation"
     assert {x["metric"] for x in r.cross_validation.summary.collect()} == {
-        "accuracy", "precision", "recall", "f1"}
+        "accuracy", "precision", "recall", "f1", "roc_auc"}
+    confusion = r.cross_validation.confusion.collect()
+    assert {x["fold"] for x in confusion} == {0, 1, 2}
+
+
+def test_a_logged_run_saves_a_model_that_scores_raw_rows(spark, csv_path):
+    from tabloom.sources.models import load_fitted
+
+    log = scratch_path(spark, "cfg-log")
+    cfg = _config(csv_path, model={"hyperparameters": {"n_estimators": 8, "max_depth": 4, "random_state": 3}})
+    r = run_from_config(spark, cfg, run_log_path=log)
+    again = load_fitted(spark, f"{log}-models/quality/rf")
+    raw = tasks.document_quality(spark, SF01).withColumnRenamed("doc_id", "_row_key").drop("quality")
+    scored = again.predict(raw)
+    assert scored.count() == raw.count() and "prediction" in scored.columns
+    assert again.classifier.features == r.holdout.feature_columns
 
 
 def test_grid_search_from_config(spark, csv_path):

@@ -173,3 +173,20 @@ def test_pipeline_reports_dropped_targets(spark):
     res = run_pipeline(df, "band", "row_key", numeric=tasks.PRICE_FEATURES,
                        hyperparameters={"n_estimators": 3, "max_depth": 3})
     assert res.dropped_rows == df.where("band is null").count() > 0
+
+
+def test_importance_of_vector_entries(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    from tabloom.operators import train
+
+    df = spark.range(200).select(
+        F.col("id"), (F.col("id") % 2).alias("y"), (F.col("id") * 7 % 13).cast("double").alias("a"),
+        array_to_vector(F.array((F.col("id") % 5).cast("double"), (F.col("id") % 2).cast("double"),
+                                F.lit(1.0))).alias("v"))
+    clf = train.train_classifier(df, "y", ["a", "v"], "random_forest",
+                                 {"n_estimators": 5, "max_depth": 3}, key="id")
+    rows = {r["feature"]: r["importance"] for r in train.feature_importance(clf).collect()}
+    assert list(rows) == ["a", "v[0]", "v[1]", "v[2]"]
+    assert max(rows, key=rows.get) == "v[1]" and abs(sum(rows.values()) - 1) < 1e-9
