@@ -564,7 +564,7 @@ def q_split_exact(spark, sf):
 
 SQL_SPLIT_EXACT = f"""WITH r AS (SELECT o_orderkey,
   row_number() OVER (ORDER BY {_md5('o_orderkey')}, o_orderkey) AS rn FROM orders)
-SELECT o_orderkey, CASE WHEN rn <= (SELECT CAST(count(*) * {RATIO} AS BIGINT) FROM orders)
+SELECT o_orderkey, CASE WHEN rn <= (SELECT CAST(floor(count(*) * {RATIO}) AS BIGINT) FROM orders)
   THEN 'test' ELSE 'train' END AS split FROM r"""
 
 
@@ -850,7 +850,7 @@ def build_run_log(spark, sf) -> DataFrame:
         scored = o.withColumn("prediction", _status_rule(F.lit(t)))
         ev = evaluate.evaluate(scored, "o_orderstatus", "prediction")
         return runlog.run_rows(spark, EXPERIMENT, run, params={"threshold": t},
-                               metrics=ev.metrics, confusion=ev.confusion, report=ev.report,
+                               metrics=ev.metrics, confusion=ev.counts, report=ev.report,
                                run_ts=RUN_TS + _dt.timedelta(minutes=i))
 
     parts = run_concurrently(one, list(enumerate(RUN_THRESHOLDS.items())), 4)
@@ -940,10 +940,19 @@ def q_infer_types(spark, sf):
     return spark.createDataFrame(rows, "position bigint, column_name string, dtype string")
 
 
-SQL_INFER_TYPES = """SELECT * FROM (VALUES (1::BIGINT, 'c_custkey', 'bigint'),
-  (2::BIGINT, 'c_name', 'string'), (3::BIGINT, 'c_nationkey', 'bigint'),
-  (4::BIGINT, 'c_acctbal', 'double'), (5::BIGINT, 'c_mktsegment', 'string'))
-  AS t(position, column_name, dtype)"""
+def _sql_inferred(position: int, column: str) -> str:
+    """The narrowest type that every written value of a customer column fits."""
+    token, mod = CUSTOMER_TOKENS.get(column, (None, None))
+    value = f"CAST({column} AS VARCHAR)"
+    present = f"WHERE c_custkey % {mod} <> 0" if mod else ""
+    return f"""SELECT {position}::BIGINT AS position, '{column}' AS column_name,
+  CASE WHEN bool_and(TRY_CAST({value} AS BIGINT) IS NOT NULL AND NOT contains({value}, '.')) THEN 'bigint'
+       WHEN bool_and(TRY_CAST({value} AS DOUBLE) IS NOT NULL) THEN 'double' ELSE 'string' END AS dtype
+FROM customer {present}"""
+
+
+SQL_INFER_TYPES = " UNION ALL ".join(_sql_inferred(i + 1, c) for i, c in enumerate(
+    ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")))
 
 
 # ================================================================ registry
