@@ -42,11 +42,13 @@ def document_features(docs: DataFrame) -> DataFrame:
 
 
 def document_quality(spark: SparkSession, sf: str) -> DataFrame:
-    """doc_id, lang, source, numeric text features, quality."""
+    """doc_id, lang, source, numeric text features, quality.
+
+    Labels cover a subset of documents: others leave before any text work, and
+    the few feature columns, not the texts, meet the labels."""
     labels = _t(spark, sf, "labels").select("doc_id", "quality")
-    feats = document_features(_t(spark, sf, "documents"))
-    # labels cover a subset of documents: an inner join keyed on doc_id.
-    return feats.join(labels, "doc_id", "inner")
+    labelled = _t(spark, sf, "documents").join(labels.select("doc_id"), "doc_id", "left_semi")
+    return document_features(labelled).join(labels, "doc_id", "inner")
 
 
 DOC_NUMERIC = ["n_chars", "n_words", "digit_share", "distinct_share"]
