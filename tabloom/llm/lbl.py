@@ -10,7 +10,7 @@ The first factor is the log-bilinear model: a predicted vector, the sum of the
 context classes' vectors each turned by its position's matrix, is compared with
 every class's output vector and bias.  It is trained in numpy by noise-contrastive
 estimation (Adam steps on batches drawn from the corpus's class triples, noise
-from the class frequencies).  One matrix product over all contexts and a softmax
+from the class frequencies).  Matrix products over all contexts and a softmax
 give normalised log-probabilities for every (context, class), so scoring a text
 looks its tokens up.  The second factor is 1 for a word that is its own class and
 otherwise (c + 1) / (N + V + 1) over the class's training counts; unseen words of
@@ -43,7 +43,7 @@ from tabloom.llm.common import ascii_words, groups_by_size, text_of
 from tabloom.session import Stages
 
 END = b""
-HEAD = 1 << 18
+HEAD = 1 << 17
 FREQUENT = 63  # the end token is a class of its own besides
 SUFFIXES = 64
 DIM = 24
@@ -176,13 +176,16 @@ class LogBilinear:
         return self.context[first] @ self.turn[0] + self.context[second] @ self.turn[1]
 
     def log10_table(self) -> np.ndarray:
-        """log10 P(class | context) for all contexts, in one product."""
+        """log10 P(class | context) for all contexts, a product for every first
+        class."""
         k = len(self.bias)
-        first, second = np.divmod(np.arange(k * k), k)
-        s = self.predicted(first, second) @ self.output.T + self.bias
-        s -= s.max(axis=1, keepdims=True)
-        s -= np.log(np.exp(s).sum(axis=1, keepdims=True))
-        return (s / np.log(10)).astype(np.float32).ravel()
+        out = np.empty((k * k, k), np.float32)
+        for first in range(k):  # k contexts at a time
+            s = self.predicted(np.full(k, first), np.arange(k)) @ self.output.T + self.bias
+            s -= s.max(axis=1, keepdims=True)
+            s -= np.log(np.exp(s).sum(axis=1, keepdims=True))
+            out[first * k:(first + 1) * k] = s / np.log(10)
+        return out.ravel()
 
 
 def train_nce(triples: np.ndarray, counts: np.ndarray, k: int, dim: int = DIM, noise: int = NOISE,
@@ -203,7 +206,7 @@ def train_nce(triples: np.ndarray, counts: np.ndarray, k: int, dim: int = DIM, n
     if not len(triples):
         return LogBilinear(*params)
     mass, noise_mass = np.cumsum(counts.astype(np.float64)), np.cumsum(unigram)
-    shift = np.log(noise * unigram)
+    shift, picks = np.log(noise * unigram), np.eye(k, dtype=np.float32)
     for step in range(1, steps + 1):
         context, turn, output, bias = params
         t = triples[np.searchsorted(mass, rng.random(batch) * mass[-1], "right").clip(0, len(mass) - 1)]
@@ -217,14 +220,11 @@ def train_nce(triples: np.ndarray, counts: np.ndarray, k: int, dim: int = DIM, n
         g_data = -1 / (1 + np.exp(np.clip(data, -60, 60)))          # d loss / d score
         g_fake = 1 / (1 + np.exp(np.clip(-fake, -60, 60)))
         g_r = g_data[:, None] * output[w] + g_fake @ output[z]
-        g_out = np.zeros_like(output)
-        np.add.at(g_out, w, g_data[:, None] * r)
-        np.add.at(g_out, z, g_fake.T @ r)
+        # sums by class are products with the classes' indicators
+        g_out = picks[w].T @ (g_data[:, None] * r) + picks[z].T @ (g_fake.T @ r)
         g_bias = np.bincount(w, g_data, k) + np.bincount(z, g_fake.sum(0), k)
         g_turn = np.stack([ca.T @ g_r, cb.T @ g_r])
-        g_ctx = np.zeros_like(context)
-        np.add.at(g_ctx, a, g_r @ turn[0].T)
-        np.add.at(g_ctx, b, g_r @ turn[1].T)
+        g_ctx = picks[a].T @ (g_r @ turn[0].T) + picks[b].T @ (g_r @ turn[1].T)
         slow = rate * min(1.0, 2 * (1 - step / (steps + 1)))
         for p, g, (m, v) in zip(params, (g_ctx, g_turn, g_out, g_bias), moments):
             g = g / batch
@@ -245,13 +245,19 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     train = rows.where("not held_out").select("text")
     counts = word_counts(train, stages)
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = [(bytes(r[0]), r[1]) for r in counts.where(F.length("word") > 0).orderBy(
-        F.col("c").desc(), "word").limit(head).collect()]  # a fixed number of rows
-    classes = Classes([w for w, _ in top[:frequent]], suffixes)
+    top = counts.where(F.length("word") > 0).orderBy(F.col("c").desc(), "word").limit(
+        head).toArrow()  # a fixed number of rows
+    words, top_counts = top["word"].to_pylist(), top["c"].to_numpy()
+    del top
+    classes = Classes(words[:frequent], suffixes)
     k, n_own = classes.n, 1 + len(classes.frequent)
 
-    found = class_triples(train, classes).toPandas().sort_values("triple")  # at most k^3 rows
-    model = train_nce(found["triple"].to_numpy(np.int64), found["n"].to_numpy(np.int64), k, **training)
+    found = class_triples(train, classes).toArrow()  # at most k^3 rows, 12 bytes each
+    triples, counted = found["triple"].to_numpy(), found["n"].to_numpy()
+    del found
+    order = np.argsort(triples)
+    model = train_nce(triples[order], counted[order], k, **training)
+    del triples, counted, order
     table = model.log10_table()
 
     # add-one shares within each suffix class; own words stand outside
@@ -265,11 +271,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # places: the end token, the head words, then one per suffix for all others
     ends = counts.where(F.length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    words = [END] + [w for w, _ in top]
+    words = [END, *words]
     suffix_of = np.array([suffix_class(w, suffixes) for w in words] + list(range(suffixes)))
     place = np.arange(len(suffix_of))
     class_of = np.where(place < n_own, place, n_own + suffix_of).astype(np.int32)
-    seen = np.array([ends] + [c for _, c in top], np.float64)
+    seen = np.append(ends, top_counts).astype(np.float64)
     log_count = np.append(np.log10(seen + 1), np.zeros(suffixes))
     within = np.where(place < n_own, 0.0, log_count - share[suffix_of])
     listed_n = len(words)
