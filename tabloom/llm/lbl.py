@@ -19,7 +19,7 @@ a class share the last share.
 Everything gathered from the corpus covers all training rows: word counts (one
 grouped sum, whose size follows the vocabulary), and counts of class triples (at
 most classes^3 rows, which is what reaches the driver).  Counts of the ``head``
-most frequent words (a fixed number) travel with the scoring tasks; all other
+most frequent words (at most a fixed number) travel with the scoring tasks; all other
 words of a text are looked up in the count table by a join.
 
 Every text ends with one end token.  Null texts are empty; a null id counts as
@@ -113,6 +113,30 @@ def word_counts(texts: DataFrame, stages: Stages) -> DataFrame:
         F.sum("c").alias("c")), "word-counts")
 
 
+def head_words(counts: DataFrame, head: int) -> tuple[list[bytes], np.ndarray]:
+    """The most frequent words, at most ``head`` of them, and their counts in
+    descending order (ties by word).
+
+    Words are counted by the level of their count (64 levels for each doubling,
+    so a few thousand rows whatever the vocabulary); the words above the lowest
+    level that still fits are the head.  No task sorts the vocabulary."""
+    level = F.floor(F.log2("c") * 64)
+    words = counts.where(F.length("word") > 0)
+    sizes = sorted(((r["l"], r["n"]) for r in words.groupBy(level.alias("l")).agg(
+        F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    least, held = None, 0
+    for at, n in sizes:
+        if held + n > head:
+            break
+        least, held = at, held + n
+    if least is None:
+        return [], np.zeros(0, np.int64)
+    top = words.where(level >= least).toArrow()
+    found, c = top["word"].to_pylist(), top["c"].to_numpy()
+    order = sorted(range(len(found)), key=lambda i: (-c[i], found[i]))
+    return [found[i] for i in order], c[order]
+
+
 def _contexts(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The two classes before each token; before a text stand end tokens.  Each
     text's last token is its end."""
@@ -245,10 +269,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     train = rows.where("not held_out").select("text")
     counts = word_counts(train, stages)
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.where(F.length("word") > 0).orderBy(F.col("c").desc(), "word").limit(
-        head).toArrow()  # a fixed number of rows
-    words, top_counts = top["word"].to_pylist(), top["c"].to_numpy()
-    del top
+    words, top_counts = head_words(counts, head)
     classes = Classes(words[:frequent], suffixes)
     k, n_own = classes.n, 1 + len(classes.frequent)
 
