@@ -1,12 +1,12 @@
 """Exact nearest binary codes by incremental multi-index hashing.
 
 A 64-bit code is cut into segments, and every distinct code is indexed under
-each segment's value.  A search probes, segment by segment, all values within a
-radius of the query's segment, and the radius grows.  When all segments have
-been probed within radius a - 1 and the first j + 1 of m segments within a, no
-code at Hamming distance m * a + j or less can be missing (its segment distances
-would have to be larger in sum), so a query is finished once its k-th verified
-distance is at most that.  Only unfinished queries go into the next step.
+each segment's value.  A search probes all values within a radius of the query's
+segments, and the radius grows by one a step.  When all m segments have been
+probed within radius a, no code at Hamming distance m * (a + 1) - 1 or less can be
+missing (each of its segment distances would have to be above a), so a query is
+finished once its k-th verified distance is at most that.  Only unfinished queries
+go into the next step.
 
 Equal codes are one entry that carries its k smallest ids, and equal query codes
 are searched once, so a code that a third of all rows share costs no more than
@@ -88,10 +88,8 @@ def search(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         "s", keys).select("s.j", "s.key", "code", "n"), "index")
     # per query code the found codes (best) and the distance of its k-th row
     best, open_ = None, stages.write(wanted.select("q").distinct().withColumn("bound", F.lit(BITS)), "open")
-    whole = range(len(cuts))
-    steps = [(a, js) for a in range(max(b for _, b in cuts) + 1)
-             for js in ([list(whole)] if a < 2 else [[j] for j in whole])]
-    for radius, js in steps if need else []:
+    js = list(range(len(cuts)))
+    for radius in range(max(b for _, b in cuts) + 1) if need else ():
         probes = None
         for bits in {cuts[j][1] for j in js}:
             masks = spark.createDataFrame([(radius, m) for m in _masks(bits, radius)] or [(-1, 0)],
@@ -118,7 +116,7 @@ def search(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         best = found
         still = open_.select("q").join(kth, "q", "left").select(
             "q", F.coalesce("kth", F.lit(BITS)).alias("bound"))
-        covered = len(cuts) * radius + js[-1]
+        covered = len(cuts) * (radius + 1) - 1
         later = stages.write(still.where(F.col("bound") > covered), "open")
         stages.drop(open_)
         open_ = later
