@@ -67,20 +67,23 @@ def chosen_paths(messages: DataFrame, per_tree: int | None, stages: Stages) -> D
         nodes.where("parent is not null and parent <> node").select(
             F.col("tree").alias("p_tree"), F.col("parent").alias("p_node")),
         _same("tree", "p_tree") & (F.col("node") == F.col("p_node")), "left_anti")
-    rounds, most = [], nodes.count().bit_length()
+    # messages whose jump has passed the root are finished and join no more
+    rounds, finished, most = [], cur.where("jump is null"), nodes.count().bit_length()
     while len(rounds) <= most and not cur.where("jump is not null").limit(1).count() == 0:
         rounds.append(cur)
-        above = cur.select(F.col("tree").alias("a_tree"), F.col("node").alias("a_node"),
-                           F.col("jump").alias("a_jump"), F.col("total").alias("a_total"),
-                           F.col("depth").alias("a_depth"))
-        cur = stages.write(cur.join(above, _same("tree", "a_tree") & (F.col("jump") == F.col("a_node")),
-                                    "left").select(
+        rising = cur.where("jump is not null")
+        above = finished.union(rising).select(
+            F.col("tree").alias("a_tree"), F.col("node").alias("a_node"), F.col("jump").alias("a_jump"),
+            F.col("total").alias("a_total"), F.col("depth").alias("a_depth"))
+        cur = stages.write(rising.join(above, _same("tree", "a_tree") & (F.col("jump") == F.col("a_node")),
+                                       "left").select(
             "tree", "node", F.col("a_jump").alias("jump"),
             (F.col("total") + F.coalesce("a_total", F.lit(0.0))).alias("total"),
             (F.col("depth") + F.coalesce("a_depth", F.lit(0))).alias("depth")), f"jumps-{len(rounds)}")
+        finished = finished.union(cur.where("jump is null"))
     best = W.Window.partitionBy("tree").orderBy(F.col("total").desc(), F.col("depth").desc(), "node")
     rooted = leaves.withColumnsRenamed({"tree": "l_tree", "node": "l_node"}).join(
-        cur.where("jump is null"), _same("l_tree", "tree") & (F.col("l_node") == F.col("node")))
+        finished, _same("l_tree", "tree") & (F.col("l_node") == F.col("node")))
     if per_tree is not None:
         rooted = rooted.withColumn("place", F.row_number().over(best)).where(F.col("place") <= per_tree)
     paths = stages.write(rooted.select("tree", F.col("node").alias("leaf"), "node",
