@@ -78,29 +78,40 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
+def span_hash(start: np.ndarray, mid: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the candidates that join characters [start, mid) and [mid, end)."""
+    return mix64(start.astype(np.uint64) << np.uint64(42)
+                 ^ mid.astype(np.uint64) << np.uint64(21) ^ end.astype(np.uint64))
+
+
+def falls(keys: np.ndarray, spans: np.ndarray, rate: float) -> np.ndarray:
+    """``dropped`` for span hashes."""
+    return (mix64(keys + spans) >> np.uint64(11)).astype(np.float64) * 2.0 ** -53 < rate
+
+
 def dropped(keys: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarray,
             rate: float) -> np.ndarray:
     """Whether the candidate that joins characters [start, mid) and [mid, end)
     of the word with this key is skipped; true for ``rate`` of all candidates."""
-    h = mix64(keys + mix64(start.astype(np.uint64) << np.uint64(42)
-                           ^ mid.astype(np.uint64) << np.uint64(21) ^ end.astype(np.uint64)))
-    return (h >> np.uint64(11)).astype(np.float64) * 2.0 ** -53 < rate
+    return falls(keys, span_hash(start, mid, end), rate)
 
 
 def merge_words(symbols: np.ndarray, lengths: np.ndarray, table: MergeTable,
-                keys: np.ndarray | None = None, rate: float = 0.0
+                keys: np.ndarray | None = None, rate: float = 0.0, trace: list | None = None
                 ) -> tuple[np.ndarray, np.ndarray]:
     """Merged symbols of all words end to end, and their number per word.
 
     ``symbols``: the words' first symbols end to end; ``lengths``: how many each
-    word has (at least 1); ``keys``, ``rate``: see ``dropped``."""
+    word has (at least 1); ``keys``, ``rate``: see ``dropped``.  ``trace`` receives
+    (word, span hash) arrays of all candidates that were met and not dropped."""
     n = len(lengths)
     sym = np.asarray(symbols, np.int32).copy()
     word = np.repeat(np.arange(n, dtype=np.int32), lengths)
     first = (np.cumsum(lengths) - lengths).astype(np.int64)
     skips = rate > 0 and keys is not None
+    spans = skips or trace is not None
     # the character each symbol begins with, counted over all words
-    start = np.arange(len(sym)) if skips else None
+    start = np.arange(len(sym)) if spans else None
     stop = first + lengths
 
     def ranks(i: np.ndarray) -> np.ndarray:
@@ -114,13 +125,16 @@ def merge_words(symbols: np.ndarray, lengths: np.ndarray, table: MergeTable,
         found = table.find(sym[at], sym[at + 1])
         real = found >= 0
         spot, at, found = spot[real], at[real], found[real]
-        if skips and len(at):
+        if spans and len(at):
             w = word[at]
             after = np.minimum(at + 2, len(sym) - 1)
             end = np.where((at + 2 < len(sym)) & (word[after] == w), start[after], stop[w])
-            stay = ~dropped(keys[w], start[at] - first[w], start[at + 1] - first[w],
-                            end - first[w], rate)
-            spot, found = spot[stay], found[stay]
+            span = span_hash(start[at] - first[w], start[at + 1] - first[w], end - first[w])
+            if skips:
+                stay = ~falls(keys[w], span, rate)
+                w, span, spot, found = w[stay], span[stay], spot[stay], found[stay]
+            if trace is not None:
+                trace.append((w, span))
         out[spot] = table.rank[found]
         return out
 
@@ -136,7 +150,7 @@ def merge_words(symbols: np.ndarray, lengths: np.ndarray, table: MergeTable,
             done_word.append(word[~stay])
             done_sym.append(sym[~stay])
             sym, word, cand = sym[stay], word[stay], cand[stay]
-            start = start[stay] if skips else None
+            start = start[stay] if spans else None
             best, run = best[live], run[live]
             if not len(sym):
                 break
@@ -147,7 +161,7 @@ def merge_words(symbols: np.ndarray, lengths: np.ndarray, table: MergeTable,
         keep[at + 1] = False
         moved = at - np.arange(len(at))  # one symbol less for every earlier merge
         sym, word, cand = sym[keep], word[keep], cand[keep]
-        start = start[keep] if skips else None
+        start = start[keep] if spans else None
         fresh = np.concatenate([moved, moved[moved > 0] - 1])
         cand[fresh] = ranks(fresh)
     words = np.concatenate(done_word) if done_word else np.zeros(0, np.int32)

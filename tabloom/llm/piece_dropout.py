@@ -5,12 +5,15 @@ before a comma, a full stop or a line break (both are verified on the model), so
 a text is a list of chunks that are cut there.  Each chunk's characters are merged
 by the model's scores, best first and leftmost first among equals; a candidate
 merge is skipped when a keyed hash of (seed, draw, chunk, characters spanned)
-falls below ``rate``.  A chunk's draw is a hash of (seed,
-document id) plus its place in the document, modulo ``draws``: the same word is cut
-in different ways within a text and between texts, and the same seed always gives
+falls below ``rate``.  A chunk's draw is a hash of (seed, document id, its place in
+the document) modulo ``draws`` (2^63): every occurrence of a word and every copy of
+a text has its own skips, however often it occurs, and the same seed always gives
 the same pieces, whatever the partitioning, so a lost task repeats its result.
 ``rate`` 0 is the model's own encoding.
 
+Only the encoding without skips is remembered, with the candidates it meets: an
+occurrence that skips none of them has that encoding, all others are merged anew.
+
 Decoding is exact for every text: characters without a piece become byte pieces,
 and so does a literal U+2581, which the model would otherwise read as a blank.
 The model file is a parameter; it is read on the driver and never trained.
@@ -30,15 +33,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.bpe import MergeTable, merge_word_by_agenda, merge_words, mix64
+from tabloom.llm.bpe import MergeTable, falls, merge_word_by_agenda, merge_words, mix64
 from tabloom.llm.common import groups_by_size, text_of
 
 RATE = 0.1
-DRAWS = 4
+DRAWS = 1 << 63
 SEED = 17
 LONG_CHUNK = 64
 BLOCK = 1 << 21
-#: Chunks a task remembers over all draws; the memory is emptied when full.
+#: Chunks a task remembers; the memory is emptied when full.
 REMEMBERED = 400_000
 BLANK = "▁"
 #: Blanks and what follows up to the next blank, cut between a letter and these.
@@ -97,15 +100,17 @@ class PieceModel:
     def _symbols(self, text: str) -> np.ndarray:
         return self.of_char[np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")]
 
-    def encode_chunks(self, chunks: list[str], keys: np.ndarray, rate: float) -> list[bytes]:
-        """Ids (little-endian int32) of every chunk under its key."""
+    def encode_chunks(self, chunks: list[str], keys: np.ndarray, rate: float, trace: list | None = None
+                      ) -> list[bytes]:
+        """Ids (little-endian int32) of every chunk under its key; ``trace`` as in
+        ``merge_words``, for chunks of at most ``LONG_CHUNK`` characters."""
         short = [i for i, c in enumerate(chunks) if len(c) <= LONG_CHUNK]
         out = [b""] * len(chunks)
         if short:
             text = "".join([chunks[i] for i in short])
             sym = self._symbols(text)
             ids, n = merge_words(sym, np.array([len(chunks[i]) for i in short], np.int64), self.table,
-                                 keys[short], rate)
+                                 keys[short], rate, trace)
             ids, width = self._spell(ids, text, sym)
             ends = np.cumsum(width)[np.cumsum(n) - 1] * 4
             raw, start = ids.astype("<i4").tobytes(), 0
@@ -130,52 +135,78 @@ def chunk_key(chunk: str, seed: int) -> int:
     return xxhash.xxh64_intdigest(chunk.encode("utf-8", "replace"), seed)
 
 
-def first_draw(doc: int, seed: int, draws: int) -> int:
-    """The draw of a document's first chunk; the next chunk takes the next one."""
-    key = np.array([(doc % (1 << 64)) ^ (seed << 32)], np.uint64)
-    return int(mix64(key)[0] % np.uint64(draws))
+def chunk_draws(docs: list[int], lengths: list[int], seed: int, draws: int) -> np.ndarray:
+    """The draws of all chunks of several documents end to end."""
+    n = np.array(lengths, np.int64)
+    doc = np.fromiter(((d % (1 << 64)) ^ (seed << 32) % (1 << 64) for d in docs), np.uint64, len(docs))
+    place = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.uint64)
+    return mix64(np.repeat(mix64(doc), n) + mix64(place)) % np.uint64(draws)
 
 
 class DropoutEncoder:
-    """Encodes documents with a memory of the chunks met so far."""
+    """Encodes documents with a memory of the chunks' encodings without skips."""
 
     def __init__(self, model: PieceModel, rate: float = RATE, draws: int = DRAWS, seed: int = SEED):
-        self.model, self.rate, self.seed = model, rate, seed
-        self.draws = draws if rate else 1
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
-
-    def _learn(self, new: list[list[str]]) -> None:
-        """Encode new chunks of all draws together."""
-        flat = [c for s in new for c in s]
-        if not flat:
+        self.model, self.rate, self.seed, self.draws = model, rate, seed, draws
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.plain: list[bytes] = []
+        self.own = np.zeros(0, np.uint64)
+        # span hashes of the candidates of all known chunks, and each chunk's end
+        self.spans, self.ends = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode new chunks without skips.  Long ones have no plain encoding
+        here unless nothing is skipped at all: one of their candidates nearly
+        always falls."""
+        if not new:
+            return
+        trace: list = []
+        short = [c for c in new if len(c) <= LONG_CHUNK or not self.rate]
+        ids = iter(self.model.encode_chunks(short, np.zeros(len(short), np.uint64), 0.0, trace))
+        self.plain.extend(next(ids) if len(c) <= LONG_CHUNK or not self.rate else b"" for c in new)
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        if not self.rate:
             return
-        own = {c: chunk_key(c, self.seed) for c in set(flat)} if self.rate else {}
-        keys = np.fromiter((own.get(c, 0) for c in flat), np.uint64, len(flat))
-        keys = mix64(keys + np.repeat(np.arange(self.draws, dtype=np.uint64), [len(s) for s in new]))
-        ids, done = self.model.encode_chunks(flat, keys, self.rate), 0
-        for known, s in zip(self.known, new):
-            known.update(zip(s, ids[done:done + len(s)]))
-            done += len(s)
+        self.own = np.append(self.own, np.fromiter((chunk_key(c, self.seed) for c in new), np.uint64, len(new)))
+        place = np.flatnonzero(np.fromiter((len(c) <= LONG_CHUNK for c in new), bool, len(new)))
+        word = place[np.concatenate([w for w, _ in trace])] if trace else np.zeros(0, np.int64)
+        spans = np.concatenate([s for _, s in trace]) if trace else np.zeros(0, np.uint64)
+        self.ends = np.append(self.ends, len(self.spans) + np.cumsum(np.bincount(word, minlength=len(new))))
+        self.spans = np.append(self.spans, spans[np.argsort(word, kind="stable")])
+
+    def _skipping(self, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Which occurrences skip a candidate of their chunk's plain encoding."""
+        begin = np.where(at > 0, self.ends[at - 1], 0)
+        n = self.ends[at] - begin
+        which = np.repeat(np.arange(len(at)), n)
+        spot = np.arange(len(which)) + np.repeat(begin - (np.cumsum(n) - n), n)
+        hit = np.zeros(len(at), bool)
+        hit[which[falls(keys[which], self.spans[spot], self.rate)]] = True
+        return hit
 
     def encode(self, docs: list[int], texts: list[str]) -> list[np.ndarray]:
         """Ids of every text."""
         split = [CHUNK.findall(" " + t) if t else [] for t in texts]
-        first = [first_draw(d, self.seed, self.draws) for d in docs]
-        turns = range(self.draws)  # every draws-th chunk has the same draw
-        met: list[set[str]] = [set() for _ in turns]
-        for chunks, f in zip(split, first):
-            for i in turns:
-                met[(f + i) % self.draws].update(chunks[i::self.draws])
-        if sum(map(len, self.known)) > REMEMBERED:
-            self.known = [{} for _ in turns]
-        self._learn([[c for c in m if c not in known] for m, known in zip(met, self.known)])
-        out = []
-        for chunks, f in zip(split, first):
-            parts: list[bytes] = [b""] * len(chunks)
-            for i in turns:
-                parts[i::self.draws] = map(self.known[(f + i) % self.draws].__getitem__,
-                                           chunks[i::self.draws])
-            out.append(np.frombuffer(b"".join(parts), "<i4"))
+        flat = [c for chunks in split for c in chunks]
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        self._learn([c for c in dict.fromkeys(flat) if c not in self.known])
+        at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        parts = list(map(self.plain.__getitem__, at.tolist()))
+        if self.rate and flat:
+            keys = mix64(self.own[at] + chunk_draws(docs, list(map(len, split)), self.seed, self.draws))
+            long = np.fromiter((len(c) > LONG_CHUNK for c in flat), bool, len(flat))
+            anew = np.flatnonzero(long | self._skipping(at, keys))
+            fresh = self.model.encode_chunks([flat[i] for i in anew.tolist()], keys[anew], self.rate)
+            for i, ids in zip(anew.tolist(), fresh):
+                parts[i] = ids
+        out, done = [], 0
+        for chunks in split:
+            out.append(np.frombuffer(b"".join(parts[done:done + len(chunks)]), "<i4"))
+            done += len(chunks)
         return out
 
 

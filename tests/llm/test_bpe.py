@@ -105,3 +105,28 @@ def test_query_is_lossless_over_all_documents(spark):
     assert all(r.lossless for r in got)
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     assert all(sp.decode([int(x) for x in r.ids]) == docs[r.doc_id] for r in got[:50])
+
+
+def test_every_occurrence_and_copy_has_its_own_skips(model):
+    word = "internationalisation"
+    coder = DropoutEncoder(model, rate=0.2)
+    texts = [" ".join([word] * 4)] * 300
+    got = coder.encode(list(range(300)), texts)
+    assert len({x.tobytes() for x in got}) > 250  # four at most while draws were shared
+    one = coder.encode(list(range(500)), [word] * 500)
+    assert len({x.tobytes() for x in one}) > 20
+
+
+def test_remembered_encodings_equal_merging_anew(model):
+    from tabloom.llm.piece_dropout import CHUNK, chunk_draws, chunk_key
+    from tabloom.llm.bpe import mix64
+
+    texts = [" some plain words, and internationalisation. " * 5, *ODD]
+    docs = [7 * i for i in range(len(texts))]
+    coder = DropoutEncoder(model, rate=0.1, seed=3)
+    coder.encode(docs[:1], texts[:1])
+    for doc, text, got in zip(docs, texts, coder.encode(docs, texts)):
+        chunks = CHUNK.findall(" " + text) if text else []
+        own = np.fromiter((chunk_key(c, 3) for c in chunks), np.uint64, len(chunks))
+        keys = mix64(own + chunk_draws([doc], [len(chunks)], 3, coder.draws))
+        assert b"".join(model.encode_chunks(chunks, keys, 0.1)) == got.tobytes()
