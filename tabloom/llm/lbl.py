@@ -1,26 +1,35 @@
 """Language-model scores from a log-bilinear model trained by noise contrast.
 
-Words are grouped into ``classes``: the most frequent words are a class each, all
-others share ``suffixes`` classes by a hash of their last three bytes, which any
-word has, seen or not.  A token's probability is
-
-    P(class | the two classes before it)  *  P(word | class)
-
-The first factor is the log-bilinear model: a predicted vector, the sum of the
-context classes' vectors each turned by its position's matrix, is compared with
-every class's output vector and bias.  It is trained in numpy by noise-contrastive
-estimation (Adam steps on batches drawn from the corpus's class triples, noise
-from the class frequencies).  Matrix products over all contexts and a softmax
-give normalised log-probabilities for every (context, class), so scoring a text
-looks its tokens up.  The second factor is 1 for a word that is its own class and
-otherwise (c + 1) / (N + V + 1) over the class's training counts; unseen words of
-a class share the last share.
-
-Everything gathered from the corpus covers all training rows: word counts (one
-grouped sum, whose size follows the vocabulary), and counts of class triples (at
-most classes^3 rows, which is what reaches the driver).  Counts of the ``head``
-most frequent words (at most a fixed number) travel with the scoring tasks; all other
-words of a text are looked up in the count table by a join.
+Every word of at least ``least`` training occurrences, and the end token, is an
+outcome with its own vector q and bias b, so the model grows with the vocabulary;
+rarer and unseen words share ``suffixes`` outcomes by a hash of their last three
+bytes, which any word has.  A token's probability is
+
+    exp(r(context) . q + b) / Z(context)  *  P(word | outcome)
+
+with r the sum of two context vectors, each turned by its position's matrix, and Z
+the sum over all outcomes.  The second factor is 1 for a word that is an outcome
+and otherwise (c + 1) / (N + V + 1) over the rare words of its suffix; unseen words
+share the last share.
+
+Contexts are two word *classes*: the end token and the most frequent words are a
+class each, all others share suffix classes.  Words beyond those have no context
+vector of their own.
+
+1. Context vectors and matrices come from a log-bilinear model over classes,
+   trained by noise contrast in numpy (Adam); every pass takes all class triples
+   with their weights and the noise in expectation, nothing is drawn.
+2. Given them, the objective falls apart into one for each outcome.  It is noise
+   contrast in the limit of many noise words (whose expectation is again taken
+   over all contexts), needs a word's count and its sum of r over all its
+   occurrences only, and is solved on the executors, batches of words at a time,
+   with a ridge on q and one occurrence added.
+3. Z is a sum over the outcomes for classes^2 contexts, partial sums on executors.
+
+Everything gathered from the corpus covers all training rows.  What reaches the
+driver is bounded: at most classes^3 triples, classes^2 sums, and the ``head`` most
+frequent words with their vectors, which travel with the scoring tasks; all other
+words of a text are looked up in the word table by a join.
 
 Every text ends with one end token.  Null texts are empty; a null id counts as
 the empty text in the split.  Repeated rows are scored alike, each counted.  With
@@ -48,9 +57,18 @@ FREQUENT = 63  # the end token is a class of its own besides
 SUFFIXES = 64
 DIM = 24
 NOISE = 48
-STEPS = 1500
-BATCH = 4096
+#: Passes over all class triples.
+STEPS = 300
 RATE = 0.02
+#: Occurrences from which on a word is an outcome of its own.
+LEAST = 5
+RIDGE = 2.0
+#: Words that are fitted at once, passes over them at most, and tokens scored at once.
+FIT_WORDS = 2048
+FIT_STEPS = 100
+SLICE = 1 << 17
+#: Tokens with their contexts that a task holds before it hands them on.
+HELD_TOKENS = 4_000_000
 SEED = 11
 BLOCK = 1 << 20
 #: Distinct words or class triples that a task holds before it hands them on.
@@ -212,54 +230,253 @@ class LogBilinear:
         return out.ravel()
 
 
+def context_shares(triples: np.ndarray, counts: np.ndarray, k: int) -> np.ndarray:
+    """Counts of all contexts (first, second)."""
+    return np.bincount(triples // k, counts, k * k).reshape(k, k)
+
+
 def train_nce(triples: np.ndarray, counts: np.ndarray, k: int, dim: int = DIM, noise: int = NOISE,
-              steps: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = SEED) -> LogBilinear:
+              steps: int = STEPS, rate: float = RATE, seed: int = SEED) -> LogBilinear:
     """Noise-contrastive estimation on weighted class triples.
 
-    In every step a batch of triples and ``noise`` classes (shared by the batch)
-    are drawn; each triple's class should be told from the noise classes by
-    score - log(noise * noise probability), the model's scores being taken as
-    log-probabilities without normalising them."""
+    Each triple's class should be told from ``noise`` noise classes by score -
+    log(noise * noise probability), the model's scores being taken as
+    log-probabilities without normalising them.  Every step takes all triples
+    with their counts, and the expected noise of every context."""
     rng = np.random.default_rng(seed)
-    unigram = np.full(k, 1.0)
-    np.add.at(unigram, triples % k, counts.astype(np.float64))
+    unigram = 1.0 + np.bincount(triples % k, counts, k)
     unigram /= unigram.sum()
     params = [rng.normal(0, 0.1, (k, dim)), np.stack([np.eye(dim)] * 2) * 0.5,
               rng.normal(0, 0.1, (k, dim)), np.log(unigram)]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     if not len(triples):
         return LogBilinear(*params)
-    mass, noise_mass = np.cumsum(counts.astype(np.float64)), np.cumsum(unigram)
-    shift, picks = np.log(noise * unigram), np.eye(k, dtype=np.float32)
+    total = counts.sum(dtype=np.float64)
+    data = np.zeros((k * k, k), np.float32)
+    data.ravel()[triples] = counts / total
+    fake = (data.sum(1)[:, None] * (noise * unigram)[None]).astype(np.float32)
+    shift = np.log(noise * unigram)
     for step in range(1, steps + 1):
         context, turn, output, bias = params
-        t = triples[np.searchsorted(mass, rng.random(batch) * mass[-1], "right").clip(0, len(mass) - 1)]
-        ab, w = np.divmod(t, k)
-        a, b = np.divmod(ab, k)
-        z = np.searchsorted(noise_mass, rng.random(noise), "right").clip(0, k - 1)
-        ca, cb = context[a], context[b]
-        r = ca @ turn[0] + cb @ turn[1]
-        data = (r * output[w]).sum(1) + bias[w] - shift[w]
-        fake = r @ output[z].T + bias[z] - shift[z]
-        g_data = -1 / (1 + np.exp(np.clip(data, -60, 60)))          # d loss / d score
-        g_fake = 1 / (1 + np.exp(np.clip(-fake, -60, 60)))
-        g_r = g_data[:, None] * output[w] + g_fake @ output[z]
-        # sums by class are products with the classes' indicators
-        g_out = picks[w].T @ (g_data[:, None] * r) + picks[z].T @ (g_fake.T @ r)
-        g_bias = np.bincount(w, g_data, k) + np.bincount(z, g_fake.sum(0), k)
-        g_turn = np.stack([ca.T @ g_r, cb.T @ g_r])
-        g_ctx = picks[a].T @ (g_r @ turn[0].T) + picks[b].T @ (g_r @ turn[1].T)
+        r = (context @ turn[0])[:, None] + (context @ turn[1])[None]
+        r = r.reshape(k * k, dim).astype(np.float32)
+        g = r @ output.T.astype(np.float32)
+        g += (bias - shift).astype(np.float32)
+        real = 1 / (1 + np.exp(-np.clip(g, -60, 60, out=g)))  # odds of being no noise
+        g = (data + fake) * real - data                       # d loss / d score
+        g_r = (g @ output.astype(np.float32)).reshape(k, k, dim).astype(np.float64)
+        g_first, g_second = g_r.sum(1), g_r.sum(0)
+        grads = (g_first @ turn[0].T + g_second @ turn[1].T,
+                 np.stack([context.T @ g_first, context.T @ g_second]),
+                 (g.T @ r).astype(np.float64), g.sum(0, dtype=np.float64))
         slow = rate * min(1.0, 2 * (1 - step / (steps + 1)))
-        for p, g, (m, v) in zip(params, (g_ctx, g_turn, g_out, g_bias), moments):
-            g = g / batch
+        for p, g, (m, v) in zip(params, grads, moments):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             p -= slow * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
     return LogBilinear(*params)
 
 
+@dataclass
+class WordSpace:
+    """What the outcomes are fitted to: r(a, b) = first[a] + second[b], with mean
+    zero and uncorrelated entries (of variances ``spread``) over the contexts, whose
+    shares are ``shares``; ``total`` training tokens."""
+
+    first: np.ndarray
+    second: np.ndarray
+    shares: np.ndarray
+    spread: np.ndarray
+    total: float
+
+    @classmethod
+    def of(cls, model: LogBilinear, contexts: np.ndarray) -> WordSpace:
+        k, total = len(contexts), float(contexts.sum())
+        p = contexts / total if total else np.full((k, k), 1 / k ** 2)
+        u, v = model.context @ model.turn[0], model.context @ model.turn[1]
+        pa, pb = p.sum(1), p.sum(0)
+        u, v = u - pa @ u, v - pb @ v
+        cross = u.T @ p @ v
+        spread, axes = np.linalg.eigh(u.T @ (pa[:, None] * u) + v.T @ (pb[:, None] * v) + cross + cross.T)
+        scale = 1 / np.sqrt(max(spread.mean(), 1e-9))
+        return cls(u @ axes * scale, v @ axes * scale, p, np.maximum(spread, 0) * scale ** 2, total)
+
+    def fit(self, counts: np.ndarray, sums: np.ndarray, ridge: float = RIDGE, steps: int = FIT_STEPS
+            ) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors (float32) and biases of outcomes from their counts and their
+        sums of r: the largest q . sum - n log Z(q) - ridge / 2 |q|^2, where Z is
+        the mean of exp(q . r) over all contexts and n the count plus one."""
+        n = counts.astype(np.float64) + 1
+        size = n[:, None] * self.spread + ridge
+        best, grad = np.zeros(sums.shape), np.zeros(sums.shape)
+        value, norm = np.full(len(n), -np.inf), np.ones(len(n))
+        pace, live, q = np.ones(len(n)), np.arange(len(n)), np.zeros(sums.shape)
+        with np.errstate(over="ignore", invalid="ignore"):
+            for _ in range(steps):
+                x, y = np.exp(q @ self.first.T), np.exp(q @ self.second.T)
+                xw, yw = x * (y @ self.shares.T), y * (x @ self.shares)
+                z = xw.sum(1)
+                f = (q * sums[live]).sum(1) - n[live] * np.log(z) - ridge / 2 * (q * q).sum(1)
+                up = f >= value[live]
+                at = live[up]
+                value[at], norm[at], best[at] = f[up], z[up], q[up]
+                mean = (xw[up] @ self.first + yw[up] @ self.second) / z[up, None]
+                grad[at] = sums[at] - n[at, None] * mean - ridge * q[up]
+                pace[at] = np.minimum(pace[at] * 1.5, 2)
+                pace[live[~up]] *= 0.4
+                left = (grad[live] ** 2 / size[live]).sum(1)
+                live = live[(left > 1e-4) & (pace[live] > 1e-6)]
+                if not len(live):
+                    break
+                q = best[live] + pace[live, None] * grad[live] / size[live]
+        return best.astype(np.float32), np.log(n / (self.total + 1)) - np.log(norm)
+
+    def of_contexts(self, context: np.ndarray) -> np.ndarray:
+        """r of contexts a * classes + b."""
+        a, b = np.divmod(context, len(self.first))
+        return self.first[a] + self.second[b]
+
+    def sum_of(self, context: np.ndarray) -> np.ndarray:
+        k = len(self.first)
+        a, b = np.divmod(context, k)
+        return np.bincount(a, minlength=k) @ self.first + np.bincount(b, minlength=k) @ self.second
+
+    def masses(self, vectors: np.ndarray, biases: np.ndarray) -> np.ndarray:
+        """Sum of exp(score) over the given outcomes for every context."""
+        q = vectors.astype(np.float64)
+        return (np.exp(q @ self.first.T) * np.exp(biases)[:, None]).T @ np.exp(q @ self.second.T)
+
+    def scores(self, a: np.ndarray, b: np.ndarray, vectors: np.ndarray, biases: np.ndarray) -> np.ndarray:
+        return ((self.first[a] + self.second[b]) * vectors).sum(1) + biases
+
+
+def word_contexts(texts: DataFrame, classes: Classes, space: WordSpace) -> DataFrame:
+    """(word, c, parts): every word's count and its contexts in ``texts`` (text).
+    A part is a task's: the contexts of all its occurrences (int32 each), or from
+    where that is shorter, a zero byte and their sum of r (float64)."""
+    own, suffixes, k, dim = classes.lookup(), classes.suffixes, classes.n, space.first.shape[1]
+
+    def parts_of(words: list[bytes], ids: np.ndarray, context: np.ndarray) -> pd.DataFrame:
+        order = np.argsort(ids, kind="stable")
+        ids, context = ids[order], context[order].astype("<i4")
+        heads = np.flatnonzero(np.diff(ids, prepend=-1))
+        ends = np.append(heads[1:], len(ids))
+        raw = context.tobytes()
+        parts = [raw[4 * s:4 * e] if e - s <= 2 * dim else b"\0" + space.sum_of(context[s:e]).tobytes()
+                 for s, e in zip(heads.tolist(), ends.tolist())]
+        return pd.DataFrame({"word": [words[i] for i in ids[heads].tolist()], "c": ends - heads, "part": parts})
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, class_of, held, size = {}, [], [], 0
+        for pdf in batches:
+            for group in groups_by_size(pdf["text"], BLOCK):
+                known, tokens, lengths = _Known(own, len(own), suffixes), [], []
+                for text in group:
+                    words = ascii_words(text)
+                    tokens.extend(words)
+                    tokens.append(END)
+                    lengths.append(len(words) + 1)
+                for w in dict.fromkeys(tokens):
+                    if w not in place:
+                        place[w] = len(place)
+                        class_of.append(known[w])
+                ids = np.fromiter(map(place.__getitem__, tokens), np.int32, len(tokens))
+                a, b = _contexts(np.array(class_of, np.int32)[ids], np.array(lengths, np.int64))
+                held.append((ids, a * np.int32(k) + b))
+                size += len(ids)
+                if size > HELD_TOKENS:
+                    yield parts_of(list(place), *map(np.concatenate, zip(*held)))
+                    place, class_of, held, size = {}, [], [], 0
+        if size:
+            yield parts_of(list(place), *map(np.concatenate, zip(*held)))
+
+    return texts.mapInPandas(add, "word binary, c long, part binary").groupBy("word").agg(
+        F.sum("c").alias("c"), F.collect_list("part").alias("parts"))  # at most a few for each task
+
+
+def _sums(parts, space: WordSpace) -> np.ndarray:
+    """Sums of r of several words from their parts."""
+    out = np.zeros((len(parts), space.first.shape[1]))
+    listed, owner = [], []
+    for i, own in enumerate(parts):
+        for p in own:
+            if len(p) % 4:
+                out[i] += np.frombuffer(p, "<f8", offset=1)
+            else:
+                listed.append(p)
+                owner.append(i)
+    context = np.frombuffer(b"".join(listed), "<i4")
+    owner = np.repeat(np.array(owner, np.int64), [len(p) // 4 for p in listed])
+    for i in range(0, len(context), SLICE):
+        who = owner[i:i + SLICE]
+        heads = np.flatnonzero(np.diff(who, prepend=-1))
+        out[who[heads]] += np.add.reduceat(space.of_contexts(context[i:i + SLICE]), heads, axis=0)
+    return out
+
+
+def shared_sums(words: DataFrame, space: WordSpace, least: int, suffixes: int) -> DataFrame:
+    """(s, c, v, m0, m1, ...): count, words and sum of r of the rare words of every
+    suffix, and of the end token under s = ``suffixes``."""
+    columns = [f"m{i}" for i in range(space.first.shape[1])]
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, v, m = np.zeros(suffixes + 1), np.zeros(suffixes + 1), np.zeros((suffixes + 1, len(columns)))
+        for pdf in batches:
+            for i in range(0, len(pdf), FIT_WORDS):
+                part = pdf.iloc[i:i + FIT_WORDS]
+                s = np.array([suffix_class(w, suffixes) if w else suffixes for w in part["word"]], np.int64)
+                np.add.at(n, s, part["c"].to_numpy())
+                np.add.at(v, s, 1)
+                np.add.at(m, s, _sums(part["parts"], space))
+        yield pd.DataFrame({"s": np.arange(suffixes + 1), "c": n, "v": v} | dict(zip(columns, m.T)))
+
+    return words.where((F.length("word") == 0) | (F.col("c") < least)).mapInPandas(
+        add, ", ".join(["s int, c double, v double", *(f"{c} double" for c in columns)])).groupBy("s").agg(
+        *(F.sum(c).alias(c) for c in ["c", "v", *columns]))
+
+
+def fit_words(words: DataFrame, space: WordSpace, least: int) -> DataFrame:
+    """(word, c, q, bias) of all words; q (float32 bytes) and bias are null for
+    words below ``least`` occurrences and for the end token."""
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i in range(0, len(pdf), FIT_WORDS):
+                part = pdf.iloc[i:i + FIT_WORDS]
+                c, q = part["c"].to_numpy(), np.full(len(part), None, object)
+                bias = np.full(len(part), None, object)
+                own = np.flatnonzero((c >= least) & (part["word"].map(len).to_numpy() > 0))
+                if len(own):
+                    vectors, biases = space.fit(c[own], _sums(part["parts"].iloc[own], space))
+                    q[own], bias[own] = [v.astype("<f4").tobytes() for v in vectors], biases
+                yield pd.DataFrame({"word": part["word"].to_numpy(), "c": c, "q": q, "bias": bias})
+
+    return words.mapInPandas(fit, "word binary, c long, q binary, bias double")
+
+
+def _vectors(q, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(q), "<f4").reshape(-1, dim)
+
+
+def context_masses(fitted: DataFrame, space: WordSpace) -> np.ndarray:
+    """Sum of exp(score) over all words with a vector, for every context."""
+    k, dim = space.first.shape
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mass = np.zeros((k, k))
+        for pdf in batches:
+            mass += space.masses(_vectors(pdf["q"], dim), pdf["bias"].to_numpy())
+        yield pd.DataFrame({"context": np.arange(k * k), "z": mass.ravel()})
+
+    rows = fitted.where("q is not null").select("q", "bias").mapInPandas(add, "context int, z double")
+    found = rows.groupBy("context").agg(F.sum("z").alias("z")).toArrow()
+    mass = np.zeros(k * k)
+    mass[found["context"].to_numpy()] = found["z"].to_numpy()
+    return mass.reshape(k, k)
+
+
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD,
-                frequent: int = FREQUENT, suffixes: int = SUFFIXES, **training) -> DataFrame:
+                frequent: int = FREQUENT, suffixes: int = SUFFIXES, least: int = LEAST, **training) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score (add-one unigram) and score (the model), both
     log10 probabilities of the whole text."""
@@ -270,40 +487,58 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counts = word_counts(train, stages)
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     words, top_counts = head_words(counts, head)
+    stages.drop(counts)
     classes = Classes(words[:frequent], suffixes)
-    k, n_own = classes.n, 1 + len(classes.frequent)
+    k = classes.n
 
     found = class_triples(train, classes).toArrow()  # at most k^3 rows, 12 bytes each
     triples, counted = found["triple"].to_numpy(), found["n"].to_numpy()
     del found
     order = np.argsort(triples)
-    model = train_nce(triples[order], counted[order], k, **training)
+    triples, counted = triples[order], counted[order]
+    space = WordSpace.of(train_nce(triples, counted, k, **training), context_shares(triples, counted, k))
     del triples, counted, order
-    table = model.log10_table()
-
-    # add-one shares within each suffix class; own words stand outside
-    listed = spark.createDataFrame([(w,) for w in [END, *classes.frequent]], "own binary")
-    by_suffix = counts.join(F.broadcast(listed), F.col("word") == F.col("own"), "left_anti").groupBy(
-        (F.crc32(F.expr("substring(word, greatest(length(word) - 2, 1), 3)")) % suffixes).alias("s")
-    ).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
-    share = np.zeros(suffixes)
-    for r in by_suffix:
-        share[r["s"]] = np.log10(r["n"] + r["v"] + 1)
+    dim = space.first.shape[1]
+
+    gathered = stages.write(word_contexts(train, classes, space), "word-contexts")
+    fitted = stages.write(fit_words(gathered, space, least), "words")
+    # the end token and the words without a vector, which share their suffix's outcome
+    shared_c, shared_v, shared_m = np.zeros(suffixes + 1), np.zeros(suffixes + 1), np.zeros((suffixes + 1, dim))
+    for r in shared_sums(gathered, space, least, suffixes).collect():
+        shared_c[r["s"]], shared_v[r["s"]], shared_m[r["s"]] = r["c"], r["v"], r[3:]
+    stages.drop(gathered)
+    share = np.log10(shared_c + shared_v + 1)[:suffixes]
+    shared_q, shared_b = space.fit(shared_c, shared_m)
+    log_mass = np.log(context_masses(fitted, space) + space.masses(shared_q, shared_b))
+
+    # outcomes: the suffixes, the end token, the head words that have a vector
+    top = fitted.where(F.col("q").isNotNull() & (F.col("c") >= int(min(top_counts, default=0)))).select(
+        "word", "q", "bias").toArrow() if words else None
+    own, own_q, own_b = {}, np.zeros((0, dim), np.float32), np.zeros(0)
+    if top is not None and top.num_rows:
+        own = {w: suffixes + 1 + i for i, w in enumerate(top["word"].to_pylist())}
+        own_q, own_b = _vectors(top["q"].to_pylist(), dim), top["bias"].to_numpy()
+    del top
+    vectors, biases = np.concatenate([shared_q, own_q]), np.append(shared_b, own_b)
 
     # places: the end token, the head words, then one per suffix for all others
-    ends = counts.where(F.length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    ends = int(shared_c[suffixes])
     words = [END, *words]
+    n_own = 1 + len(classes.frequent)
     suffix_of = np.array([suffix_class(w, suffixes) for w in words] + list(range(suffixes)))
     place = np.arange(len(suffix_of))
     class_of = np.where(place < n_own, place, n_own + suffix_of).astype(np.int32)
+    outcome = np.array([suffixes] + [own.get(w, -1) for w in words[1:]] + [-1] * suffixes)
     seen = np.append(ends, top_counts).astype(np.float64)
     log_count = np.append(np.log10(seen + 1), np.zeros(suffixes))
-    within = np.where(place < n_own, 0.0, log_count - share[suffix_of])
+    within = np.where(outcome >= 0, 0.0, log_count - share[suffix_of])
+    outcome = np.where(outcome >= 0, outcome, suffix_of)
     listed_n = len(words)
-    sent = spark.sparkContext.broadcast((words, class_of, log_count, within, table, bool(ends)))
+    sent = spark.sparkContext.broadcast((words, class_of, outcome, log_count, within, vectors, biases, space,
+                                         log_mass, share, bool(ends)))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, class_of, log_count, within, table, any_end = sent.value
+        words, class_of, outcome, log_count, within, vectors, biases, space, log_mass, _, any_end = sent.value
         known = _Known({w: i for i, w in enumerate(words)}, listed_n, suffixes)
         for pdf in batches:
             done = 0
@@ -319,9 +554,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     known.missed = []
                 ids, lengths = np.array(ids, np.int32), np.array(lengths, np.int64)
                 at = np.cumsum(lengths) - lengths
-                cls = class_of[ids].astype(np.int64)
-                a, b = _contexts(cls, lengths)
+                a, b = _contexts(class_of[ids].astype(np.int64), lengths)
+                model = within[ids]
+                for i in range(0, len(ids), SLICE):
+                    part = slice(i, i + SLICE)
+                    out = outcome[ids[part]]
+                    model[part] += (space.scores(a[part], b[part], vectors[out], biases[out])
+                                    - log_mass[a[part], b[part]]) / np.log(10)
                 seen = ids < listed_n if any_end else (ids < listed_n) & (ids > 0)
+                missed = ids >= listed_n
+                where = np.split((a * k + b)[missed], np.cumsum([len(r) for r in rare])[:-1])
                 yield pd.DataFrame({
                     "row": pdf["row"].to_numpy()[done:done + len(group)],
                     "doc_id": pdf["doc_id"].to_numpy()[done:done + len(group)],
@@ -329,24 +571,39 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     "n_tokens": lengths,
                     "n_seen": np.add.reduceat(seen.astype(np.int64), at),
                     "counted": np.add.reduceat(log_count[ids], at),
-                    "modelled": np.add.reduceat(
-                        within[ids] + table[(a * k + b) * k + cls].astype(np.float64), at),
-                    "rare": rare})
+                    "modelled": np.add.reduceat(model, at),
+                    "rare": rare, "places": where})
                 done += len(group)
 
+    def gain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """What a word found in the table has above an unseen one."""
+        _, _, _, _, _, vectors, biases, space, _, share, _ = sent.value
+        for pdf in batches:
+            more = np.log10(pdf["c"].to_numpy() + 1.0)
+            own = np.flatnonzero(pdf["q"].notna().to_numpy())
+            a, b = np.divmod(pdf["place"].to_numpy()[own].astype(np.int64), k)
+            s = np.array([suffix_class(w, suffixes) for w in pdf["word"].iloc[own]], np.int64)
+            better = (space.scores(a, b, _vectors(pdf["q"].iloc[own], dim), pdf["bias"].to_numpy()[own])
+                      - space.scores(a, b, vectors[s], biases[s])) / np.log(10) + share[s]
+            modelled = more.copy()
+            modelled[own] = better
+            yield pd.DataFrame({"row": pdf["row"], "counted": more, "modelled": modelled})
+
     keyed = rows.withColumn("row", F.monotonically_increasing_id())
     scored = stages.write(keyed.mapInPandas(
         score, "row long, doc_id long, held_out boolean, n_tokens long, n_seen long, "
-        "counted double, modelled double, rare array<binary>"), "scored")
-    others = scored.select("row", F.explode("rare").alias("word")).join(counts, "word").groupBy("row").agg(
-        F.count(F.lit(1)).alias("rare_known"), F.sum(F.log10(F.col("c") + 1)).alias("rare_log")
-    ).withColumnRenamed("row", "rare_row")
+        "counted double, modelled double, rare array<binary>, places array<int>"), "scored")
+    occurrences = scored.select("row", F.explode(F.arrays_zip("rare", "places")).alias("o")).select(
+        "row", F.col("o.rare").alias("word"), F.col("o.places").alias("place"))
+    others = occurrences.join(fitted, "word").select("row", "word", "place", "c", "q", "bias").mapInPandas(
+        gain, "row long, counted double, modelled double").groupBy("row").agg(
+        F.count(F.lit(1)).alias("rare_known"), F.sum("counted").alias("rare_log"),
+        F.sum("modelled").alias("rare_modelled")).withColumnRenamed("row", "rare_row")
     unit = float(np.log10(total["n"] + total["v"] + 1))
-    full = scored.drop("rare").join(others, F.col("row") == F.col("rare_row"), "left")
-    extra = F.coalesce("rare_log", F.lit(0.0))
+    full = scored.drop("rare", "places").join(others, F.col("row") == F.col("rare_row"), "left")
     return full.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_seen") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(total["n"]).cast("long").alias("train_tokens"),
-        (F.col("counted") + extra - F.col("n_tokens") * F.lit(unit)).alias("base_score"),
-        (F.col("modelled") + extra).alias("score"))
+        (F.col("counted") + F.coalesce("rare_log", F.lit(0.0)) - F.col("n_tokens") * F.lit(unit)).alias("base_score"),
+        (F.col("modelled") + F.coalesce("rare_modelled", F.lit(0.0))).alias("score"))

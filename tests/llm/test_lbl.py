@@ -109,3 +109,31 @@ def test_probabilities_of_all_words_sum_to_one_and_beat_the_base(spark):
     # P(end) at once the first-token probabilities cannot exceed one
     total = sum(10 ** scored[i] for i in probe[:len(texts) + 1])
     assert 0 < total <= 1 + 1e-6
+
+
+def test_words_beyond_the_frequent_ones_follow_their_context(spark):
+    """Two words of equal count and suffix: only vectors of their own tell them apart."""
+    train = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2]
+    probe = [i for i in range(400, 900) if zlib.crc32(str(i).encode()) % 7 == 2][:4]
+    rows = [(i, "left xxsame" if i % 2 else "right yysame") for i in train]
+    rows += list(zip(probe, ["left xxsame", "left yysame", "right yysame", "right xxsame"]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for head in (3, 100):  # words looked up by the join, and words sent along
+        got = {r.doc_id: r.score for r in lbl.score_texts(docs, head=head, frequent=2, suffixes=1).collect()}
+        a, b, c, d = (got[i] for i in probe)
+        assert a > b + 0.5 and c > d + 0.5
+        if head == 3:
+            joined = got
+    assert all(math.isclose(joined[i], got[i], abs_tol=1e-5) for i in got)
+
+
+def test_outcomes_sum_to_one_in_every_context():
+    rng = np.random.default_rng(8)
+    model = lbl.LogBilinear(rng.normal(0, 1, (5, 4)), rng.normal(0, 1, (2, 4, 4)), np.zeros((5, 4)), np.zeros(5))
+    space = lbl.WordSpace.of(model, rng.integers(1, 50, (5, 5)))
+    q, bias = space.fit(np.array([0, 5, 90, 4000]), rng.normal(0, 1, (4, 4)) * [[0], [5], [90], [4000]])
+    mass = space.masses(q, bias)
+    for a in range(5):
+        for b in range(5):
+            one = space.scores(np.full(4, a), np.full(4, b), q, bias)
+            assert math.isclose(np.exp(one).sum(), mass[a, b], rel_tol=1e-6)
