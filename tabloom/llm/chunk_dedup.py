@@ -8,15 +8,18 @@ a few words around it only, so a passage gets the same chunks wherever it
 stands and whatever was inserted before it.  Chunks are compared by the 64-bit
 digest of their bytes without outer white space.
 
-Every chunk's first occurrence (smallest id, then smallest start) stays.  Later
-occurrences are dropped where at least ``min_words`` words in a row consist of
-such repeats, so that short phrases all texts share do not count as passages.
-What is dropped therefore stands, chunk for chunk, in a text that keeps it.
-
-All counting is grouped aggregation over (digest, id, start) rows with map-side
-combining; a passage that a third of all texts share is one digest whose rows
-meet only through joins that may be split.  No text is shuffled but for the one
-join that brings a text its dropped starts.
+What repeats is a *window*: neighbouring chunks of one text that reach
+``min_words`` words, from every chunk on and back from every chunk, no longer than
+needed.  Every window's first occurrence (smallest id, then smallest start) stays;
+chunks that lie in a later occurrence are dropped.  So a dropped run of chunks is
+made of passages of at least ``min_words`` words in a row that stand, chunk for
+chunk and in this order, in an earlier place; unrelated short repeats side by side
+stay.  Every dropped chunk has an equal one that is kept.
+
+Windows are only built where all their chunks occur more than once.  All counting
+is grouped aggregation with map-side combining; a passage that a third of all texts
+share is a few digests whose rows meet only through joins that may be split.  No
+text is shuffled but for the one join that brings a text its dropped windows.
 
 Unit of "words": places where a cut may be, i.e. word starts and, inside a run
 of over ``LONG_WORD`` bytes without white space (scripts without blanks, data),
@@ -24,8 +27,8 @@ every character.  Chunks longer than ``MAX_WORDS`` of them are cut there.
 
 Nulls: a null text stays null and repeats nothing; an empty text stays empty.
 Rows with a null id keep their text and are no one's first occurrence.  Rows
-that share an id are told apart by their content: a start is dropped only where
-the digest at that start agrees.  Rows that share id and text both stay.
+that share an id are told apart by a hash of their text.  Rows that share id and
+text both stay.
 """
 
 from __future__ import annotations
@@ -123,34 +126,77 @@ def cut_texts(texts: list[str], reach: int = REACH) -> tuple[np.ndarray, ...]:
 
 
 def chunk_rows(docs: DataFrame, id_col: str, text_col: str, reach: int) -> DataFrame:
-    """(digest, id, start) of every chunk of every text with an id."""
+    """(digest, id, body, seq, start, words) of every chunk of every text with an
+    id; ``body`` is the text's hash, ``seq`` the chunk's place in it."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids, done = pdf["id"].to_numpy(), 0
+            ids, bodies, done = pdf["id"].to_numpy(), pdf["body"].to_numpy(), 0
             for texts in groups_by_size(pdf["text"], BLOCK):
-                own, starts, _, _, digests = cut_texts(texts, reach)
+                own, starts, _, words, digests = cut_texts(texts, reach)
+                seq = np.arange(len(own)) - np.searchsorted(own, own)
                 yield pd.DataFrame({"digest": digests, "id": ids[done:done + len(texts)][own],
-                                    "start": starts})
+                                    "body": bodies[done:done + len(texts)][own], "seq": seq,
+                                    "start": starts, "words": words})
                 done += len(texts)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).dropna().mapInPandas(
-        cut, "digest long, id long, start long")
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("body")
+                       ).dropna().mapInPandas(
+        cut, "digest long, id long, body long, seq int, start long, words int")
+
+
+def windows(seq: np.ndarray, words: np.ndarray, digests: np.ndarray, min_words: int
+            ) -> list[tuple[int, int, int]]:
+    """(digest, first chunk, last chunk) of the windows among some chunks of a
+    text, given in the order of their distinct places ``seq``."""
+    import xxhash
 
+    out, edge = [], np.flatnonzero(np.diff(seq) != 1) + 1
+    for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(seq)]):
+        upto = np.concatenate([[0], np.cumsum(words[a:b])])
+        ends = np.searchsorted(upto, upto[:-1] + min_words)  # on from every chunk
+        begins = np.searchsorted(upto, upto[1:] - min_words, "right") - 1  # back from every chunk
+        found = {(i, e) for i, e in enumerate(ends.tolist()) if e < len(upto)}
+        found |= {(i, e) for e, i in enumerate(begins.tolist(), 1) if i >= 0}
+        for i, e in found:
+            raw = digests[a + i:a + e].astype("<i8").tobytes()
+            out.append((xxhash.xxh64_intdigest(raw) - (1 << 63), a + i, a + e - 1))
+    return out
 
-def _kept(text: str, starts: np.ndarray, digests: np.ndarray, reach: int, min_words: int
-          ) -> tuple[str, list[dict]]:
-    """A text without its runs of repeated chunks, and the dropped spans in
-    code points."""
-    _, begin, end, words, own = cut_texts([text], reach)
-    repeated = {(int(s), int(d)) for s, d in zip(starts, digests)}
-    hit = np.fromiter(((s, d) in repeated for s, d in zip(begin.tolist(), own.tolist())),
-                      bool, len(begin))
+
+def window_rows(repeats: DataFrame, min_words: int) -> DataFrame:
+    """(digest, id, body, start, last) of every window of repeated chunks; start
+    and last are the first bytes of its first and last chunk."""
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for id_, body, *columns in zip(*(pdf[c] for c in ("id", "body", "seq", "start", "words", "digest"))):
+                seq, at = np.unique(np.asarray(columns[0]), return_index=True)  # rows may be equal
+                start, words, digests = (np.asarray(c)[at] for c in columns[1:])
+                if words.sum() >= min_words:
+                    rows += [(d, id_, body, start[i], start[j]) for d, i, j in
+                             windows(seq, words, digests, min_words)]
+            yield pd.DataFrame(rows, columns=["digest", "id", "body", "start", "last"]).astype("int64")
+
+    texts = repeats.groupBy("id", "body").agg(
+        F.collect_list(F.struct("seq", "start", "words", "digest")).alias("s"))  # one text's chunks
+    return texts.select("id", "body", "s.seq", "s.start", "s.words", "s.digest").mapInPandas(
+        build, "digest long, id long, body long, start long, last long")
+
+
+def _kept(text: str, starts: np.ndarray, lasts: np.ndarray, reach: int) -> tuple[str, list[dict]]:
+    """A text without the chunks of its repeated windows, and the dropped spans
+    in code points."""
+    _, begin, end, _, _ = cut_texts([text], reach)
+    cover = np.zeros(len(begin) + 1, np.int64)
+    np.add.at(cover, np.searchsorted(begin, starts), 1)
+    np.add.at(cover, np.searchsorted(begin, lasts) + 1, -1)
+    hit = np.cumsum(cover[:-1]) > 0
     raw, out, spans, done, chars = text.encode("utf-8", "replace"), [], [], 0, 0
     edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
     for a, b in zip(edge[::2], edge[1::2]):
-        if words[a:b].sum() < min_words:
-            continue
         part = raw[done:begin[a]].decode("utf-8")
         gone = raw[begin[a]:end[b - 1]].decode("utf-8")
         out.append(part)
@@ -176,27 +222,32 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeats = stages.write(chunks.join(F.broadcast(counted) if small else counted, "digest",
                                        "left_semi"), "repeats")
     stages.drop(chunks, counted)
-    first = stages.write(repeats.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("f"))
-                         .select("digest", F.col("f.id").alias("f_id"),
-                                 F.col("f.start").alias("f_start")), "first")
-    later = repeats.join(first, "digest").where("id <> f_id or start <> f_start")
-    key, spots = free_name(docs, "repeat_id"), free_name(docs, "repeat_spots")
-    by_text = stages.write(later.groupBy(F.col("id").alias(key)).agg(
-        F.collect_list(F.struct("start", "digest")).alias(spots)), "later")  # one text's chunks
-    stages.drop(repeats, first)
+    found = stages.write(window_rows(repeats, min_words), "windows")
+    stages.drop(repeats)
+    first = stages.write(found.groupBy("digest").agg(
+        F.min(F.struct("id", "start")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        .select("digest", F.col("f.id").alias("f_id"), F.col("f.start").alias("f_start")), "first")
+    later = found.join(first, "digest").where("id <> f_id or start <> f_start").select(
+        "id", "body", "start", "last").distinct()
+    key, body = free_name(docs, "repeat_id"), free_name(docs, "repeat_body")
+    spots = free_name(docs, "repeat_spots")
+    by_text = stages.write(later.groupBy(F.col("id").alias(key), F.col("body").alias(body)).agg(
+        F.collect_list(F.struct("start", "last")).alias(spots)), "later")  # one text's windows
+    stages.drop(found, first)
 
     @F.pandas_udf("kept string, spans array<struct<start: long, chars: long>>")
     def keep(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, starts, digests in batches:
-            rows = [(t, []) if t is None or s is None else _kept(t, s, d, reach, min_words)
-                    for t, s, d in zip(texts, starts, digests)]
+        for texts, starts, lasts in batches:
+            rows = [(t, []) if t is None or s is None else _kept(t, s, e, reach)
+                    for t, s, e in zip(texts, starts, lasts)]
             yield pd.DataFrame(rows, columns=["kept", "spans"])
 
-    joined = docs.join(by_text, docs[id_col] == by_text[key], "left")
+    joined = docs.join(by_text, (docs[id_col] == by_text[key])
+                       & (F.xxhash64(docs[text_col]) == by_text[body]), "left")
     hit = F.col(spots).isNotNull()
     done = free_name(docs, "kept_text")
     cut = joined.withColumn(done, keep(F.when(hit, F.col(text_col)), F.col(f"{spots}.start"),
-                                       F.col(f"{spots}.digest")))
+                                       F.col(f"{spots}.last")))
     columns = [F.when(hit, F.col(f"{done}.kept")).otherwise(F.col(text_col)).alias(c)
                if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     return cut.select(*columns, *([F.col(f"{done}.spans").alias(spans_col)] if spans_col else []))

@@ -130,3 +130,27 @@ def test_a_text_that_repeats_itself_keeps_one_copy(spark):
     line = words(random.Random(6), 70) + "\n"
     docs = spark.createDataFrame([(1, line * 5)], "doc_id long, text string")
     assert len(cd.drop_repeats(docs).first().text) < 1.6 * len(line)
+
+
+def test_short_repeats_from_different_texts_do_not_add_up(spark):
+    rng = random.Random(7)
+    text = words(rng, 1500)
+    _, _, _, n, _ = cd.cut_texts([text])
+    parts, rows, at = text.split(" "), [], 0
+    for i, k in enumerate(n.tolist()):  # under 20 words around every chunk, each in a text of its own
+        if k < 9:
+            around = parts[max(at - 7, 0):at + k + 4]
+            rows.append((i, words(rng, 60) + " " + " ".join(around) + " " + words(rng, 60)))
+            assert len(around) < cd.MIN_WORDS
+        at += k
+    rows.append((9_000, text))
+    assert len(brute(rows)[9_000, text]) < len(text)  # chunks alone would cut it
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in cd.drop_repeats(docs).collect()} == dict(rows)
+
+
+def test_windows_cover_runs_whose_ends_are_uneven():
+    digests = np.arange(4)
+    found = cd.windows(np.array([3, 4, 5, 6]), np.array([19, 1, 1, 2]), digests, 20)
+    assert {(a, b) for _, a, b in found} == {(0, 1), (0, 2), (0, 3)}
+    assert cd.windows(np.array([3, 4, 6, 7]), np.array([9, 9, 9, 9]), digests, 20) == []
