@@ -15,8 +15,11 @@ from tabloom.llm.lbl import score_texts
 from tabloom.llm.multiset_hash import fingerprints
 from tabloom.llm.packing import pack_documents
 from tabloom.llm.piece_dropout import encode_documents
+from tabloom.llm.prefix_trie import conversation_trie
 from tabloom.llm.reply_trees import format_conversations, linear_messages, read_loss, read_turns
 from tabloom.llm.simhash import near_duplicates
+from tabloom.llm.stripes import collocations
+from tabloom.llm.suffix_search import contamination
 from tabloom.llm.toxicity import score_toxicity
 
 
@@ -96,6 +99,21 @@ def lbl_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(read_table(spark, sf_dir, "documents"))
 
 
+def phrase_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2,000 phrases of two and three words of each language."""
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+def suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that stand in ten-word windows of benchmark texts."""
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_chat_reply_trees": chat_formatting,
     "op2_binary_top_k": binary_top_k,
@@ -107,6 +125,9 @@ QUERIES = {
     "op8_chunk_dedup": chunk_dedup,
     "op9_pattern_packing": pattern_packing,
     "op10_lbl_scores": lbl_scores,
+    "op11_phrase_stripes": phrase_stripes,
+    "op12_suffix_decontamination": suffix_decontamination,
+    "op13_prefix_trie": prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
@@ -147,4 +168,85 @@ ORACLE: dict[str, str] = {
                    AS record_type,
                CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to
         FROM k""",
+    "op11_phrase_stripes": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+             w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+             g AS (SELECT lang, k, unnest([array_to_string(ws[i:i + k - 1], ' ')
+                                           FOR i IN range(1, len(ws) - k + 2)]) AS phrase
+                   FROM w, (VALUES (1), (2), (3)) AS s(k) WHERE len(ws) >= k),
+             f AS (SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS ws FROM g GROUP BY ALL),
+             n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+             c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+             m AS (SELECT lang, part, max(f) AS most FROM (
+                       SELECT lang, f, array_to_string(ws[1:2], ' ') AS part FROM c WHERE k = 3
+                       UNION ALL SELECT lang, f, array_to_string(ws[2:3], ' ') FROM c WHERE k = 3)
+                   GROUP BY ALL),
+             d AS (SELECT c.* FROM c LEFT JOIN m ON m.lang = c.lang AND m.part = c.phrase
+                   WHERE coalesce(100 * most < 50 * f, true)),
+             x AS (SELECT d.lang, d.phrase, d.f AS a, cut, l.f AS l, r.f AS r,
+                          (d.f::HUGEINT * d.f * 1000000) // (l.f::HUGEINT * r.f) AS score
+                   FROM d JOIN (VALUES (1), (2)) AS t(cut) ON cut < d.k
+                   JOIN f AS l ON l.lang = d.lang AND l.phrase = array_to_string(d.ws[1:cut], ' ')
+                   JOIN f AS r ON r.lang = d.lang AND r.phrase = array_to_string(d.ws[cut + 1:], ' ')),
+             b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+        SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+        FROM b JOIN n ON n.lang = b.lang QUALIFY rank <= 2000""",
+    "op12_suffix_decontamination": r"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+             t AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(
+                       coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+             w AS (SELECT DISTINCT item, k, unnest([array_to_string(ws[i:i + k - 1], ' ')
+                                                    FOR i IN range(1, len(ws) - k + 2)]) AS grams
+                   FROM (SELECT *, least(len(ws), 10) AS k FROM t WHERE len(ws) > 0)),
+             g AS (SELECT rid, k, unnest(range(1, len(ws) - k + 2)) AS pos,
+                          unnest([array_to_string(ws[i:i + k - 1], ' ') FOR i IN range(1, len(ws) - k + 2)]) AS grams
+                   FROM d, (SELECT DISTINCT k FROM w) WHERE len(ws) >= k),
+             h AS (SELECT g.rid, g.pos, g.k, w.item FROM g JOIN w ON w.k = g.k AND w.grams = g.grams),
+             n AS (SELECT rid, count(DISTINCT place) AS n_hit
+                   FROM (SELECT DISTINCT rid, unnest(range(pos, pos + k)) AS place FROM h) GROUP BY rid),
+             i AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                   FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid)
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN n USING (rid) LEFT JOIN i USING (rid)""",
+    "op13_prefix_trie": r"""
+        WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                                             coalesce(role, ''), coalesce(text, '')) AS pos
+                   FROM conversations WHERE conv_id IS NOT NULL),
+             c AS (SELECT conv_id, xor(list_reduce([4294967295] || [CAST(ascii(x) AS BIGINT)
+                                                     FOR x IN string_split(CAST(conv_id AS VARCHAR), '')],
+                       lambda s, b: list_reduce([xor(s, b)] || [0 FOR i IN range(8)],
+                           lambda v, i: xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END))),
+                       4294967295) % 6 AS h
+                   FROM (SELECT DISTINCT conv_id FROM t)),
+             r AS (SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text
+                   FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.pos <= h
+                   UNION ALL SELECT conv_id, 1, pos, role, text FROM t JOIN c USING (conv_id) WHERE pos > h),
+             q AS (SELECT conv_id, list(length(role) || ':' || role || text ORDER BY part, pos) AS ts,
+                          list(length(text) ORDER BY part, pos) AS chars FROM r GROUP BY conv_id
+                   UNION ALL SELECT conv_id, [], [] FROM c WHERE conv_id NOT IN (SELECT conv_id FROM r)),
+             e AS (SELECT conv_id, len(ts) AS len, unnest(range(0, len(ts) + 1)) AS depth, ts, chars FROM q),
+             m AS (SELECT depth, ts[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+                          any_value(CASE WHEN depth > 0 THEN chars[depth] ELSE 0 END) AS last,
+                          coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                                   FILTER (len = depth), '') AS ends
+                   FROM e GROUP BY ALL),
+             k AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM m WHERE depth > 0 GROUP BY 1),
+             v AS (SELECT m.*, coalesce(n_children, 0) AS n_children FROM m LEFT JOIN k USING (path)),
+             s AS (SELECT up.path, count(*) FILTER (v.n_children = 0) AS n_leaves,
+                          CAST(sum((v.n_convs - 1) * v.last) AS BIGINT) AS saved
+                   FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM v) AS v
+                   JOIN m AS up ON up.path = v.path[1:v.d] GROUP BY 1)
+        SELECT v.conv_id, v.depth, up.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves,
+               saved AS saved_tokens, sha256(v.ends) AS ends_sha256
+        FROM v JOIN s ON s.path = v.path
+        LEFT JOIN m AS up ON up.depth = v.depth - 1 AND up.path = v.path[1:v.depth - 1]""",
 }
