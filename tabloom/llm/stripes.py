@@ -57,9 +57,12 @@ PAGE = 1 << 12
 #: Segments of the stripe of the empty prefix, for each input partition.
 SEGMENTS = 4
 
-_STRIPE = "lang string, prefix string, segment int, next array<string>, n array<long>"
+#: A row of a stripe: its next words joined by blanks, and their counts.
+_STRIPE = "lang string, prefix string, segment int, next string, n array<long>"
 _SCHEMA = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("segment", pa.int32()),
-                     ("next", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
+                     ("next", pa.string()), ("n", pa.list_(pa.int64()))])
+#: The empty word in a row (no word holds a full stop).
+OTHER = "."
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: A-Z in lower case, every piece end as a full stop.
 _TABLE = bytes(46 if c in _BREAKS else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -152,13 +155,13 @@ def block_stripes(lang: str, texts: list[bytes], length: int, levels: list[np.nd
     pid, following, segment, n = pid[order], following[order], segment[order], n[order]
     starts = _cuts(pid, segment)
     begin = at[first][pid[starts]]
-    named = pa.concat_arrays([words, pa.array([b""], pa.binary())]).cast(pa.string())
+    named = pa.concat_arrays([words, pa.array([OTHER.encode()], pa.binary())]).cast(pa.string())
     parts = [named.take(pa.array(word[begin + k])) for k in range(length)]
     prefix = pc.binary_join_element_wise(*parts, " ") if parts else pa.array([""] * len(starts))
     ends = pa.array(np.append(starts, len(pid)).astype(np.int32))
     return pa.RecordBatch.from_arrays([
         pa.array([lang] * len(starts), pa.string()), prefix, pa.array(segment[starts].astype(np.int32)),
-        pa.ListArray.from_arrays(ends, named.take(pa.array(following))),
+        pc.binary_join(pa.ListArray.from_arrays(ends, named.take(pa.array(following))), " "),
         pa.ListArray.from_arrays(ends, pa.array(n))], schema=_SCHEMA)
 
 
@@ -187,13 +190,11 @@ def text_stripes(docs: DataFrame, length: int, levels: list, segments: float) ->
     return docs.mapInArrow(build, _STRIPE)
 
 
-def _entries(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+def _entries(table: pa.Table) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """(row, next, n) of every entry of some stripes."""
-    following, n = batch.column("next"), batch.column("n")
-    if isinstance(following, pa.ChunkedArray):
-        following, n = following.combine_chunks(), n.combine_chunks()
-    rows = pc.list_parent_indices(following).to_numpy()
-    return rows, following.flatten(), n.flatten().to_numpy()
+    following = pc.split_pattern(table.column("next").combine_chunks(), " ")
+    rows = np.repeat(np.arange(table.num_rows), pc.list_value_length(following).to_numpy())
+    return rows, following.flatten(), table.column("n").combine_chunks().flatten().to_numpy()
 
 
 def merge_sorted(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -210,7 +211,8 @@ def merge_sorted(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.R
                        pc.equal(segment[1:], segment[:-1])).to_numpy(zero_copy_only=False)
         starts = np.concatenate([[0], np.flatnonzero(~same) + 1])
         group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, table.num_rows)))
-        merged = _merge(table.select(["lang", "prefix", "segment"]).take(pa.array(starts)), group, table)
+        rows, following, n = _entries(table)
+        merged = _add(table.take(pa.array(starts)), group[rows], following, n)
         if merged.num_rows > 1:
             yield from _fold(merged.slice(0, merged.num_rows - 1), least).to_batches(max_chunksize=4096)
         held = merged.slice(merged.num_rows - 1)
@@ -218,31 +220,21 @@ def merge_sorted(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.R
         yield from _fold(held, least).to_batches()
 
 
-def _merge(keys: pa.Table, group: np.ndarray, table: pa.Table) -> pa.Table:
-    """One row for each key; ``group`` is the key's number of each row of ``table``."""
-    rows, following, n = _entries(table)
-    summed = pa.table({"g": pa.array(group[rows]), "next": following, "n": pa.array(n)}).group_by(
+def _add(keys: pa.Table, group: np.ndarray, following: pa.Array, n: np.ndarray) -> pa.Table:
+    """The rows ``keys`` with the entries of each row's ``group`` added up."""
+    summed = pa.table({"g": pa.array(group), "next": following, "n": pa.array(n)}).group_by(
         ["g", "next"]).aggregate([("n", "sum")]).sort_by("g").combine_chunks()
     counts = np.bincount(summed.column("g").to_numpy(), minlength=keys.num_rows)
     ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-    return keys.append_column("next", pa.ListArray.from_arrays(ends, summed.column("next").combine_chunks())
-                              ).append_column("n", pa.ListArray.from_arrays(
-                                  ends, summed.column("n_sum").combine_chunks()))
+    words = pa.ListArray.from_arrays(ends, summed.column("next").combine_chunks())
+    return pa.table([*(keys.column(c) for c in ("lang", "prefix", "segment")), pc.binary_join(words, " "),
+                     pa.ListArray.from_arrays(ends, summed.column("n_sum").combine_chunks())], schema=_SCHEMA)
 
 
 def _fold(table: pa.Table, least: int) -> pa.Table:
     """Rare entries go to the empty word."""
     rows, following, n = _entries(table)
-    rare = n < least
-    following = pc.if_else(pa.array(rare), pa.scalar("", pa.string()), following)
-    folded = table.select(["lang", "prefix", "segment"])
-    flat = pa.table({"g": pa.array(rows), "next": following, "n": pa.array(n)}).group_by(["g", "next"]).aggregate(
-        [("n", "sum")]).sort_by("g").combine_chunks()
-    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(
-        flat.column("g").to_numpy(), minlength=table.num_rows))]).astype(np.int32))
-    return folded.append_column("next", pa.ListArray.from_arrays(ends, flat.column("next").combine_chunks())
-                                ).append_column("n", pa.ListArray.from_arrays(
-                                    ends, flat.column("n_sum").combine_chunks()))
+    return _add(table, rows, pc.if_else(pa.array(n < least), pa.scalar(OTHER), following), n)
 
 
 def merge_stripes(stripes: DataFrame, least: int) -> DataFrame:
@@ -317,9 +309,10 @@ def merged_levels(docs: DataFrame, stages: Stages, max_words: int, least: int) -
 
 
 def entries(stripes: DataFrame) -> DataFrame:
-    """(lang, prefix, next, n) of every entry."""
-    return stripes.select("lang", "prefix", F.explode(F.arrays_zip("next", "n")).alias("e")).select(
-        "lang", "prefix", "e.next", "e.n")
+    """(lang, prefix, next, n) of every entry; the empty word is the empty text."""
+    pairs = F.arrays_zip(F.split("next", " ").alias("next"), F.col("n"))
+    return stripes.select("lang", "prefix", F.explode(pairs).alias("e")).select(
+        "lang", "prefix", F.nullif(F.col("e.next"), F.lit(OTHER)).alias("next"), "e.n").fillna("", ["next"])
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, share: int = SHARE,

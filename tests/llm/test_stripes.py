@@ -81,10 +81,11 @@ def test_counts_beyond_64_bit_products(spark):
 
 def test_a_stripe_over_several_batches_is_merged_and_folded():
     batch = lambda *rows: pa.RecordBatch.from_pylist(
-        [dict(zip(("lang", "prefix", "segment", "next", "n"), r)) for r in rows], schema=stripes._SCHEMA)
+        [dict(zip(("lang", "prefix", "segment", "next", "n"), (*r[:3], " ".join(w or "." for w in r[3]), r[4])))
+         for r in rows], schema=stripes._SCHEMA)
     out = merge_sorted(iter([batch(("en", "a", 0, ["x", "y"], [3, 1]), ("en", "a", 0, ["x", ""], [4, 2])),
                              batch(("en", "a", 0, ["z"], [2])), batch(),
                              batch(("en", "a", 1, ["x"], [9]), ("fr", "a", 1, ["x"], [5]))]), 5)
     rows = [r for b in out for r in b.to_pylist()]
-    assert [(r["lang"], r["segment"], dict(zip(r["next"], r["n"]))) for r in rows] == [
+    assert [(r["lang"], r["segment"], dict(zip(r["next"].replace(".", "").split(" "), r["n"]))) for r in rows] == [
         ("en", 0, {"x": 7, "": 5}), ("en", 1, {"x": 9}), ("fr", 1, {"x": 5})]
