@@ -18,6 +18,17 @@ def text_of(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def id_text(col: str, alias: str = "doc_id") -> Column:
+    """An id on its way through Python: as text, because a long column with a null
+    becomes doubles there, which hold whole numbers up to 2^53 only."""
+    return F.col(f"`{col}`").cast("string").alias(alias)
+
+
+def id_long(df: DataFrame, col: str = "doc_id") -> DataFrame:
+    """``df`` with an id that travelled as text as a long again."""
+    return df.withColumn(col, F.col(col).cast("long"))
+
+
 def ascii_words(text: str) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text in UTF-8, A-Z in lower case.
 

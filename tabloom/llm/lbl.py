@@ -48,7 +48,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import ascii_words, groups_by_size, text_of
+from tabloom.llm.common import ascii_words, groups_by_size, id_text, text_of
 from tabloom.session import Stages
 
 END = b""
@@ -534,11 +534,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     within = np.where(outcome >= 0, 0.0, log_count - share[suffix_of])
     outcome = np.where(outcome >= 0, outcome, suffix_of)
     listed_n = len(words)
-    sent = spark.sparkContext.broadcast((words, class_of, outcome, log_count, within, vectors, biases, space,
+    sent = spark.sparkContext.broadcast((words, class_of, outcome, log_count, within, vectors, biases, vars(space),
                                          log_mass, share, bool(ends)))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, class_of, outcome, log_count, within, vectors, biases, space, log_mass, _, any_end = sent.value
+        words, class_of, outcome, log_count, within, vectors, biases, held, log_mass, _, any_end = sent.value
+        space = WordSpace(**held)
         known = _Known({w: i for i, w in enumerate(words)}, listed_n, suffixes)
         for pdf in batches:
             done = 0
@@ -577,7 +578,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def gain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """What a word found in the table has above an unseen one."""
-        _, _, _, _, _, vectors, biases, space, _, share, _ = sent.value
+        _, _, _, _, _, vectors, biases, held, _, share, _ = sent.value
+        space = WordSpace(**held)
         for pdf in batches:
             more = np.log10(pdf["c"].to_numpy() + 1.0)
             own = np.flatnonzero(pdf["q"].notna().to_numpy())
@@ -589,9 +591,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             modelled[own] = better
             yield pd.DataFrame({"row": pdf["row"], "counted": more, "modelled": modelled})
 
-    keyed = rows.withColumn("row", F.monotonically_increasing_id())
+    keyed = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("doc_id", id_text("doc_id"))
     scored = stages.write(keyed.mapInPandas(
-        score, "row long, doc_id long, held_out boolean, n_tokens long, n_seen long, "
+        score, "row long, doc_id string, held_out boolean, n_tokens long, n_seen long, "
         "counted double, modelled double, rare array<binary>, places array<int>"), "scored")
     occurrences = scored.select("row", F.explode(F.arrays_zip("rare", "places")).alias("o")).select(
         "row", F.col("o.rare").alias("word"), F.col("o.places").alias("place"))
@@ -602,7 +604,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     unit = float(np.log10(total["n"] + total["v"] + 1))
     full = scored.drop("rare", "places").join(others, F.col("row") == F.col("rare_row"), "left")
     return full.select(
-        "doc_id", "held_out", "n_tokens",
+        F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens",
         (F.col("n_seen") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(total["n"]).cast("long").alias("train_tokens"),
         (F.col("counted") + F.coalesce("rare_log", F.lit(0.0)) - F.col("n_tokens") * F.lit(unit)).alias("base_score"),

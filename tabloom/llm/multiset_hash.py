@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import text_of
+from tabloom.llm.common import id_long, id_text, text_of
 from tabloom.session import Stages
 
 LANES = 1024
@@ -170,4 +170,5 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pd.DataFrame(out, columns=names)
 
     names = [f.split()[0] for f in schema.split(", ")]
-    return ordered.select("part", "copy", "doc_id", "text").mapInPandas(compare, schema)
+    return id_long(ordered.select("part", "copy", id_text("doc_id"), "text").mapInPandas(
+        compare, schema.replace("doc_id long", "doc_id string")))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from tabloom.llm.common import groups_by_size, text_of
+from tabloom.llm.common import groups_by_size, id_long, id_text, text_of
 from tabloom.llm.word_tokenizer import WordTokenizer
 from tabloom.session import Stages
 
@@ -76,9 +76,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                 yield pd.DataFrame(rows, columns=names)
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long"
-        + ", ids binary" * with_ids)
+    return id_long(docs.select(id_text(id_col), text_of(text_col).alias("text")).mapInPandas(
+        cut, "doc_id string, piece int, start long, length long, ids_crc32 long"
+        + ", ids binary" * with_ids))
 
 
 def nnls(a: np.ndarray, b: np.ndarray, tol: float = 1e-9) -> np.ndarray:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.bpe import MergeTable, falls, merge_word_by_agenda, merge_words, mix64
-from tabloom.llm.common import groups_by_size, text_of
+from tabloom.llm.common import groups_by_size, id_long, id_text, text_of
 
 RATE = 0.1
 DRAWS = 1 << 63
@@ -230,6 +230,6 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
                     "decoded_sha256": [hashlib.sha256(b.encode("utf-8")).hexdigest() for b in back],
                     "lossless": [a == b for a, b in zip(texts, back)]})
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col), F.lit(0)).alias("key"),
-                       text_of(text_col).alias("text")).mapInPandas(
-        encode, "doc_id long, ids array<int>, decoded_sha256 string, lossless boolean")
+    return id_long(docs.select(id_text(id_col), F.coalesce(F.col(id_col), F.lit(0)).alias("key"),
+                               text_of(text_col).alias("text")).mapInPandas(
+        encode, "doc_id string, ids array<int>, decoded_sha256 string, lossless boolean"))
