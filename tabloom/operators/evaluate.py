@@ -80,17 +80,18 @@ def confusion_wide(df: DataFrame | None = None, actual: str = "actual",
 
 
 def class_stats(df: DataFrame | None = None, actual: str = "actual", predicted: str = "predicted",
-                counts: DataFrame | None = None) -> DataFrame:
-    """Per label: tp, predicted count, support, precision, recall, f1."""
+                counts: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Per label (and ``by`` columns of ``counts``, such as a fold): tp, predicted count,
+    support, precision, recall, f1."""
     c = counts if counts is not None else confusion_counts(df, actual, predicted)
     hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(F.lit(0))
     zero = F.lit(0).cast("bigint")
-    per = c.select(F.inline(F.array(
+    per = c.select(*by, F.inline(F.array(
         F.struct(F.col("actual").alias("label"), F.col("n").alias("support"),
                  zero.alias("pred_n"), hit.alias("tp")),
         F.struct(F.col("predicted").alias("label"), zero.alias("support"),
                  F.col("n").alias("pred_n"), zero.alias("tp")))))
-    agg = per.groupBy("label").agg(F.sum("tp").alias("tp"), F.sum("pred_n").alias("pred_n"),
+    agg = per.groupBy(*by, "label").agg(F.sum("tp").alias("tp"), F.sum("pred_n").alias("pred_n"),
                                    F.sum("support").alias("support"))
     p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("pred_n").cast("double")),
                    F.lit(0.0))
@@ -102,12 +103,12 @@ def class_stats(df: DataFrame | None = None, actual: str = "actual", predicted:
     return out.withColumn("f1", f1)
 
 
-def _averages(stats: DataFrame) -> DataFrame:
-    """One row: accuracy and the macro / micro / weighted averages."""
+def _averages(stats: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row (for each ``by``): accuracy and the macro / micro / weighted averages."""
     s = F.sum("support").cast("double")
     pm = F.try_divide(F.sum("tp").cast("double"), F.sum("pred_n").cast("double"))
     rm = F.try_divide(F.sum("tp").cast("double"), s)
-    row = stats.agg(
+    row = stats.groupBy(*by).agg(
         F.coalesce(rm, F.lit(0.0)).alias("accuracy"),
         F.avg("precision").alias("precision_macro"),
         F.avg("recall").alias("recall_macro"),
@@ -128,10 +129,11 @@ def _averages(stats: DataFrame) -> DataFrame:
 
 def metric_table(df: DataFrame | None = None, actual: str = "actual", predicted: str = "predicted",
                  metrics: Sequence[str] = ("accuracy", "precision", "recall", "f1"),
-                 average: str = "macro", counts: DataFrame | None = None) -> DataFrame:
-    """Long table (metric, value) for the count-based metrics requested."""
+                 average: str = "macro", counts: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Long table (metric, value) for the count-based metrics requested; with ``by``
+    (columns of ``counts``), one such table per group, its columns first."""
     validate_metrics(metrics, average)
-    avg = _averages(class_stats(df, actual, predicted, counts))
+    avg = _averages(class_stats(df, actual, predicted, counts, by), by)
     recs = []
     for m in metrics:
         if m == "accuracy":
@@ -141,8 +143,8 @@ def metric_table(df: DataFrame | None = None, actual: str = "actual", predicted:
             recs.append(F.struct(F.lit(m).alias("metric"),
                                  F.col(f"{m}_{average}").alias("value")))
     if not recs:  # only metrics that have no count-based value
-        return avg.select(F.lit("").alias("metric"), F.lit(0.0).alias("value")).where(F.lit(False))
-    return avg.select(F.inline(F.array(*recs)))
+        return avg.select(*by, F.lit("").alias("metric"), F.lit(0.0).alias("value")).where(F.lit(False))
+    return avg.select(*by, F.inline(F.array(*recs)))
 
 
 def all_averages(df: DataFrame | None = None, actual: str = "actual", predicted: str = "predicted",

@@ -3,9 +3,10 @@
 * labels are indexed with the ordered category map (repeatable indexes) and
   mapped back after prediction with a join bounded by the class count;
 * ``random_forest`` -> ``RandomForestClassifier``; ``svm`` with a linear
-  kernel -> ``LinearSVC`` (``OneVsRest`` for more than two classes); with an
-  RBF kernel -> random Fourier features (an approximation of the RBF kernel,
-  Rahimi & Recht 2007) followed by the linear SVM;
+  kernel -> one margin per class (one for two classes), all fitted together by
+  ``operators.margin`` (``solver="spark"``: ``LinearSVC`` / ``OneVsRest``, one fit
+  after the other); with an RBF kernel -> random Fourier features (an
+  approximation of the RBF kernel, Rahimi & Recht 2007) followed by the same;
 * ``class_weight="balanced"`` -> n / (k * n_c) per class as ``weightCol``;
 * the training frame is put in a canonical layout (hash partitions on the
   key, sorted inside) so that a fixed seed gives the same model whatever
@@ -34,11 +35,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.columns import join_small
+from tabloom.operators import margin
 from tabloom.operators.encode import CategoryMap, category_text, fit_categories
 from tabloom.session import cut_lineage
 
 MODEL_TYPES = ("random_forest", "svm")
 KERNELS = ("linear", "rbf")
+SOLVERS = ("batched", "spark")
 MAX_DEPTH = 30          # deepest tree Spark ML accepts
 ROWS_PER_TRAIN_PARTITION = 250_000
 
@@ -175,6 +178,37 @@ def rbf_gamma(df: DataFrame, columns: Sequence[str], gamma: str | float,
     return 1.0 / (d * var) if var > 0 else 1.0
 
 
+class MarginModel(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Margins x . b + a of every class: ``rawPrediction`` (two classes: (-m, m)) and
+    ``prediction``, the class index of the largest (ties: the smallest index).  One NumPy
+    product per Arrow batch."""
+
+    coefficients = Param(Params._dummy(), "coefficients", "coefficients per margin",
+                         typeConverter=TypeConverters.toListListFloat)
+    intercepts = Param(Params._dummy(), "intercepts", "intercept per margin",
+                       typeConverter=TypeConverters.toListFloat)
+
+    @keyword_only
+    def __init__(self, inputCol="features", outputCol="rawPrediction", coefficients=None, intercepts=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        coef = np.array(self.getOrDefault("coefficients"), float)
+        icept = np.array(self.getOrDefault("intercepts"), float)
+
+        @F.pandas_udf(T.ArrayType(T.DoubleType()))
+        def margins(col: pd.Series) -> pd.Series:
+            m = np.stack(col.to_numpy()) @ coef.T + icept if len(col) else np.zeros((0, len(icept)))
+            return pd.Series(list(np.column_stack([-m, m]) if m.shape[1] == 1 else m))
+
+        raw = self.getOrDefault("outputCol")
+        arr = margins(vector_to_array(F.col(self.getInputCol())))
+        found = df.withColumn(raw, array_to_vector(arr))
+        out = vector_to_array(F.col(raw))
+        return found.withColumn("prediction", (F.array_position(out, F.array_max(out)) - 1).cast("double"))
+
+
 # ------------------------------------------------------------------ training
 
 @dataclass
@@ -210,6 +244,32 @@ def _forest(params: Mapping[str, Any], weight_col: str | None) -> RandomForestCl
     return rf
 
 
+def fourier_map(params: Mapping[str, Any], inputs: int, gamma: float) -> RandomFourierFeatures:
+    """The random Fourier features that an RBF set of parameters stands for."""
+    return RandomFourierFeatures(
+        inputCol="features", outputCol="rff", nComponents=int(params.get("n_components", 256)), gamma=gamma,
+        inputDim=inputs, seed=int(params.get("random_state", 42)))
+
+
+def margin_classes(classes: int) -> list[int]:
+    """Classes that get a margin: one of two, else each."""
+    return [1] if classes <= 2 else list(range(classes))
+
+
+def _fit_margins(data: DataFrame, params: Mapping[str, Any], classes: int, rff: RandomFourierFeatures | None
+                 ) -> MarginModel:
+    """All margins of one classifier over ``data`` (features vector, label_idx)."""
+    rows = data.select(vector_to_array("features").alias("x"), "label_idx")
+    blocks = margin.pack(rows, "x", "label_idx", classes, write=lambda df: cut_lineage(df, "margin-blocks"))
+    columns = [margin.Column(c, float(params.get("C", 1.0)), balanced=params.get("class_weight") == "balanced")
+               for c in margin_classes(classes)]
+    maps = [margin.FeatureMap(*rff.weights()) if rff else margin.FeatureMap()]
+    found = margin.solve(blocks, columns, maps, max_steps=int(params.get("max_iter", 100)),
+                         tol=float(params.get("tol", margin.TOL)))
+    return MarginModel(inputCol="rff" if rff else "features", outputCol="rawPrediction",
+                       coefficients=[c.tolist() for c, _, _ in found], intercepts=[a for _, a, _ in found])
+
+
 def _svm(params: Mapping[str, Any], n_rows: int, n_classes: int, weight_col: str | None,
          features_col: str):
     c = float(params.get("C", 1.0))
@@ -271,16 +331,18 @@ def train_classifier(df: DataFrame, label: str, features: Sequence[str],
         kernel = params.get("kernel", "rbf")
         if kernel not in KERNELS:
             raise ValueError(f"kernel must be one of: {', '.join(KERNELS)}")
-        fcol = "features"
+        if params.get("solver", "batched") not in SOLVERS:
+            raise ValueError(f"solver must be one of: {', '.join(SOLVERS)}")
+        rff = None
         if kernel == "rbf":
             g = rbf_gamma(data, features, params.get("gamma", "scale"), sizes)
-            stages.append(RandomFourierFeatures(
-                inputCol="features", outputCol="rff",
-                nComponents=int(params.get("n_components", 256)), gamma=g,
-                inputDim=sum(sizes.get(c, 1) for c in features),
-                seed=int(params.get("random_state", 42))))
-            fcol = "rff"
-        stages.append(_svm(params, n_rows, n_classes, weight_col, fcol))
+            rff = fourier_map(params, sum(sizes.get(c, 1) for c in features), g)
+        if params.get("solver", "batched") == "batched":
+            found = _fit_margins(PipelineModel(stages=stages).transform(data), params, n_classes, rff)
+            stages += [*([rff] if rff else []), found]
+        else:
+            stages += [*([rff] if rff else []),
+                       _svm(params, n_rows, n_classes, weight_col, "rff" if rff else "features")]
     model = Pipeline(stages=stages).fit(data)
     return Classifier(model=model, labels=labels, label_col=label,
                       label_type=df.schema[label].dataType, features=list(features),

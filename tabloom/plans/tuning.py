@@ -8,15 +8,17 @@ leaks into its model.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.evaluate import evaluate, metric_table
+from tabloom.operators.evaluate import confusion_counts, evaluate, metric_table
 from tabloom.session import cut_lineage
 
 
@@ -42,6 +44,10 @@ def cross_validate(df: DataFrame, fold_col: str, fit: Callable[[DataFrame], Any]
     data = cut_lineage(df, "folds") if persist else df
     folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
 
+    def pairs(f):
+        scored = predict(fit(data.where(F.col(fold_col) != f)), data.where(F.col(fold_col) == f))
+        return confusion_counts(scored, actual, predicted).select(F.lit(f).cast("bigint").alias("fold"), "*")
+
     def one(f):
         fitted = fit(data.where(F.col(fold_col) != f))
         scored = predict(fitted, data.where(F.col(fold_col) == f))
@@ -51,12 +57,18 @@ def cross_validate(df: DataFrame, fold_col: str, fit: Callable[[DataFrame], Any]
         # a few rows; frees the fold's lineage
         return cut_lineage(ev.metrics.select("*", at)), ev.counts.select(at, "*")
 
-    parts = run_concurrently(one, folds, parallelism)
-    per = parts[0][0]
-    for m, _ in parts[1:]:
-        per = per.unionByName(m)
-    if confusion_out is not None:
-        confusion_out.extend(c for _, c in parts)
+    if "roc_auc" in metrics:
+        parts = run_concurrently(one, folds, parallelism)
+        per = functools.reduce(DataFrame.unionByName, [m for m, _ in parts])
+        if confusion_out is not None:
+            confusion_out.extend(c for _, c in parts)
+    else:
+        # the pairs of all folds are counted and written by one job
+        counts = cut_lineage(functools.reduce(DataFrame.unionByName, run_concurrently(pairs, folds, parallelism)),
+                             "fold-counts")
+        per = metric_table(metrics=metrics, average=average, counts=counts, by=["fold"])
+        if confusion_out is not None:
+            confusion_out.extend(counts.where(F.col("fold") == f) for f in folds)
     summary = per.groupBy("metric").agg(F.avg("value").alias("mean"),
                                         F.stddev_samp("value").alias("std"))
     return per.select("fold", "metric", "value"), summary
@@ -189,6 +201,15 @@ def grid_search_cv(df: DataFrame, label: str, features: Sequence[str] | None, mo
             c for c in model_inputs(rows) if c not in others]
 
     data = cut_lineage(df, "grid-rows")
+    batched = None
+    if model_type == "svm" and metric != "roc_auc":
+        batched = _svm_grid_values(data, label, inputs, sets, dict(base_params or {}), fold_col, prepare,
+                                   metric, average)
+
+    def summary(i, vals):
+        mean = sum(vals) / len(vals)
+        std = (sum((v - mean) ** 2 for v in vals) / (len(vals) - 1)) ** 0.5 if len(vals) > 1 else 0.0
+        return (i, json.dumps(sets[i], sort_keys=True, default=str), mean, std)
 
     def score(item):
         i, ps = item
@@ -208,14 +229,13 @@ def grid_search_cv(df: DataFrame, label: str, features: Sequence[str] | None, mo
                                 metrics=(metric,), average=average, persist=False,
                                 parallelism=1,
                                 scores=lambda fitted, scored: _train.class_scores(fitted[1], scored))
-        vals = [r["value"] for r in per.collect()]          # one value per fold
-        mean = sum(vals) / len(vals)
-        std = (sum((v - mean) ** 2 for v in vals) / (len(vals) - 1)) ** 0.5 \
-            if len(vals) > 1 else 0.0
-        return (i, json.dumps(ps, sort_keys=True, default=str), mean, std)
+        return summary(i, [r["value"] for r in per.collect()])          # one value per fold
 
-    # Parameter sets run side by side (n_jobs in the reference's configs).
-    rows = run_concurrently(score, list(enumerate(sets)), parallelism)
+    if batched is not None:
+        rows = [summary(i, vals) for i, vals in enumerate(batched)]
+    else:
+        # Parameter sets run side by side (n_jobs in the reference's configs).
+        rows = run_concurrently(score, list(enumerate(sets)), parallelism)
     best = max(rows, key=lambda r: (r[2], -r[0]))
     best_params = sets[best[0]]
     model = None
@@ -231,6 +251,105 @@ def grid_search_cv(df: DataFrame, label: str, features: Sequence[str] | None, mo
                       best_model=model)
 
 
+# what one batch of margins may differ in; other parameters hold for the whole grid
+_BATCHED = {"C", "kernel", "gamma", "class_weight", "n_components", "random_state"}
+
+
+def _svm_grid_values(data: DataFrame, label: str, inputs: Callable[[DataFrame], list[str]],
+                     sets: Sequence[Mapping[str, Any]], base: Mapping[str, Any], fold_col: str,
+                     prepare: Callable | None, metric: str, average: str) -> list[list[float]] | None:
+    """The metric of every parameter set and fold: all margins of the grid (sets x folds x
+    classes) are solved together, all held-out rows are scored in one scan.  Sets that
+    stand for the same model (a linear kernel with several widths) are solved once.  None
+    if the grid cannot be batched: it varies the solver, or the folds' preparations give
+    different inputs."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler, VectorSizeHint
+    from pyspark.ml.functions import vector_to_array
+
+    from tabloom.functions.columns import join_small
+    from tabloom.operators import margin
+    from tabloom.operators.encode import category_text, fit_categories
+    from tabloom.operators.train import (KERNELS, drop_null_target, fourier_map, margin_classes, vector_sizes)
+
+    if any(set(ps) - _BATCHED for ps in sets) or base.get("solver", "batched") != "batched":
+        return None
+    sets = [{"kernel": "rbf", "C": 1.0, "gamma": "scale", **base, **ps} for ps in sets]
+    for ps in sets:
+        if ps["kernel"] not in KERNELS:
+            raise ValueError(f"kernel must be one of: {', '.join(KERNELS)}")
+    data, _ = drop_null_target(data, label, count=False)
+    folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
+    place = {f: i for i, f in enumerate(folds)}
+    labels = fit_categories(data, [label])
+    k = labels.sizes[label]
+    side = labels.table.where(F.col("column_name") == label).select(
+        F.col("value").alias("_lv"), F.col("idx").cast("int").alias("_y"))
+    code = functools.reduce(lambda c, f: F.when(F.col(fold_col) == f, F.lit(place[f])).otherwise(c), folds,
+                            F.lit(-2))
+
+    def rows(df: DataFrame, view: int) -> tuple[DataFrame, list[str]]:
+        names = inputs(df)
+        sizes = vector_sizes(df, names)
+        stages = [VectorSizeHint(inputCol=c, size=n, handleInvalid="optimistic") for c, n in sizes.items()]
+        stages.append(VectorAssembler(inputCols=names, outputCol="_features", handleInvalid="keep"))
+        named = join_small(df, side, on=category_text(label, df.schema[label].dataType) == F.col("_lv"),
+                           how="inner", small_rows=k)
+        return PipelineModel(stages=stages).transform(named).select(
+            vector_to_array("_features").alias("x"), "_y", code.alias("_fold"), F.lit(view).alias("_view")), names
+
+    if prepare:
+        views = [rows(prepare(data.where(F.col(fold_col) != f))(data), place[f]) for f in folds]
+    else:
+        views = [rows(data, -1)]
+    if any(names != views[0][1] for _, names in views):
+        return None
+    table = functools.reduce(DataFrame.unionByName, [df for df, _ in views])
+    blocks = margin.pack(table, "x", "_y", k, "_fold", "_view", write=lambda df: cut_lineage(df, "margin-blocks"))
+
+    def width(gamma, fold: int) -> float:
+        if isinstance(gamma, (int, float)):
+            return float(gamma)
+        if gamma == "auto":
+            return 1.0 / blocks.inputs
+        if gamma != "scale":
+            raise ValueError("gamma must be 'scale', 'auto' or a number")
+        m = blocks.class_rows(fold).sum() * blocks.inputs
+        s, s2 = blocks.moments(fold).sum(axis=1)
+        var = s2 / m - (s / m) ** 2 if m else 0.0
+        return 1.0 / (blocks.inputs * var) if var > 0 else 1.0
+
+    maps, at, wanted, problems, owner = [], {}, {}, [], []
+    for i, ps in enumerate(sets):
+        for f in range(len(folds)):
+            if ps["kernel"] == "linear":
+                key = ("linear",)
+            else:
+                key = ("rbf", width(ps["gamma"], f), int(ps.get("n_components", 256)), int(ps.get("random_state", 42)))
+            if key not in at:
+                at[key] = len(maps)
+                maps.append(margin.FeatureMap() if len(key) == 1 else margin.FeatureMap(
+                    *fourier_map(ps, blocks.inputs, key[1]).weights()))
+            model = (at[key], float(ps["C"]), ps.get("class_weight") == "balanced", f)
+            if model not in wanted:
+                wanted[model] = len(wanted)
+                for c in margin_classes(k):
+                    problems.append(margin.Column(c, model[1], f, model[0], model[2]))
+            owner.append(wanted[model])
+    found = margin.solve(blocks, problems, maps, max_steps=int(base.get("max_iter", 100)),
+                         tol=float(base.get("tol", margin.TOL)))
+    per = len(margin_classes(k))
+    models = []
+    for (mapping, _, _, f), m in wanted.items():
+        mine = found[m * per:(m + 1) * per]
+        models.append((m, f, mapping, np.array([c for c, _, _ in mine]), np.array([a for _, a, _ in mine])))
+    counts = cut_lineage(margin.held_out_counts(blocks, models, maps), "grid-counts")
+    values = {r["model"]: r["value"] for r in metric_table(
+        metrics=(metric,), average=average, counts=counts, by=["model"]).collect()}  # sets x folds rows
+    n = len(folds)
+    return [[values[m] for m in owner[i * n:(i + 1) * n] if m in values] for i in range(len(sets))]
+
+
 class MetricEvaluator(Evaluator):
     """Spark ML ``Evaluator`` scoring macro/micro/weighted precision, recall,
     F1 or accuracy from one confusion aggregate (Spark's own multiclass
