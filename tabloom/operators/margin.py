@@ -46,7 +46,7 @@ LENGTHS = (1.0, 2.2, 5.0, 0.35, 0.05, 0.0)
 MAX_STEPS = 60
 #: A column is done when its objective (1 at the start) gains less than this share of
 #: itself, or of LEAST where it is nearly 0, at a width that no longer matters.
-TOL = 1e-3
+TOL = 3e-4
 LEAST = 1e-2
 SHRINK = 0.35
 
@@ -267,8 +267,8 @@ class _Model:
         self.column, self.class_weight = column, weight
         self.total = total                                     # sum of row weights
         self.penalty = np.append(1.0 / (column.c * max(1.0, n)) / scale ** 2, 0.0)
-        self.w, self.width, self.step = np.zeros(size), 1.0, None
-        self.best, self.best_w, self.value, self.grad, self.curve = math.inf, self.w, math.inf, None, None
+        self.w, self.width, self.step, self.damp = np.zeros(size), 1.0, None, 0.0
+        self.best, self.best_w, self.rounding, self.grad, self.curve = math.inf, self.w, math.inf, None, None
         self.still, self.open = 0, n > 0
 
     def penalised(self, w: np.ndarray) -> float:
@@ -279,16 +279,16 @@ class _Model:
         if self.grad is None:
             return [self.w]
         h = self.curve + np.diag(self.penalty)
-        h += np.diag(1e-10 * np.diag(h) + 1e-13)
+        h += np.diag((1e-10 + self.damp) * np.diag(h) + 1e-13)
         self.step = -np.linalg.lstsq(h, self.grad, rcond=1e-13)[0]
-        if -self.step @ self.grad < 0.05 * self.value or self.still:
+        if -self.step @ self.grad < 0.2 * self.rounding:
             self.width = max(self.width * SHRINK, 1e-4 * self.best, 1e-9)
         return [self.w + t * self.step for t in LENGTHS]
 
     def learn(self, points: list[tuple], family: list[tuple], tol: float) -> None:
         """``points``: (w, sums) of this column's points; ``family``: those of columns that
         differ in C only."""
-        before, moved = self.best, None
+        before, moved, tried = self.best, None, len(points) > 1
         for (w, s), own in [(p, True) for p in points] + [(p, False) for p in family]:
             value = s[0] / self.total + self.penalised(w)
             if value < (self.best if own else 0.98 * self.best):
@@ -297,14 +297,22 @@ class _Model:
         values = [s[1] / self.total + self.penalised(w) for w, s in points]
         i = int(np.argmin(values))
         w, s = moved or points[i]
-        self.w, self.value = w, s[1] / self.total + self.penalised(w)
+        self.w, self.rounding = w, (s[1] - s[0]) / self.total
         self.grad = s[2] / self.total + self.penalty * w
         self.curve = points[0][1][3] / self.total
-        if self.step is not None:
-            gained = before - self.best
-            self.still = self.still + 1 if gained < tol * max(self.best, LEAST) else 0
-            narrow = self.width < 0.005 * max(self.best, LEAST)
-            self.open = not (narrow and self.still >= 3 or self.still >= 5)
+        if not tried:
+            return
+        length = LENGTHS[i]
+        if length == 0.0 and moved is None:
+            # no length helped: the curvature was taken elsewhere, or reaches too far
+            self.damp = min(max(self.damp, 1e-4) * 10, 1e4)
+            self.grad = None
+        elif length >= 1.0:
+            self.damp = self.damp / 10 if self.damp > 1e-6 else 0.0
+        gained = before - self.best
+        self.still = self.still + 1 if gained < tol * max(self.best, LEAST) else 0
+        narrow = self.rounding < 0.5 * tol * max(self.best, LEAST)
+        self.open = not (narrow and self.still >= 2 or self.still >= 12)
 
 
 def solve(blocks: Blocks, columns: Sequence[Column], maps: Sequence[FeatureMap] = (FeatureMap(),),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import encode, evaluate, split
 from tabloom.plans.queries import (RATIO, SEED, THRESH, _metrics_sql, _r, _sql_auc_groups, _t)
-from tabloom.session import scratch_path
+from tabloom.session import cut_lineage, scratch_path
 from tabloom.sources import delimited
 
 BIG = 2 ** 53
@@ -134,6 +134,26 @@ def q_load_quoted_csv(spark, sf):
 SQL_LOAD_QUOTED_CSV = """SELECT doc_id, md5(concat('"', text, '", "end')) AS text_md5, source FROM documents"""
 
 
+def q_load_quoted_file(spark, sf):
+    """All documents through ONE quoted file, read by several tasks."""
+    path = scratch_path(spark, "documents-one-csv")
+    docs = _t(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit('"'), "text", F.lit('", "\r\n\n"')).alias("text"), "source")
+    docs.coalesce(1).write.options(header=True, quote='"', escape='"').csv(path)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")  # several splits at every size
+    try:
+        back = cut_lineage(delimited.read_delimited(spark, path, null_tokens=(), multi_line=True,
+                                                    schema="doc_id bigint, text string, source string"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    return back.select("doc_id", F.md5("text").alias("text_md5"), "source")
+
+
+SQL_LOAD_QUOTED_FILE = """SELECT doc_id, md5(concat('"', text, '", "', chr(13), chr(10), chr(10), '"')) AS text_md5,
+  source FROM documents"""
+
+
 QUERIES = {
     "split_null_key": q_split_null_key,
     "kfold_null_key": q_kfold_null_key,
@@ -143,6 +163,7 @@ QUERIES = {
     "metric_many_labels": q_metric_many_labels,
     "auc_ovr_null_scores": q_auc_ovr_null_scores,
     "load_quoted_csv": q_load_quoted_csv,
+    "load_quoted_file": q_load_quoted_file,
 }
 
 ORACLE = {
@@ -154,4 +175,5 @@ ORACLE = {
     "metric_many_labels": SQL_METRIC_MANY_LABELS,
     "auc_ovr_null_scores": SQL_AUC_OVR_NULL_SCORES,
     "load_quoted_csv": SQL_LOAD_QUOTED_CSV,
+    "load_quoted_file": SQL_LOAD_QUOTED_FILE,
 }

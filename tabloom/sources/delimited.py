@@ -11,10 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabloom.functions.columns import join_small
+from tabloom.session import cut_lineage
+
 # Default missing-value tokens and delimiter.
 NULL_TOKENS = ("NA", ".")
 DELIMITER = ","
@@ -28,11 +31,75 @@ ON_BAD = ("raise", "column")
 CORRUPT = "_corrupt"
 
 
+def quoted_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record, first) of delimited files whose quoted fields may hold line breaks; one
+    file is read by as many tasks as it has splits.
+
+    Whether a line begins inside quotes depends on the number of quotes before it, so:
+    quotes are counted per split, summed up over the splits before (a row per split), and
+    counted on inside the split.  A line that begins outside quotes and has an even number
+    of quotes is a record.  Any other belongs to the record that was opened last, maybe in
+    an earlier split; those lines meet by their record.  Texts are shuffled by split once,
+    and records of several lines once more.  ``first`` marks each file's first record.
+
+    Quotes as in RFC 4180: only around fields, doubled inside.  A file with an odd number
+    of quotes raises ``ValueError``.  Blank lines outside quotes are no records."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("line"), "value").withColumn(
+        "quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = cut_lineage(lines.groupBy("file", "split").agg(F.sum("quotes").alias("n")).withColumn(
+        "entered", F.coalesce(F.sum("n").over(before), F.lit(0)) % 2), "csv-splits")
+    torn = splits.groupBy("file").agg((F.sum("n") % 2).alias("odd")).where("odd = 1").select("file").first()
+    if torn:
+        raise ValueError(f"a quote is not closed in {torn['file']}")
+    inside = Window.partitionBy("file", "split").orderBy("line")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = join_small(lines, splits.drop("n"), ["file", "split"], "inner")
+    known = known.withColumn("place", F.row_number().over(inside)).withColumn(
+        "left", (F.sum("quotes").over(upto) + F.col("entered")) % 2).withColumn(
+        "met", (F.col("left") + F.col("quotes")) % 2)  # 1: inside quotes after, before the line
+    opened = F.when((F.col("met") == 0) & (F.col("left") == 1), F.col("line"))
+    known = cut_lineage(known.select(
+        "file", "split", "line", "value", ((F.col("split") == 0) & (F.col("place") == 1)).alias("first"),
+        ((F.col("met") == 0) & (F.col("left") == 0)).alias("whole"),
+        F.last(opened, ignorenulls=True).over(upto).alias("opened")), "csv-lines")
+    tail = F.regexp_replace("record", "\r$", "")
+    single = known.where("whole").select(F.col("value").alias("record"), "first").where(
+        ~F.col("record").rlike(r"^[ \t\r]*$"))
+    parts = known.where("not whole")
+    # the record that is open at a split's begin: the last one opened in the splits before
+    carried = splits.select("file", "split").join(
+        parts.groupBy("file", "split").agg(F.max("opened").alias("latest")), ["file", "split"], "left").select(
+        "file", "split", F.last("latest", ignorenulls=True).over(before).alias("carried"))
+    owned = join_small(parts, carried, ["file", "split"], "inner").withColumn(
+        "owner", F.coalesce("opened", "carried"))
+    joined = owned.groupBy("file", "owner").agg(  # one record's lines
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("split", "line", "value"))),
+                                 lambda x: x["value"]), "\n").alias("record"), F.max("first").alias("first"))
+    return single.unionByName(joined.select("record", "first")).select(tail.alias("record"), "first")
+
+
+def _read_quoted(spark: SparkSession, path: str, schema: T.StructType, sep: str, header: bool, on_bad: str
+                 ) -> DataFrame:
+    """The fields of ``quoted_records`` as text."""
+    records = quoted_records(spark, path)
+    if header:
+        records = records.where("not first")
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "FAILFAST" if on_bad == "raise" else "PERMISSIVE"}
+    if on_bad == "column":
+        options["columnNameOfCorruptRecord"] = CORRUPT
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields)
+    return records.select(F.from_csv("record", ddl, options).alias("r")).select(
+        *[F.col("r").getField(f.name).alias(f.name) for f in schema.fields])
+
+
 def _read_text(spark: SparkSession, path: str, sep: str, header: bool, multi_line: bool,
                on_bad: str) -> DataFrame:
     """All fields as text, quoted as in RFC 4180: a doubled quote inside quotes is
-    a quote, and with ``multi_line`` quotes may hold line breaks (such a file is
-    read by one task)."""
+    a quote, and with ``multi_line`` quotes may hold line breaks."""
     if on_bad not in ON_BAD:
         raise ValueError(f"on_bad must be one of: {', '.join(ON_BAD)}")
     options = {"header": header, "sep": sep, "inferSchema": False, "quote": '"', "escape": '"',
@@ -43,6 +110,8 @@ def _read_text(spark: SparkSession, path: str, sep: str, header: bool, multi_lin
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"no delimited file at {path}") from e
         raise
+    if multi_line:
+        return _read_quoted(spark, path, schema, sep, header, on_bad)
     if on_bad == "raise":
         return spark.read.options(**options).schema(schema).option("mode", "FAILFAST").csv(path)
     return spark.read.options(**options).schema(
