@@ -10,7 +10,7 @@ digest of their bytes without outer white space.
 
 What repeats is a *window*: neighbouring chunks of one text that reach
 ``min_words`` words, from every chunk on and back from every chunk, no longer than
-needed.  Every window's first occurrence (smallest id, then smallest start) stays;
+needed.  Every window's first occurrence (smallest id, then smallest place) stays;
 chunks that lie in a later occurrence are dropped.  So a dropped run of chunks is
 made of passages of at least ``min_words`` words in a row that stand, chunk for
 chunk and in this order, in an earlier place; unrelated short repeats side by side
@@ -126,24 +126,24 @@ def cut_texts(texts: list[str], reach: int = REACH) -> tuple[np.ndarray, ...]:
 
 
 def chunk_rows(docs: DataFrame, id_col: str, text_col: str, reach: int) -> DataFrame:
-    """(digest, id, body, seq, start, words) of every chunk of every text with an
-    id; ``body`` is the text's hash, ``seq`` the chunk's place in it."""
+    """(digest, id, body, seq, words) of every chunk of every text with an id;
+    ``body`` is the text's hash, ``seq`` the chunk's place in it."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids, bodies, done = pdf["id"].to_numpy(), pdf["body"].to_numpy(), 0
             for texts in groups_by_size(pdf["text"], BLOCK):
-                own, starts, _, words, digests = cut_texts(texts, reach)
+                own, _, _, words, digests = cut_texts(texts, reach)
                 seq = np.arange(len(own)) - np.searchsorted(own, own)
                 yield pd.DataFrame({"digest": digests, "id": ids[done:done + len(texts)][own],
                                     "body": bodies[done:done + len(texts)][own], "seq": seq,
-                                    "start": starts, "words": words})
+                                    "words": words})
                 done += len(texts)
 
     text = F.col(text_col)
-    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("body")
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.hash(text).alias("body")
                        ).dropna().mapInPandas(
-        cut, "digest long, id long, body long, seq int, start long, words int")
+        cut, "digest long, id long, body int, seq int, words short")
 
 
 def windows(seq: np.ndarray, words: np.ndarray, digests: np.ndarray, min_words: int
@@ -166,33 +166,33 @@ def windows(seq: np.ndarray, words: np.ndarray, digests: np.ndarray, min_words:
 
 
 def window_rows(repeats: DataFrame, min_words: int) -> DataFrame:
-    """(digest, id, body, start, last) of every window of repeated chunks; start
-    and last are the first bytes of its first and last chunk."""
+    """(digest, id, body, start, last) of every window of repeated chunks; start and
+    last are the places (seq) of its first and last chunk."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for id_, body, *columns in zip(*(pdf[c] for c in ("id", "body", "seq", "start", "words", "digest"))):
-                seq, at = np.unique(np.asarray(columns[0]), return_index=True)  # rows may be equal
-                start, words, digests = (np.asarray(c)[at] for c in columns[1:])
+            for id_, body, *columns in zip(*(pdf[c] for c in ("id", "body", "seq", "words", "digest"))):
+                seq, at = np.unique(np.asarray(columns[0]), return_index=True)
+                words, digests = np.asarray(columns[1], np.int64)[at], np.asarray(columns[2])[at]
                 if words.sum() >= min_words:
-                    rows += [(d, id_, body, start[i], start[j]) for d, i, j in
+                    rows += [(d, id_, body, seq[i], seq[j]) for d, i, j in
                              windows(seq, words, digests, min_words)]
             yield pd.DataFrame(rows, columns=["digest", "id", "body", "start", "last"]).astype("int64")
 
     texts = repeats.groupBy("id", "body").agg(
-        F.collect_list(F.struct("seq", "start", "words", "digest")).alias("s"))  # one text's chunks
-    return texts.select("id", "body", "s.seq", "s.start", "s.words", "s.digest").mapInPandas(
-        build, "digest long, id long, body long, start long, last long")
+        F.collect_set(F.struct("seq", "words", "digest")).alias("s"))  # one text's chunks, copies of a row once
+    return texts.select("id", "body", "s.seq", "s.words", "s.digest").mapInPandas(
+        build, "digest long, id long, body int, start int, last int")
 
 
 def _kept(text: str, starts: np.ndarray, lasts: np.ndarray, reach: int) -> tuple[str, list[dict]]:
-    """A text without the chunks of its repeated windows, and the dropped spans
-    in code points."""
+    """A text without the chunks ``starts`` to ``lasts`` of its repeated windows, and the
+    dropped spans in code points."""
     _, begin, end, _, _ = cut_texts([text], reach)
     cover = np.zeros(len(begin) + 1, np.int64)
-    np.add.at(cover, np.searchsorted(begin, starts), 1)
-    np.add.at(cover, np.searchsorted(begin, lasts) + 1, -1)
+    np.add.at(cover, np.asarray(starts, np.int64), 1)
+    np.add.at(cover, np.asarray(lasts, np.int64) + 1, -1)
     hit = np.cumsum(cover[:-1]) > 0
     raw, out, spans, done, chars = text.encode("utf-8", "replace"), [], [], 0, 0
     edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
@@ -225,9 +225,9 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = stages.write(window_rows(repeats, min_words), "windows")
     stages.drop(repeats)
     first = stages.write(found.groupBy("digest").agg(
-        F.min(F.struct("id", "start")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        .select("digest", F.col("f.id").alias("f_id"), F.col("f.start").alias("f_start")), "first")
-    later = found.join(first, "digest").where("id <> f_id or start <> f_start").select(
+        F.min(F.struct("id", "start", "body")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        .select("digest", "f"), "first")
+    later = found.join(first, "digest").where("id <> f.id or start <> f.start or body <> f.body").select(
         "id", "body", "start", "last").distinct()
     key, body = free_name(docs, "repeat_id"), free_name(docs, "repeat_body")
     spots = free_name(docs, "repeat_spots")
@@ -243,7 +243,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pd.DataFrame(rows, columns=["kept", "spans"])
 
     joined = docs.join(by_text, (docs[id_col] == by_text[key])
-                       & (F.xxhash64(docs[text_col]) == by_text[body]), "left")
+                       & (F.hash(docs[text_col]) == by_text[body]), "left")
     hit = F.col(spots).isNotNull()
     done = free_name(docs, "kept_text")
     cut = joined.withColumn(done, keep(F.when(hit, F.col(text_col)), F.col(f"{spots}.start"),
