@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.operators import encode, evaluate, split
+from tabloom.operators import encode, evaluate, frequent, split
 from tabloom.plans.queries import (RATIO, SEED, THRESH, _metrics_sql, _r, _sql_auc_groups, _t)
 from tabloom.session import cut_lineage, scratch_path
 from tabloom.sources import delimited
@@ -154,6 +154,20 @@ SQL_LOAD_QUOTED_FILE = """SELECT doc_id, md5(concat('"', text, '", "', chr(13),
   source FROM documents"""
 
 
+def q_top_values_documents(spark, sf):
+    """Most frequent values of all document columns, whole texts among them."""
+    t = frequent.frequent_values(_t(spark, sf, "documents"), ["lang", "source", "text", "doc_id", "n_chars"], k=5)
+    return t.select("column_name", "value_rank", F.md5("value").alias("value_md5"), "n",
+                    _r("percent").alias("percent"))
+
+
+SQL_TOP_VALUES_DOCUMENTS = " UNION ALL ".join(
+    f"""SELECT * FROM (SELECT '{c}' AS column_name, row_number() OVER (ORDER BY n DESC, v) AS value_rank,
+  md5(v) AS value_md5, n, round(n / sum(n) OVER () * 100.0, 6) AS percent
+  FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM documents WHERE {c} IS NOT NULL GROUP BY 1))
+  WHERE value_rank <= 5""" for c in ("lang", "source", "text", "doc_id", "n_chars"))
+
+
 QUERIES = {
     "split_null_key": q_split_null_key,
     "kfold_null_key": q_kfold_null_key,
@@ -163,6 +177,7 @@ QUERIES = {
     "metric_many_labels": q_metric_many_labels,
     "auc_ovr_null_scores": q_auc_ovr_null_scores,
     "load_quoted_csv": q_load_quoted_csv,
+    "top_values_documents": q_top_values_documents,
     "load_quoted_file": q_load_quoted_file,
 }
 
@@ -175,5 +190,6 @@ ORACLE = {
     "metric_many_labels": SQL_METRIC_MANY_LABELS,
     "auc_ovr_null_scores": SQL_AUC_OVR_NULL_SCORES,
     "load_quoted_csv": SQL_LOAD_QUOTED_CSV,
+    "top_values_documents": SQL_TOP_VALUES_DOCUMENTS,
     "load_quoted_file": SQL_LOAD_QUOTED_FILE,
 }
