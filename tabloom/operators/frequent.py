@@ -8,8 +8,8 @@ the k most frequent are counted:
    summary count and that plus the column's summed error, and a value in no summary has
    at most the error;
 2. if the k-th largest summary count is above the error, only values whose upper bound
-   reaches it can be among the k: a second scan counts these exactly and fetches their
-   texts (the only texts that are shuffled, one per task and candidate);
+   reaches it can be among the k: a second scan counts these exactly by digest, a third
+   fetches the winners' texts (the only texts that are shuffled, one per task and winner);
 3. a column where the bound proves nothing (nearly all values differ) is counted in full
    by digest, 16 bytes a value; texts are then fetched for the k winners.  If the k-th
    count is 1, the rest of the k are the smallest texts among values that occur once,
@@ -86,14 +86,35 @@ def _stacked(df: DataFrame, columns: Sequence[str], ids: Sequence[int], text: bo
     return df.select(F.explode(F.array(*parts)).alias("v")).select("v.*").where("digest is not null")
 
 
-def _counted(df: DataFrame, columns: Sequence[str], wanted: DataFrame, ids: Sequence[int]) -> DataFrame:
-    """(column_id, value, n) of the wanted (column_id, digest): one scan, exact."""
-    rows = _stacked(df, columns, ids, True)
+def _wanted(df: DataFrame, columns: Sequence[str], wanted: DataFrame, ids: Sequence[int], text: bool) -> DataFrame:
+    """Rows of ``_stacked`` whose (column_id, digest) is wanted."""
     side = wanted.select(F.col("column_id").alias("w_id"), F.col("digest").alias("w_digest"))
-    met = join_small(rows, side, (F.col("column_id") == F.col("w_id")) & (F.col("digest") == F.col("w_digest")),
-                     "left_semi")
-    return met.groupBy("column_id", "digest").agg(F.min("value").alias("value"), F.count(F.lit(1)).alias("n")
-                                                  ).drop("digest")
+    return join_small(_stacked(df, columns, ids, text), side,
+                      (F.col("column_id") == F.col("w_id")) & (F.col("digest") == F.col("w_digest")), "left_semi")
+
+
+def _counted(df: DataFrame, columns: Sequence[str], wanted: DataFrame, ids: Sequence[int], k: int) -> DataFrame:
+    """(column_id, value, n) of the k best of the wanted digests, and of those that share
+    the k-th count: one scan counts, one fetches a text for each from every task."""
+    counts = _wanted(df, columns, wanted, ids, False).groupBy("column_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    place = F.rank().over(Window.partitionBy("column_id").orderBy(F.desc("n")))
+    best = cut_lineage(counts.withColumn("place", place).where(F.col("place") <= k).drop("place"), "best-digests")
+
+    def one_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, bytes]] = set()
+        for batch in batches:
+            new = []
+            for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(i)
+            if new:
+                yield batch.take(pa.array(new))
+
+    texts = _wanted(df, columns, best, ids, True).mapInArrow(
+        one_each, "column_id int, digest binary, value string").groupBy("column_id", "digest").agg(
+        F.min("value").alias("value"))
+    return best.join(texts, ["column_id", "digest"]).select("column_id", "value", "n")
 
 
 def _full(df: DataFrame, columns: Sequence[str], i: int, k: int) -> DataFrame | None:
@@ -107,12 +128,12 @@ def _full(df: DataFrame, columns: Sequence[str], i: int, k: int) -> DataFrame |
     least = best[-1]["n"]
     if least > 1 or len(best) < k:
         wanted = counts.where(F.col("n") >= least)
-        return _counted(df, columns, wanted, [i]) if row_bounded(wanted, MAX_BROADCAST_ROWS) else None
+        return _counted(df, columns, wanted, [i], k) if row_bounded(wanted, MAX_BROADCAST_ROWS) else None
     more = counts.where("n > 1")                                   # fewer than k
     side = more.select(F.col("digest").alias("w_digest"))
     once = _stacked(df, columns, [i], True).join(F.broadcast(side), F.col("digest") == F.col("w_digest"), "left_anti")
     lone = once.orderBy("value").limit(k).select("column_id", "value", F.lit(1).cast("long").alias("n"))
-    return _counted(df, columns, more, [i]).union(lone)
+    return _counted(df, columns, more, [i], k).union(lone)
 
 
 def frequent_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5,
@@ -148,7 +169,7 @@ def frequent_values(df: DataFrame, columns: Sequence[str] | None = None, k: int
     if proven:
         floor = reduce(lambda a, p: F.when(F.col("column_id") == p[0], F.lit(p[1])).otherwise(a), proven, F.lit(None))
         wanted = merged.where(F.col("n") >= floor)
-        parts.append(_counted(df, columns, cut_lineage(wanted, "candidates"), [i for i, _ in proven]))
+        parts.append(_counted(df, columns, cut_lineage(wanted, "candidates"), [i for i, _ in proven], k))
     if not parts:
         return top_values(df, [], k)
     every = reduce(DataFrame.unionByName, parts)

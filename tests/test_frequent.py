@@ -71,10 +71,12 @@ def test_summary_bounds(batches, capacity):
 def test_no_exchange_moves_all_texts(spark):
     """The counting plans shuffle digests; texts move only behind the join with candidates."""
     df = spark.createDataFrame(table(1, 100), SCHEMA)
-    plan = frequent._stacked(df, df.columns, [2], False).groupBy("column_id", "digest").count()
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    exchanges = [line for line in text.splitlines() if "Exchange" in line]
-    assert exchanges and all("text" not in line and "value" not in line for line in exchanges)
     wanted = frequent.summaries(df, df.columns).where("digest is not null").select("column_id", "digest").distinct()
-    text = frequent._counted(df, df.columns, wanted, [2])._jdf.queryExecution().executedPlan().toString()
-    assert text.index("HashAggregate") < text.index("LeftSemi")
+    for text in (False, True):
+        plan = frequent._wanted(df, df.columns, wanted, [2], text)
+        if not text:
+            plan = plan.groupBy("column_id", "digest").count()
+        lines = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+        moved = [line for line in lines if "Exchange" in line]
+        assert all("value" not in line and "text" not in line for line in moved)
+    assert any("BroadcastExchange" in line for line in lines)
