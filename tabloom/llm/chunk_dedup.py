@@ -47,6 +47,7 @@ WINDOW = 16
 REACH = 3
 MIN_WORDS = 20
 MAX_WORDS = 64
+PLACE = 2 * MAX_WORDS
 LONG_WORD = 48
 #: Characters of text that are cut at once.
 BLOCK = 1 << 20
@@ -126,8 +127,8 @@ def cut_texts(texts: list[str], reach: int = REACH) -> tuple[np.ndarray, ...]:
 
 
 def chunk_rows(docs: DataFrame, id_col: str, text_col: str, reach: int) -> DataFrame:
-    """(digest, id, body, seq, words) of every chunk of every text with an id;
-    ``body`` is the text's hash, ``seq`` the chunk's place in it."""
+    """(digest, id, body, place) of every chunk of every text with an id; ``body`` is
+    the text's hash, ``place`` the chunk's number in it times ``PLACE`` plus its words."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -136,14 +137,14 @@ def chunk_rows(docs: DataFrame, id_col: str, text_col: str, reach: int) -> DataF
                 own, _, _, words, digests = cut_texts(texts, reach)
                 seq = np.arange(len(own)) - np.searchsorted(own, own)
                 yield pd.DataFrame({"digest": digests, "id": ids[done:done + len(texts)][own],
-                                    "body": bodies[done:done + len(texts)][own], "seq": seq,
-                                    "words": words})
+                                    "body": bodies[done:done + len(texts)][own],
+                                    "place": seq * PLACE + words})
                 done += len(texts)
 
     text = F.col(text_col)
     return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.hash(text).alias("body")
                        ).dropna().mapInPandas(
-        cut, "digest long, id long, body int, seq int, words short")
+        cut, "digest long, id long, body int, place long")
 
 
 def windows(seq: np.ndarray, words: np.ndarray, digests: np.ndarray, min_words: int
@@ -172,17 +173,17 @@ def window_rows(repeats: DataFrame, min_words: int) -> DataFrame:
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for id_, body, *columns in zip(*(pdf[c] for c in ("id", "body", "seq", "words", "digest"))):
-                seq, at = np.unique(np.asarray(columns[0]), return_index=True)
-                words, digests = np.asarray(columns[1], np.int64)[at], np.asarray(columns[2])[at]
+            for id_, body, places, digests in zip(*(pdf[c] for c in ("id", "body", "place", "digest"))):
+                places, at = np.unique(np.asarray(places), return_index=True)
+                (seq, words), digests = np.divmod(places, PLACE), np.asarray(digests)[at]
                 if words.sum() >= min_words:
                     rows += [(d, id_, body, seq[i], seq[j]) for d, i, j in
                              windows(seq, words, digests, min_words)]
             yield pd.DataFrame(rows, columns=["digest", "id", "body", "start", "last"]).astype("int64")
 
     texts = repeats.groupBy("id", "body").agg(
-        F.collect_set(F.struct("seq", "words", "digest")).alias("s"))  # one text's chunks, copies of a row once
-    return texts.select("id", "body", "s.seq", "s.words", "s.digest").mapInPandas(
+        F.collect_set(F.struct("place", "digest")).alias("s"))  # one text's chunks, copies of a row once
+    return texts.select("id", "body", "s.place", "s.digest").mapInPandas(
         build, "digest long, id long, body int, start int, last int")
 
 
