@@ -44,8 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     The folder named by ``spark.checkpoint.dir`` (or one already set on the
-    context) is used as is.  Only when nothing is configured -- local tests --
-    a fresh folder is created and registered.
+    context) is used as is.  When nothing is configured, a local session (tests)
+    gets a fresh folder; on a cluster, whose machines share no folder of their own,
+    it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tabloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
