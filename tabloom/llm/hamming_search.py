@@ -6,7 +6,9 @@ segments, and the radius grows by one a step.  When all m segments have been
 probed within radius a, no code at Hamming distance m * (a + 1) - 1 or less can be
 missing (each of its segment distances would have to be above a), so a query is
 finished once its k-th verified distance is at most that.  Only unfinished queries
-go into the next step.
+go into the next step.  The number of segments follows the number of rows by the
+expected probes and candidates, and is at least three: below 10^5 probes a query for
+random codes of any number.
 
 Equal codes are one entry that carries its k smallest ids, and equal query codes
 are searched once, so a code that a third of all rows share costs no more than
@@ -21,7 +23,6 @@ than k rows all of them are found.  Ties in distance go to the smaller id.
 
 from __future__ import annotations
 
-import itertools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -32,8 +33,9 @@ from tabloom.session import Stages
 
 BITS = 64
 K = 10
-#: A segment has at least so many bits (or as many as tell the rows apart).
-LEAST_BITS = 16
+#: Numbers of segments to choose from.  With three, a segment has at most 22 bits, so
+#: that even a query far from all codes has no more than 3 * 2^22 values to probe.
+FEWEST, MOST = 3, 8
 
 
 def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -44,14 +46,30 @@ def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         F.col(id_col).alias("id"), code.alias("code"))
 
 
-def segments(rows: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of each segment for an index of so many rows."""
-    bits = max(LEAST_BITS, math.ceil(math.log2(max(rows, 2))))
-    m = max(1, BITS // min(bits, 32))
+def _cuts(m: int) -> list[tuple[int, int]]:
     edge = [round(BITS * j / m) for j in range(m + 1)]
     return [(a, b - a) for a, b in zip(edge, edge[1:])]
 
 
+def expected_cost(rows: int, m: int, k: int = K) -> tuple[int, float]:
+    """(probes, candidates) of a query for its k nearest of so many random codes in
+    m segments: the expected k-th distance gives the radius that covers it."""
+    within, kth = 0, 0
+    for kth in range(BITS + 1):
+        within += math.comb(BITS, kth)
+        if rows * within >= k << BITS:
+            break
+    radius = kth // m  # the least with m * (radius + 1) - 1 >= kth
+    probes = [sum(math.comb(bits, i) for i in range(radius + 1)) for _, bits in _cuts(m)]
+    return sum(probes), sum(p * rows / (1 << bits) for p, (_, bits) in zip(probes, _cuts(m)))
+
+
+def segments(rows: int, k: int = K) -> list[tuple[int, int]]:
+    """(first bit, bits) of each segment for an index of so many rows: the number of
+    segments with the least expected probes and candidates together."""
+    return _cuts(min(range(FEWEST, MOST + 1), key=lambda m: sum(expected_cost(rows, m, k))))
+
+
 def _part(code: Column, at: int, bits: int) -> Column:
     """A segment's value (at most 32 bits)."""
     return F.shiftrightunsigned(code, at).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
@@ -67,8 +85,19 @@ def _first_met(a: Column, b: Column, j: Column, radius: int, cuts: list[tuple[in
     return ok
 
 
-def _masks(bits: int, radius: int) -> list[int]:
-    return [sum(1 << i for i in c) for c in itertools.combinations(range(bits), radius)]
+def _probes(open_: DataFrame, cuts: list[tuple[int, int]], radius: int) -> DataFrame:
+    """(q, bound, p_j, p_key): all values at exactly ``radius`` from the segments of
+    each open query.  One more bit, above the last one, is flipped a step, so every
+    value comes up once and nothing is listed beforehand."""
+    out = open_.select("q", "bound", F.explode(F.array(*[
+        F.struct(F.lit(j).alias("p_j"), F.lit(bits).alias("bits"), F.lit(-1).alias("top"),
+                 _part(F.col("q"), at, bits).alias("p_key"))
+        for j, (at, bits) in enumerate(cuts) if bits >= radius])).alias("s")).select("q", "bound", "s.*")
+    for left in range(radius - 1, -1, -1):
+        flips = F.sequence(F.col("top") + 1, F.col("bits") - 1 - left)
+        out = out.select("q", "bound", "p_j", "bits", "p_key", F.explode(flips).alias("top")).withColumn(
+            "p_key", F.col("p_key").bitwiseXOR(F.expr("shiftleft(1L, top)")))
+    return out.select("q", "bound", "p_j", "p_key")
 
 
 def search(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -78,7 +107,7 @@ def search(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     rows = stages.write(codes.select("id", "code"), "codes")
     wanted = stages.write(queries.select(F.col("id").alias("query_id"), F.col("code").alias("q")), "queries")
     n = rows.count()
-    need, cuts = min(k, n), segments(n)
+    need, cuts = min(k, n), segments(n, k)
     own = W.Window.partitionBy("code").orderBy("id")
     listed = stages.write(rows.withColumn("place", F.row_number().over(own)).where(F.col("place") <= k),
                           "listed")
@@ -88,19 +117,8 @@ def search(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         "s", keys).select("s.j", "s.key", "code", "n"), "index")
     # per query code the found codes (best) and the distance of its k-th row
     best, open_ = None, stages.write(wanted.select("q").distinct().withColumn("bound", F.lit(BITS)), "open")
-    js = list(range(len(cuts)))
     for radius in range(max(b for _, b in cuts) + 1) if need else ():
-        probes = None
-        for bits in {cuts[j][1] for j in js}:
-            masks = spark.createDataFrame([(radius, m) for m in _masks(bits, radius)] or [(-1, 0)],
-                                          "radius int, mask long")
-            parts = F.explode(F.array(*[
-                F.struct(F.lit(j).alias("j"), _part(F.col("q"), *cuts[j]).alias("part"))
-                for j in js if cuts[j][1] == bits]))
-            some = open_.withColumn("radius", F.lit(radius)).join(F.broadcast(masks), "radius").withColumn(
-                "s", parts).select("q", "bound", F.col("s.j").alias("p_j"),
-                                   F.col("s.part").bitwiseXOR(F.col("mask")).alias("p_key"))
-            probes = some if probes is None else probes.union(some)
+        probes = _probes(open_, cuts, radius)
         distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
         met = probes.join(index, (F.col("p_j") == F.col("j")) & (F.col("p_key") == F.col("key"))
                           & (distance <= F.col("bound"))

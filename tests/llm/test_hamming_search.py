@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tabloom.llm.hamming_search import search, segments, sign_codes
+from tabloom.llm.hamming_search import _probes, expected_cost, search, segments, sign_codes
 
 
 def brute(codes, queries, k):
@@ -60,3 +60,28 @@ def test_codes_of_odd_vectors(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("code", F.lit("x"))
     got = {r.id: r.code for r in sign_codes(df).collect()}
     assert got == {1: -1, 2: long(1 << 63), 4: 1, 5: 0, 6: 5}
+
+
+def test_the_plan_stays_small_at_every_number_of_rows():
+    for rows in [10**5, 10**6, 2**21, 2**21 + 1, 10**7, 10**8, 10**9]:
+        m = len(segments(rows))
+        probes, candidates = expected_cost(rows, m)
+        assert m >= 3 and probes <= 10**5 and candidates < rows / 2
+    assert len(segments(2**21)) == len(segments(2**21 + 1))
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 5, 6])
+def test_probes_are_all_values_at_the_radius_once(spark, radius):
+    cuts = [(0, 5), (5, 6)]
+    open_ = spark.createDataFrame([(0b10110101101, 64)], "q long, bound int")
+    got = sorted((r.p_j, r.p_key) for r in _probes(open_, cuts, radius).collect())
+    want = sorted((j, v) for j, (at, bits) in enumerate(cuts) for v in range(1 << bits)
+                  if (v ^ (0b10110101101 >> at) % (1 << bits)).bit_count() == radius)
+    assert got == want
+
+
+def test_a_query_far_from_all_codes(spark):
+    rng = random.Random(5)
+    codes = [(i, long(sum(1 << b for b in rng.sample(range(64), 3)))) for i in range(300)]
+    queries = [(9, -1), (10, long((1 << 64) - 1 - (1 << 40))), (11, 0)]  # the first two: 60 bits away
+    assert run(spark, codes, queries, 5) == brute(codes, queries, 5)
