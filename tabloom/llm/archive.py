@@ -20,7 +20,8 @@ largest id is a response, the others are revisits that refer to it.  Smaller one
 are responses, yet their bytes are stored once, too.
 
 Nulls: a null payload is empty, a null url is the empty URI; a null id is written
-as an empty record id and ordered first.  Repeated rows (equal id and payload) are
+as an empty record id and ordered first.  Line breaks inside a url are written as
+%0D and %0A and read back as they were.  Repeated rows (equal id and payload) are
 one record each; with ``MIN_REVISIT`` bytes or more one of them is the response.
 An empty table gives an archive without records.
 """
@@ -28,6 +29,7 @@ An empty table gives an archive without records.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -57,6 +59,18 @@ def _record_id(i: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(i.cast("string"), F.lit("")), F.lit(">"))
 
 
+def _escaped(url: Column) -> Column:
+    """A url on one line: CR and LF become %0D and %0A, and the percent sign of a
+    text that reads like one of the three escapes becomes %25."""
+    url = F.regexp_replace(url, "%(?=25|0D|0A)", "%25")
+    return F.regexp_replace(F.regexp_replace(url, "\r", "%0D"), "\n", "%0A")
+
+
+def _unescaped(text: str) -> str:
+    signs = {"%25": "%", "%0D": "\r", "%0A": "\n"}
+    return re.sub("%25(?=25|0D|0A)|%0D|%0A", lambda m: signs[m[0]], text)
+
+
 def header_block() -> Column:
     """The header lines of a record, from the columns of ``write_archive``."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
@@ -64,7 +78,7 @@ def header_block() -> Column:
     return F.concat(
         F.lit(VERSION + CRLF), line("WARC-Type", F.col("record_type")),
         line("WARC-Record-ID", _record_id(F.col("page_id"))), line("WARC-Date", F.lit(DATE)),
-        line("WARC-Target-URI", F.regexp_replace("url", "[\\r\\n]+", " ")),
+        line("WARC-Target-URI", _escaped(F.col("url"))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(revisit, F.concat(line("WARC-Profile", F.lit(REVISIT_PROFILE)),
                                  line("WARC-Refers-To", _record_id(F.col("refers_to"))))
@@ -153,7 +167,7 @@ def parse_record(record: bytes) -> tuple:
     if fields["WARC-Payload-Digest"] != f"sha1:{sha1}":
         raise ValueError(f"payload digest differs: {lines[:3]}")
     number = lambda name: int(x) if (x := fields.get(name, "")[len("<urn:page:"):-1]) else None
-    return (number("WARC-Record-ID"), fields["WARC-Target-URI"], payload, sha1, fields["WARC-Type"],
+    return (number("WARC-Record-ID"), _unescaped(fields["WARC-Target-URI"]), payload, sha1, fields["WARC-Type"],
             number("WARC-Refers-To"))
 
 

@@ -122,14 +122,12 @@ def near_edges(prints: DataFrame, radius: int, stages: Stages) -> DataFrame:
     return pairs.union(links).where("a <> b").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits) and
-    component_id, the smallest id reachable over links of at most ``radius``
-    differing bits (its own included)."""
-    stages = Stages(docs.sparkSession)
+def _classed(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, seed: int,
+             stages: Stages, *more: Column) -> DataFrame:
+    """Per row of ``docs``: doc_id, fp, ``more``, component (a fingerprint that names the
+    class) and component_id (the class's smallest id)."""
     prints = stages.write(docs.select(
-        F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle, seed).alias("fp")),
+        F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle, seed).alias("fp"), *more),
         "prints")
     classes = stages.write(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     comp = components(near_edges(classes.select("fp"), radius, stages), stages)
@@ -137,23 +135,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "fp", "first_id", F.coalesce("component", "fp").alias("component"))
     names = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_print = stages.write(named.join(names, "component").select(
-        F.col("fp").alias("p"), "component_id"), "names")
-    return prints.join(by_print, F.col("fp") == F.col("p"), "left").select(
+        F.col("fp").alias("p"), "component", "component_id"), "names")
+    return prints.join(by_print, F.col("fp") == F.col("p"), "left").drop("p")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
+    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits) and
+    component_id, the smallest id reachable over links of at most ``radius``
+    differing bits (its own included)."""
+    found = _classed(docs, id_col, text_col, shingle, radius, seed, Stages(docs.sparkSession))
+    return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
-    """``docs`` with one row of each near-duplicate class: the one with the
-    smallest id.  Rows without an id are all kept, as nothing tells them
-    apart; of rows that share a kept id all stay."""
+    """``docs`` with one row of each near-duplicate class: the one with the smallest
+    id (rows without an id come last), then the smallest text digest; of rows equal
+    in both, any one."""
     stages = Stages(docs.sparkSession)
-    found = near_duplicates(docs, id_col, text_col, shingle, radius, seed)
-    own = free_name(docs, "dropped_id")
-    gone = stages.write(found.where("doc_id <> component_id").select(
-        F.col("doc_id").alias(own)).distinct(), "dropped")
-    kept = stages.write(found.where("doc_id = component_id").select(
-        F.col("doc_id").alias(own)).distinct(), "kept")
-    # an id with two texts can be first in one class and later in another
-    gone = gone.join(kept, own, "left_anti")
-    return docs.join(gone, docs[id_col] == gone[own], "left_anti")
+    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    found = _classed(docs, id_col, text_col, shingle, radius, seed, stages, digest.alias("digest"))
+    spots = stages.write(found.groupBy("component", "doc_id", "digest").agg(
+        F.count(F.lit(1)).alias("n")), "spots")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    first = spots.groupBy(F.col("component").alias("c")).agg(F.min(place).alias("first"))
+    judged = stages.write(spots.join(first, F.col("component") == F.col("c")).select(
+        F.col("doc_id").alias("j_id"), F.col("digest").alias("j_digest"), "n",
+        (F.col("digest").eqNullSafe(F.col("first.digest"))
+         & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))).alias("stays")).where("not stays or n > 1"),
+        "judged")
+    stages.drop(spots)
+    own = free_name(docs, "text_digest")
+    keyed = docs.withColumn(own, digest)
+    same = keyed[id_col].eqNullSafe(F.col("j_id")) & (keyed[own] == F.col("j_digest"))
+    # rows neither named as going nor standing more than once stay as they are
+    alone = keyed.join(judged.select("j_id", "j_digest"), same, "left_anti")
+    if judged.where("stays").limit(1).count():
+        several = keyed.join(judged.where("stays").select("j_id", "j_digest"), same, "left_semi")
+        alone = alone.union(several.dropDuplicates([id_col, own]))
+    return alone.drop(own)

@@ -5,8 +5,9 @@ regression on word features and on the probabilities of the categories before
 it.  While fitting, those earlier probabilities are out-of-fold predictions,
 so a later model never sees how well an earlier one remembers its own rows.
 
-Fitting reads a bounded sample of the labelled rows (``sample_rows``, those
-with the smallest id hashes): word features are counted by a grouped
+Fitting reads a bounded sample of the labelled rows (``sample_rows``: the ids with
+the smallest hashes, then the different texts under them, so that an id with very
+many rows counts no more than its texts and never passes the bound): word features are counted by a grouped
 aggregate, the strongest per category by chi-square become the vocabulary, and
 one presence bit per row and feature goes to the driver (at most
 ``sample_rows`` * ``features`` * categories / 8 bytes), where Newton steps solve
@@ -187,8 +188,14 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str],
     sample = known.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     names = [f"c{j}" for j in range(len(cats))]
     stages = Stages(spark)
-    rows = stages.write(docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-                        .join(F.broadcast(sample), "id"), "toxicity-sample")  # <= sample_rows ids
+    # <= sample_rows ids, then <= sample_rows different (id, text)
+    labelled = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(
+        F.broadcast(sample), "id").withColumn("digest", F.md5("text"))
+    taken = stages.write(labelled.select("id", "digest").distinct().orderBy(
+        F.xxhash64("id", "digest"), "id", "digest").limit(sample_rows), "toxicity-taken")
+    rows = stages.write(labelled.join(F.broadcast(taken), ["id", "digest"]).groupBy(
+        "id", "digest", *names).agg(F.first("text").alias("text")).drop("digest"), "toxicity-sample")
+    stages.drop(taken)
     spread = rows.repartition(spark.sparkContext.defaultParallelism)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -40,6 +40,7 @@ def test_records_come_back_and_payloads_are_stored_once(spark, monkeypatch, limi
     got = parse_records(read_archive(spark, path), with_payload=True).collect()
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got),
                   key=repr) == expected(ROWS)
+    assert sorted(r.url for r in got) == sorted(u or "" for _, u, _ in ROWS)
     assert sorted(bytes(r.payload) for r in got) == sorted((h or "").encode() for *_, h in ROWS)
 
 
@@ -67,3 +68,14 @@ def test_no_pages(spark):
     path = scratch_path(spark, "archive-test")
     write_archive(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert parse_records(read_archive(spark, path)).count() == 0
+
+
+def test_urls_come_back_exactly(spark):
+    urls = ["a\r\nb", "\n", "%0A", "%0D%0A\r", "%250A", "%25", "%%0D", "%2\r", "%25\n25", "a%20b", "100%", "", "x: y", " z "]
+    path = scratch_path(spark, "archive-test")
+    write_archive(spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)],
+                                        "page_id long, url string, html string"), path)
+    records = read_archive(spark, path)
+    assert {r.page_id: r.url for r in parse_records(records).collect()} == dict(enumerate(urls))
+    heads = [bytes(r.record).split(b"\r\n\r\n")[0].split(b"\r\n") for r in records.collect()]
+    assert {len(h) for h in heads} == {8} and any(b"WARC-Target-URI: a%20b" in h for h in heads)

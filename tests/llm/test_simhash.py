@@ -99,7 +99,21 @@ def test_rows_nulls_blanks_repeats_and_clashing_columns(spark):
     assert near_duplicates(docs).count() == len(ROWS)
     kept = drop_near_duplicates(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == [3, 8, 11, 11, 12]
+    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == [3, 8, 11, 12]
+    assert kept.where("doc_id is null").count() == 0
+
+
+def test_one_row_of_each_class_stays_whatever_the_ids(spark):
+    """Copies without ids, copies under one id, an id with two texts."""
+    rows = [(None, "one two three four", "a"), (None, "one two three four", "b"), (None, "one two three four", "b"),
+            (7, "five six seven eight", "a"), (7, "five six seven eight", "b"), (7, "nine ten eleven twelve", "c"),
+            (2, "nine ten eleven twelve", "d"), (None, "five six seven eight", "e"), (3, None, "f"), (None, "", "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string")
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(None, "one two three four"), (7, "five six seven eight"),
+                          (2, "nine ten eleven twelve"), (3, None)], key=repr)
 
 
 def test_empty_table(spark):

@@ -98,3 +98,18 @@ def test_too_little_to_learn_from(spark, which):
     got = tx.score_toxicity(docs, labels)
     assert got.count() == docs.count()
     assert got.where("is_toxic or toxic is null").count() == 0
+
+
+@pytest.mark.parametrize("alike", [True, False])
+def test_an_id_with_very_many_rows_keeps_the_sample_bounded(spark, monkeypatch, alike):
+    seen = []
+    fit = tx.fit_weights
+    monkeypatch.setattr(tx, "fit_weights", lambda bits, *a: seen.append(len(bits)) or fit(bits, *a))
+    docs, labels = make(spark)
+    hot = spark.range(3000).selectExpr("4L AS doc_id", "'you moron' AS text" if alike else
+                                       "concat('you moron ', id) AS text", "0.5D AS toxicity")
+    got = tx.score_toxicity(docs.union(hot), labels, sample_rows=200)
+    assert got.count() == docs.count() + 3000
+    assert len(seen) == 1 and (190 <= seen[0] <= 200)
+    rows = got.where("doc_id < 400").collect()
+    assert all(r.is_toxic == (r.doc_id % 4 == 0) for r in rows) if alike else rows
