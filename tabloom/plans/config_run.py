@@ -78,6 +78,8 @@ def run_from_config(spark: SparkSession, config: Mapping[str, Any], df: DataFram
     model_path = ex.get("model_path") or (
         f"{log_path.rstrip('/')}-models/{name}/{run}" if log_path and name and run else None)
     validation_ratio = float(sp.get("validation_ratio", 0.0))
+    # folds are stratified unless the config says no, hold-outs when it says so
+    stratified = bool(sp.get("stratified", False))
 
     common = dict(categorical=categorical, numeric=numeric, features=features,
                   model_type=model_type, fill_strategy=fill, normalize=normalize,
@@ -110,6 +112,7 @@ def run_from_config(spark: SparkSession, config: Mapping[str, Any], df: DataFram
         best = {**params, **grid.best_params}
         res = run_pipeline(df, target, key, hyperparameters=best, test_ratio=test_ratio,
                            seed=seed, validation_ratio=validation_ratio, model_path=model_path,
+                           stratified=stratified,
                            **common, **log)
         return ConfigRun(kind="grid_search", holdout=res, grid=grid)
 
@@ -122,5 +125,6 @@ def run_from_config(spark: SparkSession, config: Mapping[str, Any], df: DataFram
 
     res = run_pipeline(df, target, key, hyperparameters=params, test_ratio=test_ratio,
                        seed=seed, validation_ratio=validation_ratio, model_path=model_path,
+                       stratified=stratified,
                        **common, **log)
     return ConfigRun(kind="holdout", holdout=res)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators import evaluate, split, train
+from tabloom.operators import evaluate, permutation, split, train
 from tabloom.plans.holdout import run_cross_validation, run_pipeline
 from tabloom.plans.queries import THRESH, _bucket, _metrics_sql, _t
 from tabloom.plans.tuning import grid_search_cv, sweep
@@ -111,7 +111,34 @@ def q_importance_rule(spark, sf):
     return train.feature_importance(clf).select("feature", F.round("importance", 6).alias("importance"))
 
 
+def priced_rows(spark, sf) -> DataFrame:
+    """o_orderkey, side, clerk, week and size of ``orders``: as ``sized_rows``, under a unique key."""
+    price = F.col("o_totalprice").cast("double") / 10_000
+    large = F.col("o_totalprice") > 250_000
+    other = F.pmod(F.col("o_orderkey"), F.lit(20)) == 0
+    return _t(spark, sf, "orders").select(
+        "o_orderkey", F.when(large, price + 20).otherwise(price - 20).alias("side"),
+        (F.pmod("o_custkey", F.lit(10)) / 100).alias("clerk"), (F.pmod("o_orderkey", F.lit(7)) / 100).alias("week"),
+        F.when(large != other, "large").otherwise("small").alias("size"))
+
+
+def q_permutation_importance(spark, sf):
+    """A linear SVM: only the feature that shows the rule matters, by what its dealt values cost."""
+    rows = priced_rows(spark, sf)
+    clf = train.train_classifier(rows, "size", ["side", "clerk", "week"], "svm", LINEAR, key="o_orderkey")
+    found = permutation.permutation_importance(clf, rows, "o_orderkey")
+    return found.select("feature", "metric", *[F.round(c, 6).alias(c) for c in ("baseline", "permuted", "importance")])
+
+
+def q_dealt_column(spark, sf):
+    """The dealt prices of all orders: a one-to-one reordering."""
+    return permutation.deal(_t(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey",
+                            ["o_totalprice"]).withColumnRenamed("_dealt_o_totalprice", "dealt")
+
+
 QUERIES = {
+    "permutation_importance": q_permutation_importance,
+    "dealt_column": q_dealt_column,
     "forest_rule": _predictions("random_forest", STUMPS),
     "svm_linear_rule": _predictions("svm", LINEAR),
     "svm_rbf_rule": _predictions("svm", RBF),
@@ -145,7 +172,20 @@ def _grid_sql() -> str:
 CROSS JOIN (SELECT round(avg(accuracy), 6) AS mean_score, round(stddev_samp(accuracy), 6) AS std_score FROM avgs2)"""
 
 
+_SQL_DEALT = """WITH o AS (SELECT o_orderkey, o_totalprice, o_totalprice > 250000 AS rule,
+  (o_totalprice > 250000) <> (o_orderkey % 20 = 0) AS size,
+  row_number() OVER (ORDER BY md5('42|' || o_orderkey), o_orderkey) AS place,
+  row_number() OVER (ORDER BY md5('43|' || o_orderkey), o_orderkey) AS donor FROM orders),
+d AS (SELECT a.*, b.rule AS dealt_rule, b.o_totalprice AS dealt FROM o a JOIN o b ON a.place = b.donor)"""
+_SQL_PERMUTED = f"""{_SQL_DEALT}, s AS (SELECT avg((rule = size)::INT) AS b, avg((dealt_rule = size)::INT) AS p FROM d)
+SELECT feature, 'accuracy' AS metric, round(b, 6) AS baseline,
+  round(CASE WHEN feature = 'side' THEN p ELSE b END, 6) AS permuted,
+  round(CASE WHEN feature = 'side' THEN b - p ELSE 0.0 END, 6) AS importance
+FROM s CROSS JOIN (VALUES ('side'), ('clerk'), ('week')) AS t(feature)"""
+
 ORACLE = {
+    "permutation_importance": _SQL_PERMUTED,
+    "dealt_column": f"{_SQL_DEALT} SELECT o_orderkey, o_totalprice, dealt FROM d",
     **{k: _SQL_TEST for k in ("forest_rule", "svm_linear_rule", "svm_rbf_rule")},
     "pipeline_rule": f"{_SQL_METRICS} {_named('avgs2')}",
     "cross_validate_rule": f"{_SQL_FOLDS} {_named('avgs2', 'g AS fold, ')}",

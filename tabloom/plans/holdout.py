@@ -96,6 +96,22 @@ def fit_preparation(train_df: DataFrame, categorical: Sequence[str], numeric: Se
     return prep, fparams, not (normalize and model_type == "svm")
 
 
+def _stratified_parts(data: DataFrame, key, target: str, test_ratio: float, validation_ratio: float,
+                      seed: int) -> DataFrame:
+    """The test rows of every class come first in split order, its validation rows next."""
+    parts = split.holdout_split(data, key, test_ratio, seed, mode="exact", stratify=target)
+    if validation_ratio <= 0:
+        return parts
+    if test_ratio + validation_ratio > 1.0:
+        raise ValueError("test_ratio + validation_ratio must not exceed 1")
+    parts = cut_lineage(parts)
+    rest = parts.where(F.col(split.PART) == "train").drop(split.PART)
+    share = min(1.0, validation_ratio / (1.0 - test_ratio)) if test_ratio < 1.0 else 0.0
+    later = split.holdout_split(rest, key, share, seed, mode="exact", stratify=target)
+    named = F.when(F.col(split.PART) == "test", "validation").otherwise("train")
+    return parts.where(F.col(split.PART) == "test").unionByName(later.withColumn(split.PART, named))
+
+
 def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
                  categorical: Sequence[str] = (), numeric: Sequence[str] = (),
                  features: Sequence[str] | None = None, model_type: str = "random_forest",
@@ -106,7 +122,9 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
                  average: str = "macro", experiment: str | None = None, run: str | None = None,
                  run_log_path: str | None = None, model_path: str | None = None,
                  count_dropped: bool = True, validation_ratio: float = 0.0,
-                 exact_median: bool = True) -> PipelineResult:
+                 exact_median: bool = True, stratified: bool = False) -> PipelineResult:
+    """``stratified``: the test part (and the validation part) holds the same share of
+    every class, by exact counts."""
     evaluate.validate_metrics(metrics, average)
     keys = [key] if isinstance(key, str) else list(key)
     wanted = list(features) if features is not None else (
@@ -116,7 +134,9 @@ def run_pipeline(df: DataFrame, target: str, key: str | Sequence[str],
     # Only the needed columns, read once: every fit below re-reads this
     # frame, so it is checkpointed instead of recomputed from the source.
     data, dropped = train.drop_null_target(df.select(*needed), target, count=False)
-    if validation_ratio > 0:
+    if stratified:
+        parts = cut_lineage(_stratified_parts(data, key, target, test_ratio, validation_ratio, seed))
+    elif validation_ratio > 0:
         if split_mode != "hash":
             raise ValueError("a validation part needs split_mode='hash'")
         parts = cut_lineage(split.three_way_split(data, key, test_ratio, validation_ratio, seed))

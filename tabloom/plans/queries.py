@@ -568,6 +568,22 @@ SELECT o_orderkey, CASE WHEN rn <= (SELECT CAST(floor(count(*) * {RATIO}) AS BIG
   THEN 'test' ELSE 'train' END AS split FROM r"""
 
 
+def q_split_stratified_exact(spark, sf):
+    """Exact counts for each class; a quarter of the labels are null, keys occur several times."""
+    o = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.when(
+        F.col("l_orderkey") % 4 != 0, F.col("l_returnflag")).alias("label"))
+    return split.holdout_split(o, "l_orderkey", RATIO, SEED, mode="exact", stratify="label")
+
+
+SQL_SPLIT_STRATIFIED_EXACT = f"""WITH o AS (SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_orderkey % 4 <> 0 THEN l_returnflag END AS label FROM lineitem),
+g AS (SELECT label, l_orderkey, count(*) AS c FROM o GROUP BY label, l_orderkey),
+r AS (SELECT label, l_orderkey, sum(c) OVER (PARTITION BY label ORDER BY {_md5('l_orderkey')}, l_orderkey) - c AS before,
+  CAST(floor(sum(c) OVER (PARTITION BY label) * CAST({RATIO} AS DOUBLE)) AS BIGINT) AS need FROM g)
+SELECT o.*, CASE WHEN r.before < r.need THEN 'test' ELSE 'train' END AS split
+FROM o JOIN r ON o.l_orderkey = r.l_orderkey AND o.label IS NOT DISTINCT FROM r.label"""
+
+
 def q_split_three_way(spark, sf):
     return split.three_way_split(_t(spark, sf, "orders"), "o_orderkey", 0.2, 0.1, SEED).select(
         "o_orderkey", "split")
@@ -862,8 +878,8 @@ def build_run_log(spark, sf) -> DataFrame:
 
 
 def q_run_log_roundtrip(spark, sf):
-    r = build_run_log(spark, sf).where(F.col("kind").isin("param", "metric"))
-    return r.select("experiment", "run", "kind", "key", _r("value_num").alias("value_num"))
+    """All kinds: parameters, metrics, confusion counts and class reports."""
+    return build_run_log(spark, sf).select("experiment", "run", "kind", "key", _r("value_num").alias("value_num"))
 
 
 def _sql_runs_metrics():
@@ -879,7 +895,15 @@ SQL_RUN_LOG_ROUNDTRIP = (_sql_runs_metrics() + " " + " UNION ALL ".join(
      f" round({t}, 6) AS value_num" for run, t in RUN_THRESHOLDS.items()]
     + [f"SELECT '{EXPERIMENT}', g, 'metric', 'accuracy', round(accuracy, 6) FROM avgs2"]
     + [f"SELECT '{EXPERIMENT}', g, 'metric', '{m}', round({m}_macro, 6) FROM avgs2"
-       for m in ("precision", "recall", "f1")]))
+       for m in ("precision", "recall", "f1")]
+    + [f"SELECT '{EXPERIMENT}', g, 'confusion', actual || '|' || predicted, n FROM cnt"]
+    + [f"SELECT '{EXPERIMENT}', g, 'report', label || '|{s}', round({c}, 6) FROM f"
+       for s, c in (("precision", "p"), ("recall", "r"), ("f1", "f1"), ("support", "sup"))]
+    + [f"SELECT '{EXPERIMENT}', g, 'report', '{a} avg|{s}', round({c}, 6) FROM avgs2"
+       for a in ("macro", "weighted") for s, c in
+       (*[(m, f"{m}_{a}") for m in ("precision", "recall", "f1")], ("support", "support"))]
+    + [f"SELECT '{EXPERIMENT}', g, 'report', 'accuracy|{s}', {c} FROM avgs2" for s, c in
+       (("precision", "NULL"), ("recall", "NULL"), ("f1", "round(accuracy, 6)"), ("support", "support"))]))
 
 
 def q_best_run(spark, sf):
@@ -989,6 +1013,7 @@ QUERIES = {
     "drop_null_target": q_drop_null_target,
     "split_hash": q_split_hash,
     "split_exact": q_split_exact,
+    "split_stratified_exact": q_split_stratified_exact,
     "split_three_way": q_split_three_way,
     "kfold_hash": q_kfold_hash,
     "kfold_stratified": q_kfold_stratified,
@@ -1048,6 +1073,7 @@ ORACLE = {
     "drop_null_target": SQL_DROP_NULL_TARGET,
     "split_hash": SQL_SPLIT_HASH,
     "split_exact": SQL_SPLIT_EXACT,
+    "split_stratified_exact": SQL_SPLIT_STRATIFIED_EXACT,
     "split_three_way": SQL_SPLIT_THREE_WAY,
     "kfold_hash": SQL_KFOLD_HASH,
     "kfold_stratified": SQL_KFOLD_STRATIFIED,

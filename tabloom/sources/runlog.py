@@ -1,5 +1,5 @@
-"""Append-only run log: parameters, metrics, confusion counts and class
-report of each run as long rows, partitioned by experiment.
+"""Run log: parameters, metrics, confusion counts and class
+report of each run as long rows, partitioned by experiment and run.
 
 Row layout: ``experiment, run, run_ts, kind, key, value_str, value_num``
 with ``kind`` in param / metric / confusion / report.  Metric, confusion
@@ -81,13 +81,13 @@ def run_rows(spark: SparkSession, experiment: str, run: str, params: Mapping[str
 
 
 def append_run(rows: DataFrame, path: str) -> None:
-    """Append run rows; one folder per experiment (partition pruning on read)
-    and one file per append (run rows are few: parameters, metrics, a k x k
-    confusion table and the class report).  Appends to one path should not
-    run at the same time (the file committer's temporary folder is shared);
-    runs scored concurrently are unioned and appended once."""
-    (rows.select(*COLUMNS).coalesce(1).write.mode("append").partitionBy("experiment")
-     .parquet(path))
+    """Write run rows under one folder per (experiment, run); reads prune on both.
+
+    A run is replaced as a whole (dynamic partition overwrite), so a job that is run
+    again after a failure leaves each row once.  Runs may be logged at the same time:
+    every write has a staging folder of its own, and different runs share no folder."""
+    (rows.select(*COLUMNS).hint("rebalance", F.col("experiment"), F.col("run")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("experiment", "run").parquet(path))
 
 
 def read_runs(spark: SparkSession, path: str, experiment: str | None = None) -> DataFrame:

@@ -125,3 +125,17 @@ def test_values_outside_the_schema_raise_or_are_marked(spark):
         delimited.read_delimited(spark, path, schema="a int, b int").collect()
     rows = delimited.read_delimited(spark, path, schema="a int, b int", on_bad="column").collect()
     assert [tuple(r) for r in rows] == [(1, 2, None), (None, None, "a=oops")]
+
+
+def test_runs_logged_at_once_and_again_are_kept_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = scratch_path(spark, "runs")
+    log = lambda i: runlog.log_run(spark, path, f"e{i % 2}", f"r{i}", params={"i": i}, metrics={"accuracy": i / 10})
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(log, range(8)))
+    log(3)  # as after a failure
+    back = runlog.read_runs(spark, path).collect()
+    assert sorted((r.experiment, r.run, r.kind, r.value_num) for r in back) == sorted(
+        (f"e{i % 2}", f"r{i}", kind, v) for i in range(8) for kind, v in (("param", float(i)), ("metric", i / 10)))
+    assert {r.run for r in runlog.read_runs(spark, path, "e1").collect()} == {"r1", "r3", "r5", "r7"}

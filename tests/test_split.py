@@ -1,5 +1,6 @@
 """Split and fold invariants (independent of layout, disjoint, complete)."""
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from tabloom.operators import split
@@ -127,3 +128,47 @@ def test_stratified_folds_match_duckdb(spark, seed, k):
           order by md5(concat('{seed}', '|', cast(o_orderkey as varchar))), o_orderkey) - 1) % {k})::int
         from '{SF01}/orders.parquet'""").fetchall()}
     assert got == want
+
+
+def _first_of_each_class(rows, ratio, seed=42):
+    """(label, key) pairs of the test part, by sorting every class."""
+    import hashlib
+
+    out, place = set(), lambda k: (hashlib.md5(f"{seed}|{'' if k is None else k}".encode()).hexdigest(),
+                                   k is not None, k or 0)
+    for label in {r[0] for r in rows}:
+        keys = sorted((r[1] for r in rows if r[0] == label), key=place)
+        need = int(len(keys) * ratio)
+        out |= {(label, k) for k in keys[:need]}
+    return out
+
+
+@pytest.mark.parametrize("ratio", [0.0, 0.01, 0.2, 0.5, 1.0])
+@pytest.mark.parametrize("digits", [1, 3])
+def test_stratified_exact_split(spark, monkeypatch, ratio, digits):
+    """Null labels and keys, repeated keys, classes of one row, many and few slices."""
+    monkeypatch.setattr(split, "DIGITS", digits)
+    rows = [("a" if i % 3 else "b", i, "x") for i in range(300)] + [(None, i, "y") for i in range(40)]
+    rows += [("hot", 7, "z")] * 50 + [("hot", i, "z") for i in range(50, 70)] + [("one", 1, "o"), ("c", None, "n"), ("c", 5, "n")]
+    df = spark.createDataFrame(rows, "label string, key long, _class string").drop("_class")
+    got = split.holdout_split(df, "key", ratio, mode="exact", stratify="label")
+    assert got.columns == ["label", "key", "split"] and got.count() == len(rows)
+    test = {(r.label, r.key) for r in got.where("split = 'test'").collect()}
+    assert test == _first_of_each_class(rows, ratio)
+
+
+def test_stratified_exact_split_of_nothing_and_by_hash(spark):
+    empty = spark.createDataFrame([], "label string, key long")
+    assert split.holdout_split(empty, "key", 0.5, mode="exact", stratify="label").count() == 0
+    with pytest.raises(ValueError):
+        split.holdout_split(empty, "key", 0.5, stratify="label")
+
+
+def test_stratified_parts_hold_every_class(spark):
+    from tabloom.plans.holdout import _stratified_parts
+
+    df = spark.createDataFrame([("ab"[i % 10 == 0], i) for i in range(1000)], "label string, key long")
+    counts = _stratified_parts(df, "key", "label", 0.2, 0.1, 42).groupBy("label", "split").count().collect()
+    got = {(r["label"], r["split"]): r["count"] for r in counts}
+    assert got == {("a", "test"): 180, ("b", "test"): 20, ("a", "validation"): 90, ("b", "validation"): 10,
+                   ("a", "train"): 630, ("b", "train"): 70}
