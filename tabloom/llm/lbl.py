@@ -66,6 +66,8 @@ RIDGE = 2.0
 #: Words that are fitted at once, passes over them at most, and tokens scored at once.
 FIT_WORDS = 2048
 FIT_STEPS = 100
+#: Earlier moves that a word's next step is made from.
+FIT_PAIRS = 5
 SLICE = 1 << 17
 #: Tokens with their contexts that a task holds before it hands them on.
 HELD_TOKENS = 4_000_000
@@ -112,6 +114,18 @@ class _Known(dict):
         return self.base + zlib.crc32(word[-3:]) % self.suffixes
 
 
+class _ClassOf(dict):
+    """Classes of words; those worked out once are remembered."""
+
+    def __init__(self, classes: Classes):
+        super().__init__(classes.lookup())
+        self.own, self.suffixes = len(self), classes.suffixes
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = self.own + zlib.crc32(word[-3:]) % self.suffixes
+        return found
+
+
 def word_counts(texts: DataFrame, stages: Stages) -> DataFrame:
     """(word binary, c long) over all rows of ``texts`` (text)."""
 
@@ -168,32 +182,34 @@ def _contexts(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def class_triples(texts: DataFrame, classes: Classes) -> DataFrame:
     """(triple, n): triple = (first * K + second) * K + third."""
-    n_classes, own, suffixes = classes.n, classes.lookup(), classes.suffixes
+    n_classes = classes.n
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, held, size = _Known(own, len(own), suffixes), [], 0
+        known, held, size = _ClassOf(classes), [], 0
         for pdf in batches:
             for group in groups_by_size(pdf["text"], BLOCK):
+                if len(known) > HELD_WORDS:
+                    known = _ClassOf(classes)
                 ids, lengths = _tokens(group, known)
-                known.missed.clear()
                 a, b = _contexts(ids, lengths)
                 held.append((a * n_classes + b) * n_classes + ids)
                 size += len(ids)
                 if size > HELD_TRIPLES:
-                    yield _counted(held)
+                    yield _counted(held, n_classes ** 3)
                     held, size = [], 0
         if size:
-            yield _counted(held)
+            yield _counted(held, n_classes ** 3)
 
     return texts.mapInPandas(count, "triple int, n long").groupBy("triple").agg(F.sum("n").alias("n"))
 
 
-def _counted(held: list[np.ndarray]) -> pd.DataFrame:
-    triple, n = np.unique(np.concatenate(held), return_counts=True)
-    return pd.DataFrame({"triple": triple, "n": n})
+def _counted(held: list[np.ndarray], most: int) -> pd.DataFrame:
+    n = np.bincount(np.concatenate(held), minlength=most)
+    triple = np.flatnonzero(n)
+    return pd.DataFrame({"triple": triple.astype(np.int32), "n": n[triple]})
 
 
-def _tokens(texts: list[str], known: _Known) -> tuple[np.ndarray, np.ndarray]:
+def _tokens(texts: list[str], known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """Places of all tokens of several texts end to end, and their numbers."""
     get, parts, lengths = known.__getitem__, [], []
     for text in texts:
@@ -277,6 +293,24 @@ def train_nce(triples: np.ndarray, counts: np.ndarray, k: int, dim: int = DIM, n
     return LogBilinear(*params)
 
 
+def uphill(grad: np.ndarray, moved: np.ndarray, turned: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Quasi-Newton directions (limited-memory BFGS) of many problems at once, from
+    each one's last moves, newest first, and what its gradient lost by them; ``size``
+    is the curvature that is assumed without any.  Pairs of zeros count for nothing."""
+    bend = np.einsum("npd,npd->np", moved, turned)
+    share = np.divide(1.0, bend, out=np.zeros_like(bend), where=bend > 1e-12)
+    way, taken = grad.copy(), np.zeros_like(bend)
+    for i in range(bend.shape[1]):
+        taken[:, i] = share[:, i] * (moved[:, i] * way).sum(1)
+        way -= taken[:, i, None] * turned[:, i]
+    newest = (turned[:, 0] ** 2 / size).sum(1)
+    way /= size
+    way *= np.divide(bend[:, 0], newest, out=np.ones_like(newest), where=share[:, 0] > 0)[:, None]
+    for i in reversed(range(bend.shape[1])):
+        way += (taken[:, i] - share[:, i] * (turned[:, i] * way).sum(1))[:, None] * moved[:, i]
+    return way
+
+
 @dataclass
 class WordSpace:
     """What the outcomes are fitted to: r(a, b) = first[a] + second[b], with mean
@@ -305,30 +339,37 @@ class WordSpace:
             ) -> tuple[np.ndarray, np.ndarray]:
         """Vectors (float32) and biases of outcomes from their counts and their
         sums of r: the largest q . sum - n log Z(q) - ridge / 2 |q|^2, where Z is
-        the mean of exp(q . r) over all contexts and n the count plus one."""
+        the mean of exp(q . r) over all contexts and n the count plus one.
+
+        All outcomes take quasi-Newton steps together; one whose objective would
+        fall goes less far, and those with a gradient of about zero leave."""
         n = counts.astype(np.float64) + 1
         size = n[:, None] * self.spread + ridge
-        best, grad = np.zeros(sums.shape), np.zeros(sums.shape)
+        best, grad, way = (np.zeros(sums.shape) for _ in range(3))
+        moved, turned = (np.zeros((len(n), FIT_PAIRS, sums.shape[1])) for _ in range(2))
         value, norm = np.full(len(n), -np.inf), np.ones(len(n))
-        pace, live, q = np.ones(len(n)), np.arange(len(n)), np.zeros(sums.shape)
+        pace, live = np.ones(len(n)), np.arange(len(n))
         with np.errstate(over="ignore", invalid="ignore"):
             for _ in range(steps):
+                q = best[live] + pace[live, None] * way[live]
                 x, y = np.exp(q @ self.first.T), np.exp(q @ self.second.T)
                 xw, yw = x * (y @ self.shares.T), y * (x @ self.shares)
                 z = xw.sum(1)
                 f = (q * sums[live]).sum(1) - n[live] * np.log(z) - ridge / 2 * (q * q).sum(1)
                 up = f >= value[live]
                 at = live[up]
-                value[at], norm[at], best[at] = f[up], z[up], q[up]
                 mean = (xw[up] @ self.first + yw[up] @ self.second) / z[up, None]
-                grad[at] = sums[at] - n[at, None] * mean - ridge * q[up]
-                pace[at] = np.minimum(pace[at] * 1.5, 2)
+                found = sums[at] - n[at, None] * mean - ridge * q[up]
+                for pairs, newest in ((moved, q[up] - best[at]), (turned, grad[at] - found)):
+                    pairs[at, 1:] = pairs[at, :-1]
+                    pairs[at, 0] = newest
+                value[at], norm[at], best[at], grad[at] = f[up], z[up], q[up], found
+                way[at], pace[at] = uphill(found, moved[at], turned[at], size[at]), 1
                 pace[live[~up]] *= 0.4
                 left = (grad[live] ** 2 / size[live]).sum(1)
                 live = live[(left > 1e-4) & (pace[live] > 1e-6)]
                 if not len(live):
                     break
-                q = best[live] + pace[live, None] * grad[live] / size[live]
         return best.astype(np.float32), np.log(n / (self.total + 1)) - np.log(norm)
 
     def of_contexts(self, context: np.ndarray) -> np.ndarray:
@@ -437,21 +478,21 @@ def shared_sums(words: DataFrame, space: WordSpace, least: int, suffixes: int) -
 
 def fit_words(words: DataFrame, space: WordSpace, least: int) -> DataFrame:
     """(word, c, q, bias) of all words; q (float32 bytes) and bias are null for
-    words below ``least`` occurrences and for the end token."""
+    words below ``least`` occurrences and for the end token, whose contexts are not read."""
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for i in range(0, len(pdf), FIT_WORDS):
                 part = pdf.iloc[i:i + FIT_WORDS]
-                c, q = part["c"].to_numpy(), np.full(len(part), None, object)
-                bias = np.full(len(part), None, object)
-                own = np.flatnonzero((c >= least) & (part["word"].map(len).to_numpy() > 0))
-                if len(own):
-                    vectors, biases = space.fit(c[own], _sums(part["parts"].iloc[own], space))
-                    q[own], bias[own] = [v.astype("<f4").tobytes() for v in vectors], biases
-                yield pd.DataFrame({"word": part["word"].to_numpy(), "c": c, "q": q, "bias": bias})
-
-    return words.mapInPandas(fit, "word binary, c long, q binary, bias double")
+                c = part["c"].to_numpy()
+                vectors, biases = space.fit(c, _sums(part["parts"], space))
+                yield pd.DataFrame({"word": part["word"].to_numpy(), "c": c,
+                                    "q": [v.astype("<f4").tobytes() for v in vectors], "bias": biases})
+
+    own = (F.length("word") > 0) & (F.col("c") >= least)
+    return words.where(own).mapInPandas(fit, "word binary, c long, q binary, bias double").unionByName(
+        words.where(~own).select("word", "c", F.lit(None).cast("binary").alias("q"),
+                                 F.lit(None).cast("double").alias("bias")))
 
 
 def _vectors(q, dim: int) -> np.ndarray:
