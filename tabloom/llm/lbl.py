@@ -73,9 +73,11 @@ SLICE = 1 << 17
 HELD_TOKENS = 4_000_000
 SEED = 11
 BLOCK = 1 << 20
-#: Distinct words or class triples that a task holds before it hands them on.
+#: Distinct words that a task holds before it hands them on, words whose class it
+#: remembers, and triples that it holds before it counts them.
 HELD_WORDS = 400_000
-HELD_TRIPLES = 6_000_000
+HELD_CLASSES = 32_768
+HELD_TRIPLES = 1_000_000
 
 
 def held_out(id_col: Column) -> Column:
@@ -186,29 +188,26 @@ def class_triples(texts: DataFrame, classes: Classes) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, held, size = _ClassOf(classes), [], 0
+        n = np.zeros(n_classes ** 3, np.int64)
         for pdf in batches:
             for group in groups_by_size(pdf["text"], BLOCK):
-                if len(known) > HELD_WORDS:
+                if len(known) > HELD_CLASSES:
                     known = _ClassOf(classes)
                 ids, lengths = _tokens(group, known)
                 a, b = _contexts(ids, lengths)
                 held.append((a * n_classes + b) * n_classes + ids)
                 size += len(ids)
                 if size > HELD_TRIPLES:
-                    yield _counted(held, n_classes ** 3)
+                    n += np.bincount(np.concatenate(held), minlength=len(n))
                     held, size = [], 0
         if size:
-            yield _counted(held, n_classes ** 3)
+            n += np.bincount(np.concatenate(held), minlength=len(n))
+        triple = np.flatnonzero(n).astype(np.int32)
+        yield pd.DataFrame({"triple": triple, "n": n[triple]})
 
     return texts.mapInPandas(count, "triple int, n long").groupBy("triple").agg(F.sum("n").alias("n"))
 
 
-def _counted(held: list[np.ndarray], most: int) -> pd.DataFrame:
-    n = np.bincount(np.concatenate(held), minlength=most)
-    triple = np.flatnonzero(n)
-    return pd.DataFrame({"triple": triple.astype(np.int32), "n": n[triple]})
-
-
 def _tokens(texts: list[str], known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """Places of all tokens of several texts end to end, and their numbers."""
     get, parts, lengths = known.__getitem__, [], []
@@ -293,21 +292,22 @@ def train_nce(triples: np.ndarray, counts: np.ndarray, k: int, dim: int = DIM, n
     return LogBilinear(*params)
 
 
-def uphill(grad: np.ndarray, moved: np.ndarray, turned: np.ndarray, size: np.ndarray) -> np.ndarray:
+def uphill(grad: np.ndarray, moved: list[np.ndarray], turned: list[np.ndarray], size: np.ndarray) -> np.ndarray:
     """Quasi-Newton directions (limited-memory BFGS) of many problems at once, from
     each one's last moves, newest first, and what its gradient lost by them; ``size``
     is the curvature that is assumed without any.  Pairs of zeros count for nothing."""
-    bend = np.einsum("npd,npd->np", moved, turned)
-    share = np.divide(1.0, bend, out=np.zeros_like(bend), where=bend > 1e-12)
-    way, taken = grad.copy(), np.zeros_like(bend)
-    for i in range(bend.shape[1]):
-        taken[:, i] = share[:, i] * (moved[:, i] * way).sum(1)
-        way -= taken[:, i, None] * turned[:, i]
-    newest = (turned[:, 0] ** 2 / size).sum(1)
-    way /= size
-    way *= np.divide(bend[:, 0], newest, out=np.ones_like(newest), where=share[:, 0] > 0)[:, None]
-    for i in reversed(range(bend.shape[1])):
-        way += (taken[:, i] - share[:, i] * (turned[:, i] * way).sum(1))[:, None] * moved[:, i]
+    way, taken, scale = grad.copy(), [], np.ones((len(grad), 1))
+    for i, (s, y) in enumerate(zip(moved, turned)):
+        bend = np.einsum("nd,nd->n", s, y)
+        share = np.divide(1.0, bend, out=np.zeros_like(bend), where=bend > 1e-12)
+        if not i:
+            bent = np.einsum("nd,nd->n", y, y / size)
+            scale[:, 0] = np.divide(bend, bent, out=scale[:, 0], where=share > 0)
+        taken.append((share, share * np.einsum("nd,nd->n", s, way)))
+        way -= taken[-1][1][:, None] * y
+    way *= scale / size
+    for s, y, (share, took) in reversed(list(zip(moved, turned, taken))):
+        way += (took - share * np.einsum("nd,nd->n", y, way))[:, None] * s
     return way
 
 
@@ -343,34 +343,39 @@ class WordSpace:
 
         All outcomes take quasi-Newton steps together; one whose objective would
         fall goes less far, and those with a gradient of about zero leave."""
-        n = counts.astype(np.float64) + 1
+        n_all = counts.astype(np.float64) + 1
+        solved, norms = np.zeros(sums.shape, np.float32), np.ones(len(n_all))
+        live, n = np.arange(len(n_all)), n_all
         size = n[:, None] * self.spread + ridge
         best, grad, way = (np.zeros(sums.shape) for _ in range(3))
-        moved, turned = (np.zeros((len(n), FIT_PAIRS, sums.shape[1])) for _ in range(2))
-        value, norm = np.full(len(n), -np.inf), np.ones(len(n))
-        pace, live = np.ones(len(n)), np.arange(len(n))
+        moved, turned = ([np.zeros(sums.shape)] * FIT_PAIRS for _ in range(2))
+        value, norm, pace = np.full(len(n), -np.inf), np.ones(len(n)), np.ones(len(n))
         with np.errstate(over="ignore", invalid="ignore"):
             for _ in range(steps):
-                q = best[live] + pace[live, None] * way[live]
+                if not len(live):
+                    break
+                q = best + pace[:, None] * way
                 x, y = np.exp(q @ self.first.T), np.exp(q @ self.second.T)
                 xw, yw = x * (y @ self.shares.T), y * (x @ self.shares)
                 z = xw.sum(1)
-                f = (q * sums[live]).sum(1) - n[live] * np.log(z) - ridge / 2 * (q * q).sum(1)
-                up = f >= value[live]
-                at = live[up]
-                mean = (xw[up] @ self.first + yw[up] @ self.second) / z[up, None]
-                found = sums[at] - n[at, None] * mean - ridge * q[up]
-                for pairs, newest in ((moved, q[up] - best[at]), (turned, grad[at] - found)):
-                    pairs[at, 1:] = pairs[at, :-1]
-                    pairs[at, 0] = newest
-                value[at], norm[at], best[at], grad[at] = f[up], z[up], q[up], found
-                way[at], pace[at] = uphill(found, moved[at], turned[at], size[at]), 1
-                pace[live[~up]] *= 0.4
-                left = (grad[live] ** 2 / size[live]).sum(1)
-                live = live[(left > 1e-4) & (pace[live] > 1e-6)]
-                if not len(live):
-                    break
-        return best.astype(np.float32), np.log(n / (self.total + 1)) - np.log(norm)
+                f = np.einsum("nd,nd->n", q, sums - ridge / 2 * q) - n * np.log(z)
+                found = sums - (n / z)[:, None] * (xw @ self.first + yw @ self.second) - ridge * q
+                up = f >= value
+                rise = up[:, None]
+                moved = [np.where(rise, q - best, 0), *moved[:-1]]
+                turned = [np.where(rise, grad - found, 0), *turned[:-1]]
+                best, grad = np.where(rise, q, best), np.where(rise, found, grad)
+                value, norm = np.where(up, f, value), np.where(up, z, norm)
+                pace = np.where(up, 1, pace * 0.4)
+                more = ((grad ** 2 / size).sum(1) > 1e-4) & (pace > 1e-6)
+                if more.sum() < 0.9 * len(live):
+                    solved[live[~more]], norms[live[~more]] = best[~more], norm[~more]
+                    live, n, size, sums, best, grad, value, norm, pace = (
+                        v[more] for v in (live, n, size, sums, best, grad, value, norm, pace))
+                    moved, turned = [v[more] for v in moved], [v[more] for v in turned]
+                way = uphill(grad, moved, turned, size)
+        solved[live], norms[live] = best, norm
+        return solved, np.log(n_all / (self.total + 1)) - np.log(norms)
 
     def of_contexts(self, context: np.ndarray) -> np.ndarray:
         """r of contexts a * classes + b."""
