@@ -2,10 +2,11 @@
 
 A grid of SVMs is many binary problems over the same rows: one for each class, fold and
 value of C.  Here they are the columns of one weight matrix.  The rows are packed once
-into blocks of float64 values; every step reads the blocks once, multiplies each block
-with all open columns, and adds up losses, gradients and curvatures, first inside a task,
-then over groups of tasks, so the driver receives a bounded number of sums whatever the
-number of rows or tasks.  The number of scans per step does not depend on the number of
+into small blocks of float64 values, so that an Arrow batch of them stays far below the
+bytes it may have and a task holds the same few MB whatever the input; every step reads
+the blocks once, multiplies each row with the open columns that it trains, and adds up
+losses, gradients and curvatures, first inside a task, then over groups of tasks, so the
+driver receives a bounded number of sums whatever the number of rows or tasks.  The number of scans per step does not depend on the number of
 models, and a column leaves as soon as it has converged.
 
 Each column minimises  mean(w hinge(y (x . b + a))) + |b|^2 / (2 C n)  (intercept a not
@@ -34,9 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows in a block, and values of rows x columns held at once.
-BLOCK_ROWS = 4096
-CELLS = 1 << 20
+#: Bytes of a stored block (an Arrow batch has up to 10,000 of them), rows worked on
+#: together, and values of rows x points held at once.
+BLOCK_BYTES = 2048
+BLOCK_ROWS = 2048
+CELLS = 1 << 15
+#: A row this far from the hinge, in its widths, has no curvature within float64.
+FAR = 40.0
 #: Tasks' sums go to the driver directly up to this count, else through that many groups.
 GROUPS = 64
 #: Columns solved together; curvature sums of one task are bounded by BYTES.
@@ -109,15 +114,20 @@ def pack(rows: DataFrame, features: str, label: str, classes: int, fold: str | N
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(at, BLOCK_ROWS)
-                x = part.column(0).flatten().to_numpy(zero_copy_only=False)
-                if not np.isfinite(x).all():
-                    raise ValueError("SVM features must not be null, NaN or infinite")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part.num_rows], pa.int32()), pa.array([x.tobytes()], pa.binary()),
-                     *(pa.array([part.column(i).to_numpy(zero_copy_only=False).astype(np.int32).tobytes()],
-                                pa.binary()) for i in (1, 2, 3))], names=["n", "x", "y", "fold", "view"])
+            n = batch.num_rows
+            if not n:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            if not np.isfinite(x).all():
+                raise ValueError("SVM features must not be null, NaN or infinite")
+            arrays = [x.reshape(n, -1), *(batch.column(i).to_numpy(zero_copy_only=False).astype(np.int32)
+                                          for i in (1, 2, 3))]
+            step = max(1, BLOCK_BYTES // (sum(a.nbytes for a in arrays) // n))
+            places = range(0, n, step)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([min(step, n - at) for at in places], pa.int32()),
+                 *(pa.array([a[at:at + step].tobytes() for at in places], pa.binary()) for a in arrays)],
+                names=["n", "x", "y", "fold", "view"])
 
     source = rows.select(
         F.col(features), F.col(label).cast("int"), F.coalesce(F.col(fold), F.lit(-2)).cast("int") if fold
@@ -125,22 +135,22 @@ def pack(rows: DataFrame, features: str, label: str, classes: int, fold: str | N
     packed = source.mapInArrow(cut, "n int, x binary, y binary, fold binary, view binary")
     table = write(packed) if write else packed
 
-    def known(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], list] = {}
-        for pdf in pdfs:
-            for block in _blocks(pdf):
-                x, y, fold_, view_ = block
-                for key in np.unique(np.stack([view_, fold_], 1), axis=0).tolist():
-                    mine = (view_ == key[0]) & (fold_ == key[1])
-                    add = [np.bincount(y[mine], minlength=classes).astype(float),
-                           np.stack([x[mine].sum(0), (x[mine] ** 2).sum(0)])]
-                    old = held.setdefault(tuple(key), [0, 0])
-                    held[tuple(key)] = [old[0] + add[0], old[1] + add[1]]
-        yield pd.DataFrame([(v, f, c.tobytes(), s.tobytes()) for (v, f), (c, s) in held.items()],
-                           columns=["view", "fold", "counts", "sums"])
+        for x, y, fold_, view_ in _blocks(batches):
+            for key in np.unique(np.stack([view_, fold_], 1), axis=0).tolist():
+                mine = (view_ == key[0]) & (fold_ == key[1])
+                add = [np.bincount(y[mine], minlength=classes).astype(float),
+                       np.stack([x[mine].sum(0), (x[mine] ** 2).sum(0)])]
+                old = held.setdefault(tuple(key), [0, 0])
+                held[tuple(key)] = [old[0] + add[0], old[1] + add[1]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([v for v, _ in held], pa.int32()), pa.array([f for _, f in held], pa.int32()),
+             *(pa.array([a[i].tobytes() for a in held.values()], pa.binary()) for i in (0, 1))],
+            names=["view", "fold", "counts", "sums"])
 
     counts, sums, inputs = {}, {}, 0
-    for r in _tree_sum(table.mapInPandas(known, "view int, fold int, counts binary, sums binary"), ["view", "fold"],
+    for r in _tree_sum(table.mapInArrow(known, "view int, fold int, counts binary, sums binary"), ["view", "fold"],
                        ["counts", "sums"], _partitions(table)):
         key = (int(r["view"]), int(r["fold"]))
         counts[key] = np.frombuffer(r["counts"])
@@ -177,9 +187,17 @@ def _tree_sum(parts: DataFrame, keys: list[str], sums: list[str], tasks: int) ->
     return list(held.values())
 
 
-def _blocks(pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, ...]]:
-    for n, x, *codes in zip(pdf["n"], pdf["x"], pdf["y"], pdf["fold"], pdf["view"]):
-        yield (np.frombuffer(x).reshape(n, -1), *(np.frombuffer(c, np.int32) for c in codes))
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(x, y, fold, view) of up to about ``BLOCK_ROWS`` rows at a time."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        n = batch.column(0).to_numpy(zero_copy_only=False)
+        step = max(1, BLOCK_ROWS // int(n.max()))
+        for at in range(0, batch.num_rows, step):
+            x, *codes = (b"".join(c.to_pylist()) for c in batch.slice(at, step).columns[1:])
+            yield (np.frombuffer(x).reshape(int(n[at:at + step].sum()), -1),
+                   *(np.frombuffer(c, np.int32) for c in codes))
 
 
 @dataclass
@@ -205,30 +223,52 @@ class _Points:
         p, d = len(self.weights), self.size
         return [np.zeros(p), np.zeros(p), np.zeros((p, d)), np.zeros((len(self.curved), d, d))]
 
-    def add(self, out: list[np.ndarray], x, y, fold, view) -> None:
-        z = np.empty((len(x), self.size))
-        z[:, :-1] = (self.mapping.of(x) - self.shift) / self.scale
+    def families(self) -> dict[int, list[np.ndarray]]:
+        """Per fold, the points that share their class and class weights."""
+        met: dict[tuple, list[int]] = {}
+        for i, weight in enumerate(self.class_weight):
+            met.setdefault((int(self.fold[i]), int(self.positive[i]), weight.tobytes()), []).append(i)
+        out: dict[int, list[np.ndarray]] = {}
+        for (fold, *_), pos in met.items():
+            out.setdefault(fold, []).append(np.array(pos))
+        return out
+
+    def add(self, out: list[np.ndarray], families: dict[int, list[np.ndarray]], x, y, fold, view) -> None:
+        """Adds one block; a point meets only the rows that train it, and only those are mapped."""
+        rows = {f: ((view == f) | (view == -1)) & ((fold != f) | (f < 0)) for f in families}
+        used = np.flatnonzero(np.logical_or.reduce(list(rows.values())))
+        if not len(used):
+            return
+        z = np.empty((len(used), self.size))
+        z[:, :-1] = (self.mapping.of(x[used]) - self.shift) / self.scale
         z[:, -1] = 1.0
+        y = y[used]
+        for f, groups in families.items():
+            mine = np.flatnonzero(rows[f][used])
+            for pos in groups if len(mine) else ():
+                sign = np.where(y[mine] == self.positive[pos[0]], 1.0, -1.0)
+                self._family(out, pos, z[mine] * sign[:, None], self.class_weight[pos[0]][y[mine]])
+
+    def _family(self, out: list[np.ndarray], pos: np.ndarray, z: np.ndarray, w: np.ndarray) -> None:
+        """``z``: the rows times their sign, ``w``: their weights."""
         at = {int(p): i for i, p in enumerate(self.curved)}
-        for pos in np.array_split(np.arange(len(self.weights)), len(x) * len(self.weights) // CELLS + 1):
-            if not len(pos):
-                continue
-            sign = np.where(y[:, None] == self.positive[pos], 1.0, -1.0)
-            w = self.class_weight[pos].T[y]
-            f = self.fold[pos]
-            w = w * ((fold[:, None] != f) | (f < 0)) * ((view[:, None] == f) | (view[:, None] == -1))
-            gap = 1.0 - sign * (z @ self.weights[pos].T)
-            width = self.width[pos]
-            tail = np.exp(-np.abs(np.clip(gap / width, -500, 500)))
+        width, step = self.width[pos], max(1, CELLS // len(pos))
+        for start in range(0, len(z), step):
+            zs, ws = z[start:start + step], w[start:start + step]
+            gap = 1.0 - zs @ self.weights[pos].T
+            far = np.abs(gap) / width
+            tail = np.exp(-far)
             slope = np.where(gap > 0, 1.0, tail) / (1.0 + tail)
-            hinge = w * np.maximum(gap, 0.0)
-            out[0][pos] += hinge.sum(0)
-            out[1][pos] += (hinge + w * width * np.log1p(tail)).sum(0)
-            out[2][pos] -= (w * slope * sign).T @ z
+            hinge = np.maximum(gap, 0.0)
+            out[0][pos] += ws @ hinge
+            out[1][pos] += ws @ hinge + (ws @ np.log1p(tail)) * width
+            out[2][pos] -= (slope * ws[:, None]).T @ zs
             for j, p in enumerate(pos.tolist()):
                 if p in at:
-                    bend = w[:, j] * slope[:, j] * (1.0 - slope[:, j]) / width[j]
-                    out[3][at[p]] += (z * bend[:, None]).T @ z
+                    near = np.flatnonzero(far[:, j] < FAR)
+                    bend = ws[near] * slope[near, j] * (1.0 - slope[near, j]) / width[j]
+                    part = zs[near] * np.sqrt(bend)[:, None]
+                    out[3][at[p]] += part.T @ part
 
 
 def _scan(blocks: Blocks, groups: list[_Points]) -> list[list[np.ndarray]]:
@@ -237,17 +277,19 @@ def _scan(blocks: Blocks, groups: list[_Points]) -> list[list[np.ndarray]]:
     sent = spark.sparkContext.broadcast([{k: v for k, v in vars(g).items() if k not in ("size", "mapping")}
                                          | {"map": vars(g.mapping)} for g in groups])
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         points = [_Points(mapping=FeatureMap(**g["map"]), **{k: v for k, v in g.items() if k != "map"})
                   for g in sent.value]
-        out = [g.zeros() for g in points]
-        for pdf in pdfs:
-            for block in _blocks(pdf):
-                for g, sums in zip(points, out):
-                    g.add(sums, *block)
-        yield pd.DataFrame({"part": [0], "sums": [np.concatenate([a.ravel() for s in out for a in s]).tobytes()]})
-
-    rows = _tree_sum(blocks.table.mapInPandas(run, "part int, sums binary"), ["part"], ["sums"],
+        out, families = [g.zeros() for g in points], [g.families() for g in points]
+        for block in _blocks(batches):
+            for g, sums, each in zip(points, out, families):
+                g.add(sums, each, *block)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([0], pa.int32()),
+             pa.array([np.concatenate([a.ravel() for s in out for a in s]).tobytes()], pa.binary())],
+            names=["part", "sums"])
+
+    rows = _tree_sum(blocks.table.mapInArrow(run, "part int, sums binary"), ["part"], ["sums"],
                      _partitions(blocks.table))
     sent.unpersist()
     flat, done, back = np.frombuffer(rows[0]["sums"]) if rows else None, 0, []
@@ -392,25 +434,26 @@ def held_out_counts(blocks: Blocks, models: Sequence[tuple[int, int, int, np.nda
     spark = blocks.table.sparkSession
     sent = spark.sparkContext.broadcast(([vars(m) for m in maps], list(models), blocks.classes))
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, each, k = sent.value
         kept = [FeatureMap(**m) for m in held]
         counts = [np.zeros(k * k, np.int64) for _ in each]
-        for pdf in pdfs:
-            for x, y, fold, view in _blocks(pdf):
-                mapped: dict[int, np.ndarray] = {}
-                for out, (_, f, g, coef, icept) in zip(counts, each):
+        for x, y, fold, view in _blocks(batches):
+            mapped: dict[tuple[int, int], tuple] = {}
+            for out, (_, f, g, coef, icept) in zip(counts, each):
+                if (f, g) not in mapped:
                     mine = np.flatnonzero((fold == f) & ((view == f) | (view == -1)))
-                    if not len(mine):
-                        continue
-                    if g not in mapped:
-                        mapped[g] = kept[g].of(x)
-                    margin = mapped[g][mine] @ coef.T + icept
-                    guess = (margin[:, 0] > 0).astype(int) if margin.shape[1] == 1 else margin.argmax(1)
-                    out += np.bincount(y[mine] * k + guess, minlength=k * k)
+                    mapped[f, g] = mine, kept[g].of(x[mine]) if len(mine) else None
+                mine, z = mapped[f, g]
+                if not len(mine):
+                    continue
+                margin = z @ coef.T + icept
+                guess = (margin[:, 0] > 0).astype(int) if margin.shape[1] == 1 else margin.argmax(1)
+                out += np.bincount(y[mine] * k + guess, minlength=k * k)
         rows = [(m, f, c // k, c % k, int(n[c])) for n, (m, f, *_) in zip(counts, each)
                 for c in np.flatnonzero(n).tolist()]
-        yield pd.DataFrame(rows, columns=["model", "fold", "actual", "predicted", "n"]).astype("int64")
+        names = ["model", "fold", "actual", "predicted", "n"]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], names=names)
 
-    parts = blocks.table.mapInPandas(run, "model long, fold long, actual long, predicted long, n long")
+    parts = blocks.table.mapInArrow(run, "model long, fold long, actual long, predicted long, n long")
     return parts.groupBy("model", "fold", "actual", "predicted").agg(F.sum("n").alias("n"))

@@ -267,7 +267,7 @@ def _svm_grid_values(data: DataFrame, label: str, inputs: Callable[[DataFrame],
     from pyspark.ml.feature import VectorAssembler, VectorSizeHint
     from pyspark.ml.functions import vector_to_array
 
-    from tabloom.functions.columns import join_small
+    from tabloom.functions.columns import join_small, spread
     from tabloom.operators import margin
     from tabloom.operators.encode import category_text, fit_categories
     from tabloom.operators.train import (KERNELS, drop_null_target, fourier_map, margin_classes, vector_sizes)
@@ -295,8 +295,9 @@ def _svm_grid_values(data: DataFrame, label: str, inputs: Callable[[DataFrame],
         stages.append(VectorAssembler(inputCols=names, outputCol="_features", handleInvalid="keep"))
         named = join_small(df, side, on=category_text(label, df.schema[label].dataType) == F.col("_lv"),
                            how="inner", small_rows=k)
-        return PipelineModel(stages=stages).transform(named).select(
-            vector_to_array("_features").alias("x"), "_y", code.alias("_fold"), F.lit(view).alias("_view")), names
+        # every step of the solver reads these rows, so they are dealt to all cores once
+        return spread(PipelineModel(stages=stages).transform(named).select(
+            vector_to_array("_features").alias("x"), "_y", code.alias("_fold"), F.lit(view).alias("_view"))), names
 
     if prepare:
         views = [rows(prepare(data.where(F.col(fold_col) != f))(data), place[f]) for f in folds]

@@ -143,3 +143,28 @@ def test_grid_equals_single_fits(spark):
     assert len(got) == 2
     for a, b in zip(sorted(got), sorted(alone)):
         assert abs(a.mean_score - b.mean_score) < 0.02
+
+
+def test_rows_meet_only_the_points_they_train(spark, monkeypatch):
+    """A fold's view of the rows is mapped and multiplied for the other two folds' rows only,
+    once per map and not once per fold and map."""
+    x, y, fold = make(900, 3, 2, 0.4)
+    met = []
+    monkeypatch.setattr(margin._Points, "_family", lambda self, out, pos, z, w: met.append((len(pos), len(z))))
+    n = 3
+    points = margin._Points(margin.FeatureMap(), np.zeros(3), np.ones(3), np.zeros((n, 4)), np.ones(n, int),
+                            np.arange(n), np.ones(n), np.ones((n, 2)), np.arange(n))
+    for v in range(3):
+        points.add(points.zeros(), points.families(), x, y, fold, np.full(900, v))
+    assert met == [(1, int((fold != v).sum())) for v in range(3)]
+
+
+def test_an_arrow_batch_of_blocks_is_small(packed):
+    """A batch has up to 10,000 blocks: its bytes must not follow the rows of a task."""
+    x, y, fold, df, blocks = packed
+    sizes = blocks.table.select((F.length("x") + F.length("y") + F.length("fold") + F.length("view")).alias("b"), "n")
+    got = sizes.agg(F.max("b").alias("b"), F.sum("n").alias("n")).first()
+    assert got.b <= margin.BLOCK_BYTES and got.n == len(y)
+    many = list(margin._blocks(b for b in blocks.table.select("n", "x", "y", "fold", "view").toArrow().to_batches()))
+    assert max(len(b[0]) for b in many) <= margin.BLOCK_ROWS
+    assert sorted(map(tuple, np.concatenate([b[0] for b in many]))) == sorted(map(tuple, x))
