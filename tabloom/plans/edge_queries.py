@@ -15,6 +15,8 @@ from tabloom.session import cut_lineage, scratch_path
 from tabloom.sources import delimited
 
 BIG = 2 ** 53
+#: Bytes of text in one quoted file: one task writes a file, and many read it.
+FILE_BYTES = 256 << 20
 
 
 def _orders_null_key(spark, sf):
@@ -135,11 +137,13 @@ SQL_LOAD_QUOTED_CSV = """SELECT doc_id, md5(concat('"', text, '", "end')) AS tex
 
 
 def q_load_quoted_file(spark, sf):
-    """All documents through ONE quoted file, read by several tasks."""
+    """All documents through ONE quoted file, read by several tasks; above ``FILE_BYTES`` through as
+    many files as keep below it, each read by several tasks."""
     path = scratch_path(spark, "documents-one-csv")
+    size = _t(spark, sf, "documents").agg(F.sum(F.octet_length("text"))).first()[0] or 0
     docs = _t(spark, sf, "documents").select(
         "doc_id", F.concat(F.lit('"'), "text", F.lit('", "\r\n\n"')).alias("text"), "source")
-    docs.coalesce(1).write.options(header=True, quote='"', escape='"').csv(path)
+    docs.coalesce(max(1, -(-size // FILE_BYTES))).write.options(header=True, quote='"', escape='"').csv(path)
     held = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")  # several splits at every size
     try:

@@ -62,3 +62,22 @@ def test_no_header_and_types(spark, tmp_path):
     got = read_delimited(spark, str(tmp_path / "n.csv"), multi_line=True, header=False)
     assert dict(got.dtypes) == {"_c0": "bigint", "_c1": "string"}
     assert sorted((tuple(r) for r in got.collect()), key=repr) == [(1, "x\ny"), (None, "z")]
+
+
+def test_document_files_are_bounded(spark, tmp_path, monkeypatch):
+    """One task writes one file, so the files grow in number and not in size."""
+    from tabloom.plans import edge_queries
+
+    texts = [f'a "{i}"\n, b\r\n' * 40 for i in range(40)] + [None, ""]
+    docs = spark.createDataFrame([(i, t, f"s{i % 3}") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, source string")
+    docs.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    want = edge_queries.q_load_quoted_file(spark, str(tmp_path)).collect()
+    paths, read = [], edge_queries.delimited.read_delimited
+    monkeypatch.setattr(edge_queries.delimited, "read_delimited", lambda s, p, **kw: (paths.append(p), read(s, p, **kw))[1])
+    monkeypatch.setattr(edge_queries, "FILE_BYTES", sum(len(t or "") for t in texts) // 4 + 1)
+    got = edge_queries.q_load_quoted_file(spark, str(tmp_path)).collect()
+    folder = paths[0].removeprefix("file:")
+    sizes = [os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder) if f.endswith(".csv")]
+    assert len(sizes) == 4 and max(sizes) < sum(sizes) / 2
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr) and len(got) == 42
