@@ -316,6 +316,9 @@ def train_classifier(df: DataFrame, label: str, features: Sequence[str],
     n_rows = data.count()
     parts = layout_partitions or train_partitions(n_rows)
     data = canonical_layout(data, key, parts)
+    if model_type == "random_forest":
+        # the forest starts several jobs over its rows, each of which would shuffle them again
+        data = data.select(*dict.fromkeys(["label_idx", *features, *([weight_col] if weight_col else [])])).persist()
 
     from pyspark.ml.feature import VectorSizeHint
 
@@ -343,7 +346,11 @@ def train_classifier(df: DataFrame, label: str, features: Sequence[str],
         else:
             stages += [*([rff] if rff else []),
                        _svm(params, n_rows, n_classes, weight_col, "rff" if rff else "features")]
-    model = Pipeline(stages=stages).fit(data)
+    try:
+        model = Pipeline(stages=stages).fit(data)
+    finally:
+        if model_type == "random_forest":
+            data.unpersist()
     return Classifier(model=model, labels=labels, label_col=label,
                       label_type=df.schema[label].dataType, features=list(features),
                       model_type=model_type, params=params, label_count=n_classes)

@@ -190,3 +190,22 @@ def test_importance_of_vector_entries(spark):
     rows = {r["feature"]: r["importance"] for r in train.feature_importance(clf).collect()}
     assert list(rows) == ["a", "v[0]", "v[1]", "v[2]"]
     assert max(rows, key=rows.get) == "v[1]" and abs(sum(rows.values()) - 1) < 1e-9
+
+
+def test_a_forests_rows_are_shuffled_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tabloom.operators import train
+
+    seen, layout = spark.sparkContext.accumulator(0), train.canonical_layout
+
+    @F.udf("double")
+    def met(v):
+        seen.add(1)
+        return v
+
+    monkeypatch.setattr(train, "canonical_layout", lambda df, *a: layout(df.withColumn("a", met("a")), *a))
+    rows = spark.range(300).select("id", (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 7 > 3).alias("y"))
+    clf = train.train_classifier(rows, "y", ["a"], "random_forest", {"n_estimators": 3, "random_state": 1}, key="id")
+    assert seen.value == 300
+    assert train.predict(clf, rows).where("y = (prediction = 'true')").count() == 300
