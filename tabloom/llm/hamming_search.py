@@ -6,9 +6,12 @@ segments, and the radius grows by one a step.  When all m segments have been
 probed within radius a, no code at Hamming distance m * (a + 1) - 1 or less can be
 missing (each of its segment distances would have to be above a), so a query is
 finished once its k-th verified distance is at most that.  Only unfinished queries
-go into the next step.  The number of segments follows the number of rows by the
-expected probes and candidates, and is at least three: below 10^5 probes a query for
-random codes of any number.
+go into the next step, and they probe no more segments there than they need: a code
+that the radius a finds in none of the first j segments, and a smaller one nowhere,
+is at distance m * a + j or more, so the segments from there on are left out once
+that is above the k-th verified distance.  The number of segments follows the number
+of rows by the expected probes and candidates, a probe weighing ``PROBE`` candidates,
+and is at least three: below 10^5 probes a query for random codes of any number.
 
 Equal codes are one entry that carries its k smallest ids, and equal query codes
 are searched once, so a code that a third of all rows share costs no more than
@@ -36,6 +39,9 @@ K = 10
 #: Numbers of segments to choose from.  With three, a segment has at most 22 bits, so
 #: that even a query far from all codes has no more than 3 * 2^22 values to probe.
 FEWEST, MOST = 3, 8
+#: Candidates that cost as much as a probe, which is made, shuffled and sorted for the
+#: join, while a candidate is a few bit counts inside it.
+PROBE = 16
 
 
 def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -53,21 +59,26 @@ def _cuts(m: int) -> list[tuple[int, int]]:
 
 def expected_cost(rows: int, m: int, k: int = K) -> tuple[int, float]:
     """(probes, candidates) of a query for its k nearest of so many random codes in
-    m segments: the expected k-th distance gives the radius that covers it."""
+    m segments: the expected k-th distance gives the radius that covers it, and how
+    many segments are probed at that radius."""
     within, kth = 0, 0
     for kth in range(BITS + 1):
         within += math.comb(BITS, kth)
         if rows * within >= k << BITS:
             break
-    radius = kth // m  # the least with m * (radius + 1) - 1 >= kth
-    probes = [sum(math.comb(bits, i) for i in range(radius + 1)) for _, bits in _cuts(m)]
+    radius, last = divmod(kth, m)  # the least radius with m * (radius + 1) - 1 >= kth
+    probes = [sum(math.comb(bits, i) for i in range(radius + (j <= last))) for j, (_, bits) in enumerate(_cuts(m))]
     return sum(probes), sum(p * rows / (1 << bits) for p, (_, bits) in zip(probes, _cuts(m)))
 
 
 def segments(rows: int, k: int = K) -> list[tuple[int, int]]:
     """(first bit, bits) of each segment for an index of so many rows: the number of
-    segments with the least expected probes and candidates together."""
-    return _cuts(min(range(FEWEST, MOST + 1), key=lambda m: sum(expected_cost(rows, m, k))))
+    segments with the least expected cost."""
+    def cost(m: int) -> float:
+        probes, candidates = expected_cost(rows, m, k)
+        return PROBE * probes + candidates
+
+    return _cuts(min(range(FEWEST, MOST + 1), key=cost))
 
 
 def _part(code: Column, at: int, bits: int) -> Column:
@@ -87,12 +98,14 @@ def _first_met(a: Column, b: Column, j: Column, radius: int, cuts: list[tuple[in
 
 def _probes(open_: DataFrame, cuts: list[tuple[int, int]], radius: int) -> DataFrame:
     """(q, bound, p_j, p_key): all values at exactly ``radius`` from the segments of
-    each open query.  One more bit, above the last one, is flipped a step, so every
-    value comes up once and nothing is listed beforehand."""
+    each open query, of as many of them as its bound needs.  One more bit, above the
+    last one, is flipped a step, so every value comes up once and nothing is listed
+    beforehand."""
     out = open_.select("q", "bound", F.explode(F.array(*[
         F.struct(F.lit(j).alias("p_j"), F.lit(bits).alias("bits"), F.lit(-1).alias("top"),
                  _part(F.col("q"), at, bits).alias("p_key"))
-        for j, (at, bits) in enumerate(cuts) if bits >= radius])).alias("s")).select("q", "bound", "s.*")
+        for j, (at, bits) in enumerate(cuts) if bits >= radius])).alias("s")).select("q", "bound", "s.*").where(
+        F.col("p_j") + F.lit(len(cuts) * radius) <= F.col("bound"))
     for left in range(radius - 1, -1, -1):
         flips = F.sequence(F.col("top") + 1, F.col("bits") - 1 - left)
         out = out.select("q", "bound", "p_j", "bits", "p_key", F.explode(flips).alias("top")).withColumn(

@@ -70,6 +70,28 @@ def test_the_plan_stays_small_at_every_number_of_rows():
     assert len(segments(2**21)) == len(segments(2**21 + 1))
 
 
+def test_probes_of_a_query_grow_less_than_the_rows():
+    probes = [expected_cost(rows, len(segments(rows)))[0] for rows in (10_260, 51_282, 256_410)]
+    assert max(probes) <= 2 * probes[0]
+
+
+def test_segments_that_the_bound_leaves_out_are_not_probed(spark):
+    cuts = [(0, 5), (5, 6), (11, 5)]
+    open_ = spark.createDataFrame([(1, 7), (2, 5), (3, 8), (4, 64)], "q long, bound int")
+    got = {(r.q, r.p_j) for r in _probes(open_, cuts, 2).collect()}
+    assert got == {(1, 0), (1, 1), (3, 0), (3, 1), (3, 2), (4, 0), (4, 1), (4, 2)}
+
+
+@pytest.mark.parametrize("m", [3, 5, 8])
+def test_any_number_of_segments_finds_the_same(spark, monkeypatch, m):
+    import tabloom.llm.hamming_search as module
+
+    rng = random.Random(m)
+    monkeypatch.setattr(module, "segments", lambda rows, k: module._cuts(m))
+    rows = [(i, long(rng.getrandbits(64) & rng.getrandbits(64))) for i in range(400)]
+    assert run(spark, rows, rows[::40], 6) == brute(rows, rows[::40], 6)
+
+
 @pytest.mark.parametrize("radius", [0, 1, 3, 5, 6])
 def test_probes_are_all_values_at_the_radius_once(spark, radius):
     cuts = [(0, 5), (5, 6)]
