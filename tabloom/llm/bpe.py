@@ -19,7 +19,8 @@ NONE = np.int32(2**31 - 1)
 
 
 class MergeTable:
-    """Ranks and results of symbol pairs, looked up by (left, right)."""
+    """Ranks and results of symbol pairs, looked up by (left, right).  Pairs of one
+    rank have one result."""
 
     def __init__(self, left: Sequence[int], right: Sequence[int], rank: Sequence[int],
                  result: Sequence[int]):
@@ -28,6 +29,10 @@ class MergeTable:
         self.key = key[order]
         self.rank = np.asarray(rank, np.int32)[order]
         self.result = np.asarray(result, np.int32)[order]
+        self.of_rank = np.zeros(int(self.rank.max(initial=-1)) + 1, np.int32)
+        self.of_rank[self.rank] = self.result
+        if (self.of_rank[self.rank] != self.result).any():
+            raise ValueError("pairs of one rank have different results")
         size = 1 << max(4, int(4 * len(key)).bit_length())
         self.shift = np.uint64(64 - (size.bit_length() - 1))
         self.slots = np.full(size, -1, np.int32)
@@ -50,23 +55,23 @@ class MergeTable:
             todo = todo[self.slots[at] != todo]
             step += 1
             self.probes = step
+        self.slot_key = np.where(self.slots < 0, -1, self.key[self.slots])
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Place of each pair in the table, -1 where there is none."""
         key = left.astype(np.int64) << 32 | right
         mask, at = len(self.slots) - 1, self._slot(key)
-        out = np.full(len(key), -1, np.int64)
-        open_ = np.arange(len(key))
-        for _ in range(self.probes):
-            slot = self.slots[at[open_]]
-            hit = slot >= 0
-            open_, slot = open_[hit], slot[hit]
-            same = self.key[slot] == key[open_]
-            out[open_[same]] = slot[same]
-            open_ = open_[~same]
+        there = self.slot_key[at]
+        out = np.where(there == key, self.slots[at], -1).astype(np.int64)
+        open_ = np.flatnonzero((there != key) & (there >= 0))
+        for _ in range(1, self.probes):
             if not len(open_):
                 break
             at[open_] = (at[open_] + 1) & mask
+            spot, want = at[open_], key[open_]
+            there = self.slot_key[spot]
+            out[open_] = np.where(there == want, self.slots[spot], -1)
+            open_ = open_[(there != want) & (there >= 0)]
         return out
 
 
@@ -97,23 +102,32 @@ def dropped(keys: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarra
 
 
 def merge_words(symbols: np.ndarray, lengths: np.ndarray, table: MergeTable,
-                keys: np.ndarray | None = None, rate: float = 0.0, trace: list | None = None
-                ) -> tuple[np.ndarray, np.ndarray]:
+                keys: np.ndarray | None = None, rate: float = 0.0, trace: list | None = None,
+                banned: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Merged symbols of all words end to end, and their number per word.
 
     ``symbols``: the words' first symbols end to end; ``lengths``: how many each
     word has (at least 1); ``keys``, ``rate``: see ``dropped``.  ``trace`` receives
-    (word, span hash) arrays of all candidates that were met and not dropped."""
+    (word, span hash) arrays of all candidates that were merged: were any other one
+    dropped, nothing would change.
+    ``banned``: span hashes of candidates to drop besides, a row for each word (0: none)."""
     n = len(lengths)
     sym = np.asarray(symbols, np.int32).copy()
     word = np.repeat(np.arange(n, dtype=np.int32), lengths)
     first = (np.cumsum(lengths) - lengths).astype(np.int64)
     skips = rate > 0 and keys is not None
-    spans = skips or trace is not None
+    drops = skips or banned is not None
+    spans = drops or trace is not None
     # the character each symbol begins with, counted over all words
     start = np.arange(len(sym)) if spans else None
     stop = first + lengths
 
+    def spanned(at: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Span hash of the candidates (at, at + 1) of the words w."""
+        after = np.minimum(at + 2, len(sym) - 1)
+        end = np.where((at + 2 < len(sym)) & (word[after] == w), start[after], stop[w])
+        return span_hash(start[at] - first[w], start[at + 1] - first[w], end - first[w])
+
     def ranks(i: np.ndarray) -> np.ndarray:
         """Rank of the candidate (i, i + 1), or NONE."""
         out = np.full(len(i), NONE, np.int32)
@@ -125,25 +139,20 @@ def merge_words(symbols: np.ndarray, lengths: np.ndarray, table: MergeTable,
         found = table.find(sym[at], sym[at + 1])
         real = found >= 0
         spot, at, found = spot[real], at[real], found[real]
-        if spans and len(at):
+        if drops and len(at):
             w = word[at]
-            after = np.minimum(at + 2, len(sym) - 1)
-            end = np.where((at + 2 < len(sym)) & (word[after] == w), start[after], stop[w])
-            span = span_hash(start[at] - first[w], start[at + 1] - first[w], end - first[w])
-            if skips:
-                stay = ~falls(keys[w], span, rate)
-                w, span, spot, found = w[stay], span[stay], spot[stay], found[stay]
-            if trace is not None:
-                trace.append((w, span))
+            span = spanned(at, w)
+            stay = ~falls(keys[w], span, rate) if skips else np.ones(len(w), bool)
+            if banned is not None:
+                stay &= (banned[w] != span[:, None]).all(axis=1)
+            spot, found = spot[stay], found[stay]
         out[spot] = table.rank[found]
         return out
 
-    cand = ranks(np.arange(len(sym)))
+    cand, run = ranks(np.arange(len(sym))), np.asarray(lengths, np.int64)
     done_word, done_sym = [], []
     while len(sym):
-        heads = np.flatnonzero(np.diff(word, prepend=-1))
-        best = np.minimum.reduceat(cand, heads)
-        run = np.diff(np.append(heads, len(sym)))
+        best = np.minimum.reduceat(cand, np.cumsum(run) - run)
         live = best < NONE
         if not live.all():
             stay = np.repeat(live, run)
@@ -156,7 +165,9 @@ def merge_words(symbols: np.ndarray, lengths: np.ndarray, table: MergeTable,
                 break
         at = np.flatnonzero(cand == np.repeat(best, run))
         at = at[np.diff(word[at], prepend=-1) != 0]  # the leftmost of each word
-        sym[at] = table.result[table.find(sym[at], sym[at + 1])]
+        if trace is not None:
+            trace.append((word[at], spanned(at, word[at])))
+        sym[at], run = table.of_rank[best], run - 1  # each word that is left has merged once
         keep = np.ones(len(sym), bool)
         keep[at + 1] = False
         moved = at - np.arange(len(at))  # one symbol less for every earlier merge

@@ -130,3 +130,34 @@ def test_remembered_encodings_equal_merging_anew(model):
         own = np.fromiter((chunk_key(c, 3) for c in chunks), np.uint64, len(chunks))
         keys = mix64(own + chunk_draws([doc], [len(chunks)], 3, coder.draws))
         assert b"".join(model.encode_chunks(chunks, keys, 0.1)) == got.tobytes()
+
+
+def test_common_skips_are_not_merged_again(model, monkeypatch):
+    import tabloom.llm.piece_dropout as module
+
+    merged, merge_words = [], module.merge_words
+    monkeypatch.setattr(module, "merge_words", lambda sym, n, *a: merged.append(len(n)) or merge_words(sym, n, *a))
+    words = " ".join(["plain", "words", "and", "internationalisation"] * 10_000)
+    coder = DropoutEncoder(model, rate=0.1)
+    got = coder.encode([1], [words])[0]
+    assert sum(merged) < 40_000 / 10
+    monkeypatch.undo()
+    chunks = module.CHUNK.findall(" " + words)
+    keys = module.mix64(module.chunk_keys(chunks, coder.seed)
+                        + module.chunk_draws([1], [len(chunks)], coder.seed, coder.draws))
+    assert b"".join(model.encode_chunks(chunks, keys, 0.1)) == got.tobytes()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(st.sampled_from(" abetin.\né中😀"), max_size=90), st.floats(0.05, 0.9))
+def test_remembered_skips_equal_merging_anew_on_any_text(model, text, rate):
+    import tabloom.llm.piece_dropout as module
+
+    coder = DropoutEncoder(model, rate=rate)
+    texts, docs = [text] * 40, list(range(40))
+    for _ in range(2):
+        for doc, got in zip(docs, coder.encode(docs, texts)):
+            chunks = module.CHUNK.findall(" " + text) if text else []
+            keys = module.mix64(module.chunk_keys(chunks, coder.seed)
+                                + module.chunk_draws([doc], [len(chunks)], coder.seed, coder.draws))
+            assert b"".join(model.encode_chunks(chunks, keys, rate)) == got.tobytes()
