@@ -41,10 +41,14 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
+from functools import cached_property
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,14 +67,19 @@ RATE = 0.02
 #: Occurrences from which on a word is an outcome of its own.
 LEAST = 5
 RIDGE = 2.0
-#: Words that are fitted at once, passes over them at most, and tokens scored at once.
+#: Words that are fitted at once, passes over them at most, and words whose Z is worked
+#: out at once.
 FIT_WORDS = 2048
 FIT_STEPS = 100
+NORM_WORDS = 256
 #: Earlier moves that a word's next step is made from.
 FIT_PAIRS = 5
-SLICE = 1 << 17
+#: Tokens whose vectors are looked up at once, few enough for the processor's cache.
+SLICE = 1 << 13
 #: Tokens with their contexts that a task holds before it hands them on.
 HELD_TOKENS = 4_000_000
+#: Words that it hands on at once.
+SENT_WORDS = 1 << 15
 SEED = 11
 BLOCK = 1 << 20
 #: Distinct words that a task holds before it hands them on, words whose class it
@@ -128,6 +137,14 @@ class _ClassOf(dict):
         return found
 
 
+class _Places(dict):
+    """Numbers of words in the order in which they come first."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = len(self)
+        return found
+
+
 def word_counts(texts: DataFrame, stages: Stages) -> DataFrame:
     """(word binary, c long) over all rows of ``texts`` (text)."""
 
@@ -182,30 +199,60 @@ def _contexts(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     return first, before
 
 
+def _binary(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` cut into pieces of the given lengths."""
+    ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(
+        np.ascontiguousarray(values))])
+
+
+def _unpacked(column: pa.Array, dtype: str) -> np.ndarray:
+    """The numbers in all values of a binary column, end to end."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype)
+
+
 def class_triples(texts: DataFrame, classes: Classes) -> DataFrame:
-    """(triple, n): triple = (first * K + second) * K + third."""
-    n_classes = classes.n
+    """(triple, n): triple = (first * K + second) * K + third.
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A task hands on one row for each context, with the third classes and their
+    numbers; rows are small and added up as they come."""
+    k = classes.n
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held, size = _ClassOf(classes), [], 0
-        n = np.zeros(n_classes ** 3, np.int64)
-        for pdf in batches:
-            for group in groups_by_size(pdf["text"], BLOCK):
+        n = np.zeros(k ** 3, np.int64)
+        for batch in batches:
+            for group in groups_by_size(batch.column("text").to_pylist(), BLOCK):
                 if len(known) > HELD_CLASSES:
                     known = _ClassOf(classes)
                 ids, lengths = _tokens(group, known)
                 a, b = _contexts(ids, lengths)
-                held.append((a * n_classes + b) * n_classes + ids)
+                held.append((a * k + b) * k + ids)
                 size += len(ids)
                 if size > HELD_TRIPLES:
                     n += np.bincount(np.concatenate(held), minlength=len(n))
                     held, size = [], 0
         if size:
             n += np.bincount(np.concatenate(held), minlength=len(n))
-        triple = np.flatnonzero(n).astype(np.int32)
-        yield pd.DataFrame({"triple": triple, "n": n[triple]})
-
-    return texts.mapInPandas(count, "triple int, n long").groupBy("triple").agg(F.sum("n").alias("n"))
+        triple = np.flatnonzero(n)
+        context, third = np.divmod(triple, k)
+        filled, found = np.unique(context, return_counts=True)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(filled, pa.int32()), _binary(third.astype("<i4"), 4 * found),
+            _binary(n[triple].astype("<i8"), 8 * found)], ["context", "third", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(k ** 3, np.int64)
+        for batch in batches:
+            third = _unpacked(batch.column("third"), "<i4")
+            found = pc.binary_length(batch.column("third")).to_numpy() // 4
+            context = np.repeat(batch.column("context").to_numpy().astype(np.int64), found)
+            np.add.at(total, context * k + third, _unpacked(batch.column("n"), "<i8"))
+        triple = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(triple, pa.int32()), pa.array(total[triple])], ["triple", "n"])
+
+    rows = texts.mapInArrow(count, "context int, third binary, n binary")
+    return rows.repartition("context").mapInArrow(add, "triple int, n long")
 
 
 def _tokens(texts: list[str], known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -335,6 +382,21 @@ class WordSpace:
         scale = 1 / np.sqrt(max(spread.mean(), 1e-9))
         return cls(u @ axes * scale, v @ axes * scale, p, np.maximum(spread, 0) * scale ** 2, total)
 
+    def norms(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Means of exp(q . r) and of exp(q . r) r over all contexts, for as many q at
+        a time as the processor's cache holds."""
+        z, mean = np.empty(len(q)), np.empty(q.shape)
+        for i in range(0, len(q), NORM_WORDS):
+            part = slice(i, i + NORM_WORDS)
+            x, y = q[part] @ self.first.T, q[part] @ self.second.T
+            np.exp(x, out=x)
+            np.exp(y, out=y)
+            xw, yw = y @ self.shares.T, x @ self.shares
+            xw *= x
+            yw *= y
+            z[part], mean[part] = xw.sum(1), xw @ self.first + yw @ self.second
+        return z, mean
+
     def fit(self, counts: np.ndarray, sums: np.ndarray, ridge: float = RIDGE, steps: int = FIT_STEPS
             ) -> tuple[np.ndarray, np.ndarray]:
         """Vectors (float32) and biases of outcomes from their counts and their
@@ -355,11 +417,9 @@ class WordSpace:
                 if not len(live):
                     break
                 q = best + pace[:, None] * way
-                x, y = np.exp(q @ self.first.T), np.exp(q @ self.second.T)
-                xw, yw = x * (y @ self.shares.T), y * (x @ self.shares)
-                z = xw.sum(1)
+                z, mean = self.norms(q)
                 f = np.einsum("nd,nd->n", q, sums - ridge / 2 * q) - n * np.log(z)
-                found = sums - (n / z)[:, None] * (xw @ self.first + yw @ self.second) - ridge * q
+                found = sums - (n / z)[:, None] * mean - ridge * q
                 up = f >= value
                 rise = up[:, None]
                 moved = [np.where(rise, q - best, 0), *moved[:-1]]
@@ -377,10 +437,13 @@ class WordSpace:
         solved[live], norms[live] = best, norm
         return solved, np.log(n_all / (self.total + 1)) - np.log(norms)
 
+    @cached_property
+    def table(self) -> np.ndarray:
+        return (self.first[:, None] + self.second[None]).reshape(-1, self.first.shape[1])
+
     def of_contexts(self, context: np.ndarray) -> np.ndarray:
         """r of contexts a * classes + b."""
-        a, b = np.divmod(context, len(self.first))
-        return self.first[a] + self.second[b]
+        return self.table.take(context, axis=0)
 
     def sum_of(self, context: np.ndarray) -> np.ndarray:
         k = len(self.first)
@@ -393,66 +456,64 @@ class WordSpace:
         return (np.exp(q @ self.first.T) * np.exp(biases)[:, None]).T @ np.exp(q @ self.second.T)
 
     def scores(self, a: np.ndarray, b: np.ndarray, vectors: np.ndarray, biases: np.ndarray) -> np.ndarray:
-        return ((self.first[a] + self.second[b]) * vectors).sum(1) + biases
+        return np.einsum("nd,nd->n", self.of_contexts(a * len(self.first) + b), vectors) + biases
 
 
 def word_contexts(texts: DataFrame, classes: Classes, space: WordSpace) -> DataFrame:
-    """(word, c, parts): every word's count and its contexts in ``texts`` (text).
-    A part is a task's: the contexts of all its occurrences (int32 each), or from
-    where that is shorter, a zero byte and their sum of r (float64)."""
+    """(word, c, listed, total): a row for a word of a task, with its count there and
+    the contexts of all its occurrences (int32 each), or from where that is
+    shorter, their sum of r (float64).  The other column is empty."""
     own, suffixes, k, dim = classes.lookup(), classes.suffixes, classes.n, space.first.shape[1]
-
-    def parts_of(words: list[bytes], ids: np.ndarray, context: np.ndarray) -> pd.DataFrame:
-        order = np.argsort(ids, kind="stable")
-        ids, context = ids[order], context[order].astype("<i4")
-        heads = np.flatnonzero(np.diff(ids, prepend=-1))
-        ends = np.append(heads[1:], len(ids))
-        raw = context.tobytes()
-        parts = [raw[4 * s:4 * e] if e - s <= 2 * dim else b"\0" + space.sum_of(context[s:e]).tobytes()
-                 for s, e in zip(heads.tolist(), ends.tolist())]
-        return pd.DataFrame({"word": [words[i] for i in ids[heads].tolist()], "c": ends - heads, "part": parts})
-
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place, class_of, held, size = {}, [], [], 0
-        for pdf in batches:
-            for group in groups_by_size(pdf["text"], BLOCK):
-                known, tokens, lengths = _Known(own, len(own), suffixes), [], []
+    names = ["word", "c", "listed", "total"]
+
+    def parts_of(words: list[bytes], held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys = np.concatenate(held)  # place * k^2 + context; every place occurs
+        keys.sort()
+        ids, context = np.divmod(keys, k * k)
+        c = np.bincount(ids, minlength=len(words))
+        ends = np.cumsum(c)
+        long = c > 2 * dim
+        sums = np.array([space.sum_of(context[e - n:e]) for e, n in zip(ends[long].tolist(), c[long].tolist())])
+        rows = pa.RecordBatch.from_arrays([
+            pa.array(words, pa.binary()), pa.array(c, pa.int64()),
+            _binary(context[~long[ids]].astype("<i4"), np.where(long, 0, 4 * c)),
+            _binary(sums.astype("<f8"), np.where(long, 8 * dim, 0))], names)
+        for i in range(0, len(words), SENT_WORDS):
+            yield rows.slice(i, SENT_WORDS)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, class_of, held, size = _Places(), [], [], 0
+        for batch in batches:
+            for group in groups_by_size(batch.column("text").to_pylist(), BLOCK):
+                tokens, lengths = [], []
                 for text in group:
                     words = ascii_words(text)
                     tokens.extend(words)
                     tokens.append(END)
                     lengths.append(len(words) + 1)
-                for w in dict.fromkeys(tokens):
-                    if w not in place:
-                        place[w] = len(place)
-                        class_of.append(known[w])
-                ids = np.fromiter(map(place.__getitem__, tokens), np.int32, len(tokens))
+                ids = np.fromiter(map(place.__getitem__, tokens), np.int64, len(tokens))
+                new = list(islice(reversed(place), len(place) - len(class_of)))  # the newest first
+                class_of.extend(own[w] if w in own else len(own) + suffix_class(w, suffixes) for w in reversed(new))
                 a, b = _contexts(np.array(class_of, np.int32)[ids], np.array(lengths, np.int64))
-                held.append((ids, a * np.int32(k) + b))
+                held.append(ids * (k * k) + (a * np.int32(k) + b))
                 size += len(ids)
                 if size > HELD_TOKENS:
-                    yield parts_of(list(place), *map(np.concatenate, zip(*held)))
-                    place, class_of, held, size = {}, [], [], 0
+                    yield from parts_of(list(place), held)
+                    place, class_of, held, size = _Places(), [], [], 0
         if size:
-            yield parts_of(list(place), *map(np.concatenate, zip(*held)))
-
-    return texts.mapInPandas(add, "word binary, c long, part binary").groupBy("word").agg(
-        F.sum("c").alias("c"), F.collect_list("part").alias("parts"))  # at most a few for each task
-
-
-def _sums(parts, space: WordSpace) -> np.ndarray:
-    """Sums of r of several words from their parts."""
-    out = np.zeros((len(parts), space.first.shape[1]))
-    listed, owner = [], []
-    for i, own in enumerate(parts):
-        for p in own:
-            if len(p) % 4:
-                out[i] += np.frombuffer(p, "<f8", offset=1)
-            else:
-                listed.append(p)
-                owner.append(i)
-    context = np.frombuffer(b"".join(listed), "<i4")
-    owner = np.repeat(np.array(owner, np.int64), [len(p) // 4 for p in listed])
+            yield from parts_of(list(place), held)
+
+    return texts.mapInArrow(add, "word binary, c long, listed binary, total binary")
+
+
+def _sums(batch: pa.RecordBatch, space: WordSpace) -> np.ndarray:
+    """Sums of r of the rows of ``word_contexts``."""
+    out = np.zeros((batch.num_rows, space.first.shape[1]))
+    listed, total = (batch.column(c) for c in ("listed", "total"))
+    summed = np.flatnonzero(pc.binary_length(total).to_numpy())
+    out[summed] = _unpacked(total, "<f8").reshape(-1, out.shape[1])
+    context = _unpacked(listed, "<i4")
+    owner = np.repeat(np.arange(batch.num_rows), pc.binary_length(listed).to_numpy() // 4)
     for i in range(0, len(context), SLICE):
         who = owner[i:i + SLICE]
         heads = np.flatnonzero(np.diff(who, prepend=-1))
@@ -460,44 +521,68 @@ def _sums(parts, space: WordSpace) -> np.ndarray:
     return out
 
 
-def shared_sums(words: DataFrame, space: WordSpace, least: int, suffixes: int) -> DataFrame:
-    """(s, c, v, m0, m1, ...): count, words and sum of r of the rare words of every
-    suffix, and of the end token under s = ``suffixes``."""
-    columns = [f"m{i}" for i in range(space.first.shape[1])]
-
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, v, m = np.zeros(suffixes + 1), np.zeros(suffixes + 1), np.zeros((suffixes + 1, len(columns)))
-        for pdf in batches:
-            for i in range(0, len(pdf), FIT_WORDS):
-                part = pdf.iloc[i:i + FIT_WORDS]
-                s = np.array([suffix_class(w, suffixes) if w else suffixes for w in part["word"]], np.int64)
-                np.add.at(n, s, part["c"].to_numpy())
-                np.add.at(v, s, 1)
-                np.add.at(m, s, _sums(part["parts"], space))
-        yield pd.DataFrame({"s": np.arange(suffixes + 1), "c": n, "v": v} | dict(zip(columns, m.T)))
-
-    return words.where((F.length("word") == 0) | (F.col("c") < least)).mapInPandas(
-        add, ", ".join(["s int, c double, v double", *(f"{c} double" for c in columns)])).groupBy("s").agg(
-        *(F.sum(c).alias(c) for c in ["c", "v", *columns]))
-
-
-def fit_words(words: DataFrame, space: WordSpace, least: int) -> DataFrame:
-    """(word, c, q, bias) of all words; q (float32 bytes) and bias are null for
-    words below ``least`` occurrences and for the end token, whose contexts are not read."""
-
-    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for i in range(0, len(pdf), FIT_WORDS):
-                part = pdf.iloc[i:i + FIT_WORDS]
-                c = part["c"].to_numpy()
-                vectors, biases = space.fit(c, _sums(part["parts"], space))
-                yield pd.DataFrame({"word": part["word"].to_numpy(), "c": c,
-                                    "q": [v.astype("<f4").tobytes() for v in vectors], "bias": biases})
-
-    own = (F.length("word") > 0) & (F.col("c") >= least)
-    return words.where(own).mapInPandas(fit, "word binary, c long, q binary, bias double").unionByName(
-        words.where(~own).select("word", "c", F.lit(None).cast("binary").alias("q"),
-                                 F.lit(None).cast("double").alias("bias")))
+def sums_of_words(batches: Iterator[pa.RecordBatch], space: WordSpace
+                  ) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """Words, their counts and sums of r from rows of ``word_contexts`` in the order
+    of their words.  The last word of a batch waits for the next one."""
+    words, c, sums = [], np.zeros(0, np.int64), np.zeros((0, space.first.shape[1]))
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        word = batch.column("word")
+        heads = np.flatnonzero(np.append(True, pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)))
+        found = word.take(pa.array(heads)).to_pylist()
+        n, m = (np.add.reduceat(v, heads, axis=0) for v in (batch.column("c").to_numpy(), _sums(batch, space)))
+        if words and words[0] == found[0]:
+            n[0] += c[0]
+            m[0] += sums[0]
+        else:
+            found, n, m = words + found, np.append(c, n), np.concatenate([sums, m])
+        yield found[:-1], n[:-1], m[:-1]
+        words, c, sums = found[-1:], n[-1:], m[-1:]
+    yield words, c, sums
+
+
+def fit_words(contexts: DataFrame, space: WordSpace, least: int, suffixes: int) -> DataFrame:
+    """(word, c, q, bias, s, m).  Rows of words: q (float32 bytes) and bias are null
+    for words below ``least`` occurrences and for the end token.  Rows of suffixes
+    s, a task's each, and of the end token under s = ``suffixes``: m has the count, the
+    words and the sum of r of the suffix's rare words."""
+    dim = space.first.shape[1]
+    schema = pa.schema([("word", pa.binary()), ("c", pa.int64()), ("q", pa.binary()), ("bias", pa.float64()),
+                        ("s", pa.int32()), ("m", pa.list_(pa.float64()))])
+
+    def batch_of(n: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns
+                                           else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+    def fitted(words: list[bytes], c: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        vectors, biases = space.fit(c, sums)
+        return batch_of(len(words), word=words, c=c, bias=biases,
+                        q=[v.astype("<f4").tobytes() for v in vectors])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = np.zeros((suffixes + 1, 2 + dim))
+        words, c, sums = [], np.zeros(0, np.int64), np.zeros((0, dim))
+        for found, n, m in sums_of_words(batches, space):
+            own = (n >= least) & np.array([len(w) > 0 for w in found], bool)
+            rare = [found[i] for i in np.flatnonzero(~own).tolist()]
+            if rare:
+                s = np.array([suffix_class(w, suffixes) if w else suffixes for w in rare], np.int64)
+                np.add.at(shared, s, np.column_stack([n[~own], np.ones(len(rare)), m[~own]]))
+                yield batch_of(len(rare), word=rare, c=n[~own])
+            words += [found[i] for i in np.flatnonzero(own).tolist()]
+            c, sums = np.append(c, n[own]), np.concatenate([sums, m[own]])
+            while len(words) >= FIT_WORDS:
+                yield fitted(words[:FIT_WORDS], c[:FIT_WORDS], sums[:FIT_WORDS])
+                words, c, sums = words[FIT_WORDS:], c[FIT_WORDS:], sums[FIT_WORDS:]
+        if words:
+            yield fitted(words, c, sums)
+        filled = np.flatnonzero(shared[:, 1])
+        yield batch_of(len(filled), s=filled, m=list(shared[filled]))
+
+    return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(
+        fit, "word binary, c long, q binary, bias double, s int, m array<double>")
 
 
 def _vectors(q, dim: int) -> np.ndarray:
@@ -546,13 +631,13 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     del triples, counted, order
     dim = space.first.shape[1]
 
-    gathered = stages.write(word_contexts(train, classes, space), "word-contexts")
-    fitted = stages.write(fit_words(gathered, space, least), "words")
+    table = stages.write(fit_words(word_contexts(train, classes, space), space, least, suffixes), "words")
+    fitted = table.where("s is null").select("word", "c", "q", "bias")
     # the end token and the words without a vector, which share their suffix's outcome
-    shared_c, shared_v, shared_m = np.zeros(suffixes + 1), np.zeros(suffixes + 1), np.zeros((suffixes + 1, dim))
-    for r in shared_sums(gathered, space, least, suffixes).collect():
-        shared_c[r["s"]], shared_v[r["s"]], shared_m[r["s"]] = r["c"], r["v"], r[3:]
-    stages.drop(gathered)
+    shared = np.zeros((suffixes + 1, 2 + dim))
+    for r in table.where("s is not null").groupBy("s").agg(*(F.sum(F.col("m")[i]) for i in range(2 + dim))).collect():
+        shared[r["s"]] = r[1:]
+    shared_c, shared_v, shared_m = shared[:, 0], shared[:, 1], shared[:, 2:]
     share = np.log10(shared_c + shared_v + 1)[:suffixes]
     shared_q, shared_b = space.fit(shared_c, shared_m)
     log_mass = np.log(context_masses(fitted, space) + space.masses(shared_q, shared_b))
@@ -580,7 +665,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     within = np.where(outcome >= 0, 0.0, log_count - share[suffix_of])
     outcome = np.where(outcome >= 0, outcome, suffix_of)
     listed_n = len(words)
-    sent = spark.sparkContext.broadcast((words, class_of, outcome, log_count, within, vectors, biases, vars(space),
+    sent = spark.sparkContext.broadcast((words, class_of, outcome, log_count, within, vectors, biases, asdict(space),
                                          log_mass, share, bool(ends)))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -606,7 +691,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 for i in range(0, len(ids), SLICE):
                     part = slice(i, i + SLICE)
                     out = outcome[ids[part]]
-                    model[part] += (space.scores(a[part], b[part], vectors[out], biases[out])
+                    model[part] += (space.scores(a[part], b[part], vectors.take(out, axis=0), biases[out])
                                     - log_mass[a[part], b[part]]) / np.log(10)
                 seen = ids < listed_n if any_end else (ids < listed_n) & (ids > 0)
                 missed = ids >= listed_n

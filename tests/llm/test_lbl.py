@@ -127,6 +127,74 @@ def test_words_beyond_the_frequent_ones_follow_their_context(spark):
     assert all(math.isclose(joined[i], got[i], abs_tol=1e-5) for i in got)
 
 
+def _space(k=5, dim=4, seed=8):
+    rng = np.random.default_rng(seed)
+    model = lbl.LogBilinear(rng.normal(0, 1, (k, dim)), rng.normal(0, 1, (2, dim, dim)), np.zeros((k, dim)), np.zeros(k))
+    return lbl.WordSpace.of(model, rng.integers(1, 50, (k, k)))
+
+
+def test_triples_of_all_tasks_and_a_row_for_each_context_of_a_task(spark):
+    texts = ["a b a", "", "b b c", "a b a c d", "É a"] * 9
+    classes = lbl.Classes([b"a", b"b"], 2)
+    known, want = lbl._ClassOf(classes), Counter()
+    for t in texts:
+        ids = [known[w] for w in t.encode().lower().split()] + [0]
+        for a, b, c in zip([0, 0, *ids], [0, *ids], ids):
+            want[(a * classes.n + b) * classes.n + c] += 1
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    triples = lbl.class_triples(docs, classes)
+    got = triples.collect()
+    assert {r.triple: r.n for r in got} == want and len(got) == len(want)
+    # what tasks hand on is a row for each context, not one for each triple
+    assert "context" in triples._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_meet_across_tasks_and_batches(spark):
+    """Counts and sums of r against brute force: words listed, summed up, and both;
+    batches of a row, whose words end in a later batch, and none without a sum."""
+    space, classes = _space(), lbl.Classes([b"a", b"b"], 2)
+    texts = ["a b a " * 7, "", "b rare c", "c c d", "a é"] * 6
+    known, n, sums = lbl._ClassOf(classes), Counter(), {}
+    for t in texts:
+        words = t.encode().lower().split() + [b""]
+        ids = [known[w] for w in words]
+        for w, a, b in zip(words, [0, 0, *ids], [0, *ids]):
+            n[w] += 1
+            sums[w] = sums.get(w, 0) + space.first[a] + space.second[b]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    rows = lbl.word_contexts(docs, classes, space).toArrow().sort_by("word").combine_chunks()
+    assert 0 < sum(len(t) > 0 for t in rows["total"].to_pylist()) < rows.num_rows > len(n)
+    for size in (1, 3, 1000):
+        got = [x for words, c, m in lbl.sums_of_words(iter(rows.to_batches(max_chunksize=size)), space)
+               for x in zip(words, c.tolist(), m)]
+        assert {w: c for w, c, _ in got} == n and len(got) == len(n)
+        assert all(np.allclose(m, sums[w]) for w, _, m in got)
+    # one task's rows of a rare word and an own word, and the suffixes' sums
+    fitted = lbl.fit_words(lbl.word_contexts(docs, classes, space), space, 7, 2).collect()
+    words = {bytes(r.word): r for r in fitted if r.s is None}
+    assert {w: r.c for w, r in words.items()} == n
+    assert {w for w, r in words.items() if r.q is not None} == {w for w in n if w and n[w] >= 7}
+    shared = np.zeros((3, 6))
+    for r in fitted:
+        if r.s is not None:
+            shared[r.s] += r.m
+    want = np.zeros((3, 6))
+    for w in n:
+        if not w or n[w] < 7:
+            want[lbl.suffix_class(w, 2) if w else 2] += [n[w], 1, *sums[w]]
+    assert np.allclose(shared, want)
+
+
+def test_norms_do_not_depend_on_their_blocks(monkeypatch):
+    space, q = _space(), np.random.default_rng(3).normal(0, 0.5, (11, 4))
+    r = space.table.reshape(-1, 4)
+    weight = np.exp(q @ r.T) * space.shares.ravel()
+    for size in (1, 4, 100):
+        monkeypatch.setattr(lbl, "NORM_WORDS", size)
+        z, mean = space.norms(q)
+        assert np.allclose(z, weight.sum(1)) and np.allclose(mean, weight @ r)
+
+
 def test_outcomes_sum_to_one_in_every_context():
     rng = np.random.default_rng(8)
     model = lbl.LogBilinear(rng.normal(0, 1, (5, 4)), rng.normal(0, 1, (2, 4, 4)), np.zeros((5, 4)), np.zeros(5))
