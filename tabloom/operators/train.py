@@ -260,7 +260,7 @@ def _fit_margins(data: DataFrame, params: Mapping[str, Any], classes: int, rff:
                  ) -> MarginModel:
     """All margins of one classifier over ``data`` (features vector, label_idx)."""
     rows = data.select(vector_to_array("features").alias("x"), "label_idx")
-    blocks = margin.pack(rows, "x", "label_idx", classes, write=lambda df: cut_lineage(df, "margin-blocks"))
+    blocks = margin.pack(rows, "x", "label_idx", classes, write=margin.write_blocks)
     columns = [margin.Column(c, float(params.get("C", 1.0)), balanced=params.get("class_weight") == "balanced")
                for c in margin_classes(classes)]
     maps = [margin.FeatureMap(*rff.weights()) if rff else margin.FeatureMap()]

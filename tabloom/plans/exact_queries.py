@@ -71,7 +71,7 @@ def q_cross_validate_rule(spark, sf):
 
 def q_grid_search_svm(spark, sf):
     """The 18 sets of the reference's SVM grid, three folds each, solved together."""
-    rows = cut_lineage(split.kfold(sized_rows(spark, sf), "row_key", 3, 42))
+    rows = split.kfold(sized_rows(spark, sf), "row_key", 3, 42)     # written once, by the search
     res = grid_search_cv(rows, "size", FEATURES, "svm", SVM_GRID, "fold",
                          base_params={"random_state": 42, "n_components": 64}, scoring="accuracy", key="row_key",
                          prepare=_zscores, refit=False)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.evaluate import confusion_counts, evaluate, metric_table
-from tabloom.session import cut_lineage
+from tabloom.session import cut_lineage, small_splits
 
 
 def cross_validate(df: DataFrame, fold_col: str, fit: Callable[[DataFrame], Any],
@@ -267,7 +267,7 @@ def _svm_grid_values(data: DataFrame, label: str, inputs: Callable[[DataFrame],
     from pyspark.ml.feature import VectorAssembler, VectorSizeHint
     from pyspark.ml.functions import vector_to_array
 
-    from tabloom.functions.columns import join_small, spread
+    from tabloom.functions.columns import is_numeric_type, join_small, spread
     from tabloom.operators import margin
     from tabloom.operators.encode import category_text, fit_categories
     from tabloom.operators.train import (KERNELS, drop_null_target, fourier_map, margin_classes, vector_sizes)
@@ -290,14 +290,18 @@ def _svm_grid_values(data: DataFrame, label: str, inputs: Callable[[DataFrame],
 
     def rows(df: DataFrame, view: int) -> tuple[DataFrame, list[str]]:
         names = inputs(df)
-        sizes = vector_sizes(df, names)
-        stages = [VectorSizeHint(inputCol=c, size=n, handleInvalid="optimistic") for c, n in sizes.items()]
-        stages.append(VectorAssembler(inputCols=names, outputCol="_features", handleInvalid="keep"))
         named = join_small(df, side, on=category_text(label, df.schema[label].dataType) == F.col("_lv"),
                            how="inner", small_rows=k)
+        if names and all(is_numeric_type(df.schema[c].dataType) for c in names):
+            x = F.array(*[F.col(c).cast("double") for c in names])
+        else:
+            stages = [VectorSizeHint(inputCol=c, size=n, handleInvalid="optimistic")
+                      for c, n in vector_sizes(df, names).items()]
+            stages.append(VectorAssembler(inputCols=names, outputCol="_features", handleInvalid="keep"))
+            named = PipelineModel(stages=stages).transform(named)
+            x = vector_to_array("_features")
         # every step of the solver reads these rows, so they are dealt to all cores once
-        return spread(PipelineModel(stages=stages).transform(named).select(
-            vector_to_array("_features").alias("x"), "_y", code.alias("_fold"), F.lit(view).alias("_view"))), names
+        return spread(named.select(x.alias("x"), "_y", code.alias("_fold"), F.lit(view).alias("_view"))), names
 
     if prepare:
         views = [rows(prepare(data.where(F.col(fold_col) != f))(data), place[f]) for f in folds]
@@ -306,7 +310,7 @@ def _svm_grid_values(data: DataFrame, label: str, inputs: Callable[[DataFrame],
     if any(names != views[0][1] for _, names in views):
         return None
     table = functools.reduce(DataFrame.unionByName, [df for df, _ in views])
-    blocks = margin.pack(table, "x", "_y", k, "_fold", "_view", write=lambda df: cut_lineage(df, "margin-blocks"))
+    blocks = margin.pack(table, "x", "_y", k, "_fold", "_view", write=margin.write_blocks)
 
     def width(gamma, fold: int) -> float:
         if isinstance(gamma, (int, float)):
@@ -344,7 +348,8 @@ def _svm_grid_values(data: DataFrame, label: str, inputs: Callable[[DataFrame],
     for (mapping, _, _, f), m in wanted.items():
         mine = found[m * per:(m + 1) * per]
         models.append((m, f, mapping, np.array([c for c, _, _ in mine]), np.array([a for _, a, _ in mine])))
-    counts = cut_lineage(margin.held_out_counts(blocks, models, maps), "grid-counts")
+    with small_splits(data.sparkSession, margin.SPLIT_BYTES):
+        counts = cut_lineage(margin.held_out_counts(blocks, models, maps), "grid-counts")
     values = {r["model"]: r["value"] for r in metric_table(
         metrics=(metric,), average=average, counts=counts, by=["model"]).collect()}  # sets x folds rows
     n = len(folds)

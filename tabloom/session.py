@@ -7,9 +7,11 @@ examples; on a cluster the session comes from ``spark-submit``.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,7 +84,7 @@ def stage_paths() -> list[str]:
     return list(_STAGE_PATHS)
 
 
-def cut_lineage(df, name: str = "stage"):
+def cut_lineage(df, name: str = "stage", **options):
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     return a frame reading it back.
 
@@ -90,14 +92,27 @@ def cut_lineage(df, name: str = "stage"):
     several jobs re-read: the lineage is cut, the data is computed once (a
     plain ``checkpoint(eager=True)`` computes it twice), a lost executor
     only re-reads files, and later reads get column pruning and filter
-    pushdown, which a checkpointed RDD does not offer.
+    pushdown, which a checkpointed RDD does not offer.  ``options`` go to the writer.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return spark.read.parquet(path)
 
 
+@contextlib.contextmanager
+def small_splits(spark: SparkSession, most: int) -> Iterator[None]:
+    """Files are read in splits of up to ``most`` bytes inside: for jobs whose rows cost
+    far more than their bytes, so that all cores have a share of them."""
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 class Stages:
     """Stage tables of one operator run, and their removal.
 

@@ -168,3 +168,87 @@ def test_an_arrow_batch_of_blocks_is_small(packed):
     many = list(margin._blocks(b for b in blocks.table.select("n", "x", "y", "fold", "view").toArrow().to_batches()))
     assert max(len(b[0]) for b in many) <= margin.BLOCK_ROWS
     assert sorted(map(tuple, np.concatenate([b[0] for b in many]))) == sorted(map(tuple, x))
+
+
+def gapped(n, seed):
+    """A wide gap in one input, two coarse inputs, one label in twenty wrong."""
+    rng = np.random.default_rng(seed)
+    large = rng.integers(0, 2, n)
+    x = np.stack([rng.integers(0, 25, n) + 45.0 * large, rng.integers(0, 11, n) / 100, rng.integers(0, 9, n) / 100], 1)
+    x = (x - x.mean(0)) / x.std(0)
+    return x, np.where(rng.random(n) < 0.05, 1 - large, large), rng.integers(0, 3, n)
+
+
+def fourier(size, gamma):
+    rng = np.random.default_rng(4)
+    return margin.FeatureMap(rng.normal(0, math.sqrt(2 * gamma), (3, size)), rng.uniform(0, 2 * math.pi, size))
+
+
+def test_random_features_are_cosines():
+    x = np.random.default_rng(1).normal(size=(300, 3)) * [1, 100, 0.01]
+    rff = fourier(40, 0.5)
+    want = math.sqrt(2 / 40) * np.cos(x @ rff.weights + rff.phase)
+    assert np.abs(rff.of(x) - want).max() < 1e-12
+    assert rff.of(x[:0]).shape == (0, 40)
+
+
+def test_gapped_rows_reach_sparks_objective(spark):
+    """Where few rows are near the hinge a step must not stop the column early."""
+    x, y, fold = gapped(3000, 2)
+    rff = fourier(32, 1 / 3)
+    blocks = margin.pack(frame(spark, x, y, fold), "x", "y", 2, "fold", write=margin.write_blocks)
+    z = rff.of(x)
+    found = margin.solve(blocks, [margin.Column(1, c, -1, g) for g in (0, 1) for c in (1.0, 10.0)], [margin.FeatureMap(), rff])
+    data = cut_lineage(frame(spark, z, y, fold).select(array_to_vector("x").alias("v"), F.col("y").cast("double").alias("l")))
+    for (coef, icept, best), (g, c) in zip(found, [(0, 1.0), (0, 10.0), (1, 1.0), (1, 10.0)]):
+        assert math.isclose(objective([x, z][g], y == 1, coef, icept, c), best, rel_tol=1e-6)
+        if (g, c) == (1, 10.0):
+            svc = LinearSVC(featuresCol="v", labelCol="l", regParam=1 / (c * len(y)), standardization=False,
+                            maxIter=200, tol=1e-7).fit(data.coalesce(1))
+            assert best <= objective(z, y == 1, svc.coefficients.toArray(), svc.intercept, c) * 1.001
+    tight = margin.solve(blocks, [margin.Column(1, 10.0, -1, g) for g in (0, 1)], [margin.FeatureMap(), rff], 300, 1e-6)
+    assert found[1][2] <= tight[0][2] * 1.001 and found[3][2] <= tight[1][2] * 1.001
+
+
+def test_many_rows_start_from_few(spark, monkeypatch):
+    """The steps over all rows are few, begin where the steps over parts of the rows ended, and
+    end at the same minimum; a class that is rare in the parts is not lost."""
+    x, y, fold = gapped(24000, 3)
+    y = np.where((y == 1) & (np.arange(len(y)) % 200 == 0), 2, y)
+    df = frame(spark, x, y, fold)
+    cold = margin.pack(df, "x", "y", 3, "fold", write=margin.write_blocks)
+    monkeypatch.setattr(margin, "START_ROWS", 2000)
+    monkeypatch.setattr(margin, "THIN", 3)
+    monkeypatch.setattr(margin, "START_SIDE", 200)
+    warm = margin.pack(df, "x", "y", 3, "fold", write=margin.write_blocks)
+    assert not cold.starts and len(warm.starts) == 2
+    sizes = [b.rows() for b in [*warm.starts, warm]]
+    assert 2000 <= sizes[0] < sizes[1] < sizes[2] == len(y)
+    assert warm.table.agg(F.sum("n")).first()[0] == len(y)
+    met, scan = [], margin._scan
+    monkeypatch.setattr(margin, "_scan", lambda blocks, groups: (met.append(
+        (blocks.rows(), {int(p) for g in groups for p in g.positive})), scan(blocks, groups))[1])
+    columns = [margin.Column(p, c, f, g) for p in (1, 2) for f in (0, 1) for g in (0, 1) for c in (0.1, 10.0)]
+    maps = [margin.FeatureMap(), fourier(16, 1 / 3)]
+    one, met[:] = margin.solve(cold, columns, maps), []
+    two = margin.solve(warm, columns, maps)
+    whole = [p for n, p in met if n == len(y)]
+    assert [n for n, _ in met] == sorted(n for n, _ in met) and {1, 2} == whole[0]
+    assert all(2 not in p for n, p in met if n != len(y))          # too few rows there: it waits for all of them
+    assert sum(1 in p for p in whole) <= 10 < sum(n < len(y) for n, _ in met)
+    for col, (_, _, a), (coef, icept, b) in zip(columns, one, two):
+        assert abs(a - b) <= 1e-3 * max(b, margin.LEAST)
+        mine = fold != col.fold
+        z = maps[col.mapping].of(x[mine])
+        assert math.isclose(objective(z, y[mine] == col.positive, coef, icept, col.c), b, rel_tol=1e-6)
+
+
+def test_scans_have_a_task_for_every_few_bytes(spark, monkeypatch):
+    monkeypatch.setattr(margin, "SPLIT_BYTES", 1 << 16)
+    x, y, fold = make(20000, 6)
+    blocks = margin.pack(frame(spark, x, y, fold, 1), "x", "y", 2, "fold", write=margin.write_blocks)
+    key = "spark.sql.files.maxPartitionBytes"
+    before, tasks, tree = spark.conf.get(key), [], margin._tree_sum
+    monkeypatch.setattr(margin, "_tree_sum", lambda *a: (tasks.append(a[3]), tree(*a))[1])
+    margin.solve(blocks, [margin.Column(1)], max_steps=1)
+    assert tasks[0] >= 8 and spark.conf.get(key) == before
