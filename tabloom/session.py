@@ -10,6 +10,7 @@ from __future__ import annotations
 import contextlib
 import os
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -100,17 +101,26 @@ def cut_lineage(df, name: str = "stage", **options):
     return spark.read.parquet(path)
 
 
+_SPLITS = threading.Lock()
+_SPLITS_BEFORE: list[str] = []      # the setting outside, once per user inside
+
+
 @contextlib.contextmanager
 def small_splits(spark: SparkSession, most: int) -> Iterator[None]:
     """Files are read in splits of up to ``most`` bytes inside: for jobs whose rows cost
-    far more than their bytes, so that all cores have a share of them."""
+    far more than their bytes, so that all cores have a share of them.  The setting is the
+    session's; the last of several threads inside restores it."""
     key = "spark.sql.files.maxPartitionBytes"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(most))
+    with _SPLITS:
+        _SPLITS_BEFORE.append(_SPLITS_BEFORE[0] if _SPLITS_BEFORE else spark.conf.get(key))
+        spark.conf.set(key, str(most))
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        with _SPLITS:
+            old = _SPLITS_BEFORE.pop()
+            if not _SPLITS_BEFORE:
+                spark.conf.set(key, old)
 
 
 class Stages:

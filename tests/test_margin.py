@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators import margin, split, train
 from tabloom.plans import tuning
-from tabloom.session import cut_lineage, scratch_path
+from tabloom.session import cut_lineage, scratch_path, small_splits
 from tabloom.sources import models
 
 
@@ -252,3 +252,9 @@ def test_scans_have_a_task_for_every_few_bytes(spark, monkeypatch):
     monkeypatch.setattr(margin, "_tree_sum", lambda *a: (tasks.append(a[3]), tree(*a))[1])
     margin.solve(blocks, [margin.Column(1)], max_steps=1)
     assert tasks[0] >= 8 and spark.conf.get(key) == before
+    one, two = small_splits(spark, 1 << 20), small_splits(spark, 1 << 20)
+    for each in (one.__enter__, two.__enter__, lambda: one.__exit__(None, None, None)):
+        each()
+        assert spark.conf.get(key) == str(1 << 20)
+    two.__exit__(None, None, None)
+    assert spark.conf.get(key) == before
